@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.functions.schema import column_spec_to_schema
 from quayside.operators.validate import SourceCounter, sample_loaded, validate_load
 from quayside.sinks.table import check_load_type, ensure_database, write_table
-from quayside.sources.delimited import read_dated_files, read_delimited, resolve_dated_path
+from quayside.sources.delimited import DATE_TOKEN, read_dated_files, read_delimited, resolve_dated_path, to_spark_uri
 from quayside.sources.sqlfile import read_sql_file
 from quayside.spec import LoadSpec
 
@@ -44,7 +44,10 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
         schema = column_spec_to_schema(spec.columns, parity=spec.parity)
         if not src.path_template:
             raise ValueError(f"dataset {src.dataset_id} has no path template")
-        paths = [resolve_dated_path(src.path_template, d, src.data_source_user) for d in spec.effective_dates]
+        if DATE_TOKEN in src.path_template:
+            paths = [resolve_dated_path(src.path_template, d, src.data_source_user) for d in spec.effective_dates]
+        else:  # one literal path
+            paths = [to_spark_uri(src.path_template)]
         if spec.date_from_path:
             df = read_dated_files(
                 spark, src.path_template, spec.effective_dates, schema, src.delimiter, src.header,

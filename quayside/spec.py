@@ -60,6 +60,7 @@ class TableSpec:
     database: str
     name: str
     partition_keys: tuple[str, ...] = ()
+    dataset_id: str | None = None  # name used for lineage; the qualified name when unset
 
     @property
     def qualified(self) -> str:
