@@ -32,14 +32,14 @@ def daily_counts(df: DataFrame, date_column: str) -> DataFrame:
 
 
 def volume_anomalies(df: DataFrame, date_column: str, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
-    """``dt, n, score, is_anomaly`` for every day."""
+    """``dt, n, score, is_anomaly`` for every day. When the MAD is 0 (most days equal) the
+    score is null and every day off the median is an anomaly."""
     daily = daily_counts(df, date_column)
     med = daily.select(F.median("n")).scalar()
     mad = daily.select(F.median(F.abs(F.col("n") - med))).scalar()
     score = F.round(F.try_divide(F.lit(MAD_SCALE) * (F.col("n") - med), mad), digits)
-    return daily.select("dt", "n", score.alias("score")).withColumn(
-        "is_anomaly", F.coalesce(F.abs(F.col("score")) > F.lit(threshold), F.lit(False))
-    )
+    flag = F.when(mad == 0, F.col("n") != med).otherwise(F.abs(F.col("score")) > F.lit(threshold))
+    return daily.select("dt", "n", score.alias("score")).withColumn("is_anomaly", flag)
 
 
 def value_outliers(df: DataFrame, groups: Sequence[str], value: str, k: float = IQR_FACTOR, method: str = "exact") -> DataFrame:

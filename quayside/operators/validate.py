@@ -31,6 +31,7 @@ class SourceCounter:
         self.date_column = date_column if (date_column and date_column in df.columns) else None
         self.dates = [str(d) for d in dates]
         self.per_date = self.date_column is not None and 0 < len(self.dates) <= MAX_OBSERVED_DATES
+        self.has_other_dates = False
         self.observation = Observation(fresh_name("source_counts"))
         exprs = [F.count(F.lit(1)).alias("total")]
         if self.date_column:
@@ -58,6 +59,7 @@ class SourceCounter:
             rows.append((None, int(m["null_dates"])))
         other = int(m["total"]) - sum(n for _, n in rows)
         frame = spark.createDataFrame(rows, "effective_date string, source_count long")
+        self.has_other_dates = other > 0
         if other:
             # Rows of dates outside the expected list (a file holding several dates).
             c = F.col(self.date_column)

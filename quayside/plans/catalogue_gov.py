@@ -212,7 +212,8 @@ def q_recon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- G2
 
-_VOLUME_SCORE = "round(0.6745 * (n - med) / mad, 4)"
+_VOLUME_SCORE = "round(0.6745 * (n - med) / nullif(mad, 0), 4)"
+_VOLUME_FLAG = f"CASE WHEN mad = 0 THEN n <> med ELSE abs({_VOLUME_SCORE}) > 3.5 END"
 
 
 @register(
@@ -220,7 +221,7 @@ _VOLUME_SCORE = "round(0.6745 * (n - med) / mad, 4)"
     f"""WITH d AS (SELECT {ED} dt, count(*) n FROM events GROUP BY 1),
              m AS (SELECT median(n) med FROM d),
              a AS (SELECT median(abs(n - med)) mad FROM d, m)
-        SELECT dt, n, {_VOLUME_SCORE} score, coalesce(abs({_VOLUME_SCORE}) > 3.5, false) is_anomaly FROM d, m, a""",
+        SELECT dt, n, {_VOLUME_SCORE} score, {_VOLUME_FLAG} is_anomaly FROM d, m, a""",
 )
 def q_anomaly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume_anomalies(Ctx(spark, sf_dir).events(), "effective_date")
@@ -308,7 +309,7 @@ def _ingest_workflow(ctx: Ctx, lineage_table: str | None) -> tuple[Workflow, lis
     f"""WITH d AS (SELECT {ED} dt, count(*) n FROM events GROUP BY 1),
              m AS (SELECT median(n) med FROM d),
              a AS (SELECT median(abs(n - med)) mad FROM d, m),
-             z AS (SELECT count(*) FILTER (WHERE abs({_VOLUME_SCORE}) > 3.5) bad FROM d, m, a),
+             z AS (SELECT count(*) FILTER (WHERE {_VOLUME_FLAG}) bad FROM d, m, a),
              c AS (SELECT count(*) n, count(DISTINCT {ED}) n_days,
                           count(*) FILTER (WHERE value < 0) neg FROM events)
         SELECT 'wf_events_ingest' workflow_id, 'pre' step, 'data quality' task, 'events_file' dataset_id,

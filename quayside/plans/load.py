@@ -74,14 +74,13 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
     counter = SourceCounter(source, spec.date_column, spec.effective_dates)
     outcome = write_table(
         spark, counter.df, table, spec.target.partition_keys, spec.load_type,
-        files_per_partition=spec.files_per_partition,
+        rebalance=spec.rebalance,
     )
     if debug and spec.effective_dates:
         sample_loaded(spark, table, spec.effective_dates[0], date_column=spec.date_column, debug=True)
-    report = validate_load(
-        spark, table, counter.counts(spark), spec.date_column,
-        dates=spec.effective_dates if counter.per_date else None,
-    )
+    source_counts = counter.counts(spark)
+    known = counter.per_date and not counter.has_other_dates
+    report = validate_load(spark, table, source_counts, spec.date_column, dates=spec.effective_dates if known else None)
     rows = report.collect()  # one row per date of the batch
     src_n = sum(r.source_count for r in rows)
     tgt_n = sum(r.target_count for r in rows)

@@ -13,11 +13,11 @@
 Safety choices:
 - K4 sets ``partitionOverwriteMode=dynamic`` only around the write and restores it; with
   the default (static) the same call erases every other partition (E4).
-- K6/K7 write the new table under a staging name first and swap names only after the
-  write committed, so a failing job leaves the old table whole (E14).
-- No shuffle is added before a write by default: each task writes the partitions it holds.
-  ``files_per_partition`` clusters rows by (keys, deterministic salt) for many-date loads,
-  so a hot date is still spread over that many tasks.
+- K6/K7 write the new table under a staging name first; the old table is replaced only
+  after that write committed, so a failing job leaves the old table whole (E14).
+- No shuffle is added before a write by default: each task writes the partitions it holds
+  (right for a one-date load). ``rebalance=True`` clusters rows by the keys for many-date
+  loads, with AQE splitting a hot date over several writers.
 """
 
 from __future__ import annotations
@@ -78,13 +78,13 @@ def _session_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
-def _clustered(df: DataFrame, keys: list[str], files_per_partition: int | None) -> DataFrame:
-    if not keys or not files_per_partition:
+def _clustered(df: DataFrame, keys: list[str], rebalance: bool) -> DataFrame:
+    if not keys or not rebalance:
         return df
-    # Deterministic salt (a hash of the row), so a retried stage sends every row to the
-    # same task again; a hot partition value is spread over ``files_per_partition`` tasks.
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(k) for k in keys], salt)
+    # REBALANCE: rows of one partition value go to the same writer where sizes allow, and
+    # AQE splits a hot value into advisory-size pieces (spark.sql.adaptive.*), so a
+    # many-date load writes few files per date without funnelling a hot date to one task.
+    return df.hint("rebalance", *keys)
 
 
 def quote_table(table: str) -> str:
@@ -96,22 +96,19 @@ def _create(df: DataFrame, table: str, keys: list[str], mode: str = "errorifexis
 
 
 def _swap_in(spark: SparkSession, df: DataFrame, table: str, keys: list[str]) -> None:
-    """Write under a staging name, then swap names: the old table survives a failed write."""
+    """Write under a staging name first; only once that write committed is the old table
+    dropped and the staging table renamed. A failing job leaves the old table whole.
+
+    The old table is dropped rather than renamed away: a rename moves the directory but
+    keeps the catalog's partition paths, and dropping a renamed partitioned table would
+    delete whatever now sits at those paths."""
     db, _, name = table.rpartition(".")
-    prefix = f"{db}." if db else ""
-    staging = prefix + fresh_name(f"{name}__staging")
-    retired = prefix + fresh_name(f"{name}__retired")
+    staging = (f"{db}." if db else "") + fresh_name(f"{name}__staging")
     _create(df, staging, keys)
-    spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": table, "b": retired})
-    try:
-        spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": staging, "b": table})
-    except Exception:
-        spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": retired, "b": table})
-        raise
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": retired})
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
+    spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": staging, "b": table})
     if keys:
-        # A rename moves the directory but the catalog keeps the staging partition
-        # locations; re-list the partitions from the table directory.
+        # Re-list the partitions from the renamed directory (see above).
         spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
 
@@ -123,7 +120,7 @@ def write_table(
     partition_keys: list[str] | tuple[str, ...] = (),
     load_type: str = "incremental",
     *,
-    files_per_partition: int | None = None,
+    rebalance: bool = False,
 ) -> WriteOutcome:
     """Write ``df`` into ``table`` following the decision table above."""
     check_load_type(load_type)
@@ -133,7 +130,7 @@ def write_table(
         raise ValueError(f"partition keys {missing} are not columns of the batch")
 
     if not table_exists(spark, table):
-        _create(_clustered(df, keys, files_per_partition), table, keys)
+        _create(_clustered(df, keys, rebalance), table, keys)
         spark.catalog.refreshTable(table)  # K9
         return WriteOutcome(table, "create_partitioned" if keys else "create_unpartitioned", True)
 
@@ -141,11 +138,11 @@ def write_table(
         aligned = align_to_table(df, table_columns(spark, table))  # P1
         if keys:
             with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
-                _clustered(aligned, keys, files_per_partition).write.insertInto(table, overwrite=True)
+                _clustered(aligned, keys, rebalance).write.insertInto(table, overwrite=True)
             return WriteOutcome(table, "partition_overwrite", True)
         log.warning("Appending to %s: a rerun of the same batch loads duplicates.", table)
         aligned.write.insertInto(table)
         return WriteOutcome(table, "append", False)
 
-    _swap_in(spark, _clustered(df, keys, files_per_partition), table, keys)
+    _swap_in(spark, _clustered(df, keys, rebalance), table, keys)
     return WriteOutcome(table, "full_overwrite_partitioned" if keys else "full_overwrite", True)

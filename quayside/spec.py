@@ -81,5 +81,5 @@ class LoadSpec:
     warehouse_path: str | None = None
     parity: bool = False
     strict: bool = False
-    files_per_partition: int | None = None
+    rebalance: bool = False
     extra: Mapping[str, Any] = field(default_factory=dict)
