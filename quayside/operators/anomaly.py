@@ -2,8 +2,8 @@
 
 (a) ``volume_anomalies``: rows per day against the median and the median absolute
     deviation (MAD) of the daily counts; robust z-score ``0.6745 * (n - median) / MAD``.
-    The daily counts are one grouped aggregate; median and MAD are scalar subqueries over
-    that aggregate (one row per day), so the event table is scanned once.
+    The daily counts are one grouped aggregate, checkpointed (one row per day); median and
+    MAD are scalar subqueries over that small result, so the event table is scanned once.
 (b) ``value_outliers``: rows outside the Tukey fences ``[q1 - k*IQR, q3 + k*IQR]`` of
     their group. Quartiles are exact by default (``quantiles.exact_quantiles``, which
     splits a hot group across tasks) or approximate (``method="approx"``); the quartile
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.quantiles import quantiles
+from quayside.session import checkpoint_root
 
 # The constant that makes the MAD comparable to a standard deviation for
 # normal data, and the usual cut-offs for robust z-scores and Tukey fences.
@@ -34,7 +35,10 @@ def daily_counts(df: DataFrame, date_column: str) -> DataFrame:
 def volume_anomalies(df: DataFrame, date_column: str, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
     """``dt, n, score, is_anomaly`` for every day. When the MAD is 0 (most days equal) the
     score is null and every day off the median is an anomaly."""
-    daily = daily_counts(df, date_column)
+    checkpoint_root(df.sparkSession)
+    # One row per day, materialised once: the scalar subqueries below read this small
+    # result instead of each re-scanning the fact table.
+    daily = daily_counts(df, date_column).checkpoint(eager=True)
     med = daily.select(F.median("n")).scalar()
     mad = daily.select(F.median(F.abs(F.col("n") - med))).scalar()
     score = F.round(F.try_divide(F.lit(MAD_SCALE) * (F.col("n") - med), mad), digits)

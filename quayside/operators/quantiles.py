@@ -11,8 +11,10 @@ buffer, so a hot group lands whole in one task. Here the work is split by value
    partition per group);
 3. for each group and probability, the two ranks that bracket ``p * (n - 1)`` (linear
    interpolation, as ``percentile_cont`` / ``quantile_cont``) are mapped to their block;
-4. rows get their rank inside their block (a window over one block = at most one
-   partition's rows) and only the wanted ranks are kept and interpolated.
+4. rows are sorted inside each range partition and tagged with
+   ``monotonically_increasing_id`` before the checkpoint, so a wanted rank is one row id
+   (block's first id + offset); only those rows are fetched (an equi-join on the id) and
+   interpolated. No window or sort runs over the full data after the range shuffle.
 
 ``method="approx"`` uses ``percentile_approx`` (a mergeable fixed-size sketch) instead.
 """
@@ -39,8 +41,13 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     cols = [F.col(f"`{c}`").alias(c) for c in groups] or [F.lit(0).alias("_all")]
     base = df.select(*cols, F.col(f"`{value}`").cast("double").alias("_v")).where(F.col("_v").isNotNull())
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Within each range partition rows are sorted, so the row id (partition index << 33 |
+    # position in partition) orders them; ids and partition ids are materialised by the
+    # checkpoint and stay fixed afterwards.
     ranged = (
         base.repartitionByRange(n_parts, *[F.col(c) for c in keys], F.col("_v"))
+        .sortWithinPartitions(*keys, "_v")
+        .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
@@ -52,10 +59,10 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
         return [F.col(f"{a}.{c}").alias(c) for c in keys]
 
     # Blocks: rows per (partition, group); starting rank of each block inside its group.
-    blocks = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_bn"))
+    blocks = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_bn"), F.min("_mid").alias("_first"))
     grp = Window.partitionBy(*keys)
     blocks = blocks.select(
-        "_pid", *keys, "_bn",
+        "_pid", *keys, "_bn", "_first",
         F.coalesce(F.sum("_bn").over(grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
         F.sum("_bn").over(grp).alias("_n"),
     )
@@ -71,19 +78,15 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     )
     ranks = wanted.select(*keys, F.explode(F.array("_lo", "_hi")).alias("_rank")).dropDuplicates(keys + ["_rank"])
 
-    # Block and in-block position of each wanted rank.
+    # Row id of each wanted rank: first id of its block + position inside the block.
     located = ranks.alias("r").join(
         blocks.alias("b"),
         same("r", "b") + [F.col("r._rank") >= F.col("b._start"), F.col("r._rank") < F.col("b._start") + F.col("b._bn")],
-    ).select(*keep("r"), F.col("b._pid").alias("_pid"), F.col("r._rank").alias("_rank"),
-             (F.col("r._rank") - F.col("b._start")).alias("_local"))
-
-    # Rank of each row inside its block: a window over at most one partition's rows.
-    in_block = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy("_v")) - 1)
-    picked = in_block.alias("i").join(
-        located.alias("l"),
-        same("i", "l") + [F.col("i._pid") == F.col("l._pid"), F.col("i._local") == F.col("l._local")],
-    ).select(*keep("i"), F.col("l._rank").alias("_rank"), F.col("i._v").alias("_v"))
+    ).select(*keep("r"), F.col("r._rank").alias("_rank"),
+             (F.col("b._first") + F.col("r._rank") - F.col("b._start")).alias("_mid"))
+
+    # Fetch those rows by id: no window or sort over the data.
+    picked = ranged.select("_mid", "_v").join(located, "_mid").select(*keys, "_rank", "_v")
 
     res = (
         wanted.alias("w")

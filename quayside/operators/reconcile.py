@@ -2,8 +2,8 @@
 
 (a) ``reconcile_totals``: control totals (a delimited control file per date:
     ``effective_date|row_count|amount_total``) against the table's own totals by date.
-    The table side is one grouped aggregate over only the control's dates (semi join,
-    so partitions of other dates are pruned at run time); amounts are summed as
+    The table side is one grouped aggregate over only the control's dates (a literal
+    filter, so partitions of other dates are never read); amounts are summed as
     decimals, so the comparison is exact.
 (b) ``reconcile_rows``: key-level compare of a source and a target frame. Each side is
     first reduced to ONE row per key: ``count`` and two 32-bit halves of the summed
@@ -18,6 +18,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONTROL_SCHEMA = "effective_date string, row_count long, amount_total decimal(18,2)"
 AMOUNT_TYPE = "decimal(18,2)"
@@ -37,8 +38,10 @@ def control_totals(df: DataFrame, date_column: str, amount_column: str | None) -
 
 def reconcile_totals(control: DataFrame, target: DataFrame, date_column: str = "effective_date", amount_column: str | None = None) -> DataFrame:
     """``effective_date, control_count, target_count, control_amount, target_amount, is_match``."""
-    dates = control.select(F.col("effective_date").alias("_d"))
-    scoped = target.join(dates, F.col(date_column).cast("string").eqNullSafe(F.col("_d")), "left_semi")
+    # The control holds one row per date: its dates become a literal filter, which prunes a
+    # partitioned target to those partitions.
+    dates = [r[0] for r in control.select("effective_date").distinct().collect() if r[0] is not None]
+    scoped = target.where(F.col(date_column).cast("string").isin(dates))
     tgt = control_totals(scoped, date_column, amount_column).alias("t")
     c = control.alias("c")
     j = c.join(tgt, F.col("c.effective_date").eqNullSafe(F.col("t.effective_date")), "full_outer")
@@ -63,11 +66,32 @@ def row_fingerprint(columns: Sequence[str]) -> Column:
     return F.xxhash64(*cols, *[c.isNull() for c in cols])
 
 
+def _placeholder(dtype: T.DataType) -> Column:
+    """A non-null value of ``dtype`` that stands in for null inside a join key (paired
+    with an is-null flag, so it never collides with a real value)."""
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(b"")
+    return F.lit(0).cast(dtype)
+
+
 def _per_key(df: DataFrame, keys: Sequence[str], compare: Sequence[str], tag: str) -> DataFrame:
     h = row_fingerprint(compare)
     lo = h.bitwiseAND(F.lit(0xFFFFFFFF))
     hi = F.shiftrightunsigned(h, 32)
-    return df.groupBy(*[F.col(f"`{k}`").alias(k) for k in keys]).agg(
+    types = {f.name: f.dataType for f in df.schema.fields}
+    grouping = []
+    for i, k in enumerate(keys):
+        c = F.col(f"`{k}`")
+        grouping += [c.isNull().alias(f"_kn{i}"), F.coalesce(c, _placeholder(types[k])).alias(f"_kv{i}")]
+    return df.groupBy(*grouping).agg(
         F.count(F.lit(1)).alias(f"{tag}_n"), F.sum(lo).alias(f"{tag}_lo"), F.sum(hi).alias(f"{tag}_hi")
     )
 
@@ -80,8 +104,10 @@ def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], co
         compare = [c for c in source.columns if c not in keys and c in target.columns]
     s = _per_key(source, keys, compare, "s")
     t = _per_key(target, keys, compare, "t")
-    cond = [s[k].eqNullSafe(t[k]) for k in keys]
-    j = s.join(t, cond, "full_outer")
+    # Plain equality on the (is-null flag, value-or-placeholder) grouping columns: null
+    # keys match each other and the join reuses the aggregates' hash partitioning.
+    gcols = [c for i in range(len(keys)) for c in (f"_kn{i}", f"_kv{i}")]
+    j = s.join(t, gcols, "full_outer")
     status = (
         F.when(F.col("t_n").isNull(), F.lit("missing"))
         .when(F.col("s_n").isNull(), F.lit("extra"))
@@ -90,5 +116,7 @@ def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], co
             F.lit("changed"),
         )
     )
-    out = j.select(*[F.coalesce(s[k], t[k]).alias(k) for k in keys], status.alias("status"))
+    out = j.select(
+        *[F.when(~F.col(f"_kn{i}"), F.col(f"_kv{i}")).alias(k) for i, k in enumerate(keys)], status.alias("status")
+    )
     return out.where(F.col("status").isNotNull())

@@ -113,18 +113,10 @@ def validate_load(
         source_counts = spark.createDataFrame(
             [(k, int(v)) for k, v in source_counts.items()], "effective_date string, source_count long"
         )
-    if dates is None and date_column in table_columns(spark, table):
-        # Dates not known up front: semi-join the table with the source's dates before
-        # counting, so only those partitions are read (dynamic partition pruning).
-        keys = source_counts.select(F.col("effective_date").alias("_batch_date"))
-        c = F.col(date_column)
-        tgt = (
-            spark.table(table)
-            .join(keys, c.cast("string").eqNullSafe(F.col("_batch_date")), "left_semi")
-            .groupBy(c.cast("string").alias("effective_date"))
-            .agg(F.count(F.lit(1)).alias("target_count"))
-        )
-        return compare_counts(source_counts, tgt)
+    if dates is None:
+        # The batch's dates (one row per date) drive a literal partition filter, so only
+        # those partitions of the target are listed and counted.
+        dates = [r[0] for r in source_counts.select("effective_date").where(F.col("effective_date").isNotNull()).collect()]
     return compare_counts(source_counts, target_counts(spark, table, date_column, dates))
 
 
