@@ -353,3 +353,24 @@ def q_lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run_workflow(spark, Workflow("wf_event_totals", extract=extract, lineage_table=lineage))
     return spark.table(lineage).select(*[c for c in EDGE_COLUMNS if c != "run_id"])
+
+
+# --------------------------------------------------------------------------- streaming form of K4/K10
+
+
+@register("stream_landing", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
+def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dated event file in the landing folder, loaded by the file-landing stream
+    (``availableNow``); a second run finds no new files and loads nothing."""
+    from quayside.plans.catalogue import EVENT_SPEC, _event_landing
+    from quayside.streaming.landing import ingest_landing
+
+    ctx = Ctx(spark, sf_dir)
+    template = _event_landing(ctx, ctx.events())
+    spec = LoadSpec(
+        source=DatasetSpec("events_file", path_template=template),
+        target=TableSpec(ctx.database(), "events_stream", ("effective_date",)),
+        columns=EVENT_SPEC, date_from_path=True,
+    )
+    ingest_landing(spark, spec, ctx.path("checkpoints/events_stream"))
+    return spark.table(spec.target.qualified)
