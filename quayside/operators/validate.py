@@ -39,7 +39,11 @@ class SourceCounter:
             exprs.append(F.count_if(c.isNull()).alias("null_dates"))
             if self.per_date:
                 exprs += [F.count_if(c == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.dates)]
-        self.df = df.observe(self.observation, *exprs)
+        self._exprs = exprs
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Attach the metrics to ``df`` (the frame handed to ``.write``)."""
+        return df.observe(self.observation, *self._exprs)
 
     def metrics(self) -> dict:
         return dict(self.observation.get)

@@ -73,8 +73,8 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
     table = spec.target.qualified
     counter = SourceCounter(source, spec.date_column, spec.effective_dates)
     outcome = write_table(
-        spark, counter.df, table, spec.target.partition_keys, spec.load_type,
-        rebalance=spec.rebalance,
+        spark, source, table, spec.target.partition_keys, spec.load_type,
+        rebalance=spec.rebalance, observe=counter.attach,
     )
     if debug and spec.effective_dates:
         sample_loaded(spark, table, spec.effective_dates[0], date_column=spec.date_column, debug=True)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import logging
 from contextlib import contextmanager
+from typing import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,16 +122,22 @@ def write_table(
     load_type: str = "incremental",
     *,
     rebalance: bool = False,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> WriteOutcome:
-    """Write ``df`` into ``table`` following the decision table above."""
+    """Write ``df`` into ``table`` following the decision table above.
+
+    ``observe`` wraps the frame right before ``.write`` (after any rebalance shuffle), so
+    observed metrics live in the write's result stage, where Spark applies each task's
+    metrics once even when tasks or stages are retried after an executor loss."""
     check_load_type(load_type)
+    watch = observe or (lambda x: x)
     keys = list(partition_keys or ())
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"partition keys {missing} are not columns of the batch")
 
     if not table_exists(spark, table):
-        _create(_clustered(df, keys, rebalance), table, keys)
+        _create(watch(_clustered(df, keys, rebalance)), table, keys)
         spark.catalog.refreshTable(table)  # K9
         return WriteOutcome(table, "create_partitioned" if keys else "create_unpartitioned", True)
 
@@ -138,11 +145,11 @@ def write_table(
         aligned = align_to_table(df, table_columns(spark, table))  # P1
         if keys:
             with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
-                _clustered(aligned, keys, rebalance).write.insertInto(table, overwrite=True)
+                watch(_clustered(aligned, keys, rebalance)).write.insertInto(table, overwrite=True)
             return WriteOutcome(table, "partition_overwrite", True)
         log.warning("Appending to %s: a rerun of the same batch loads duplicates.", table)
-        aligned.write.insertInto(table)
+        watch(aligned).write.insertInto(table)
         return WriteOutcome(table, "append", False)
 
-    _swap_in(spark, _clustered(df, keys, rebalance), table, keys)
+    _swap_in(spark, watch(_clustered(df, keys, rebalance)), table, keys)
     return WriteOutcome(table, "full_overwrite_partitioned" if keys else "full_overwrite", True)
