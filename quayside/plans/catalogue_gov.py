@@ -293,7 +293,7 @@ def _ingest_workflow(ctx: Ctx, lineage_table: str | None) -> tuple[Workflow, lis
         pre_tasks=(
             ManagementTask("data quality", "events_file", {"rules": rules}),
             ManagementTask("data quality ml", "events_file", {"date_column": "effective_date"}),
-            ManagementTask("data profile", "events_file", {"exact": True}),
+            ManagementTask("data profile", "events_file"),
         ),
         post_tasks=(
             ManagementTask("data reconciliation", "events_table", {"amount_column": "value", "control_path_template": control}),
@@ -374,3 +374,41 @@ def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ingest_landing(spark, spec, ctx.path("checkpoints/events_stream"))
     return spark.table(spec.target.qualified)
+
+
+# --------------------------------------------------------------------------- large load (K7 + E7)
+
+LINEITEM_SPEC = [
+    {"column_name": "l_orderkey", "data_type": "bigint"},
+    {"column_name": "l_partkey", "data_type": "bigint"},
+    {"column_name": "l_suppkey", "data_type": "bigint"},
+    {"column_name": "l_linenumber", "data_type": "int"},
+    {"column_name": "l_quantity", "data_type": "double"},
+    {"column_name": "l_extendedprice", "data_type": "double"},
+    {"column_name": "l_discount", "data_type": "double"},
+    {"column_name": "l_tax", "data_type": "double"},
+    {"column_name": "l_returnflag", "data_type": "string"},
+    {"column_name": "l_linestatus", "data_type": "string"},
+    {"column_name": "l_shipdate", "data_type": "timestamp_ntz"},
+]
+
+
+@register(
+    "load_large",
+    """SELECT CAST(NULL AS VARCHAR) effective_date, count(*) source_count, count(*) target_count, true is_match
+       FROM lineitem""",
+)
+def q_load_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole line-item table as one dated ``|`` file, fully loaded into an
+    unpartitioned table; the table has no date column, so it is counted whole (E7)."""
+    from quayside.plans.load import load_to_table
+
+    ctx = Ctx(spark, sf_dir)
+    template = ctx.path("landing/lineitem_yyyymmdd.dat")
+    write_delimited(ctx.table("lineitem"), resolve_dated_path(template, "2024-01-01"), sep="|")
+    spec = LoadSpec(
+        source=DatasetSpec("lineitem_file", path_template=template, delimiter="|"),
+        target=TableSpec(ctx.database(), "lineitem"), columns=LINEITEM_SPEC,
+        load_type="full", effective_dates=("2024-01-01",),
+    )
+    return load_to_table(spark, spec).report
