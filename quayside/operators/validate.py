@@ -12,7 +12,6 @@ from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.session import fresh_name
 from quayside.sources.catalog import read_table, table_columns

@@ -44,8 +44,11 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
         schema = column_spec_to_schema(spec.columns, parity=spec.parity)
         if not src.path_template:
             raise ValueError(f"dataset {src.dataset_id} has no path template")
+        file_dates = spec.source_dates if spec.source_dates is not None else spec.effective_dates
+        if spec.source_dates is not None and spec.date_from_path:
+            raise ValueError("source_dates and date_from_path exclude each other")
         if DATE_TOKEN in src.path_template:
-            paths = [resolve_dated_path(src.path_template, d, src.data_source_user) for d in spec.effective_dates]
+            paths = [resolve_dated_path(src.path_template, d, src.data_source_user) for d in file_dates]
         else:  # one literal path
             paths = [to_spark_uri(src.path_template)]
         if spec.date_from_path:
@@ -63,6 +66,18 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
     raise RuntimeError("Source dataset type is not expected.")
 
 
+def run_ingestion_task(spark: SparkSession, spec: LoadSpec) -> tuple[int, dict]:
+    """run one load and return ``(status_code, result)`` with the real counts."""
+    res = load_to_table(spark, spec)
+    return res.status, {
+        "ingestion task id": spec.target.dataset_id or spec.target.qualified,
+        "source dataset name": ",".join(res.source_paths) or spec.source.dataset_id,
+        "target table name": res.table,
+        "source record count": res.source_count,
+        "target record count": res.target_count,
+    }
+
+
 def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | None = None, debug: bool = False) -> LoadResult:
     check_load_type(spec.load_type)  # E5: before any job, even for a new table
     if source is None:

@@ -28,7 +28,6 @@ from typing import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.operators.align import align_to_table
 from quayside.session import fresh_name

@@ -76,6 +76,9 @@ class LoadSpec:
     columns: Sequence[Mapping[str, str]]
     load_type: str = "incremental"
     effective_dates: tuple[str, ...] = ()
+    # The source schedule may name files by a different date than the target's
+    # effective date; when set, file paths are resolved from these dates instead.
+    source_dates: tuple[str, ...] | None = None
     date_column: str = "effective_date"
     date_from_path: bool = False
     warehouse_path: str | None = None

@@ -1,6 +1,4 @@
 import pytest
-from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from quayside.functions.schema import column_spec_to_schema
 from quayside.plans.load import load_to_table
@@ -105,3 +103,46 @@ def test_sql_file_source(spark, scratch):
 
     p = _write(f"{scratch}/q.sql", "SELECT :x AS a, 2 AS b;\n")
     assert read_sql_file(spark, p, {"x": 1}).collect()[0].asDict() == {"a": 1, "b": 2}
+
+
+def test_schema_as_option_is_ignored_so_it_is_passed_to_the_reader(spark, scratch):
+    # The older form set the schema as a reader option, which Spark ignores (all
+    # columns come back as strings); read_delimited passes it with .schema().
+    p = _write(f"{scratch}/in/s7.csv", "id,amt\n1,2.50\n")
+    spec = [{"column_name": "id", "data_type": "int"}, {"column_name": "amt", "data_type": "decimal(10,2)"}]
+    schema = column_spec_to_schema(spec)
+    ignored = spark.read.format("csv").option("header", "true").option("schema", schema.json()).load(p)
+    assert [f.dataType.simpleString() for f in ignored.schema.fields] == ["string", "string"]
+    typed = read_delimited(spark, p, schema)
+    assert [f.dataType.simpleString() for f in typed.schema.fields] == ["int", "decimal(10,2)"]
+
+
+def test_source_dates_differ_from_effective_date(spark, scratch, db):
+    # The file is named by the source schedule's date, the load is for the target's date
+    from quayside.plans.load import run_ingestion_task
+
+    _write(f"{scratch}/in/acct_positions_20241227.csv", ACCT_POSITIONS)
+    spec = LoadSpec(
+        source=DatasetSpec("dataset_2", path_template=f"{scratch}/in/acct_positions_yyyymmdd.csv"),
+        target=TableSpec(db, "tacct_pos", ("effective_date",), "dataset_12"),
+        columns=ACCT_SPEC, effective_dates=("2024-12-26",), source_dates=("2024-12-27",), parity=True,
+    )
+    status, result = run_ingestion_task(spark, spec)
+    assert status == 0
+    assert (result["source record count"], result["target record count"]) == (9, 9)
+    assert result["source dataset name"].endswith("acct_positions_20241227.csv")
+
+
+def test_text_into_decimal_column_is_refused_but_typed_scan_loads(spark, scratch, db):
+    # Spark 4 refuses to insert text into an existing decimal column; the declared
+    # schema types the scan, so the load works.
+    from quayside.sinks.table import write_table
+
+    t = f"{db}.dec"
+    write_table(spark, spark.createDataFrame([("1.50",)], "x string").selectExpr("CAST(x AS DECIMAL(10,2)) x"), t, (), "full")
+    with pytest.raises(Exception, match="(?i)cast|CANNOT_SAFELY|safely"):
+        write_table(spark, spark.createDataFrame([("2.50",)], "x string"), t, (), "incremental")
+    p = _write(f"{scratch}/in/dec.csv", "x\n2.50\n")
+    typed = read_delimited(spark, p, column_spec_to_schema([{"column_name": "x", "data_type": "decimal(10,2)"}]))
+    write_table(spark, typed, t, (), "incremental")
+    assert sorted(float(r.x) for r in spark.table(t).collect()) == [1.5, 2.5]
