@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "quayside") -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "quayside", extra: dict | None = None) -> SparkSession:
     """Session for tests, the bench and the job script. On a cluster ``master`` comes from
     ``spark-submit`` and the builder only adds settings that are not already set."""
     builder = (
@@ -21,6 +21,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
