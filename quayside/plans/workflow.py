@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -84,6 +84,9 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
     ds = wf.datasets.get(dataset_id)
     if ds is None:
         raise KeyError(f"unknown dataset {dataset_id}")
+    if ds.kind == "delimited" and wf.load is not None and ds.path_template:
+        # Another delimited dataset, read with the load's declared columns and dates.
+        return source_frame(spark, replace(wf.load, source=ds))[0]
     if ds.kind == "table":
         return spark.table(ds.table.qualified)
     if ds.kind == "sql_file":

@@ -35,12 +35,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from the session; only when it is unset (local tests) is a private folder
     created and registered, so ``DataFrame.checkpoint()`` works as well."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
