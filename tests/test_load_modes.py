@@ -102,6 +102,12 @@ def test_observed_counts_per_date_and_null_partition(spark, db):
     assert res.status == 0 and res.source_count == 3
 
 
+def test_older_null_dates_do_not_fail_a_later_batch(spark, db):
+    _load(spark, db, batch(spark, [(1, 1.0, "d1"), (3, 3.0, None)]), ["d1"])
+    res = _load(spark, db, batch(spark, [(2, 2.0, "d2")]), ["d2"])
+    assert res.status == 0 and [tuple(r) for r in res.report_rows] == [("d2", 1, 1, True)]
+
+
 def test_batch_with_unexpected_dates_is_reported(spark, db):
     # A file holding several dates is compared per date, not file total vs one date
     df = batch(spark, [(1, 1.0, "d1"), (2, 2.0, "d2")])
