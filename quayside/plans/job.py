@@ -1,6 +1,8 @@
-"""``spark-submit`` entry for one load.
+"""``spark-submit`` entry for one load, or for a whole workflow from metadata.
 
-    spark-submit -m quayside.plans.job --source_file_path ... (see --help)
+    spark-submit quayside/plans/job.py --source_file_path ... (see --help)
+    spark-submit quayside/plans/job.py workflow --metadata m.json --workflow_id workflow_2 \
+        --cycle_date 2024-12-26 --schemas s.json --placeholder APP_DATA_IN_DIR=/data/in
 
 Cluster settings (master, history, local dirs, metastore) come from spark-submit and the
 cluster's defaults, not from this script. Prints one JSON line with the load result and
@@ -54,9 +56,43 @@ def spec_from_args(a: argparse.Namespace) -> LoadSpec:
     )
 
 
+def workflow_main(argv) -> int:
+    """Run a workflow id from metadata records (datasets, integration_tasks, workflows)."""
+    from quayside.plans.metadata import workflow_from_metadata
+    from quayside.plans.workflow import run_workflow
+    from quayside.session import build_session
+
+    p = argparse.ArgumentParser(description="Run a workflow from metadata records")
+    p.add_argument("--metadata", required=True, help="JSON file with datasets, integration_tasks, workflows")
+    p.add_argument("--workflow_id", required=True)
+    p.add_argument("--cycle_date", required=True, help="effective date of the run (ISO)")
+    p.add_argument("--schemas", required=True, help="JSON file: target dataset id -> column spec")
+    p.add_argument("--placeholder", action="append", default=[], help="NAME=path, e.g. APP_DATA_IN_DIR=/data/in")
+    p.add_argument("--warehouse_path")
+    p.add_argument("--lineage_table")
+    a = p.parse_args(argv)
+    with open(a.metadata) as f:
+        metadata = json.load(f)
+    with open(a.schemas) as f:
+        schemas = json.load(f)
+    placeholders = dict(x.split("=", 1) for x in a.placeholder)
+    wf = workflow_from_metadata(
+        metadata, a.workflow_id, a.cycle_date, schemas, placeholders=placeholders,
+        warehouse_path=a.warehouse_path, lineage_table=a.lineage_table,
+    )
+    spark = build_session(master=None, app=f"workflow {a.workflow_id}")
+    rows = [r.asDict() for r in run_workflow(spark, wf).collect()]  # one row per step
+    for r in rows:
+        print(json.dumps(r))
+    return 0 if all(r["status"] in ("ok", "skipped") for r in rows if r["step"] == "main") else 1
+
+
 def main(argv=None) -> int:
     from quayside.session import build_session
 
+    argv = sys.argv[1:] if argv is None else list(argv)
+    if argv[:1] == ["workflow"]:
+        return workflow_main(argv[1:])
     a = parse_args(argv)
     spec = spec_from_args(a)
     spark = build_session(master=None, app=f"load {spec.target.qualified}")

@@ -66,11 +66,11 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
     raise RuntimeError("Source dataset type is not expected.")
 
 
-def run_ingestion_task(spark: SparkSession, spec: LoadSpec) -> tuple[int, dict]:
+def run_ingestion_task(spark: SparkSession, spec: LoadSpec, task_id: str | None = None) -> tuple[int, dict]:
     """run one load and return ``(status_code, result)`` with the real counts."""
     res = load_to_table(spark, spec)
     return res.status, {
-        "ingestion task id": spec.target.dataset_id or spec.target.qualified,
+        "ingestion task id": task_id or spec.target.dataset_id or spec.target.qualified,
         "source dataset name": ",".join(res.source_paths) or spec.source.dataset_id,
         "target table name": res.table,
         "source record count": res.source_count,
