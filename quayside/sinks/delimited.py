@@ -1,7 +1,10 @@
 """Write a query result as delimited text (an extract for distribution).
 
 The output "file" is a directory of part files written in parallel by the tasks that
-hold the data; no ``coalesce(1)`` funnel through one task."""
+hold the data; no ``coalesce(1)`` funnel through one task. A write split by columns
+(one folder per date) is rebalanced on those columns first: without it every task writes
+one file per date it holds (tasks x dates small files); with it AQE groups rows by date and
+splits a hot date into advisory-size files."""
 
 from __future__ import annotations
 
@@ -17,7 +20,10 @@ def write_delimited(
     header: bool = True,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    rebalance: bool = True,
 ) -> str:
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = (
         df.write.mode(mode)
         .option("sep", sep)
