@@ -25,7 +25,7 @@ MAX_OBSERVED_DATES = 366
 class SourceCounter:
     """Observe the batch: total rows, rows with a null date, rows of each expected date."""
 
-    def __init__(self, df: DataFrame, date_column: str | None, dates: Iterable[str]):
+    def __init__(self, df: DataFrame, date_column: str | None, dates: Iterable[str], corrupt_column: str | None = None):
         self.source = df
         self.date_column = date_column if (date_column and date_column in df.columns) else None
         self.dates = [str(d) for d in dates]
@@ -38,6 +38,8 @@ class SourceCounter:
             exprs.append(F.count_if(c.isNull()).alias("null_dates"))
             if self.per_date:
                 exprs += [F.count_if(c == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.dates)]
+        if corrupt_column:
+            exprs.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("corrupt_rows"))
         self._exprs = exprs
 
     def attach(self, df: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ class LoadResult:
     report: DataFrame  # (effective_date, source_count, target_count, is_match)
     report_rows: list
     source_paths: list
+    corrupt_count: int = 0  # rows whose fields did not parse (E17; with LoadSpec.corrupt_column)
 
 
 def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[str]]:
@@ -55,9 +56,11 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
             df = read_dated_files(
                 spark, src.path_template, spec.effective_dates, schema, src.delimiter, src.header,
                 date_column=spec.date_column, data_source_user=src.data_source_user, dataset_id=src.dataset_id,
+                corrupt_column=spec.corrupt_column,
             )
         else:
-            df = read_delimited(spark, paths, schema, src.delimiter, src.header, dataset_id=src.dataset_id)
+            df = read_delimited(spark, paths, schema, src.delimiter, src.header, dataset_id=src.dataset_id,
+                                corrupt_column=spec.corrupt_column)
         return df, paths
     if src.kind == "table":
         return spark.table(src.table.qualified), [src.table.qualified]
@@ -86,10 +89,16 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
         paths = []
     ensure_database(spark, spec.target.database, spec.warehouse_path)
     table = spec.target.qualified
-    counter = SourceCounter(source, spec.date_column, spec.effective_dates)
+    corrupt = spec.corrupt_column if spec.corrupt_column in source.columns else None
+    counter = SourceCounter(source, spec.date_column, spec.effective_dates, corrupt_column=corrupt)
+
+    def observed(df: DataFrame) -> DataFrame:
+        out = counter.attach(df)
+        return out.drop(corrupt) if corrupt else out
+
     outcome = write_table(
         spark, source, table, spec.target.partition_keys, spec.load_type,
-        rebalance=spec.rebalance, observe=counter.attach,
+        rebalance=spec.rebalance, observe=observed,
     )
     if debug and spec.effective_dates:
         sample_loaded(spark, table, spec.effective_dates[0], date_column=spec.date_column, debug=True)
@@ -107,4 +116,7 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
             raise LoadMismatchError(f"{table}: count mismatch on {[r.effective_date for r in bad]}")
     else:
         log.info("Load is successful. Source Record Count = %d, Target Record Count = %d", src_n, tgt_n)
-    return LoadResult(table, outcome.action, src_n, tgt_n, status, report, rows, paths)
+    corrupt_n = int(counter.metrics().get("corrupt_rows", 0))
+    if corrupt_n:
+        log.warning("%s: %d source rows did not parse; their bad fields were loaded as null.", table, corrupt_n)
+    return LoadResult(table, outcome.action, src_n, tgt_n, status, report, rows, paths, corrupt_n)

@@ -141,13 +141,15 @@ def write_table(
         return WriteOutcome(table, "create_partitioned" if keys else "create_unpartitioned", True)
 
     if load_type == "incremental":
-        aligned = align_to_table(df, table_columns(spark, table))  # P1
+        cols = table_columns(spark, table)
+        align_to_table(df, cols)  # P1: fail on a missing column before any job runs
         if keys:
+            out = align_to_table(watch(_clustered(df, keys, rebalance)), cols)
             with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
-                watch(_clustered(aligned, keys, rebalance)).write.insertInto(table, overwrite=True)
+                out.write.insertInto(table, overwrite=True)
             return WriteOutcome(table, "partition_overwrite", True)
         log.warning("Appending to %s: a rerun of the same batch loads duplicates.", table)
-        watch(aligned).write.insertInto(table)
+        align_to_table(watch(df), cols).write.insertInto(table)
         return WriteOutcome(table, "append", False)
 
     _swap_in(spark, watch(_clustered(df, keys, rebalance)), table, keys)

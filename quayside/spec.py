@@ -85,4 +85,8 @@ class LoadSpec:
     parity: bool = False
     strict: bool = False
     rebalance: bool = False
+    # Name of a column that receives the raw text of lines that do not parse; such
+    # rows are counted during the load (``LoadResult.corrupt_count``) and the column is
+    # not written to the table.
+    corrupt_column: str | None = None
     extra: Mapping[str, Any] = field(default_factory=dict)
