@@ -11,8 +11,10 @@
 | any     | other       | any  | ValueError before any job runs                        (K8) |
 
 Safety choices:
-- K4 sets ``partitionOverwriteMode=dynamic`` only around the write and restores it; with
-  the default (static) the same call erases every other partition (E4).
+- K4 must replace only the batch's partitions; with Spark's default (static) the same call
+  erases every other partition (E4). Partitioned tables created here carry the table option
+  ``partitionOverwriteMode=dynamic``, so no session setting is touched; for a partitioned
+  table created elsewhere the session setting is switched around the write and restored.
 - K6/K7 write the new table under a staging name first; the old table is replaced only
   after that write committed, so a failing job leaves the old table whole (E14).
 - No shuffle is added before a write by default: each task writes the partitions it holds
@@ -37,6 +39,7 @@ from quayside.spec import LOAD_TYPES
 log = logging.getLogger(__name__)
 
 _OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
+_OVERWRITE_OPTION = "partitionOverwriteMode"
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,17 @@ def quote_table(table: str) -> str:
 
 
 def _create(df: DataFrame, table: str, keys: list[str], mode: str = "errorifexists") -> None:
-    df.write.saveAsTable(table, format="parquet", mode=mode, partitionBy=keys or None)
+    w = df.write
+    if keys:
+        # Stored with the table: every later INSERT OVERWRITE into it (ours or anyone's)
+        # replaces only the partitions it writes, whatever the session setting.
+        w = w.option(_OVERWRITE_OPTION, "dynamic")
+    w.saveAsTable(table, format="parquet", mode=mode, partitionBy=keys or None)
+
+
+def _dynamic_by_table(spark: SparkSession, table: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").where("col_name = 'Storage Properties'").collect()
+    return bool(rows) and f"{_OVERWRITE_OPTION}=dynamic" in rows[0][1].replace(" ", "")
 
 
 def _swap_in(spark: SparkSession, df: DataFrame, table: str, keys: list[str]) -> None:
@@ -145,8 +158,11 @@ def write_table(
         align_to_table(df, cols)  # P1: fail on a missing column before any job runs
         if keys:
             out = align_to_table(watch(_clustered(df, keys, rebalance)), cols)
-            with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
+            if _dynamic_by_table(spark, table):
                 out.write.insertInto(table, overwrite=True)
+            else:  # a table created elsewhere: dynamic mode for this write only
+                with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
+                    out.write.insertInto(table, overwrite=True)
             return WriteOutcome(table, "partition_overwrite", True)
         log.warning("Appending to %s: a rerun of the same batch loads duplicates.", table)
         align_to_table(watch(df), cols).write.insertInto(table)

@@ -40,6 +40,28 @@ def test_partition_overwrite_twice_is_idempotent_and_keeps_other_dates(spark, db
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
+def test_partition_overwrite_is_dynamic_even_under_a_static_session(spark, db):
+    t = f"{db}.p"
+    write_table(spark, batch(spark, [(1, 1.0, "d1"), (2, 2.0, "d2")]), t, ["effective_date"])
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "STATIC")
+    try:
+        # a plain Spark overwrite of one partition, not through write_table
+        batch(spark, [(3, 3.0, "d2")]).write.insertInto(t, overwrite=True)
+    finally:
+        spark.conf.set(key, old)
+    assert rows(spark, t) == [(1, 1.0, "d1"), (3, 3.0, "d2")]
+
+
+def test_partition_overwrite_into_a_table_created_elsewhere(spark, db):
+    t = f"{db}.ext"
+    batch(spark, [(1, 1.0, "d1"), (2, 2.0, "d2")]).write.saveAsTable(t, format="parquet", partitionBy=["effective_date"])
+    write_table(spark, batch(spark, [(3, 3.0, "d2")]), t, ["effective_date"], "incremental")
+    assert rows(spark, t) == [(1, 1.0, "d1"), (3, 3.0, "d2")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
 def test_append_twice_duplicates(spark, db):
     t = f"{db}.u"
     write_table(spark, batch(spark, [(1, 1.0, "d1")]), t, [], "incremental")
