@@ -12,7 +12,7 @@ from quayside.functions.schema import column_spec_to_schema
 from quayside.operators.anomaly import value_outliers, volume_anomalies
 from quayside.operators.lineage import EDGE_COLUMNS
 from quayside.operators.profile import profile_columns, top_values
-from quayside.operators.quality import Rule, check_foreign_key, check_row_rules, check_unique
+from quayside.operators.quality import Rule, check_foreign_key, check_row_rules, check_unique, failing_rows
 from quayside.operators.reconcile import CONTROL_SCHEMA, control_totals, reconcile_rows, reconcile_totals
 from quayside.plans.catalogue import ED, EVENT_FULL_SPEC, Ctx, land_dated, register
 from quayside.plans.workflow import ExtractSpec, ManagementTask, Workflow, run_workflow
@@ -71,6 +71,17 @@ def q_dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_row_rules(Ctx(spark, sf_dir).table("customer"), CUSTOMER_RULES)
 
 
+def _failing_oracle(rules, table: str, key: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT {key}, '{r.name}' rule_name FROM {table} WHERE {_rule_sql(r)}" for r in rules)
+
+
+@register("dq_failing_rows", _failing_oracle(CUSTOMER_RULES, "customer", "c_custkey"))
+def q_dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rows themselves: one row per (customer, broken rule)."""
+    bad = failing_rows(Ctx(spark, sf_dir).table("customer"), CUSTOMER_RULES)
+    return bad.select("c_custkey", F.explode("failed_rules").alias("rule_name"))
+
+
 @register(
     "dq_unique",
     "SELECT l_orderkey, l_linenumber, count(*) n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
@@ -328,6 +339,22 @@ def q_workflow_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_workflow(spark, wf)
 
 
+def _lineage_runs(ctx: Ctx) -> str:
+    """Ingest the event files, then distribute per-day totals from the loaded table; both
+    runs append their edges to one lineage table, whose name is returned."""
+    lineage = f"{ctx.database()}.lineage"
+    wf, dates = _ingest_workflow(ctx, lineage)
+    run_workflow(ctx.spark, Workflow(wf.workflow_id, load=wf.load, lineage_table=lineage))
+    extract = ExtractSpec(
+        source=DatasetSpec("event_totals_sql", kind="sql_file", sql_path=os.path.join(SQL_DIR, "daily_event_totals.sql")),
+        target=DatasetSpec("event_totals_file", path_template=ctx.path("out/event_totals_yyyymmdd.dat"), delimiter="|"),
+        effective_date=dates[-1], columns=TOTALS_SPEC,
+        args={"source_table": wf.load.target.qualified}, upstream=("events_table",),
+    )
+    run_workflow(ctx.spark, Workflow("wf_event_totals", extract=extract, lineage_table=lineage))
+    return lineage
+
+
 @register(
     "lineage_edges",
     f"""SELECT 'wf_events_ingest' workflow_id, 'main' task_id, 'events_file' source_dataset,
@@ -339,22 +366,24 @@ def q_workflow_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM events""",
 )
 def q_lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest the event files, then distribute per-day totals from the loaded table; both
-    runs append their edges to one lineage table, which is returned."""
-    ctx = Ctx(spark, sf_dir)
-    lineage = f"{ctx.database()}.lineage"
-    wf, dates = _ingest_workflow(ctx, lineage)
-    run_workflow(spark, Workflow(wf.workflow_id, load=wf.load, lineage_table=lineage))
-    extract = ExtractSpec(
-        source=DatasetSpec("event_totals_sql", kind="sql_file", sql_path=os.path.join(SQL_DIR, "daily_event_totals.sql")),
-        target=DatasetSpec("event_totals_file", path_template=ctx.path("out/event_totals_yyyymmdd.dat"), delimiter="|"),
-        effective_date=dates[-1], columns=TOTALS_SPEC,
-        args={"source_table": wf.load.target.qualified}, upstream=("events_table",),
-    )
-    run_workflow(spark, Workflow("wf_event_totals", extract=extract, lineage_table=lineage))
+    lineage = _lineage_runs(Ctx(spark, sf_dir))
     return spark.table(lineage).select(*[c for c in EDGE_COLUMNS if c != "run_id"])
 
 
+@register(
+    "lineage_downstream",
+    """SELECT 'events_table' dataset, CAST(1 AS BIGINT) depth FROM events HAVING count(*) > 0
+       UNION ALL
+       SELECT 'event_totals_file', CAST(2 AS BIGINT) FROM events HAVING count(*) > 0""",
+)
+def q_lineage_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything downstream of the event files, by a recursive query over the edges."""
+    from quayside.operators.lineage import traverse
+
+    lineage = _lineage_runs(Ctx(spark, sf_dir))
+    return traverse(spark, lineage, "events_file", "downstream")
+
+
 # --------------------------------------------------------------------------- streaming form of K4/K10
 
 
