@@ -56,11 +56,11 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
             df = read_dated_files(
                 spark, src.path_template, spec.effective_dates, schema, src.delimiter, src.header,
                 date_column=spec.date_column, data_source_user=src.data_source_user, dataset_id=src.dataset_id,
-                corrupt_column=spec.corrupt_column,
+                corrupt_column=spec.corrupt_column, options=dict(src.options),
             )
         else:
             df = read_delimited(spark, paths, schema, src.delimiter, src.header, dataset_id=src.dataset_id,
-                                corrupt_column=spec.corrupt_column)
+                                corrupt_column=spec.corrupt_column, options=dict(src.options))
         return df, paths
     if src.kind == "table":
         return spark.table(src.table.qualified), [src.table.qualified]

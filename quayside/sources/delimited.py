@@ -136,6 +136,7 @@ def read_dated_files(
     data_source_user: str | None = None,
     dataset_id: str | None = None,
     corrupt_column: str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """One scan over the files of several effective dates.
 
@@ -143,7 +144,7 @@ def read_dated_files(
     as the last column (ISO ``yyyy-MM-dd`` string)."""
     dates = list(dates)
     paths = [resolve_dated_path(template, d, data_source_user) for d in dates]
-    df = read_delimited(spark, paths, schema, sep, header, dataset_id=dataset_id, corrupt_column=corrupt_column)
+    df = read_delimited(spark, paths, schema, sep, header, dataset_id=dataset_id, corrupt_column=corrupt_column, options=options)
     if date_column:
         if date_column in schema.fieldNames():
             raise ValueError(f"{date_column!r} is already a file column; pass date_column=None")

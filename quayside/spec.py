@@ -28,6 +28,9 @@ class DatasetSpec:
     recon_delimiter: str = "|"
     sql_path: str | None = None
     table: "TableSpec | None" = None
+    # Extra CSV reader options (quote, escape, encoding, nullValue, multiLine, ...).
+    # multiLine makes each file one split: keep it for files that need it.
+    options: Mapping[str, Any] = field(default_factory=dict)
 
     @staticmethod
     def from_record(rec: Mapping[str, Any]) -> "DatasetSpec":

@@ -146,3 +146,17 @@ def test_text_into_decimal_column_is_refused_but_typed_scan_loads(spark, scratch
     typed = read_delimited(spark, p, column_spec_to_schema([{"column_name": "x", "data_type": "decimal(10,2)"}]))
     write_table(spark, typed, t, (), "incremental")
     assert sorted(float(r.x) for r in spark.table(t).collect()) == [1.5, 2.5]
+
+
+def test_reader_options_reach_the_scan(spark, scratch, db):
+    # quoted field with an embedded newline needs multiLine; NA marks a null
+    _write(f"{scratch}/in/notes_20240101.csv", 'id,note\n1,"line one\nline two"\n2,NA\n')
+    spec = LoadSpec(
+        source=DatasetSpec("notes", path_template=f"{scratch}/in/notes_yyyymmdd.csv",
+                           options={"multiLine": "true", "nullValue": "NA"}),
+        target=TableSpec(db, "notes"), columns=[{"column_name": "id", "data_type": "int"}, {"column_name": "note", "data_type": "string"}],
+        load_type="full", effective_dates=("2024-01-01",),
+    )
+    res = load_to_table(spark, spec)
+    assert res.status == 0 and res.source_count == 2
+    assert sorted(tuple(r) for r in spark.table(f"{db}.notes").collect()) == [(1, "line one\nline two"), (2, None)]
