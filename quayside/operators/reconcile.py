@@ -20,10 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value (our design): the columns of a control file, in file order.
 CONTROL_SCHEMA = "effective_date string, row_count long, amount_total decimal(18,2)"
 AMOUNT_TYPE = "decimal(18,2)"
 
 
+def control_schema() -> T.StructType:
+    return T.DataType.fromDDL(CONTROL_SCHEMA)
+
+
 def control_totals(df: DataFrame, date_column: str, amount_column: str | None) -> DataFrame:
     """What a control file holds: rows and amount per date (used to produce fixtures and
     by ``reconcile_totals`` for the table side)."""

@@ -13,7 +13,7 @@ from quayside.operators.anomaly import value_outliers, volume_anomalies
 from quayside.operators.lineage import EDGE_COLUMNS
 from quayside.operators.profile import profile_columns, top_values
 from quayside.operators.quality import Rule, check_foreign_key, check_row_rules, check_unique, failing_rows
-from quayside.operators.reconcile import CONTROL_SCHEMA, control_totals, reconcile_rows, reconcile_totals
+from quayside.operators.reconcile import control_schema, control_totals, reconcile_rows, reconcile_totals
 from quayside.plans.catalogue import ED, EVENT_FULL_SPEC, Ctx, land_dated, register
 from quayside.plans.workflow import ExtractSpec, ManagementTask, Workflow, run_workflow
 from quayside.sinks.delimited import write_delimited
@@ -191,9 +191,7 @@ def q_recon_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
     table, dates, _ = _events_table(ctx)
     template = _control_files(ctx)
-    control = read_dated_files(spark, template, dates, column_spec_to_schema(
-        [{"column_name": n, "data_type": t} for n, t in (x.split(" ", 1) for x in CONTROL_SCHEMA.split(", "))]
-    ), sep="|", date_column=None)
+    control = read_dated_files(spark, template, dates, control_schema(), sep="|", date_column=None)
     return reconcile_totals(control, spark.table(table), "effective_date", "value")
 
 

@@ -20,7 +20,7 @@ from quayside.operators.anomaly import volume_anomalies
 from quayside.operators.lineage import edges_from_counts, record_lineage
 from quayside.operators.profile import profile_columns
 from quayside.operators.quality import Rule, check_row_rules
-from quayside.operators.reconcile import CONTROL_SCHEMA, reconcile_totals
+from quayside.operators.reconcile import control_schema, reconcile_totals
 from quayside.plans.load import LoadResult, load_to_table, source_frame
 from quayside.sinks.delimited import write_delimited
 from quayside.sources.delimited import read_delimited, resolve_dated_path
@@ -121,7 +121,7 @@ def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask,
         template = p.get("control_path_template") or (ds.recon_path_template if ds else None)
         dates = p.get("dates") or (wf.load.effective_dates if wf.load else ())
         paths = [resolve_dated_path(template, d) for d in dates]
-        control = read_delimited(spark, paths, _control_schema(), sep=p.get("control_delimiter", "|"))
+        control = read_delimited(spark, paths, control_schema(), sep=p.get("control_delimiter", "|"))
         res = reconcile_totals(control, df, p.get("date_column", "effective_date"), p.get("amount_column")).agg(
             F.sum("target_count").alias("rows"), F.count_if(~F.col("is_match")).alias("bad"),
             F.sum("control_count").alias("ctl"),
@@ -130,12 +130,6 @@ def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask,
     raise ValueError(f"unknown management task {task.name!r}; expected one of {TASK_NAMES}")
 
 
-def _control_schema():
-    from pyspark.sql import types as T
-
-    return T.DataType.fromDDL(CONTROL_SCHEMA)
-
-
 def run_extract(spark: SparkSession, spec: ExtractSpec) -> tuple[int, int, str]:
     """Distribution task: query result to a dated delimited file; rows written are
     observed during the write and the file is read back and counted."""
