@@ -66,6 +66,9 @@ class Workflow:
     datasets: Mapping[str, DatasetSpec] = field(default_factory=dict)
     lineage_table: str | None = None
     gate: bool = False  # E11: pre-task failures block the load only when set
+    # Run quality, volume and profile tasks on the same dataset in one pass over it
+    # (operators/onepass.py); a profile that asks for exact distinct counts runs alone.
+    fuse_checks: bool = True
 
 
 def _row(wf, step, task, ds, status, checked=None, issues=None, src=None, tgt=None):
@@ -94,14 +97,66 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
     raise RuntimeError(f"dataset {dataset_id}: no schema to read it with")
 
 
+def _rules(task: ManagementTask, df: DataFrame) -> list[Rule]:
+    p = task.params
+    rules = [r if isinstance(r, Rule) else Rule(**r) for r in p.get("rules", ())]
+    return rules or [Rule(f"{c}_not_null", "not_null", c) for c in p.get("not_null", df.columns[:1])]
+
+
+def _summarise(wf: Workflow, task: ManagementTask, step: str, quality=None, daily=None, profile=None) -> tuple:
+    """Result row of a quality / volume / profile task from its result frame."""
+    if task.name == "data quality":
+        res = quality.agg(F.max("checked_rows").alias("checked"), F.sum("failed_rows").alias("failed")).first()
+        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if res.failed == 0 else "failed", res.checked, res.failed)
+    if task.name == "data quality ml":
+        res = daily.agg(F.sum("n").alias("rows"), F.count_if("is_anomaly").alias("bad")).first()
+        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if not res.bad else "failed", res.rows, res.bad)
+    res = profile.agg(F.max("row_count").alias("rows")).first()
+    return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok", res.rows, 0)
+
+
+FUSABLE = ("data quality", "data quality ml", "data profile")
+
+
+def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str) -> dict[int, tuple]:
+    """Rows of the tasks that share one pass over their dataset, by task index."""
+    from quayside.operators.onepass import source_checks
+
+    out: dict[int, tuple] = {}
+    if not wf.fuse_checks:
+        return out
+    by_ds: dict[str, list[int]] = {}
+    for i, t in enumerate(tasks):
+        if t.name in FUSABLE and not (t.name == "data profile" and t.params.get("exact")):
+            by_ds.setdefault(t.dataset_id, []).append(i)
+    for ds, idx in by_ds.items():
+        if len(idx) < 2:
+            continue
+        group = [tasks[i] for i in idx]
+        date_col = next((t.params["date_column"] for t in group if "date_column" in t.params), "effective_date")
+        df = _dataset_frame(spark, wf, ds)
+        if date_col not in df.columns:
+            continue
+        dq = next((t for t in group if t.name == "data quality"), None)
+        prof = next((t for t in group if t.name == "data profile"), None)
+        rules = _rules(dq, df) if dq else []
+        checks = source_checks(df, date_col, rules, prof.params.get("columns") if prof else None)
+        for i, t in zip(idx, group):
+            out[i] = _summarise(wf, t, step, checks.quality, checks.daily, checks.profile)
+    return out
+
+
+def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str) -> list[tuple]:
+    fused = _fused_rows(spark, wf, tasks, step)
+    return [fused[i] if i in fused else run_management_task(spark, wf, t, step) for i, t in enumerate(tasks)]
+
+
 def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask, step: str) -> tuple:
     """One governance task; returns its result row."""
     df = _dataset_frame(spark, wf, task.dataset_id)
     p = task.params
     if task.name == "data quality":
-        rules = [r if isinstance(r, Rule) else Rule(**r) for r in p.get("rules", ())]
-        if not rules:
-            rules = [Rule(f"{c}_not_null", "not_null", c) for c in p.get("not_null", df.columns[:1])]
+        rules = _rules(task, df)
         res = check_row_rules(df, rules).agg(
             F.max("checked_rows").alias("checked"), F.sum("failed_rows").alias("failed")
         ).first()
@@ -144,9 +199,7 @@ def run_extract(spark: SparkSession, spec: ExtractSpec) -> tuple[int, int, str]:
 
 def run_workflow(spark: SparkSession, wf: Workflow, run_id: str | None = None) -> DataFrame:
     run_id = run_id or uuid.uuid4().hex
-    results: list[tuple] = []
-    for t in wf.pre_tasks:
-        results.append(run_management_task(spark, wf, t, "pre"))
+    results: list[tuple] = list(run_tasks(spark, wf, wf.pre_tasks, "pre"))
     blocked = wf.gate and any(r[4] != "ok" for r in results)
 
     status_code = 1
@@ -172,8 +225,7 @@ def run_workflow(spark: SparkSession, wf: Workflow, run_id: str | None = None) -
         counts = spark.createDataFrame([(wf.extract.effective_date, back)], "effective_date string, n long")
 
     if status_code == 0:  # post tasks only after a successful main task
-        for t in wf.post_tasks:
-            results.append(run_management_task(spark, wf, t, "post"))
+        results += run_tasks(spark, wf, wf.post_tasks, "post")
 
     # Lineage always runs (also after a failed main task).
     edges_n = 0
