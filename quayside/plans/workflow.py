@@ -156,21 +156,11 @@ def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask,
     df = _dataset_frame(spark, wf, task.dataset_id)
     p = task.params
     if task.name == "data quality":
-        rules = _rules(task, df)
-        res = check_row_rules(df, rules).agg(
-            F.max("checked_rows").alias("checked"), F.sum("failed_rows").alias("failed")
-        ).first()
-        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if res.failed == 0 else "failed", res.checked, res.failed)
+        return _summarise(wf, task, step, quality=check_row_rules(df, _rules(task, df)))
     if task.name == "data profile":
-        res = profile_columns(df, p.get("columns"), exact=p.get("exact", False)).agg(
-            F.max("row_count").alias("rows"), F.count(F.lit(1)).alias("cols")
-        ).first()
-        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok", res.rows, 0)
+        return _summarise(wf, task, step, profile=profile_columns(df, p.get("columns"), exact=p.get("exact", False)))
     if task.name == "data quality ml":
-        res = volume_anomalies(df, p.get("date_column", "effective_date")).agg(
-            F.sum("n").alias("rows"), F.count_if("is_anomaly").alias("bad")
-        ).first()
-        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if not res.bad else "failed", res.rows, res.bad)
+        return _summarise(wf, task, step, daily=volume_anomalies(df, p.get("date_column", "effective_date")))
     if task.name == "data reconciliation":
         ds = wf.datasets.get(task.dataset_id) or (wf.load.source if wf.load else None)
         template = p.get("control_path_template") or (ds.recon_path_template if ds else None)
