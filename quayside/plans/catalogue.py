@@ -38,10 +38,9 @@ def register(name: str, oracle: str | None = None):
 
 # DuckDB text for the ISO effective date of an event.
 ED = "strftime(ts, '%Y-%m-%d')"
-# The effective dates the load-mode queries stage as batches (the event
-# table starts on 2024-01-01); the oracles name the same days.
-BATCH_1 = ("2024-01-01", "2024-01-02", "2024-01-03")
-BATCH_2 = ("2024-01-03", "2024-01-04")
+# DuckDB text: the last two effective dates of the event table (the restated window of
+# ``partition_overwrite``).
+LAST_TWO_DATES = f"SELECT DISTINCT {ED} d FROM events ORDER BY d DESC LIMIT 2"
 
 
 class Ctx:
@@ -160,28 +159,25 @@ def q_schema_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schema, sep="|", dataset_id="customer")
 
 
-@register(
-    "read_dated_files",
-    f"SELECT event_id, event_type, value, {ED} effective_date FROM events WHERE ts < TIMESTAMP '2024-01-04'",
-)
+@register("read_dated_files", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
 def q_read_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dated event file, read by template in one scan; the date comes from the path."""
     ctx = Ctx(spark, sf_dir)
-    template = _event_landing(ctx, ctx.events())
-    return read_dated_files(spark, template, BATCH_1, column_spec_to_schema(EVENT_SPEC), date_column="effective_date")
+    ev = ctx.events()
+    template = _event_landing(ctx, ev)
+    return read_dated_files(spark, template, ctx.event_dates(ev), column_spec_to_schema(EVENT_SPEC), date_column="effective_date")
 
 
 # --------------------------------------------------------------------------- K1-K9, P1
 
 
-@register(
-    "create_partitioned",
-    f"SELECT event_id, event_type, value, {ED} effective_date FROM events WHERE ts < TIMESTAMP '2024-01-04'",
-)
+@register("create_partitioned", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
 def q_create_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
-    template = _event_landing(ctx, ctx.events())
+    ev = ctx.events()
+    template = _event_landing(ctx, ev)
     db = ctx.database()
-    res = _event_load(ctx, template, BATCH_1, db, "events_daily", "incremental")
+    res = _event_load(ctx, template, ctx.event_dates(ev), db, "events_daily", "incremental")
     return read_table(spark, res.table)
 
 
@@ -197,19 +193,23 @@ def q_create_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "partition_overwrite",
-    f"""SELECT event_id, event_type, value, {ED} effective_date FROM events WHERE ts < TIMESTAMP '2024-01-03'
-        UNION ALL
-        SELECT event_id, event_type, value * 2, {ED} FROM events
-        WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-05'""",
+    f"""SELECT event_id, event_type,
+               CASE WHEN {ED} IN ({LAST_TWO_DATES}) THEN value * 2 ELSE value END value,
+               {ED} effective_date
+        FROM events""",
 )
 def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 1 loads every date but the last. Batch 2 restates the last two dates (values
+    doubled; columns shuffled plus an extra one): it replaces one loaded partition, adds
+    one new partition, and every other partition must stay as batch 1 wrote it."""
     ctx = Ctx(spark, sf_dir)
     ev = ctx.events()
+    dates = ctx.event_dates(ev)
     template = _event_landing(ctx, ev)
     db = ctx.database()
-    _event_load(ctx, template, BATCH_1, db, "events_daily", "incremental")
-    # Second batch: days 3-4 restated (value doubled), columns shuffled plus an extra one.
-    restated = ev.select(
+    _event_load(ctx, template, dates[:-1], db, "events_daily", "incremental")
+    restated_dates = dates[-2:]
+    restated = ev.where(F.col("effective_date").isin(restated_dates)).select(
         F.col("effective_date"), (F.col("value") * 2).alias("value"), "event_type", "event_id",
         F.col("user_id").alias("extra_user"),
     )
@@ -225,22 +225,23 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
         LoadSpec(
             source=DatasetSpec("events_restated", path_template=template2),
             target=TableSpec(db, "events_daily", ("effective_date",)),
-            columns=spec2, load_type="incremental", effective_dates=BATCH_2, date_from_path=True,
+            columns=spec2, load_type="incremental", effective_dates=tuple(restated_dates), date_from_path=True,
         ),
     )
     return spark.table(f"{db}.events_daily")
 
 
-@register(
-    "partition_overwrite_rerun",
-    f"SELECT {ED} effective_date, count(*) n FROM events WHERE ts < TIMESTAMP '2024-01-04' GROUP BY 1",
-)
+@register("partition_overwrite_rerun", f"SELECT {ED} effective_date, count(*) n FROM events GROUP BY 1")
 def q_partition_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dated file loaded twice: the rerun replaces the same partitions, so each date
+    keeps its count once."""
     ctx = Ctx(spark, sf_dir)
-    template = _event_landing(ctx, ctx.events())
+    ev = ctx.events()
+    dates = ctx.event_dates(ev)
+    template = _event_landing(ctx, ev)
     db = ctx.database()
-    _event_load(ctx, template, BATCH_1, db, "events_daily", "incremental")
-    _event_load(ctx, template, BATCH_1, db, "events_daily", "incremental")
+    _event_load(ctx, template, dates, db, "events_daily", "incremental")
+    _event_load(ctx, template, dates, db, "events_daily", "incremental")
     return spark.table(f"{db}.events_daily").groupBy("effective_date").agg(F.count(F.lit(1)).alias("n"))
 
 
