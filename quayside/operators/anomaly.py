@@ -38,7 +38,11 @@ def volume_anomalies(df: DataFrame, date_column: str, threshold: float = Z_THRES
     checkpoint_root(df.sparkSession)
     # One row per day, materialised once: the scalar subqueries below read this small
     # result instead of each re-scanning the fact table.
-    daily = daily_counts(df, date_column).checkpoint(eager=True)
+    return score_daily(daily_counts(df, date_column).checkpoint(eager=True), threshold, digits)
+
+
+def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
+    """Robust z-scores of a small per-day count frame ``dt, n`` (one row per day)."""
     med = daily.select(F.median("n")).scalar()
     mad = daily.select(F.median(F.abs(F.col("n") - med))).scalar()
     score = F.round(F.try_divide(F.lit(MAD_SCALE) * (F.col("n") - med), mad), digits)

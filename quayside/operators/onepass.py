@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.anomaly import MAD_SCALE, Z_THRESHOLD
+from quayside.operators.anomaly import score_daily
 from quayside.operators.profile import _is_numeric, _is_text
 from quayside.operators.quality import Rule
 from quayside.session import checkpoint_root
@@ -74,13 +74,7 @@ def source_checks(df: DataFrame, date_column: str, rules: Sequence[Rule], column
     quality = q.select(F.inline(entries)).withColumn("passed", F.col("failed_rows") == 0) if rules else None
 
     # Daily volume: the per-date row counts, scored as in volume_anomalies.
-    daily = per_date.select("dt", F.col("n").cast("long").alias("n")).where(F.col("dt").isNotNull())
-    med = daily.select(F.median("n")).scalar()
-    mad = daily.select(F.median(F.abs(F.col("n") - med))).scalar()
-    score = F.round(F.try_divide(F.lit(MAD_SCALE) * (F.col("n") - med), mad), digits)
-    daily = daily.select("dt", "n", score.alias("score")).withColumn(
-        "is_anomaly", F.when(mad == 0, F.col("n") != med).otherwise(F.abs(F.col("score")) > F.lit(Z_THRESHOLD))
-    )
+    daily = score_daily(per_date.select("dt", F.col("n").cast("long").alias("n")).where(F.col("dt").isNotNull()), digits=digits)
 
     # Profile: merge partials. Weighted means, and M2 = sum(n_d * var_d) + sum(n_d * (mean_d - mean)^2).
     everything = Window.partitionBy()  # over the per-date table: one row per date
@@ -118,3 +112,77 @@ def source_checks(df: DataFrame, date_column: str, rules: Sequence[Rule], column
         ))
     profile = wide.select(F.inline(F.array(*rows)))
     return SourceChecks(quality=quality, daily=daily, profile=profile)
+
+
+# --------------------------------------------------------------------------- during the load
+#
+# When the pre tasks do not gate the load, their aggregates need no pass of their own:
+# they are attached to the load's write as observed metrics, next to the per-date source
+# counts, and the source is parsed once for the whole workflow. Observed metrics reach the
+# driver as one partial buffer per task, so they are kept fixed-size and small: counts,
+# min/max, mean and variance, and for distinct counts a HyperLogLog++ sketch of a few
+# hundred bytes (relative standard error DISTINCT_RSD; the grouped pass above uses a larger
+# sketch, about 1.6%). Profiles wider than MAX_OBSERVED_COLUMNS keep the grouped pass, so
+# a task's metrics stay near 13 KB even on a cluster running 100,000s of tasks.
+
+MAX_OBSERVED_COLUMNS = 32
+DISTINCT_RSD = 0.05
+_PREFIX = "pc_"
+
+
+class ObservedChecks:
+    """Quality rules and column profile of a source, as aggregate expressions for
+    ``DataFrame.observe``; the per-date volumes come from the load's own date counts."""
+
+    def __init__(self, fields: Sequence[T.StructField], rules: Sequence[Rule]):
+        self.fields = list(fields)
+        self.rules = list(rules)
+
+    @classmethod
+    def fits(cls, n_columns: int) -> bool:
+        return n_columns <= MAX_OBSERVED_COLUMNS
+
+    def exprs(self) -> list:
+        p = _PREFIX
+        out = [F.count(F.lit(1)).alias(f"{p}n")]
+        out += [F.count_if(r.failing()).alias(f"{p}f{i}") for i, r in enumerate(self.rules)]
+        for i, f in enumerate(self.fields):
+            c = F.col(f"`{f.name}`")
+            out += [F.count(c).alias(f"{p}nn{i}"), F.approx_count_distinct(c, DISTINCT_RSD).alias(f"{p}nd{i}")]
+            if _is_text(f.dataType):
+                out += [F.min(F.length(c)).alias(f"{p}minl{i}"), F.max(F.length(c)).alias(f"{p}maxl{i}")]
+            if _is_numeric(f.dataType):
+                d = c.cast("double")
+                out += [F.min(d).alias(f"{p}min{i}"), F.max(d).alias(f"{p}max{i}"),
+                        F.avg(d).alias(f"{p}avg{i}"), F.stddev_samp(d).alias(f"{p}sd{i}")]
+        return out
+
+    def results(self, spark, metrics: dict, per_date: dict, digits: int = 4) -> SourceChecks:
+        """The three task results from the observed metrics and the per-date source counts
+        (dates without rows are left out, as in the grouped pass)."""
+        m = {k[len(_PREFIX):]: v for k, v in metrics.items() if k.startswith(_PREFIX)}
+        n = int(m["n"])
+        quality = spark.createDataFrame(
+            [(r.name, r.kind, r.column, n, int(m[f"f{i}"]), int(m[f"f{i}"]) == 0) for i, r in enumerate(self.rules)],
+            "rule_name string, rule_type string, column_name string, checked_rows long, failed_rows long, passed boolean",
+        ) if self.rules else None
+        daily = score_daily(spark.createDataFrame(
+            sorted((d, int(c)) for d, c in per_date.items() if d is not None and c), "dt string, n long"
+        ), digits=digits)
+
+        def rnd(v):
+            return None if v is None else round(float(v), digits)
+
+        rows = []
+        for i, f in enumerate(self.fields):
+            text, num = _is_text(f.dataType), _is_numeric(f.dataType)
+            rows.append((
+                f.name, f.dataType.simpleString(), n, n - int(m[f"nn{i}"]), int(m[f"nd{i}"]),
+                m.get(f"minl{i}") if text else None, m.get(f"maxl{i}") if text else None,
+                m.get(f"min{i}") if num else None, m.get(f"max{i}") if num else None,
+                rnd(m.get(f"avg{i}")) if num else None, rnd(m.get(f"sd{i}")) if num else None,
+            ))
+        from quayside.operators.profile import PROFILE_SCHEMA
+
+        profile = spark.createDataFrame(rows, PROFILE_SCHEMA)
+        return SourceChecks(quality=quality, daily=daily, profile=profile)

@@ -25,7 +25,7 @@ MAX_OBSERVED_DATES = 366
 class SourceCounter:
     """Observe the batch: total rows, rows with a null date, rows of each expected date."""
 
-    def __init__(self, df: DataFrame, date_column: str | None, dates: Iterable[str], corrupt_column: str | None = None):
+    def __init__(self, df: DataFrame, date_column: str | None, dates: Iterable[str], corrupt_column: str | None = None, extra=()):
         self.source = df
         self.date_column = date_column if (date_column and date_column in df.columns) else None
         self.dates = [str(d) for d in dates]
@@ -40,7 +40,7 @@ class SourceCounter:
                 exprs += [F.count_if(c == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.dates)]
         if corrupt_column:
             exprs.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("corrupt_rows"))
-        self._exprs = exprs
+        self._exprs = exprs + list(extra)  # further one-pass aggregates (e.g. pre-load checks)
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Attach the metrics to ``df`` (the frame handed to ``.write``)."""
@@ -49,6 +49,21 @@ class SourceCounter:
     def metrics(self) -> dict:
         return dict(self.observation.get)
 
+    def count_map(self) -> dict | None:
+        """Source counts per date as a driver-side dict (one entry per expected date, plus
+        ``None`` for rows without a date), straight from the observed metrics; ``None``
+        when they do not cover the batch (dates outside the list, or too many dates)."""
+        m = self.metrics()
+        if not self.date_column:
+            return {None: int(m["total"])}
+        if not self.per_date:
+            return None
+        counts = {d: int(m[f"d{i}"]) for i, d in enumerate(self.dates)}
+        if m["null_dates"]:
+            counts[None] = int(m["null_dates"])
+        self.has_other_dates = int(m["total"]) > sum(counts.values())
+        return None if self.has_other_dates else counts
+
     def counts(self, spark: SparkSession) -> DataFrame:
         """Source counts as a small frame ``(effective_date, source_count)``."""
         m = self.metrics()
@@ -115,9 +130,15 @@ def validate_load(
     batch. Only dates present in the source (plus ``dates``) are checked; older partitions
     of the table are out of scope."""
     if not isinstance(source_counts, DataFrame):
-        source_counts = spark.createDataFrame(
-            [(k, int(v)) for k, v in source_counts.items()], "effective_date string, source_count long"
-        )
+        # Source counts already on the driver (observed during the write): one job counts
+        # the target's batch partitions, and the per-date compare runs on those few rows.
+        src = {k: int(v) for k, v in source_counts.items()}
+        if dates is None:
+            dates = [d for d in src if d is not None]
+        tgt = {r[0]: int(r[1]) for r in target_counts(spark, table, date_column, dates, include_null=None in src).collect()}
+        keys = sorted(set(src) | set(tgt), key=lambda d: (d is None, d or ""))
+        rows = [(d, src.get(d, 0), tgt.get(d, 0), src.get(d, 0) == tgt.get(d, 0)) for d in keys]
+        return spark.createDataFrame(rows, REPORT_SCHEMA)
     # The batch's dates (one row per date) drive a literal partition filter, so only those
     # partitions of the target are listed and counted. The null bucket is checked only when
     # the batch itself has rows without a date (older null rows are out of scope).

@@ -7,9 +7,10 @@ metrics and the per-date report (one row per date of the batch)."""
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from quayside.functions.schema import column_spec_to_schema
 from quayside.operators.validate import SourceCounter, sample_loaded, validate_load
@@ -36,6 +37,7 @@ class LoadResult:
     report_rows: list
     source_paths: list
     corrupt_count: int = 0  # rows whose fields did not parse (E17; with LoadSpec.corrupt_column)
+    metrics: dict = field(default_factory=dict)  # every metric observed during the write
 
 
 def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[str]]:
@@ -81,7 +83,12 @@ def run_ingestion_task(spark: SparkSession, spec: LoadSpec, task_id: str | None
     }
 
 
-def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | None = None, debug: bool = False) -> LoadResult:
+def load_to_table(
+    spark: SparkSession, spec: LoadSpec, *, source: DataFrame | None = None, debug: bool = False,
+    extra_metrics: Sequence[Column] = (),
+) -> LoadResult:
+    """K10. ``extra_metrics`` are aggregate expressions computed during the same write (one
+    parse of the source); their values come back in ``LoadResult.metrics``."""
     check_load_type(spec.load_type)  # E5: before any job, even for a new table
     if source is None:
         source, paths = source_frame(spark, spec)
@@ -90,7 +97,7 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
     ensure_database(spark, spec.target.database, spec.warehouse_path)
     table = spec.target.qualified
     corrupt = spec.corrupt_column if spec.corrupt_column in source.columns else None
-    counter = SourceCounter(source, spec.date_column, spec.effective_dates, corrupt_column=corrupt)
+    counter = SourceCounter(source, spec.date_column, spec.effective_dates, corrupt_column=corrupt, extra=extra_metrics)
 
     def observed(df: DataFrame) -> DataFrame:
         out = counter.attach(df)
@@ -102,9 +109,12 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
     )
     if debug and spec.effective_dates:
         sample_loaded(spark, table, spec.effective_dates[0], date_column=spec.date_column, debug=True)
-    source_counts = counter.counts(spark)
-    known = counter.per_date and not counter.has_other_dates
-    report = validate_load(spark, table, source_counts, spec.date_column, dates=spec.effective_dates if known else None)
+    count_map = counter.count_map()
+    if count_map is not None:  # the observed metrics cover the batch
+        dates = spec.effective_dates if counter.per_date else None
+        report = validate_load(spark, table, count_map, spec.date_column, dates=dates)
+    else:  # dates outside the expected list, or very many dates: counted by a second pass
+        report = validate_load(spark, table, counter.counts(spark), spec.date_column)
     rows = report.collect()  # one row per date of the batch
     src_n = sum(r.source_count for r in rows)
     tgt_n = sum(r.target_count for r in rows)
@@ -119,4 +129,4 @@ def load_to_table(spark: SparkSession, spec: LoadSpec, *, source: DataFrame | No
     corrupt_n = int(counter.metrics().get("corrupt_rows", 0))
     if corrupt_n:
         log.warning("%s: %d source rows did not parse; their bad fields were loaded as null.", table, corrupt_n)
-    return LoadResult(table, outcome.action, src_n, tgt_n, status, report, rows, paths, corrupt_n)
+    return LoadResult(table, outcome.action, src_n, tgt_n, status, report, rows, paths, corrupt_n, counter.metrics())

@@ -146,9 +146,48 @@ def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTas
     return out
 
 
-def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str) -> list[tuple]:
-    fused = _fused_rows(spark, wf, tasks, step)
-    return [fused[i] if i in fused else run_management_task(spark, wf, t, step) for i, t in enumerate(tasks)]
+def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str, skip: Sequence[int] = ()) -> dict[int, tuple]:
+    """Result rows by task index; tasks in ``skip`` are left to the caller."""
+    todo = [(i, t) for i, t in enumerate(tasks) if i not in skip]
+    fused = _fused_rows(spark, wf, [t for _, t in todo], step)
+    return {i: fused[j] if j in fused else run_management_task(spark, wf, t, step) for j, (i, t) in enumerate(todo)}
+
+
+def _checks_in_load(spark: SparkSession, wf: Workflow):
+    """Pre tasks that can run as observed metrics of the load's own write: the workflow is
+    not gated (so nothing waits for them), the task reads the load's source and uses its
+    date column, and a profile is approximate and not too wide. Returns ``(indices,
+    ObservedChecks)`` or ``None``."""
+    from quayside.operators.onepass import ObservedChecks
+
+    load = wf.load
+    if wf.gate or load is None or not wf.fuse_checks:
+        return None
+    df = source_frame(spark, load)[0]  # lazy: only its schema is used here
+    idx = []
+    for i, t in enumerate(wf.pre_tasks):
+        if t.name not in FUSABLE or t.dataset_id != load.source.dataset_id:
+            continue
+        if t.name == "data profile" and t.params.get("exact"):
+            continue
+        if t.name == "data quality ml" and (
+            t.params.get("date_column", load.date_column) != load.date_column or load.date_column not in df.columns
+        ):
+            continue
+        idx.append(i)
+    tasks = {wf.pre_tasks[i].name: wf.pre_tasks[i] for i in idx}
+    fields = []
+    if "data profile" in tasks:
+        wanted = tasks["data profile"].params.get("columns")
+        fields = [f for f in df.schema.fields
+                  if f.name not in (load.date_column, load.corrupt_column) and (wanted is None or f.name in wanted)]
+        if not ObservedChecks.fits(len(fields)):
+            idx = [i for i in idx if wf.pre_tasks[i].name != "data profile"]
+            fields = []
+    if not idx:
+        return None
+    rules = _rules(tasks["data quality"], df) if "data quality" in tasks else []
+    return idx, ObservedChecks(fields, rules)
 
 
 def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask, step: str) -> tuple:
@@ -189,33 +228,45 @@ def run_extract(spark: SparkSession, spec: ExtractSpec) -> tuple[int, int, str]:
 
 def run_workflow(spark: SparkSession, wf: Workflow, run_id: str | None = None) -> DataFrame:
     run_id = run_id or uuid.uuid4().hex
-    results: list[tuple] = list(run_tasks(spark, wf, wf.pre_tasks, "pre"))
-    blocked = wf.gate and any(r[4] != "ok" for r in results)
+    # Pre tasks on the load's own source ride along with the load's write when nothing
+    # waits for them (one parse of the source for the whole workflow); the others run now.
+    in_load = _checks_in_load(spark, wf)
+    in_load_idx = in_load[0] if in_load else []
+    pre = run_tasks(spark, wf, wf.pre_tasks, "pre", skip=in_load_idx)
+    blocked = wf.gate and any(r[4] != "ok" for r in pre.values())
 
     status_code = 1
     counts = None
     src_id = tgt_id = None
+    main: list[tuple] = []
     if blocked:
-        results.append(_row(wf.workflow_id, "main", "ingestion", None, "skipped"))
+        main.append(_row(wf.workflow_id, "main", "ingestion", None, "skipped"))
     elif wf.load is not None:
-        res: LoadResult = load_to_table(spark, wf.load)
+        res: LoadResult = load_to_table(spark, wf.load, extra_metrics=in_load[1].exprs() if in_load else ())
+        if in_load:
+            per_date = {r.effective_date: r.source_count for r in res.report_rows}
+            checks = in_load[1].results(spark, res.metrics, per_date)
+            for i in in_load_idx:
+                pre[i] = _summarise(wf, wf.pre_tasks[i], "pre", checks.quality, checks.daily, checks.profile)
         status_code = res.status
         src_id = wf.load.source.dataset_id
         tgt_id = wf.load.target.dataset_id or wf.load.target.qualified
-        results.append(_row(wf.workflow_id, "main", "ingestion", tgt_id, "ok" if res.status == 0 else "failed",
-                            res.source_count, res.target_count - res.source_count if res.status else 0,
-                            res.source_count, res.target_count))
+        main.append(_row(wf.workflow_id, "main", "ingestion", tgt_id, "ok" if res.status == 0 else "failed",
+                         res.source_count, res.target_count - res.source_count if res.status else 0,
+                         res.source_count, res.target_count))
         counts = res.report.select("effective_date", "target_count")
     elif wf.extract is not None:
         written, back, _ = run_extract(spark, wf.extract)
         status_code = 0 if written == back else 1
         src_id, tgt_id = wf.extract.source.dataset_id, wf.extract.target.dataset_id
-        results.append(_row(wf.workflow_id, "main", "distribution", tgt_id, "ok" if status_code == 0 else "failed",
-                            written, abs(written - back), written, back))
+        main.append(_row(wf.workflow_id, "main", "distribution", tgt_id, "ok" if status_code == 0 else "failed",
+                         written, abs(written - back), written, back))
         counts = spark.createDataFrame([(wf.extract.effective_date, back)], "effective_date string, n long")
 
+    results = [pre[i] for i in sorted(pre)] + main
     if status_code == 0:  # post tasks only after a successful main task
-        results += run_tasks(spark, wf, wf.post_tasks, "post")
+        post = run_tasks(spark, wf, wf.post_tasks, "post")
+        results += [post[i] for i in sorted(post)]
 
     # Lineage always runs (also after a failed main task).
     edges_n = 0

@@ -63,3 +63,17 @@ def test_job_script(spark, scratch, db, capsys):
     assert job_main(argv) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["status"] == 0 and out["source_count"] == out["target_count"] == 2
+
+
+def test_ungated_pre_checks_run_inside_the_load_and_match_the_separate_pass(spark, scratch, db):
+    from quayside.plans.workflow import _checks_in_load
+
+    t, r = _files(scratch)
+    wf = _wf(db, t, r)
+    assert _checks_in_load(spark, wf)[0] == [0, 1]  # quality and profile ride on the load's write
+    fused = [tuple(x)[1:] for x in run_workflow(spark, wf).collect() if x.step == "pre"]
+    separate = [tuple(x)[1:] for x in run_workflow(spark, _wf(f"{db}", t, r).__class__(
+        **{**wf.__dict__, "fuse_checks": False, "lineage_table": None})).collect() if x.step == "pre"]
+    assert fused == separate == [("pre", "data quality", "pos_file", "failed", 2, 1, None, None),
+                                 ("pre", "data profile", "pos_file", "ok", 2, 0, None, None)]
+    assert _checks_in_load(spark, _wf(db, t, r, gate=True)) is None  # a gate must see the checks first
