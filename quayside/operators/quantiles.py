@@ -29,6 +29,12 @@ from pyspark.sql import functions as F
 from quayside.session import checkpoint_root
 
 
+# Row bound under which a small side (wanted row ids, per-group statistics) is broadcast;
+# above it the join shuffles both sides. At a few dozen bytes per row this keeps a
+# broadcast under ~50 MB.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
 def _names(probs: Sequence[float]) -> list[str]:
     return [f"q{i}" for i in range(len(probs))]
 
@@ -59,13 +65,15 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
         return [F.col(f"{a}.{c}").alias(c) for c in keys]
 
     # Blocks: rows per (partition, group); starting rank of each block inside its group.
+    # Range partitions hold contiguous (group, value) ranges, so there are at most
+    # partitions + groups blocks; the table is materialised once and read by every step below.
     blocks = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_bn"), F.min("_mid").alias("_first"))
     grp = Window.partitionBy(*keys)
     blocks = blocks.select(
         "_pid", *keys, "_bn", "_first",
         F.coalesce(F.sum("_bn").over(grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
         F.sum("_bn").over(grp).alias("_n"),
-    )
+    ).checkpoint(eager=True)
 
     # Wanted ranks: floor and ceil of p * (n - 1) for every probability.
     per_prob = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -85,15 +93,21 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     ).select(*keep("r"), F.col("r._rank").alias("_rank"),
              (F.col("b._first") + F.col("r._rank") - F.col("b._start")).alias("_mid"))
 
-    # Fetch those rows by id: no window or sort over the data.
-    picked = ranged.select("_mid", "_v").join(located, "_mid").select(*keys, "_rank", "_v")
+    # Fetch those rows by id: no window or sort over the data. The id table has at most two
+    # rows per group and probability; it is broadcast only when counted under the bound,
+    # otherwise both sides are joined by a shuffle on the id.
+    ids = located if located.count() > MAX_BROADCAST_ROWS else F.broadcast(located)
+    picked = ranged.select("_mid", "_v").join(ids, "_mid").select(*keys, "_rank", "_v")
 
+    # Both bracketing values of every (group, probability) in one join and one aggregate.
+    ends = wanted.select(*keys, "qi", "_pos", "_lo", F.explode(F.array("_lo", "_hi")).alias("_rank"),
+                         (F.col("_hi") != F.col("_lo")).alias("_two"))
     res = (
-        wanted.alias("w")
-        .join(picked.alias("a"), same("w", "a") + [F.col("w._lo") == F.col("a._rank")])
-        .join(picked.alias("z"), same("w", "z") + [F.col("w._hi") == F.col("z._rank")])
-        .select(*keep("w"), F.col("w.qi").alias("qi"), F.col("w._pos").alias("_pos"), F.col("w._lo").alias("_lo"),
-                F.col("a._v").alias("_vlo"), F.col("z._v").alias("_vhi"))
+        ends.alias("w").join(picked.alias("a"), same("w", "a") + [F.col("w._rank") == F.col("a._rank")])
+        .groupBy(*keep("w"), F.col("w.qi").alias("qi"))
+        .agg(F.first("w._pos").alias("_pos"), F.first("w._lo").alias("_lo"),
+             F.max(F.when(F.col("w._rank") == F.col("w._lo"), F.col("a._v"))).alias("_vlo"),
+             F.max(F.when((F.col("w._rank") != F.col("w._lo")) | ~F.col("w._two"), F.col("a._v"))).alias("_vhi"))
     )
     q = F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
     out = res.groupBy(*keys).agg(*[F.max(F.when(F.col("qi") == i, q)).alias(n) for i, n in enumerate(_names(probs))])
