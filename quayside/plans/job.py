@@ -4,9 +4,11 @@
     spark-submit quayside/plans/job.py workflow --metadata m.json --workflow_id workflow_2 \
         --cycle_date 2024-12-26 --schemas s.json --placeholder APP_DATA_IN_DIR=/data/in
 
-Cluster settings (master, history, local dirs, metastore) come from spark-submit and the
-cluster's defaults, not from this script. Prints one JSON line with the load result and
-exits 1 on a count mismatch when ``--strict`` is given."""
+Cluster settings normally come from spark-submit and the cluster's defaults. The
+reference job's own cluster options (``--spark_master_uri``, ``--spark_history_log_dir``,
+``--spark_local_dir``, ``--postgres_uri``) are accepted, so its command lines run as they
+are, and become plain session settings (see ``session_settings``). Prints one JSON line
+with the load result and exits 1 on a count mismatch when ``--strict`` is given."""
 
 from __future__ import annotations
 
@@ -34,9 +36,28 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--parity", action="store_true", help="two-type schema mapping (decimal or string)")
     p.add_argument("--strict", action="store_true", help="exit 1 on a count mismatch")
     p.add_argument("--debug", nargs="?", const="y", default="n")
+    p.add_argument("--spark_master_uri", help="master URL; spark-submit's --master when omitted")
+    p.add_argument("--spark_history_log_dir", help="event-log folder (spark.eventLog.dir)")
+    p.add_argument("--spark_local_dir", help="executor scratch folder (spark.local.dir)")
+    p.add_argument("--postgres_uri", help="JDBC URL of the Hive metastore database")
     return p.parse_args(argv)
 
 
+def session_settings(a: argparse.Namespace) -> tuple[str | None, dict]:
+    """``(master, settings)`` for the session from the reference job's cluster options; only
+    options that were given are set, everything else stays with spark-submit."""
+    extra = {}
+    if a.spark_history_log_dir:
+        extra["spark.eventLog.enabled"] = "true"
+        extra["spark.eventLog.dir"] = a.spark_history_log_dir
+    if a.spark_local_dir:
+        extra["spark.local.dir"] = a.spark_local_dir
+    if a.postgres_uri:
+        # Used by sessions whose catalog is the Hive metastore.
+        extra["spark.hadoop.javax.jdo.option.ConnectionURL"] = a.postgres_uri
+    return a.spark_master_uri, extra
+
+
 def spec_from_args(a: argparse.Namespace) -> LoadSpec:
     db, _, name = a.qual_target_table_name.rpartition(".")
     if db and db != a.target_database_name:
@@ -95,7 +116,8 @@ def main(argv=None) -> int:
         return workflow_main(argv[1:])
     a = parse_args(argv)
     spec = spec_from_args(a)
-    spark = build_session(master=None, app=f"load {spec.target.qualified}")
+    master, extra = session_settings(a)
+    spark = build_session(master=master, app=f"load {spec.target.qualified}", extra=extra)
     try:
         res = load_to_table(spark, spec, debug=a.debug == "y")
     except LoadMismatchError as e:

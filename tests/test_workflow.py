@@ -77,3 +77,18 @@ def test_ungated_pre_checks_run_inside_the_load_and_match_the_separate_pass(spar
     assert fused == separate == [("pre", "data quality", "pos_file", "failed", 2, 1, None, None),
                                  ("pre", "data profile", "pos_file", "ok", 2, 0, None, None)]
     assert _checks_in_load(spark, _wf(db, t, r, gate=True)) is None  # a gate must see the checks first
+
+
+def test_job_accepts_the_reference_cluster_options():
+    from quayside.plans.job import session_settings
+
+    base = ["--warehouse_path", "/wh", "--source_file_path", "/in/a_yyyymmdd.csv", "--source_dataset_id", "a",
+            "--qual_target_table_name", "d.a", "--target_database_name", "d", "--partition_keys", "[]",
+            "--cur_eff_date", "2024-12-26", "--target_table_schema", "[]", "--load_type", "full"]
+    assert session_settings(parse_args(base)) == (None, {})  # nothing given: spark-submit decides
+    a = parse_args(base + ["--spark_master_uri", "spark://m:7077", "--spark_history_log_dir", "/logs",
+                           "--spark_local_dir", "/scratch", "--postgres_uri", "jdbc:postgresql://h/metastore"])
+    master, extra = session_settings(a)
+    assert master == "spark://m:7077"
+    assert extra == {"spark.eventLog.enabled": "true", "spark.eventLog.dir": "/logs", "spark.local.dir": "/scratch",
+                     "spark.hadoop.javax.jdo.option.ConnectionURL": "jdbc:postgresql://h/metastore"}
