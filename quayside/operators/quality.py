@@ -6,9 +6,10 @@
   into one row per rule with ``inline`` (JVM-side).
 - Uniqueness is a grouped count with map-side combine: a hot key collapses to one row per
   task before the shuffle.
-- Foreign keys are a ``left_anti`` join against the distinct parent keys; the planner
-  (and AQE at run time) chooses broadcast only when the parent side is measured small,
-  and splits a skewed child key across tasks otherwise.
+- Foreign keys are checked on distinct keys: the child's keys (de-duplicated map-side)
+  ``left_anti`` the parent's keys give the orphan keys, which are counted and then fetch
+  the orphan rows by a semi-join, broadcast under a counted bound (so the child table is
+  not shuffled), a shuffle join with AQE skew splitting above it.
 Null values pass every rule except ``not_null`` (and a null foreign key is not an orphan).
 """
 
@@ -90,14 +91,28 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_foreign_key(df: DataFrame, keys: Sequence[str], parent: DataFrame, parent_keys: Sequence[str] | None = None) -> DataFrame:
-    """Rows of ``df`` whose (non-null) key has no match in ``parent``."""
-    parent_keys = list(parent_keys or keys)
+    """Rows of ``df`` whose (non-null) key has no match in ``parent``.
+
+    Keys are checked, not rows: the child's distinct keys (de-duplicated on every task
+    before the shuffle, so a hot key is one row per task) are anti-joined with the parent's
+    keys. The orphan keys are materialised and counted; the child's rows are then fetched
+    with a semi-join that broadcasts the orphan keys when their count is under
+    ``MAX_BROADCAST_ROWS`` - the child table itself is never shuffled in that case."""
+    from quayside.operators.quantiles import MAX_BROADCAST_ROWS
+    from quayside.session import checkpoint_root
+
+    keys, parent_keys = list(keys), list(parent_keys or keys)
     ref = parent.select(*[F.col(p).alias(f"_ref_{i}") for i, p in enumerate(parent_keys)]).distinct()
-    cond = [F.col(k) == F.col(f"_ref_{i}") for i, k in enumerate(keys)]
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    return df.where(not_null).join(ref, cond, "left_anti")
+    child = df.where(not_null)
+    child_keys = child.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).distinct()
+    cond = [F.col(f"_key_{i}") == F.col(f"_ref_{i}") for i in range(len(keys))]
+    checkpoint_root(df.sparkSession)
+    orphans = child_keys.join(ref, cond, "left_anti").checkpoint(eager=True)
+    side = orphans if orphans.count() > MAX_BROADCAST_ROWS else F.broadcast(orphans)
+    return child.join(side, [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)], "left_semi")
 
 
 def quality_summary(df: DataFrame, rules: Sequence[Rule], unique_keys: Sequence[str] | None = None) -> DataFrame:

@@ -125,3 +125,14 @@ def test_lineage_traversal(spark, db):
     assert down == {"table_a": 1, "extract_a": 2, "table_b": 2}  # the cycle stops
     up = {r.dataset: r.depth for r in traverse(spark, t, "extract_a", "upstream").collect()}
     assert up == {"table_a": 1, "file_a": 2, "table_b": 2}
+
+
+def test_foreign_key_composite_with_hot_orphan_matches_brute_force(spark):
+    rows = [(i, i % 5, None if i % 11 == 0 else i % 7) for i in range(600)]
+    rows += [(1000 + i, 9, 9) for i in range(300)]  # one orphan key with a third of all rows
+    child = spark.createDataFrame(rows, "id int, a int, b int")
+    parent = spark.createDataFrame([(a, b) for a in range(5) for b in range(0, 7, 2)], "pa int, pb int")
+    parent_keys = {(a, b) for a in range(5) for b in range(0, 7, 2)}
+    want = sorted(i for i, a, b in rows if b is not None and (a, b) not in parent_keys)
+    got = sorted(r.id for r in check_foreign_key(child, ["a", "b"], parent, ["pa", "pb"]).collect())
+    assert got == want
