@@ -33,14 +33,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a private folder
-    created and registered, so ``DataFrame.checkpoint()`` works as well."""
+    Read from the session; only when it is unset on a local master (tests) is a private
+    folder created and registered, so ``DataFrame.checkpoint()`` works as well. On a
+    cluster an unset folder is an error: a machine-local folder would not be shared."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect sessions have no SparkContext
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(checkpoints and scratch tables are written there)"
+            )
         root = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():

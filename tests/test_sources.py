@@ -160,3 +160,26 @@ def test_reader_options_reach_the_scan(spark, scratch, db):
     res = load_to_table(spark, spec)
     assert res.status == 0 and res.source_count == 2
     assert sorted(tuple(r) for r in spark.table(f"{db}.notes").collect()) == [(1, "line one\nline two"), (2, None)]
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from quayside.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:  # a cluster session without spark.checkpoint.dir (no JVM needed)
+        conf = Conf({"spark.master": "yarn"})
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir is not set"):
+        checkpoint_root(Session())
+    Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/ckpt/"})
+    assert checkpoint_root(Session()) == "hdfs://nn/ckpt"
