@@ -118,6 +118,17 @@ def _summarise(wf: Workflow, task: ManagementTask, step: str, quality=None, dail
 FUSABLE = ("data quality", "data quality ml", "data profile")
 
 
+def _first_of_each_name(tasks: Sequence[ManagementTask], idx: list[int]) -> list[int]:
+    """One task per kind shares a pass; a repeated kind (other rules) runs on its own."""
+    seen: set[str] = set()
+    out = []
+    for i in idx:
+        if tasks[i].name not in seen:
+            seen.add(tasks[i].name)
+            out.append(i)
+    return out
+
+
 def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str) -> dict[int, tuple]:
     """Rows of the tasks that share one pass over their dataset, by task index."""
     from quayside.operators.onepass import source_checks
@@ -130,6 +141,7 @@ def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTas
         if t.name in FUSABLE and not (t.name == "data profile" and t.params.get("exact")):
             by_ds.setdefault(t.dataset_id, []).append(i)
     for ds, idx in by_ds.items():
+        idx = _first_of_each_name(tasks, idx)
         if len(idx) < 2:
             continue
         group = [tasks[i] for i in idx]
@@ -163,13 +175,17 @@ def _checks_in_load(spark: SparkSession, wf: Workflow):
     load = wf.load
     if wf.gate or load is None or not wf.fuse_checks:
         return None
+    candidates = _first_of_each_name(wf.pre_tasks, [
+        i for i, t in enumerate(wf.pre_tasks)
+        if t.name in FUSABLE and t.dataset_id == load.source.dataset_id
+        and not (t.name == "data profile" and t.params.get("exact"))
+    ])
+    if not candidates:
+        return None
     df = source_frame(spark, load)[0]  # lazy: only its schema is used here
     idx = []
-    for i, t in enumerate(wf.pre_tasks):
-        if t.name not in FUSABLE or t.dataset_id != load.source.dataset_id:
-            continue
-        if t.name == "data profile" and t.params.get("exact"):
-            continue
+    for i in candidates:
+        t = wf.pre_tasks[i]
         if t.name == "data quality ml" and (
             t.params.get("date_column", load.date_column) != load.date_column or load.date_column not in df.columns
         ):

@@ -92,3 +92,16 @@ def test_job_accepts_the_reference_cluster_options():
     assert master == "spark://m:7077"
     assert extra == {"spark.eventLog.enabled": "true", "spark.eventLog.dir": "/logs", "spark.local.dir": "/scratch",
                      "spark.hadoop.javax.jdo.option.ConnectionURL": "jdbc:postgresql://h/metastore"}
+
+
+def test_two_quality_tasks_on_one_source_keep_their_own_rules(spark, scratch, db):
+    t, r = _files(scratch)
+    base = _wf(db, t, r)
+    both = base.__class__(**{**base.__dict__, "pre_tasks": (
+        ManagementTask("data quality", "pos_file", {"rules": [Rule("v_non_negative", "range", "v", min=0)]}),
+        ManagementTask("data quality", "pos_file", {"rules": [Rule("v_not_null", "not_null", "v")]}),
+        ManagementTask("data profile", "pos_file"),
+    )})
+    for wf in (both, both.__class__(**{**both.__dict__, "gate": True})):  # in the load, and in the grouped pass
+        pre = [(x.task, x.status, x.issue_count) for x in run_workflow(spark, wf).collect() if x.step == "pre"]
+        assert pre == [("data quality", "failed", 1), ("data quality", "ok", 0), ("data profile", "ok", 0)]
