@@ -1,6 +1,7 @@
 """Anomaly detection ("data quality ml") with robust statistics.
 
-(a) ``volume_anomalies``: rows per day against the median and the median absolute
+(a) ``volume_anomalies`` (and ``amount_anomalies`` for the daily sum of an amount):
+    rows per day against the median and the median absolute
     deviation (MAD) of the daily counts; robust z-score ``0.6745 * (n - median) / MAD``.
     The daily counts are one grouped aggregate, checkpointed (one row per day); median and
     MAD are scalar subqueries over that small result, so the event table is scanned once.
@@ -41,13 +42,25 @@ def volume_anomalies(df: DataFrame, date_column: str, threshold: float = Z_THRES
     return score_daily(daily_counts(df, date_column).checkpoint(eager=True), threshold, digits)
 
 
-def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
-    """Robust z-scores of a small per-day count frame ``dt, n`` (one row per day)."""
-    med = daily.select(F.median("n")).scalar()
-    mad = daily.select(F.median(F.abs(F.col("n") - med))).scalar()
-    score = F.round(F.try_divide(F.lit(MAD_SCALE) * (F.col("n") - med), mad), digits)
-    flag = F.when(mad == 0, F.col("n") != med).otherwise(F.abs(F.col("score")) > F.lit(threshold))
-    return daily.select("dt", "n", score.alias("score")).withColumn("is_anomaly", flag)
+def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int = 4, metric: str = "n") -> DataFrame:
+    """Robust z-scores of a small per-day frame ``dt, <metric>`` (one row per day)."""
+    m = F.col(metric)
+    med = daily.select(F.median(m)).scalar()
+    mad = daily.select(F.median(F.abs(m - med))).scalar()
+    score = F.round(F.try_divide(F.lit(MAD_SCALE) * (m - med), mad), digits)
+    flag = F.when(mad == 0, m != med).otherwise(F.abs(F.col("score")) > F.lit(threshold))
+    return daily.select("dt", metric, score.alias("score")).withColumn("is_anomaly", flag)
+
+
+def amount_anomalies(df: DataFrame, date_column: str, amount_column: str, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
+    """``dt, amount, score, is_anomaly``: the daily sum of ``amount_column`` against the
+    median and MAD of the daily sums. The sum is exact (decimal(18,2), as control totals),
+    then scored as a double."""
+    checkpoint_root(df.sparkSession)
+    daily = df.groupBy(F.col(date_column).cast("string").alias("dt")).agg(
+        F.sum(F.col(f"`{amount_column}`").cast("decimal(18,2)")).cast("double").alias("amount")
+    ).checkpoint(eager=True)
+    return score_daily(daily.where(F.col("amount").isNotNull()), threshold, digits, metric="amount")
 
 
 def value_outliers(df: DataFrame, groups: Sequence[str], value: str, k: float = IQR_FACTOR, method: str = "exact") -> DataFrame:

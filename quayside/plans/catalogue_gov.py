@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.schema import column_spec_to_schema
-from quayside.operators.anomaly import value_outliers, volume_anomalies
+from quayside.operators.anomaly import amount_anomalies, value_outliers, volume_anomalies
 from quayside.operators.lineage import EDGE_COLUMNS
 from quayside.operators.profile import profile_columns, top_values
 from quayside.operators.quality import Rule, check_foreign_key, check_row_rules, check_unique, failing_rows
@@ -236,6 +236,19 @@ def q_anomaly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume_anomalies(Ctx(spark, sf_dir).events(), "effective_date")
 
 
+@register(
+    "anomaly_amount",
+    f"""WITH d AS (SELECT {ED} dt, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) amount FROM events GROUP BY 1),
+             m AS (SELECT median(amount) med FROM d),
+             a AS (SELECT median(abs(amount - med)) mad FROM d, m)
+        SELECT dt, amount, round(0.6745 * (amount - med) / nullif(mad, 0), 4) score,
+               CASE WHEN mad = 0 THEN amount <> med ELSE abs(round(0.6745 * (amount - med) / nullif(mad, 0), 4)) > 3.5 END is_anomaly
+        FROM d, m, a""",
+)
+def q_anomaly_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amount_anomalies(Ctx(spark, sf_dir).events(), "effective_date", "value")
+
+
 @register(
     "anomaly_values",
     """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) q1, quantile_cont(value, 0.75) q3
@@ -382,6 +395,20 @@ def q_lineage_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traverse(spark, lineage, "events_file", "downstream")
 
 
+@register(
+    "lineage_upstream",
+    """SELECT 'events_table' dataset, CAST(1 AS BIGINT) depth FROM events HAVING count(*) > 0
+       UNION ALL
+       SELECT 'events_file', CAST(2 AS BIGINT) FROM events HAVING count(*) > 0""",
+)
+def q_lineage_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything upstream of the distributed totals file, by a recursive query over the edges."""
+    from quayside.operators.lineage import traverse
+
+    lineage = _lineage_runs(Ctx(spark, sf_dir))
+    return traverse(spark, lineage, "event_totals_file", "upstream")
+
+
 # --------------------------------------------------------------------------- streaming form of K4/K10
 
 

@@ -136,3 +136,18 @@ def test_foreign_key_composite_with_hot_orphan_matches_brute_force(spark):
     want = sorted(i for i, a, b in rows if b is not None and (a, b) not in parent_keys)
     got = sorted(r.id for r in check_foreign_key(child, ["a", "b"], parent, ["pa", "pb"]).collect())
     assert got == want
+
+
+def test_amount_anomalies_match_brute_force(spark):
+    from quayside.operators.anomaly import amount_anomalies
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 16)]
+    rows = [(d, 10.0 + (i % 3)) for i, d in enumerate(days) for _ in range(4)]
+    rows += [("2024-01-09", 500.0), ("2024-01-12", None)]  # one day far off; a null amount is skipped
+    df = spark.createDataFrame(rows, "effective_date string, amount double")
+    sums = pd.Series({d: sum(a for x, a in rows if x == d and a is not None) for d in days})
+    med = sums.median()
+    mad = (sums - med).abs().median()
+    want = {d: (round(0.6745 * (s - med) / mad, 4), abs(round(0.6745 * (s - med) / mad, 4)) > 3.5) for d, s in sums.items()}
+    got = {r.dt: (r.score, r.is_anomaly) for r in amount_anomalies(df, "effective_date", "amount").collect()}
+    assert got == want and [d for d, (_, bad) in got.items() if bad] == ["2024-01-09"]
