@@ -18,8 +18,11 @@ from quayside.sources.catalog import read_table, table_columns
 
 REPORT_SCHEMA = "effective_date string, source_count long, target_count long, is_match boolean"
 # Above this many expected dates the per-date metrics are not attached to the write; the
-# source is counted per date by a second, column-pruned scan instead.
-MAX_OBSERVED_DATES = 366
+# source is counted per date by a second, column-pruned scan instead. Observed metrics are
+# evaluated per row outside generated code, one counter per date: measured on a 10M-row,
+# 3-column CSV load on 8 cores, 30 counters cost about as much as the second pass, 120
+# counters made the load 1.6x slower than load + second pass.
+MAX_OBSERVED_DATES = 32
 
 
 class SourceCounter:

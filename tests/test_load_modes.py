@@ -206,3 +206,15 @@ def test_corrupt_rows_are_counted_during_the_load_and_not_written(spark, scratch
         assert (res.status, res.source_count, res.target_count, res.corrupt_count) == (0, 3, 3, 1)
     assert table_columns(spark, f"{db}.amt") == ["id", "amt", "effective_date"]
     assert sorted((r.id, r.amt is None) for r in spark.table(f"{db}.amt").collect()) == [(1, False), (2, True), (3, False)]
+
+
+def test_long_backfill_is_counted_by_a_second_pass_with_the_same_report(spark, db):
+    from quayside.operators.validate import MAX_OBSERVED_DATES
+
+    for n_dates, table in ((MAX_OBSERVED_DATES + 8, "long"), (5, "short")):
+        dates = [f"d{i:03d}" for i in range(n_dates)]
+        df = batch(spark, [(i, float(i), dates[i % n_dates]) for i in range(3 * n_dates + 2)])
+        res = _load(spark, db, df, dates, table=table)
+        want = {d: (3 + (i < 2), 3 + (i < 2), True) for i, d in enumerate(dates)}
+        assert {r.effective_date: (r.source_count, r.target_count, r.is_match) for r in res.report_rows} == want
+        assert res.status == 0 and res.source_count == 3 * n_dates + 2
