@@ -77,12 +77,18 @@ def check_row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def failing_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The rows that break at least one rule, with the names of the broken rules."""
+    """The rows that break at least one rule, with the names of the broken rules.
+
+    Rows are first filtered by the OR of the rule predicates (whole-stage generated code);
+    the list of broken rule names (a lambda ``filter``, evaluated row by row) is built only
+    for the rows that fail."""
+    if not rules:
+        raise ValueError("no rules given")
+    any_failing = rules[0].failing()
+    for r in rules[1:]:
+        any_failing = any_failing | r.failing()
     names = F.array(*[F.when(r.failing(), F.lit(r.name)) for r in rules])
-    return (
-        df.withColumn("failed_rules", F.filter(names, lambda x: x.isNotNull()))
-        .where(F.size("failed_rules") > 0)
-    )
+    return df.where(any_failing).withColumn("failed_rules", F.filter(names, lambda x: x.isNotNull()))
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
