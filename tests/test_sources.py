@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from quayside.functions.schema import column_spec_to_schema
@@ -183,3 +185,20 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
         checkpoint_root(Session())
     Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/ckpt/"})
     assert checkpoint_root(Session()) == "hdfs://nn/ckpt"
+
+
+def test_dated_read_literal_union_and_path_regex_agree(spark, scratch, monkeypatch):
+    import quayside.sources.delimited as D
+    from quayside.functions.schema import column_spec_to_schema
+
+    for day, n in (("20240101", 3), ("20240102", 2), ("20240103", 4)):
+        d = f"{scratch}/lit/ev_{day}"
+        os.makedirs(d, exist_ok=True)
+        with open(f"{d}/part-0.csv", "w") as f:
+            f.write("id,v\n" + "".join(f"{i},{i}.5\n" for i in range(n)))
+    schema = column_spec_to_schema([{"column_name": "id", "data_type": "bigint"}, {"column_name": "v", "data_type": "double"}])
+    dates = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    union = sorted(map(tuple, D.read_dated_files(spark, f"{scratch}/lit/ev_yyyymmdd", dates, schema).collect()))
+    monkeypatch.setattr(D, "MAX_LITERAL_DATE_SCANS", 0)  # force the one-scan, path-regex form
+    regex = sorted(map(tuple, D.read_dated_files(spark, f"{scratch}/lit/ev_yyyymmdd", dates, schema).collect()))
+    assert union == regex and len(union) == 9 and {r[2] for r in union} == set(dates)
