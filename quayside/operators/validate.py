@@ -38,7 +38,10 @@ class SourceCounter:
         exprs = [F.count(F.lit(1)).alias("total")]
         if self.date_column:
             c = F.col(self.date_column)
-            exprs.append(F.count_if(c.isNull()).alias("null_dates"))
+            # Observed counters run per row outside generated code: a date column the schema
+            # marks non-nullable (a literal or path-derived date) gets no null counter.
+            if df.schema[self.date_column].nullable:
+                exprs.append(F.count_if(c.isNull()).alias("null_dates"))
             if self.per_date:
                 exprs += [F.count_if(c == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.dates)]
         if corrupt_column:
@@ -62,7 +65,7 @@ class SourceCounter:
         if not self.per_date:
             return None
         counts = {d: int(m[f"d{i}"]) for i, d in enumerate(self.dates)}
-        if m["null_dates"]:
+        if m.get("null_dates"):
             counts[None] = int(m["null_dates"])
         self.has_other_dates = int(m["total"]) > sum(counts.values())
         return None if self.has_other_dates else counts
@@ -78,7 +81,7 @@ class SourceCounter:
                 F.count(F.lit(1)).alias("source_count")
             )
         rows = [(d, int(m[f"d{i}"])) for i, d in enumerate(self.dates)]
-        if m["null_dates"]:
+        if m.get("null_dates"):
             rows.append((None, int(m["null_dates"])))
         other = int(m["total"]) - sum(n for _, n in rows)
         frame = spark.createDataFrame(rows, "effective_date string, source_count long")
