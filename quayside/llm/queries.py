@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import substring_dedup
+from quayside.llm import jaccard_join, substring_dedup
 from quayside.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,9 +50,14 @@ def query(name: str, sql: str | None = None):
     )
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
            sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
-             list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), x -> NOT list_contains(gone, x[2])), x -> x[1]), ' ') END) AS kept_sha256
+             list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]), ' ') END) AS kept_sha256
     FROM words LEFT JOIN removed USING (doc_id)
     """,
 )
 def op1(spark, table):
     return substring_dedup.digest(table("documents"))
+
+
+@query("op5_jaccard_join")
+def op5(spark, table):
+    return jaccard_join.similar_components(table("documents")).withColumnRenamed("id", "doc_id")
