@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import jaccard_join, substring_dedup
+from quayside.llm import jaccard_join, substring_dedup, toxicity
 from quayside.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op1(spark, table):
 @query("op5_jaccard_join")
 def op5(spark, table):
     return jaccard_join.similar_components(table("documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_toxicity")
+def op8(spark, table):
+    return toxicity.digest(table("documents"), table("labels"))
