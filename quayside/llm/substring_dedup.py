@@ -9,7 +9,7 @@ Plan: (1) map tasks hash all windows of a run of documents and keep, per distinc
 smallest id (a window that a third of all documents share leaves one entry per run, not one per
 document); other documents of the run know at once that theirs is a repeat. (2) One shuffle by
 hash range finds, for each run's smallest id, whether a smaller one exists. (3) Repeated hashes
-go back to their documents by id, and each document marks the words they cover.
+go back to their documents by id (again as packed rows), and each document marks the words they cover.
 
 Judged by hash: two different windows of one corpus collide with a chance of about n*n/2**65
 for n windows. Defined results: a null text has no words; a row with a null id is returned
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import exchange
-from quayside.llm.words import slices
+from quayside.llm.words import mix, slices
 
 RUN_WINDOWS = 2_000_000  # windows that a map task sorts at a time (about 100 MB)
 _FLAGS = "__repeat_hashes"
@@ -71,9 +71,10 @@ def _rows(keys, ids, bits, repeats) -> Iterator[pa.RecordBatch]:
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:
     """(id, hashes): packed uint64 hashes of windows of document ``id`` that also start in a
-    document with a smaller id; several rows per id."""
+    document with a smaller id; one row per id that has any."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     parts, bits = exchange.plan_partitions(docs, "text")
+    back = (2 * parts - 1).bit_length()  # buckets of the way back: fewer, for less data
 
     def hash_windows(batches):
         held, n = [], 0
@@ -93,8 +94,11 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 if n >= RUN_WINDOWS:
                     yield from flush()
                     held, n = [], 0
+                    exchange.release_memory()
         if held:
             yield from flush()
+        held = []
+        exchange.release_memory()
 
     def compare(batches):
         out: list[tuple[np.ndarray, np.ndarray]] = []
@@ -119,18 +123,26 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if not out:
             return
         keys, ids = (np.concatenate(x) for x in zip(*out))
-        order = np.lexsort((keys, ids))
-        keys, ids = keys[order], ids[order]
-        cuts = np.flatnonzero(np.diff(ids)) + 1
-        for at in range(0, len(cuts) + 1, 20_000):
-            lo, hi = [0, *cuts][at : at + 20_000], [*cuts, len(ids)][at : at + 20_000]
-            lo, hi = [a for a, b in zip(lo, hi) if b > a], [b for a, b in zip(lo, hi) if b > a]
-            if lo:
-                yield pa.record_batch([pa.array(ids[lo], pa.int64()), pa.array([keys[a:b].tobytes() for a, b in zip(lo, hi)], pa.binary())], names=["id", "hashes"])
+        bucket = (mix(ids.view(np.uint64)) >> np.uint64(64 - back)).astype(np.int64)
+        order = np.lexsort((ids, bucket))
+        bucket, keys, ids = bucket[order], keys[order].view(np.int64), ids[order]
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        rows = [(int(bucket[a]), exchange.pack(ids[a:b].view(np.uint64), keys[a:b])) for a, b in zip([0, *cuts], [*cuts, len(ids)]) if b > a]
+        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=exchange.BLOB_SCHEMA)
+
+    def collect(batches):
+        for _, blobs in exchange.by_bucket(batches):
+            ids, keys = exchange.gather(blobs)
+            order = np.argsort(ids, kind="stable")
+            ids, keys = ids[order].view(np.int64), keys[order]
+            cuts = np.flatnonzero(np.diff(ids)) + 1
+            start = np.concatenate([[0], cuts]).astype(np.int64)
+            yield pa.record_batch([pa.array(ids[start], pa.int64()), pa.array([x.tobytes() for x in np.split(keys, cuts)], pa.binary())], names=["id", "hashes"])
 
     blobs = docs.mapInArrow(hash_windows, "bucket int, blob binary, repeats boolean")
     dealt = blobs.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(compare, "id long, hashes binary")
+    found = dealt.mapInArrow(compare, exchange.BLOB_DDL)
+    return exchange.deal(found, parts).mapInArrow(collect, "id long, hashes binary")
 
 
 def _marks(texts: pa.Array, flags: list, window: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -143,7 +155,7 @@ def _marks(texts: pa.Array, flags: list, window: int) -> Iterator[tuple[int, np.
         at = np.searchsorted(doc, np.arange(b - a + 1))
         for j in range(b - a):
             mine, where = h[at[j] : at[j + 1]], pos[at[j] : at[j + 1]]
-            hit = where[np.isin(mine, np.frombuffer(b"".join(flags[rows[a + j]]), np.uint64))]
+            hit = where[np.isin(mine, np.frombuffer(flags[rows[a + j]], np.uint64))]
             cover = np.zeros(w.count[j] + 1, np.int64)
             np.add.at(cover, hit, 1)
             np.add.at(cover, hit + window, -1)
@@ -153,7 +165,7 @@ def _marks(texts: pa.Array, flags: list, window: int) -> Iterator[tuple[int, np.
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    flags = repeated_windows(docs, id_col, text_col, window).groupBy(F.col("id").alias("__repeat_id")).agg(F.collect_list("hashes").alias(_FLAGS))
+    flags = repeated_windows(docs, id_col, text_col, window).toDF("__repeat_id", _FLAGS)
     return docs.join(flags, docs[id_col].cast("long") == flags["__repeat_id"], "left").drop("__repeat_id")
 
 
