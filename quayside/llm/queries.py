@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import jaccard_join, substring_dedup, toxicity
+from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, toxicity
 from quayside.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,41 @@ def op5(spark, table):
 @query("op8_toxicity")
 def op8(spark, table):
     return toxicity.digest(table("documents"), table("labels"))
+
+
+@query("op6_sentencepiece")
+def op6(spark, table):
+    return piece_codec.digest(table("documents"), piece_codec.default_model())
+
+
+@query(
+    "op7_decontaminate",
+    r"""
+    WITH doc AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ), item AS (
+      SELECT item_id, w, least(13, len(w)) AS n FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+      WHERE len(w) > 0
+    ), record AS (
+      SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key
+      FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM item)
+    ), place AS (
+      SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM item) WHERE len(w) >= n)
+    ), hit AS (
+      SELECT doc_id, item_id, i, n FROM place JOIN record USING (n, key)
+    ), covered AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id
+    ), found AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+)
+def op7(spark, table):
+    return decontaminate.digest(table("documents"), table("benchmark"))

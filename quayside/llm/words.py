@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Odd multipliers of the two polynomial hashes (bytes in a word, words in a window) and the
 # finalizer's constants (splitmix64).
@@ -75,7 +75,7 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, space: np.ndarray):
         n, size = len(offsets) - 1, len(data)
-        self.data, self.n_docs = data, n
+        self.data, self.n_docs, self._total = data, n, None
         word = ~space[data]
         begins = np.zeros(size + 1, bool)
         begins[offsets] = True  # a text's first byte, and one past the last byte
@@ -102,19 +102,28 @@ class Words:
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.hash)
+        up, down = _words.get(n + 1)
+        if self._total is None:
+            self._total = np.zeros(n + 1, np.uint64)
+            np.cumsum(self.hash * up[:n], out=self._total[1:])
+        return self._total, down
+
+    def run_hash(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the ``k`` words from each word index in ``at``."""
+        total, down = self._sums()
+        return mix((total[at + k] - total[at]) * down[at])
+
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, doc, pos) of every run of ``k`` words inside one text; ``pos`` counts words
         from the start of the text."""
         n = len(self.hash)
         if n < k:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        up, down = _words.get(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.hash * up[:n], out=total[1:])
         at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1 :])
-        h = mix((total[at + k] - total[at]) * down[at])
         doc = self.doc[at]
-        return h, doc, at - self.first[doc]
+        return self.run_hash(at, k), doc, at - self.first[doc]
 
 
 def slices(texts: pa.Array, lower: bool = False, space: np.ndarray = _SPACE, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
