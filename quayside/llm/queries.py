@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, toxicity
+from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, toxicity
 from quayside.llm.shipping import ship
+from quayside.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +106,8 @@ def op6(spark, table):
 )
 def op7(spark, table):
     return decontaminate.digest(table("documents"), table("benchmark"))
+
+
+@query("op9_token_files")
+def op9(spark, table):
+    return token_files.digest(table("documents"), scratch_path(spark, "op9_ids"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
