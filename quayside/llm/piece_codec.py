@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
-MEMO = 150_000  # parts in each of the two generations of a worker's memo
+MEMO = 300_000  # parts in each of the two generations of a worker's memo
 
 
 class Pieces:
@@ -48,11 +48,20 @@ class Pieces:
         text = [p for _, p, _ in pieces]
         at_spaces = not any(re.search(f"[^{MARK}]{MARK}", p) for p in text)
         at_lines = at_spaces and not any("\n" in p for p in text)
+        self.cuts = at_spaces
         self.cut = re.compile(r" *[^ \n]+| +|\n" if at_lines else r" *[^ ]+| +" if at_spaces else r"(?s).+").findall
+        # a part may also be cut before closing periods and commas after any character that no
+        # piece joins with them
+        self.joined = {MARK, " ", "\n"}.union(*(p[i] for p in text for i in range(len(p) - 1) if p[i + 1] in ".,"))
         self.table = {i: p.replace(MARK, " ").encode() for i, p, _ in pieces}
         if byte_ids:
             self.table |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.table.setdefault(unknown, " ⁇ ".encode())
+        top = max(self.table, default=0) + 1
+        spelled = [self.table.get(i, b"") for i in range(top)]
+        self.sizes = np.array([len(x) if i in self.table else -1 for i, x in enumerate(spelled)], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum([len(x) for x in spelled])[:-1]])
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -92,6 +101,8 @@ class Pieces:
 
     def _part(self, part: str) -> bytes:
         ids = self.old.get(part)
+        if ids is None and part[-1] in ".," and (stem := part.rstrip(".,")) and stem[-1] not in self.joined and self.cuts:
+            ids = (self.young.get(stem) or self._part(stem)) + (self.young.get(part[len(stem) :]) or self._part(part[len(stem) :]))
         if ids is None:
             ids = np.array(self.best_path(part.replace(" ", MARK)), np.int32).tobytes()
         if len(part) <= 64:
@@ -108,7 +119,17 @@ class Pieces:
         return b"".join([known(p) or part(p) for p in self.cut(" " + text.replace(MARK, " "))])
 
     def decode(self, ids) -> str:
-        text = b"".join(map(self.table.__getitem__, ids)).decode(errors="replace")
+        """The text of a sequence of ids; ``ValueError`` for an id that is no piece."""
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return ""
+        if ids.min() < 0 or ids.max() >= len(self.sizes) or (self.sizes[ids] < 0).any():
+            raise ValueError("an id is not in the model")
+        sizes = self.sizes[ids]
+        place = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[ids] - place, sizes)
+        at += np.arange(len(at))
+        text = self.flat[at].tobytes().decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -142,19 +163,31 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _encoded(p: Pieces, batch: pa.RecordBatch):
+    """(rows, their number of pieces, their pieces as one list array), some rows at a time."""
+    for at in range(0, len(batch), 500):
+        some = batch.slice(at, 500)
+        ids = [p.encode(t) for t in some.column(1).to_pylist()]
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        values = np.frombuffer(b"".join(ids), np.int32)
+        yield some, n, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _lists(column: pa.Array):
+    """The ids of each row of a list column as numpy arrays; null: none."""
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    for i, valid in enumerate(column.is_valid().to_pylist()):
+        yield values[offsets[i] : offsets[i + 1]] if valid else ()
+
+
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_pieces, pieces array<int>) of every row."""
 
     def run(batches):
-        p = pieces(model)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                some = batch.slice(at, 500)
-                ids = [p.encode(t) for t in some.column(1).to_pylist()]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
-                yield pa.record_batch([some.column(0), pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["id", "n_pieces", "pieces"])
+            for some, n, ids in _encoded(pieces(model), batch):
+                yield pa.record_batch([some.column(0), pa.array(n), ids], names=["id", "n_pieces", "pieces"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, n_pieces long, pieces array<int>")
 
@@ -167,24 +200,24 @@ def decode(encoded: DataFrame, model: str, id_col: str = "id", pieces_col: str =
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.slice(at, 500)
-                yield pa.record_batch([some.column(0), pa.array([p.decode(x or ()) for x in some.column(1).to_pylist()], pa.string())], names=["id", "text"])
+                yield pa.record_batch([some.column(0), pa.array([p.decode(x) for x in _lists(some.column(1))], pa.string())], names=["id", "text"])
 
     return encoded.select(F.col(id_col).alias("id"), F.col(pieces_col).alias("pieces")).mapInArrow(run, f"id {encoded.schema[id_col].dataType.simpleString()}, text string")
 
 
 def digest(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_pieces, pieces, decoded_sha256): the encoding, and the hash of the text that
-    it decodes to."""
+    these pieces decode to. Both directions run in one task: the pieces travel once."""
 
     def run(batches):
         p = pieces(model)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                some = batch.slice(at, 500)
-                sha = [hashlib.sha256(p.decode(x or ()).encode()).hexdigest() for x in some.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(sha, pa.string())], names=["doc_id", "n_pieces", "pieces", "decoded_sha256"])
+            for some, n, ids in _encoded(p, batch):
+                sha = [hashlib.sha256(p.decode(x).encode()).hexdigest() for x in _lists(ids)]
+                yield pa.record_batch([some.column(0), pa.array(n), ids, pa.array(sha, pa.string())], names=["doc_id", "n_pieces", "pieces", "decoded_sha256"])
 
-    return encode(docs, model).mapInArrow(run, "doc_id long, n_pieces long, pieces array<int>, decoded_sha256 string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, n_pieces long, pieces array<int>, decoded_sha256 string")
 
 
 def stage(spark: SparkSession, docs: DataFrame) -> DataFrame:
