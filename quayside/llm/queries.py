@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, toxicity
+from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -111,3 +112,21 @@ def op7(spark, table):
 @query("op9_token_files")
 def op9(spark, table):
     return token_files.digest(table("documents"), scratch_path(spark, "op9_ids"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query(
+    "op2_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
+)
+def op2(spark, table):
+    return topk.top_k(table("embeddings"), F.col("id") % 50 == 0)
