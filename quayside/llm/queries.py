@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity
+from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity, warc
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -130,3 +130,21 @@ def op9(spark, table):
 )
 def op2(spark, table):
     return topk.top_k(table("embeddings"), F.col("id") % 50 == 0)
+
+
+@query(
+    "op4_warc",
+    """
+    WITH p AS (
+      SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+    ), marked AS (
+      SELECT *, min(page_id) OVER (PARTITION BY digest) AS low FROM p
+    )
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 100 AND page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id > low THEN low END AS refers_to
+    FROM marked
+    """,
+)
+def op4(spark, table):
+    return warc.digest(table("pages"), scratch_path(spark, "op4_warc"))
