@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity, warc
+from quayside.llm import decontaminate, html_text, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity, warc
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -148,3 +148,8 @@ def op2(spark, table):
 )
 def op4(spark, table):
     return warc.digest(table("pages"), scratch_path(spark, "op4_warc"))
+
+
+@query("op10_html_text")
+def op10(spark, table):
+    return html_text.extract(table("pages"))
