@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, html_text, jaccard_join, piece_codec, substring_dedup, token_files, topk, toxicity, warc
+from quayside.llm import decontaminate, html_text, jaccard_join, piece_codec, pitman_yor, substring_dedup, token_files, topk, toxicity, warc
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -153,3 +153,8 @@ def op4(spark, table):
 @query("op10_html_text")
 def op10(spark, table):
     return html_text.extract(table("pages"))
+
+
+@query("op3_pitman_yor")
+def op3(spark, table):
+    return pitman_yor.digest(table("documents"))
