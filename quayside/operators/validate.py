@@ -133,7 +133,7 @@ def validate_load(
     dates: Iterable[str] | None = None,
 ) -> DataFrame:
     """A3: ``(effective_date, source_count, target_count, is_match)`` for every date of the
-    batch. Only dates present in the source (plus ``dates``) are checked; older partitions
+    batch. All dates present in the source and all of ``dates`` are checked; older partitions
     of the table are out of scope."""
     if not isinstance(source_counts, DataFrame):
         # Source counts already on the driver (observed during the write): one job counts
@@ -150,8 +150,11 @@ def validate_load(
     # the batch itself has rows without a date (older null rows are out of scope).
     batch_dates = [r[0] for r in source_counts.select("effective_date").collect()]
     has_null = None in batch_dates
-    if dates is None:
-        dates = [d for d in batch_dates if d is not None]
+    # Expected dates without source rows are reported too, with a count of 0.
+    dates = sorted({str(d) for d in dates or ()} | {d for d in batch_dates if d is not None})
+    if date_column in table_columns(spark, table):
+        wanted = spark.createDataFrame([(d, 0) for d in dates], "effective_date string, source_count long")
+        source_counts = source_counts.unionByName(wanted).groupBy("effective_date").agg(F.sum("source_count").alias("source_count"))
     return compare_counts(source_counts, target_counts(spark, table, date_column, dates, include_null=has_null))
 
 

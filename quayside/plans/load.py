@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from quayside.functions.schema import column_spec_to_schema
-from quayside.operators.validate import SourceCounter, sample_loaded, validate_load
+from quayside.operators.validate import REPORT_SCHEMA, SourceCounter, sample_loaded, validate_load
 from quayside.sinks.table import check_load_type, ensure_database, write_table
 from quayside.sources.delimited import DATE_TOKEN, read_dated_files, read_delimited, resolve_dated_path, to_spark_uri
 from quayside.sources.sqlfile import read_sql_file
@@ -68,7 +68,7 @@ def source_frame(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, list[s
         return spark.table(src.table.qualified), [src.table.qualified]
     if src.kind == "sql_file":
         return read_sql_file(spark, src.sql_path), [src.sql_path]
-    raise RuntimeError("Source dataset type is not expected.")
+    raise RuntimeError(f"dataset {src.dataset_id}: cannot read a source of kind {src.kind!r}")
 
 
 def run_ingestion_task(spark: SparkSession, spec: LoadSpec, task_id: str | None = None) -> tuple[int, dict]:
@@ -114,8 +114,9 @@ def load_to_table(
         dates = spec.effective_dates if counter.per_date else None
         report = validate_load(spark, table, count_map, spec.date_column, dates=dates)
     else:  # dates outside the expected list, or very many dates: counted by a second pass
-        report = validate_load(spark, table, counter.counts(spark), spec.date_column)
+        report = validate_load(spark, table, counter.counts(spark), spec.date_column, dates=spec.effective_dates)
     rows = report.collect()  # one row per date of the batch
+    report = spark.createDataFrame([tuple(r) for r in rows], REPORT_SCHEMA)  # counted once, not again by each reader
     src_n = sum(r.source_count for r in rows)
     tgt_n = sum(r.target_count for r in rows)
     bad = [r for r in rows if not r.is_match]

@@ -5,9 +5,10 @@ Design notes (scale):
   scan split into ``maxPartitionBytes`` slices across the cluster, not a driver loop.
 - The declared schema is applied by header name check (``enforceSchema=false``), so a
   reordered file fails loudly instead of silently shifting columns (E16).
-- The effective date of each row comes from its file: for up to MAX_LITERAL_DATE_SCANS
-  dates as a literal on a per-date scan (a union, still one job), beyond that from the
-  hidden ``_metadata.file_path`` column by a JVM-side regex.
+- The effective date of each row comes from its file: one scan over all paths takes it
+  from the hidden ``_metadata.file_path`` column, whatever the number of dates. The decoded
+  path must match the whole resolved template, globs included; a path that does not is an
+  error, never a wrong or empty date.
 """
 
 from __future__ import annotations
@@ -29,14 +30,6 @@ TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-# Up to this many dates a dated read is a union of one scan per date (date as a literal);
-# above it, one scan over all paths takes each row's date from its file path. Per-row path
-# matching about doubles the parse cost (10M rows, 3 columns, local[8]: 3.3 s without, 8.0 s
-# with), while each extra scan costs a listing and a plan node (about 0.07 s per date at
-# sf0.1): a daily load, the usual case, never pays the per-row cost.
-MAX_LITERAL_DATE_SCANS = 8
-
-
 class SourceMissingError(RuntimeError):
     """A declared source path does not exist (S3)."""
 
@@ -119,18 +112,60 @@ def read_delimited(
         raise
 
 
-def date_from_path_column(template: str) -> Column:
-    """The ISO effective date encoded in each row's source path (``_metadata.file_path``).
-
-    The last path component of the template that carries the date token becomes a regex,
-    e.g. ``events_yyyymmdd.csv`` -> ``events_(\\d{8})\\.csv``; files inside a directory of
-    that name match as well."""
-    parts = [p for p in to_spark_uri(template).split("/") if DATE_TOKEN in p]
-    if not parts:
+def _glob_to_regex(component: str) -> str:
+    """A Hadoop glob (``* ? [ab] [!ab] {a,b}``, backslash escapes) as a regex without slashes."""
+    out, i, depth = [], 0, 0
+    while i < len(component):
+        c = component[i]
+        if c == "\\" and i + 1 < len(component):
+            i += 1
+            out.append(re.escape(component[i]))
+        elif c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and "]" in component[i + 1:]:
+            end = component.index("]", i + 2) if component[i + 1: i + 2] in ("]", "!", "^") and "]" in component[i + 2:] else component.index("]", i + 1)
+            body = component[i + 1: end]
+            negated = body[:1] in ("!", "^")
+            out.append(("[^/" if negated else "[") + (body[1:] if negated else body).replace("\\", "\\\\").replace("[", "\\[") + "]")
+            i = end
+        elif c == "{":
+            out.append("(?:")
+            depth += 1
+        elif c == "}" and depth:
+            out.append(")")
+            depth -= 1
+        elif c == "," and depth:
+            out.append("|")
+        else:
+            out.append(re.escape(c))
+        i += 1
+    return "".join(out)
+
+
+def dated_path_regex(template: str) -> str:
+    """Regex over a decoded file path: the whole template (without scheme and authority) with
+    the date as group 1, and any files below it. A repeated date token must repeat the date."""
+    path = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", to_spark_uri(template))
+    parts = [x for x in path.split("/") if x not in ("", ".")]
+    if not any(DATE_TOKEN in x for x in parts):
         raise ValueError(f"path template {template!r} has no {DATE_TOKEN} token")
-    pattern = re.escape(parts[-1]).replace(DATE_TOKEN, r"(\d{8})")
-    raw = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return F.concat_ws("-", raw.substr(1, 4), raw.substr(5, 2), raw.substr(7, 2))
+    body = "/".join(DATE_TOKEN.join(_glob_to_regex(y) for y in x.split(DATE_TOKEN)) for x in parts)
+    body = body.replace(DATE_TOKEN, "([0-9]{8})", 1).replace(DATE_TOKEN, "\\1")
+    # an absolute path follows the scheme and authority, a relative one any folder
+    start = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?/+" if path.startswith("/") else "^(?:.*/)?"
+    return f"{start}{body}(?:/.*)?$"
+
+
+def date_from_path_column(template: str, path: Column | None = None) -> Column:
+    """The ISO effective date encoded in each row's source path (``_metadata.file_path``, which
+    is URL-encoded). Fails on a path that does not match the template."""
+    raw = path if path is not None else F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    day = F.regexp_extract(raw, dated_path_regex(template), 1)
+    iso = F.concat_ws("-", day.substr(1, 4), day.substr(5, 2), day.substr(7, 2))
+    wrong = F.raise_error(F.concat(F.lit(f"no effective date by template {template} in path "), raw)).cast("string")
+    return F.when(day == "", wrong).otherwise(iso)
 
 
 def read_dated_files(
@@ -157,19 +192,9 @@ def read_dated_files(
         return read_delimited(spark, paths, schema, sep, header, dataset_id=dataset_id, corrupt_column=corrupt_column, options=options)
     if date_column in schema.fieldNames():
         raise ValueError(f"{date_column!r} is already a file column; pass date_column=None")
-    if len(dates) <= MAX_LITERAL_DATE_SCANS:
-        # One scan per date with the date as a literal, unioned: still one job (a union adds
-        # no shuffle), and no per-row work to find the date. Reading each row's file path
-        # and matching the date in it cost more than parsing the row (10M rows, 3 columns).
-        iso = [_as_yyyymmdd(d) for d in dates]
-        parts = [
-            read_delimited(spark, p, schema, sep, header, dataset_id=dataset_id, corrupt_column=corrupt_column, options=options)
-            .withColumn(date_column, F.lit(f"{d[:4]}-{d[4:6]}-{d[6:]}"))
-            for p, d in zip(paths, iso)
-        ]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
     df = read_delimited(spark, paths, schema, sep, header, dataset_id=dataset_id, corrupt_column=corrupt_column, options=options)
-    return df.withColumn(date_column, date_from_path_column(template))
+    if len({_as_yyyymmdd(d) for d in dates}) == 1:  # every path was resolved with this date
+        day = _as_yyyymmdd(dates[0])
+        return df.withColumn(date_column, F.lit(f"{day[:4]}-{day[4:6]}-{day[6:]}"))
+    named = template.replace("{data_source_user}", data_source_user or "{data_source_user}")
+    return df.withColumn(date_column, date_from_path_column(named))

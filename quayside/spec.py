@@ -42,7 +42,7 @@ class DatasetSpec:
         }
         kind = kinds.get(str(rec.get("dataset_type", "")).lower())
         if kind is None:
-            raise RuntimeError("Source dataset type is not expected.")
+            raise RuntimeError(f"dataset {rec.get('dataset_id')}: unknown dataset_type {rec.get('dataset_type')!r}")
         table = None
         if kind == "table":
             table = TableSpec(rec["database_name"], rec["table_name"], tuple(rec.get("partition_keys") or ()))
@@ -51,6 +51,7 @@ class DatasetSpec:
             kind=kind,
             path_template=rec.get("file_path"),
             delimiter=rec.get("file_delim") or ",",
+            data_source_user=rec.get("data_source_user"),
             recon_path_template=rec.get("recon_file_path"),
             recon_delimiter=rec.get("recon_file_delim") or "|",
             sql_path=rec.get("sql_file_path"),
@@ -92,4 +93,3 @@ class LoadSpec:
     # rows are counted during the load (``LoadResult.corrupt_count``) and the column is
     # not written to the table.
     corrupt_column: str | None = None
-    extra: Mapping[str, Any] = field(default_factory=dict)

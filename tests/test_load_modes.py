@@ -218,3 +218,13 @@ def test_long_backfill_is_counted_by_a_second_pass_with_the_same_report(spark, d
         want = {d: (3 + (i < 2), 3 + (i < 2), True) for i, d in enumerate(dates)}
         assert {r.effective_date: (r.source_count, r.target_count, r.is_match) for r in res.report_rows} == want
         assert res.status == 0 and res.source_count == 3 * n_dates + 2
+
+
+@pytest.mark.parametrize("n_dates", [32, 33, 60])
+def test_expected_dates_without_rows_are_reported(spark, db, n_dates):
+    dates = [f"d{i:03d}" for i in range(n_dates)]
+    df = batch(spark, [(i, float(i), d) for i, d in enumerate(dates) if d != "d007"] + [(999, 1.0, "other")])
+    res = _load(spark, db, df, dates, table="gaps")
+    want = {d: (int(d != "d007"),) * 2 + (True,) for d in dates} | {"other": (1, 1, True)}
+    assert {r.effective_date: (r.source_count, r.target_count, r.is_match) for r in res.report_rows} == want
+    assert sorted(map(tuple, res.report.collect())) == sorted(map(tuple, res.report_rows))

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.functions.schema import column_spec_to_schema
 from quayside.plans.load import load_to_table
@@ -187,18 +188,33 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
     assert checkpoint_root(Session()) == "hdfs://nn/ckpt"
 
 
-def test_dated_read_literal_union_and_path_regex_agree(spark, scratch, monkeypatch):
-    import quayside.sources.delimited as D
-    from quayside.functions.schema import column_spec_to_schema
+@pytest.mark.parametrize("days", [1, 8, 9, 40])
+@pytest.mark.parametrize("template", ["ev_yyyymmdd_*.csv", "my ev+yyyymmdd.csv", "store12345678/l3/yyyymmdd/ev.csv", "d_yyyymmdd/e?_yyyymmdd.{csv,txt}", "é%/[ab]_yyyymmdd"])
+def test_dates_come_from_the_whole_path_for_any_number_of_dates(spark, scratch, template, days):
+    from datetime import date, timedelta
 
-    for day, n in (("20240101", 3), ("20240102", 2), ("20240103", 4)):
-        d = f"{scratch}/lit/ev_{day}"
-        os.makedirs(d, exist_ok=True)
-        with open(f"{d}/part-0.csv", "w") as f:
-            f.write("id,v\n" + "".join(f"{i},{i}.5\n" for i in range(n)))
-    schema = column_spec_to_schema([{"column_name": "id", "data_type": "bigint"}, {"column_name": "v", "data_type": "double"}])
-    dates = ["2024-01-01", "2024-01-02", "2024-01-03"]
-    union = sorted(map(tuple, D.read_dated_files(spark, f"{scratch}/lit/ev_yyyymmdd", dates, schema).collect()))
-    monkeypatch.setattr(D, "MAX_LITERAL_DATE_SCANS", 0)  # force the one-scan, path-regex form
-    regex = sorted(map(tuple, D.read_dated_files(spark, f"{scratch}/lit/ev_yyyymmdd", dates, schema).collect()))
-    assert union == regex and len(union) == 9 and {r[2] for r in union} == set(dates)
+    from quayside.functions.schema import column_spec_to_schema
+    from quayside.sources.delimited import read_dated_files
+
+    schema = column_spec_to_schema([{"column_name": "id", "data_type": "bigint"}])
+    dates = [date(2024, 1, 1) + timedelta(days=i) for i in range(days)]
+    for i, d in enumerate(dates):
+        path = f"{scratch}/{template}".replace("yyyymmdd", f"{d:%Y%m%d}").replace("_*", "_99999999").replace("e?", "ex").replace("{csv,txt}", "txt").replace("[ab]", "b")
+        if template.endswith("[ab]_yyyymmdd"):
+            path += "/part 1.csv"  # a folder of that name
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(f"id\n{i}\n{i}\n")
+    got = sorted(tuple(r) for r in read_dated_files(spark, f"{scratch}/{template}", dates, schema).collect())
+    assert got == sorted((i, d.isoformat()) for i, d in enumerate(dates) for _ in range(2))
+
+
+def test_a_path_without_its_date_is_an_error(spark):
+    from quayside.sources.delimited import date_from_path_column
+
+    paths = spark.createDataFrame([("file:/x/ev_2024011.csv",)], "p string")
+    with pytest.raises(Exception, match="no effective date"):
+        paths.select(date_from_path_column("/x/ev_yyyymmdd.csv", F.col("p"))).collect()
+    two = spark.createDataFrame([("file:/x/20240101/ev_20240102.csv",)], "p string")
+    with pytest.raises(Exception, match="no effective date"):
+        two.select(date_from_path_column("/x/yyyymmdd/ev_yyyymmdd.csv", F.col("p"))).collect()
