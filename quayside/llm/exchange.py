@@ -10,6 +10,7 @@ merged before they are shuffled.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,6 +23,16 @@ BLOB_SCHEMA = pa.schema([(BUCKET, pa.int32()), ("blob", pa.binary())])
 BLOB_DDL = "bucket int, blob binary"
 
 
+def release_memory() -> None:
+    """Gives memory that numpy and Arrow have freed back to the system: Python workers are kept
+    for later tasks, and what one stage needed at its peak would stay with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def _planes(x: np.ndarray) -> tuple[int, bytes]:
     top = int(x.max()) if len(x) else 0
     width = max(1, (top.bit_length() + 7) // 8)

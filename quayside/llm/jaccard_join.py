@@ -21,7 +21,7 @@ H = (r + s) * (den - num) / (den + num) shingles.
   passage in many documents) are left out for a set whose cover stays above H without them;
   such lists then hold only sets that need them.
 
-Candidates: each list first compares its smallest member with the others. Components of the
+Candidates: each list first compares its most central member with the others. Components of the
 links found are built, and a second round compares those pairs of a list that lie in different
 components. So every pair that shares a needed signature is either compared or already
 connected, and a large group of near copies costs a star, not all pairs. Pairs pass an exact
@@ -46,11 +46,11 @@ from pyspark.sql import functions as F
 
 from quayside.llm import exchange
 from quayside.llm.components import components
-from quayside.llm.words import Words, mix, slices
+from quayside.llm.words import SLICE_BYTES, Words, mix, slices
 from quayside.session import scratch_path
 
 HOT = 32  # a list with more sets is left out where the cover allows it
-RUN_SIGNATURES = 1_500_000  # entries that a map task sorts at a time
+RUN_SIGNATURES = 500_000  # entries that a map task sorts at a time
 MAX_BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast to fetch texts; beyond, a shuffle join
 _U = np.uint64
 _LEVELS = 3
@@ -129,9 +129,10 @@ def _expected(size: float, m: int, d: int) -> tuple[float, float]:
     return (m - d) * (1 - none) + d * (2 - 2 * none - one), m * (1 - none) + d * (x - one)
 
 
-def allocate(low: int, high: int, sets: int, num: int, den: int, shared: float = 0.3, share_rate: float = 1e-3, compare_cost: float = 20.0) -> Scheme:
+def allocate(low: int, high: int, sets: int, num: int, den: int, shared: float = 0.3, share_rate: float = 1e-5, compare_cost: float = 20.0) -> Scheme:
     """The cheapest allocation of a band whose expected cover is above H by two standard
-    deviations for sets at both ends of the band. Cost of a set: its signatures, and
+    deviations for sets at both ends of the band, also if a passage with the fraction ``shared``
+    of a set makes the lists of its segments costly. Cost of a set: its signatures, and
     ``compare_cost`` for each candidate expected among ``sets`` others, of which ``share_rate``
     have the fraction ``shared`` of their shingles in common. The model only steers cost."""
     best = None
@@ -140,8 +141,9 @@ def allocate(low: int, high: int, sets: int, num: int, den: int, shared: float =
             cost, fits = 0.0, True
             for size in (low, high):
                 cover, signatures = _expected(size, m, d)
-                fits &= cover - 2 * math.sqrt(m * math.exp(-size / m)) > most_different(size, size * den // num, num, den)
                 x = size / m
+                costly = (m + d) * (math.exp(-x * (1 - shared)) - math.exp(-x))
+                fits &= cover - costly - 2 * math.sqrt(m * math.exp(-x)) > most_different(size, size * den // num, num, den)
                 chance = math.exp(-x * (1 - shared)) - math.exp(-x)  # an equal segment that is not empty
                 cost += signatures + compare_cost * sets * share_rate * (m - d + d * (1 + x)) * chance
             if fits and (best is None or cost < best[0]):
@@ -215,12 +217,13 @@ def set_table(docs: DataFrame, shingle: int, lower: bool) -> DataFrame:
                 key, key2 = (_set_sums(h, first, s).view(np.int64) for s in (0x1234567, 0x7654321))
                 bits = [parity_bits(h[x:y]) for x, y in zip(first[:-1], first[1:])]
                 yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(np.diff(first), pa.int64()), pa.array(key), pa.array(key2), pa.array(bits, pa.binary())], names=["id", "n", "key", "key2", "bits"])
+        exchange.release_memory()
 
     return docs.mapInArrow(run, "id long, n long, key long, key2 long, bits binary")
 
 
 _FOUND = "kind int, a long, b long, scheme int, members array<long>"
-_STAR, _LIST, _HOT_LIST, _SLACK = range(4)
+_PAIR, _LIST, _HOT_LIST, _SLACK = range(4)
 _ROWS = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("scheme", pa.int32()), ("members", pa.list_(pa.int64()))])
 
 
@@ -247,7 +250,7 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
             yield rows(bucket, [None] * len(key), key, scheme, left)
 
         for batch in batches:
-            for _, _, w in slices(batch.column(1), lower):
+            for _, _, w in slices(batch.column(1), lower, limit=SLICE_BYTES // 2):
                 h, first = shingle_sets(w, shingle)
                 key = _set_sums(h, first, 0x1234567).view(np.int64)
                 _, one = np.unique(key, return_index=True)  # one of each class of the slice
@@ -262,8 +265,11 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
                     if n >= RUN_SIGNATURES:
                         yield from flush()
                         held, slack, n = [], [], 0
+                        exchange.release_memory()
         if held:
             yield from flush()
+        held, slack = [], []
+        exchange.release_memory()
 
     def match(batches):
         pairs, now, blobs = [], None, []
@@ -279,11 +285,8 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
             sig, key, scheme = sig[keep], key[keep], scheme[keep]
             start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             size = np.diff(np.concatenate([start, [len(sig)]]))
-            cold = (size > 1) & (size <= HOT)
-            inside = np.repeat(cold, size)
-            group = np.repeat(start, size)
-            rest = inside & (np.arange(len(sig)) != group)
-            pairs.append((key[group[rest]], key[rest]))
+            two = start[size == 2]
+            pairs.append((key[two], key[two + 1]))
             lists = [(int(s), key[a : a + s]) for a, s in zip(start[size > 2], size[size > 2])]
             if lists:
                 yield pa.record_batch(
@@ -302,11 +305,13 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
                 if blob.is_valid:
                     blobs.append(blob.as_py())
         yield from close()
+        blobs = []
+        exchange.release_memory()
         if pairs:
             a, b = (np.concatenate(x) for x in zip(*pairs))
             if len(a):
                 ab = np.unique(np.stack([a, b], 1), axis=0)
-                yield pa.record_batch([pa.array([_STAR] * len(ab), pa.int32()), pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int32()), pa.nulls(len(ab), pa.list_(pa.int64()))], schema=_ROWS)
+                yield pa.record_batch([pa.array([_PAIR] * len(ab), pa.int32()), pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int32()), pa.nulls(len(ab), pa.list_(pa.int64()))], schema=_ROWS)
 
     blobs = docs.mapInArrow(emit, "bucket int, blob binary, key long, scheme int, slack long")
     return blobs.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(match, _FOUND)
@@ -315,7 +320,7 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
 def _needed_lists(found: DataFrame, deletions: list[int]) -> DataFrame:
     """(list, key): the lists to compare; costly ones without the sets that are covered
     without them."""
-    lists = found.where(F.col("kind").isin(_LIST, _HOT_LIST)).withColumn("list", F.xxhash64("members", "scheme", "kind"))
+    lists = found.where(F.col("kind").isin(_LIST, _HOT_LIST)).withColumn("list", F.xxhash64("members"))
     cold = lists.where(F.col("kind") == _LIST).select("list", F.explode("members").alias("key")).distinct()
     hot = lists.where(F.col("kind") == _HOT_LIST).select("list", "scheme", F.explode("members").alias("key"))
     # a costly list in a segment with deletions takes up to 2 of the cover, else 1
@@ -371,14 +376,65 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
     return spark.read.parquet(path)
 
 
-def _across(lists: DataFrame, where: DataFrame) -> DataFrame:
-    """Pairs of a list in different components. ``where``: (key, component) of linked classes.
-    A list's smallest member is left out: it has been compared with all others."""
+def _fold(bits: list[bytes]) -> np.ndarray:
+    """Parity bitmaps of a list's sets, one row each, folded to the shortest."""
+    size = min(map(len, bits))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), axis=0) for b in bits]).view(np.uint64)
+
+
+_BLOCK = 512  # members of a list that a task compares at a time
+_MEMBER = "struct<key:long,component:long,n:long,bits:binary,open:array<long>>"
+
+
+def _stars(lists: DataFrame) -> DataFrame:
+    """(a, b): each list's most central member with the others. The original of a group of near
+    copies shares more signatures with the copies than they do with one another, so the member
+    whose lists hold the most other sets is compared first."""
+    size = lists.groupBy("list").agg((F.count(F.lit(1)) - 1).alias("others"))
+    central = lists.join(size, "list").groupBy("key").agg(F.sum("others").alias("others"))
+    pivot = lists.join(central, "key").groupBy("list").agg(F.max(F.struct("others", "key")).alias("p")).select("list", F.col("p.key").alias("a"))
+    return lists.join(pivot, "list").where("key <> a").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+
+
+def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a list in different components that pass the size and bitmap bounds. ``where``:
+    (key, component) of linked classes. Long lists are compared in blocks of members, so no task
+    holds a list; a pair is emitted by the first of the open lists that it shares, and only if
+    it passes."""
     at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
-    low = at.groupBy("list").agg(F.min("key").alias("low"), F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
-    open_ = at.join(low, "list").where("key <> low").select("list", "key", "component")
-    other = open_.select("list", F.col("key").alias("b"), F.col("component").alias("other"))
-    return open_.withColumnRenamed("key", "a").join(other, "list").where("a < b and component <> other").select("a", "b").distinct()
+    sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
+    blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
+    open_ = at.join(sizes.select("list", blocks.alias("blocks")), "list").join(classes.select("key", "n", "bits"), "key")
+    mine = open_.groupBy("key").agg(F.sort_array(F.collect_list("list")).alias("open"))  # at most a set's signatures
+    open_ = open_.join(mine, "key").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "bits", "open")).alias("members"))
+    one = held.select("list", F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
+    long = held.where("blocks > 1")
+    ahead = F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("other")
+    left = long.where("block + 1 < blocks").select("list", ahead, F.col("members").alias("p"))
+    two = left.join(long.select("list", F.col("block").alias("other"), F.col("members").alias("q")), ["list", "other"]).select("list", "p", "q")
+
+    def compare(batches):
+        for batch in batches:
+            out = []
+            for name, p, q in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                both = p + (q or [])
+                key, component, n = (np.array([m[c] for m in both], np.int64) for c in ("key", "component", "n"))
+                bits = _fold([m["bits"] for m in both])
+                begin = len(p) if q else 0
+                lists_of = [frozenset(m["open"]) for m in p]
+                for i in range(len(p)):
+                    j = np.arange(max(i + 1, begin), len(both))
+                    j = j[(component[j] != component[i]) & (np.minimum(n[j], n[i]) * den >= np.maximum(n[j], n[i]) * num)]
+                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
+                    j = j[differ <= (n[j] + n[i]) * (den - num) // (den + num)]
+                    if len(j):
+                        j = j[[next(x for x in both[k]["open"] if x in lists_of[i]) == name for k in j]]
+                    out.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
+            ab = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            yield pa.record_batch([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+
+    return one.union(two).mapInArrow(compare, "a long, b long").distinct()
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 75, den: int = 100, lower: bool = True) -> DataFrame:
@@ -413,12 +469,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists.write.parquet(path)
     lists = spark.read.parquet(path)
 
-    low = lists.groupBy("list").agg(F.min("key").alias("a"))
-    star = found.where(F.col("kind") == _STAR).select("a", "b").union(lists.join(low, "list").where("key <> a").select("a", F.col("key").alias("b"))).distinct()
+    star = found.where(F.col("kind") == _PAIR).select("a", "b").union(_stars(lists)).distinct()
     args = (classes, named, shingle, lower, num, den)
     links = _verified(star, *args)
     first = components(links.select("a", "b")).withColumnsRenamed({"id": "key"})
-    more = _verified(_across(lists, first), *args)
+    more = _verified(_across(lists, first, classes, num, den), *args)
 
     reach = components(links.union(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
     classes = classes.join(reach, "id", "left").select("n", "key", "key2", F.coalesce("component", "id").alias("component_id"))

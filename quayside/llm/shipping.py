@@ -8,12 +8,17 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = 8 << 20
+
 _done: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Adds the package's modules to the session's Python files, once per application, for
-    sessions that were not started with ``--py-files``."""
+    sessions that were not started with ``--py-files``. Rows here are whole texts, so batches
+    for Python workers get ``BATCH_BYTES`` where the session has Spark's default size."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _done:
         return

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.exchange import release_memory
 from quayside.llm.words import Words, _bytes, _TABLE, mix, separator_table, slices
 
 PREFIXES = (4, 5, 6)
@@ -197,6 +198,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 no = np.bincount(bags.doc, np.logaddexp(0, s.sentences(bags)), minlength=b - a)
                 out[a:b] = -np.expm1(-no)
             yield pa.record_batch([batch.column(0), pa.array(out)], names=["id", "score"])
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, score double")
 
@@ -249,5 +251,6 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
                 no = np.bincount(bags.doc, np.logaddexp(0, s.sentences(bags)), minlength=b - a)
                 keep[a:b] = -np.expm1(-no) < threshold
             yield batch.filter(pa.array(keep))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
