@@ -25,37 +25,46 @@ CONTROL_SCHEMA = "effective_date string, row_count long, amount_total decimal(18
 AMOUNT_TYPE = "decimal(18,2)"
 
 
-def control_schema() -> T.StructType:
-    return T.DataType.fromDDL(CONTROL_SCHEMA)
+def control_schema(scale: int = 2) -> T.StructType:
+    return T.DataType.fromDDL(CONTROL_SCHEMA.replace(AMOUNT_TYPE, f"decimal({16 + scale},{scale})"))
 
 
-def control_totals(df: DataFrame, date_column: str, amount_column: str | None) -> DataFrame:
+def control_totals(df: DataFrame, date_column: str, amount_column: str | None, scale: int = 2) -> DataFrame:
     """What a control file holds: rows and amount per date (used to produce fixtures and
-    by ``reconcile_totals`` for the table side)."""
+    by ``reconcile_totals`` for the table side). Amounts are taken to ``scale`` decimals."""
+    kind = f"decimal({16 + scale},{scale})"
     amount = (
-        F.sum(F.col(amount_column).cast(AMOUNT_TYPE)).cast(AMOUNT_TYPE)
-        if amount_column else F.lit(None).cast(AMOUNT_TYPE)
+        F.sum(F.col(amount_column).cast(kind)).cast(kind)
+        if amount_column else F.lit(None).cast(kind)
     )
     return df.groupBy(F.col(date_column).cast("string").alias("effective_date")).agg(
         F.count(F.lit(1)).alias("row_count"), amount.alias("amount_total")
     )
 
 
-def reconcile_totals(control: DataFrame, target: DataFrame, date_column: str = "effective_date", amount_column: str | None = None) -> DataFrame:
-    """``effective_date, control_count, target_count, control_amount, target_amount, is_match``."""
-    # The control holds one row per date: its dates become a literal filter, which prunes a
-    # partitioned target to those partitions.
-    dates = [r[0] for r in control.select("effective_date").distinct().collect() if r[0] is not None]
-    scoped = target.where(F.col(date_column).cast("string").isin(dates))
-    tgt = control_totals(scoped, date_column, amount_column).alias("t")
+def reconcile_totals(
+    control: DataFrame, target: DataFrame, date_column: str = "effective_date", amount_column: str | None = None,
+    dates: Sequence[str] | None = None, scale: int = 2,
+) -> DataFrame:
+    """``effective_date, control_count, target_count, control_amount, target_amount, is_match``
+    for the dates of the control and for ``dates`` (the batch's, or all of the target's with
+    ``dates="all"``): a date with rows and no control is a mismatch."""
+    scoped = target
+    if dates != "all":
+        # The control holds one row per date: its dates become a literal filter, which prunes a
+        # partitioned target to those partitions.
+        wanted = {r[0] for r in control.select("effective_date").distinct().collect() if r[0] is not None} | {str(d) for d in dates or ()}
+        scoped = target.where(F.col(date_column).cast("string").isin(sorted(wanted)))
+    kind = f"decimal({16 + scale},{scale})"
+    tgt = control_totals(scoped, date_column, amount_column, scale).alias("t")
     c = control.alias("c")
     j = c.join(tgt, F.col("c.effective_date").eqNullSafe(F.col("t.effective_date")), "full_outer")
     out = j.select(
         F.coalesce(F.col("c.effective_date"), F.col("t.effective_date")).alias("effective_date"),
         F.coalesce(F.col("c.row_count"), F.lit(0)).cast("long").alias("control_count"),
         F.coalesce(F.col("t.row_count"), F.lit(0)).cast("long").alias("target_count"),
-        F.col("c.amount_total").cast(AMOUNT_TYPE).alias("control_amount"),
-        F.col("t.amount_total").cast(AMOUNT_TYPE).alias("target_amount"),
+        F.col("c.amount_total").cast(kind).alias("control_amount"),
+        F.col("t.amount_total").cast(kind).alias("target_amount"),
     )
     return out.withColumn(
         "is_match",
@@ -107,6 +116,9 @@ def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], co
     keys = list(keys)
     if compare is None:
         compare = [c for c in source.columns if c not in keys and c in target.columns]
+    # Equal values of different types have different hashes: both sides take the target's types.
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    source = source.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in dict.fromkeys([*keys, *compare])])
     s = _per_key(source, keys, compare, "s")
     t = _per_key(target, keys, compare, "t")
     # Plain equality on the (is-null flag, value-or-placeholder) grouping columns: null

@@ -378,7 +378,7 @@ def _lineage_runs(ctx: Ctx) -> str:
 )
 def q_lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineage = _lineage_runs(Ctx(spark, sf_dir))
-    return spark.table(lineage).select(*[c for c in EDGE_COLUMNS if c != "run_id"])
+    return spark.table(lineage).select(*[c for c in EDGE_COLUMNS if c not in ("run_id", "status")])
 
 
 @register(

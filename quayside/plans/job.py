@@ -4,11 +4,14 @@
     spark-submit quayside/plans/job.py workflow --metadata m.json --workflow_id workflow_2 \
         --cycle_date 2024-12-26 --schemas s.json --placeholder APP_DATA_IN_DIR=/data/in
 
-Cluster settings normally come from spark-submit and the cluster's defaults. The
-reference job's own cluster options (``--spark_master_uri``, ``--spark_history_log_dir``,
-``--spark_local_dir``, ``--postgres_uri``) are accepted, so its command lines run as they
-are, and become plain session settings (see ``session_settings``). Prints one JSON line
-with the load result and exits 1 on a count mismatch when ``--strict`` is given."""
+Cluster settings come from spark-submit and the cluster's defaults, which nothing here
+overrides. The reference job's own cluster options (``--spark_master_uri``,
+``--spark_history_log_dir``, ``--spark_local_dir``, ``--postgres_uri``) are accepted and become
+session settings where spark-submit has not decided them (see ``session_settings``).
+``--postgres_uri`` selects a persistent catalog, which daily runs in separate processes need;
+its JDBC driver has to be on spark-submit's class path. Without it, or a catalog named on
+submit, the tables are known to one process only. Prints one JSON line with the load result and
+exits 1 on a count mismatch when ``--strict`` is given."""
 
 from __future__ import annotations
 
@@ -31,7 +34,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--cur_eff_date", required=True, help="ISO date; comma-separated for a backfill")
     p.add_argument("--target_table_schema", required=True, help="JSON list of {column_name, data_type}")
     p.add_argument("--load_type", required=True, choices=["full", "incremental"])
-    p.add_argument("--file_delim", default=",")
+    p.add_argument("--file_delim", help="delimiter; that of the dataset's metadata record when omitted, else a comma")
+    p.add_argument("--metadata", help="JSON file with dataset records, for the source's delimiter and data source user")
     p.add_argument("--date_from_path", action="store_true", help="take effective_date from the file path")
     p.add_argument("--parity", action="store_true", help="two-type schema mapping (decimal or string)")
     p.add_argument("--strict", action="store_true", help="exit 1 on a count mismatch")
@@ -53,8 +57,10 @@ def session_settings(a: argparse.Namespace) -> tuple[str | None, dict]:
     if a.spark_local_dir:
         extra["spark.local.dir"] = a.spark_local_dir
     if a.postgres_uri:
-        # Used by sessions whose catalog is the Hive metastore.
+        # A persistent catalog: tables of one run are found by the next.
+        extra["spark.sql.catalogImplementation"] = "hive"
         extra["spark.hadoop.javax.jdo.option.ConnectionURL"] = a.postgres_uri
+        extra["spark.hadoop.javax.jdo.option.ConnectionDriverName"] = "org.postgresql.Driver"
     return a.spark_master_uri, extra
 
 
@@ -63,9 +69,16 @@ def spec_from_args(a: argparse.Namespace) -> LoadSpec:
     if db and db != a.target_database_name:
         raise ValueError("qual_target_table_name and target_database_name disagree")
     dates = tuple(d.strip() for d in a.cur_eff_date.split(",") if d.strip())
-    template = a.source_file_path
+    delimiter, user = a.file_delim, None
+    if a.metadata:
+        with open(a.metadata) as f:
+            records = {r["dataset_id"]: r for r in json.load(f).get("datasets", ())}
+        if a.source_dataset_id not in records:
+            raise KeyError(f"dataset {a.source_dataset_id} is not in {a.metadata}")
+        described = DatasetSpec.from_record(records[a.source_dataset_id])
+        delimiter, user = delimiter or described.delimiter, described.data_source_user
     return LoadSpec(
-        source=DatasetSpec(a.source_dataset_id, path_template=template, delimiter=a.file_delim),
+        source=DatasetSpec(a.source_dataset_id, path_template=a.source_file_path, delimiter=delimiter or ",", data_source_user=user),
         target=TableSpec(a.target_database_name, name, tuple(json.loads(a.partition_keys))),
         columns=json.loads(a.target_table_schema),
         load_type=a.load_type,

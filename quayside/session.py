@@ -5,26 +5,46 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "quayside", extra: dict | None = None) -> SparkSession:
-    """Session for tests, the bench and the job script. On a cluster ``master`` comes from
-    ``spark-submit`` and the builder only adds settings that are not already set."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
+def submitted_settings() -> set[str]:
+    """Names of the settings that are already decided: by spark-submit (its ``--conf``, its
+    properties file), or by a running session."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return set(active.conf.getAll)
+    SparkContext._ensure_initialized()
+    return {k for k, v in SparkConf().getAll() if (k, v) not in _LAUNCHER and k != "spark.app.name"}
+
+
+# what the launcher sets where the user has decided nothing
+_LAUNCHER = {("spark.master", "local[*]"), ("spark.ui.showConsoleProgress", "true"), ("spark.submit.deployMode", "client"), ("spark.submit.pyFiles", "")}
+
+
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None, app: str = "quayside", extra: dict | None = None) -> SparkSession:
+    """Session for tests, the bench and the job script. Adds only settings that are not decided
+    already: nothing here overrides ``spark-submit`` or a running session."""
+    wanted = {
+        "spark.app.name": app,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if shuffle_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master:
-        builder = builder.master(master)
+        wanted["spark.master"] = master
+    wanted |= {k: str(v) for k, v in (extra or {}).items()}
+    given = submitted_settings()
+    builder = SparkSession.builder
+    for k, v in wanted.items():
+        if k not in given:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

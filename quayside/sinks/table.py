@@ -53,7 +53,7 @@ def check_load_type(load_type: str) -> None:
     """K8 (and E5: also checked when the table does not exist yet)."""
     if load_type not in LOAD_TYPES:
         raise ValueError(
-            f"Ingestion pattern is not supported: load_type={load_type!r}; expected one of {LOAD_TYPES}."
+            f"load_type {load_type!r} is none of {LOAD_TYPES}"
         )
 
 

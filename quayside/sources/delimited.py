@@ -108,7 +108,7 @@ def read_delimited(
         return _reader(spark, schema, sep, header, corrupt_column, options).csv(paths)
     except AnalysisException as e:  # S3: the reader lists files eagerly
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise SourceMissingError(f"File {', '.join(paths)} does not exist (dataset {dataset_id}).") from e
+            raise SourceMissingError(f"dataset {dataset_id}: no source at {', '.join(paths)}") from e
         raise
 
 

@@ -151,3 +151,38 @@ def test_amount_anomalies_match_brute_force(spark):
     want = {d: (round(0.6745 * (s - med) / mad, 4), abs(round(0.6745 * (s - med) / mad, 4)) > 3.5) for d, s in sums.items()}
     got = {r.dt: (r.score, r.is_anomaly) for r in amount_anomalies(df, "effective_date", "amount").collect()}
     assert got == want and [d for d, (_, bad) in got.items() if bad] == ["2024-01-09"]
+
+
+def test_lineage_of_long_chains_cycles_and_failed_runs(spark, db):
+    t = f"{db}.chain"
+    counts = spark.createDataFrame([("2024-01-01", 1)], "effective_date string, n long")
+    pairs = [(f"d{i}", f"d{i + 1}") for i in range(40)] + [("d40", "d38")]
+    edges = None
+    for a, b in pairs:
+        e = edges_from_counts(counts, "wf", "t", a, b, "r")
+        edges = e if edges is None else edges.union(e)
+    record_lineage(spark, edges.union(edges_from_counts(counts, "wf", "t", "d40", "never", "r", "failed")), t)
+    got = {r.dataset: r.depth for r in traverse(spark, t, "d0").collect()}
+    assert got == {f"d{i}": i for i in range(1, 41)}
+
+
+def test_row_compare_takes_the_targets_types(spark):
+    from quayside.operators.reconcile import reconcile_rows
+
+    a = spark.createDataFrame([(1, 5, "2.5"), (2, 6, "x")], "k int, v int, w string")
+    b = spark.createDataFrame([(1, 5, "2.5"), (2, 7, "x")], "k bigint, v bigint, w string")
+    assert [tuple(r) for r in reconcile_rows(a, b, ["k"]).collect()] == [(2, "changed")]
+
+
+def test_dates_without_a_control_are_reported(spark):
+    from quayside.operators.reconcile import control_schema, reconcile_totals
+
+    control = spark.createDataFrame([("2024-01-01", 1, None)], control_schema())
+    target = spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-02", 2.0), ("2024-01-03", 3.0)], "effective_date string, v double")
+    rows = lambda dates: {r.effective_date: (r.control_count, r.target_count, r.is_match) for r in reconcile_totals(control, target, dates=dates).collect()}
+    assert rows(["2024-01-01", "2024-01-02"]) == {"2024-01-01": (1, 1, True), "2024-01-02": (0, 1, False)}
+    assert rows("all") == {"2024-01-01": (1, 1, True), "2024-01-02": (0, 1, False), "2024-01-03": (0, 1, False)}
+    fine = spark.createDataFrame([("2024-01-01", 1, "1.2345")], "effective_date string, row_count long, amount_total string").select("effective_date", "row_count", F.col("amount_total").cast("decimal(20,4)").alias("amount_total"))
+    one = spark.createDataFrame([("2024-01-01", "1.2346")], "effective_date string, v string")
+    assert [r.is_match for r in reconcile_totals(fine, one, amount_column="v", scale=4).collect()] == [False]
+    assert [r.is_match for r in reconcile_totals(fine, one, amount_column="v", scale=2).collect()] == [True]

@@ -72,3 +72,22 @@ def test_volume_anomalies_scan_the_fact_table_once(spark):
     # the daily aggregate is checkpointed once; the median/MAD subqueries read that
     p = plan(volume_anomalies(ev, "effective_date"))
     assert nodes(p, "Scan parquet") == 0 and nodes(p, "Scan ExistingRDD") >= 1
+
+
+def test_nothing_overrides_what_spark_submit_decided(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "from quayside.session import build_session\n"
+        "s = build_session('local[1]', shuffle_partitions=8, extra={'spark.sql.session.timeZone': 'UTC'})\n"
+        "print('GOT', s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'), s.conf.get('spark.sql.adaptive.enabled'), s.sparkContext.master)\n"
+        "t = build_session(None, shuffle_partitions=3)\n"
+        "print('AGAIN', t.conf.get('spark.sql.shuffle.partitions'), t is s)\n"
+    )
+    submit = "--master local[2] --conf spark.sql.shuffle.partitions=4000 --conf spark.sql.adaptive.enabled=false --conf spark.sql.session.timeZone=CET pyspark-shell"
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": submit, "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_path).stdout
+    assert "GOT 4000 CET false local[2]" in out and "AGAIN 4000 True" in out

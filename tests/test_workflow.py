@@ -91,7 +91,9 @@ def test_job_accepts_the_reference_cluster_options():
     master, extra = session_settings(a)
     assert master == "spark://m:7077"
     assert extra == {"spark.eventLog.enabled": "true", "spark.eventLog.dir": "/logs", "spark.local.dir": "/scratch",
-                     "spark.hadoop.javax.jdo.option.ConnectionURL": "jdbc:postgresql://h/metastore"}
+                     "spark.sql.catalogImplementation": "hive",
+                     "spark.hadoop.javax.jdo.option.ConnectionURL": "jdbc:postgresql://h/metastore",
+                     "spark.hadoop.javax.jdo.option.ConnectionDriverName": "org.postgresql.Driver"}
 
 
 def test_two_quality_tasks_on_one_source_keep_their_own_rules(spark, scratch, db):
