@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.quantiles import MAX_BROADCAST_ROWS, quantiles
@@ -42,16 +42,30 @@ def volume_anomalies(df: DataFrame, date_column: str, threshold: float = Z_THRES
     return score_daily(daily_counts(df, date_column).checkpoint(eager=True), threshold, digits)
 
 
-def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int = 4, metric: str = "n") -> DataFrame:
-    """Robust z-scores of a small per-day frame ``dt, <metric>`` (one row per day)."""
+def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int = 4, metric: str = "n", history: DataFrame | None = None) -> DataFrame:
+    """Robust z-scores of a small per-day frame ``dt, <metric>`` (one row per day), by the
+    median and MAD of ``history`` (a frame of other days) or, without one, of the days themselves."""
     m = F.col(metric)
-    med = daily.select(F.median(m)).scalar()
-    mad = daily.select(F.median(F.abs(m - med))).scalar()
+    days = daily if history is None else history
+    med = days.select(F.median(m)).scalar()
+    mad = days.select(F.median(F.abs(m - med))).scalar()
     score = F.round(F.try_divide(F.lit(MAD_SCALE) * (m - med), mad), digits)
     flag = F.when(mad == 0, m != med).otherwise(F.abs(F.col("score")) > F.lit(threshold))
     return daily.select("dt", metric, score.alias("score")).withColumn("is_anomaly", flag)
 
 
+def volume_against_history(daily: DataFrame, spark: SparkSession, table: str, date_column: str, dates: Sequence[str], threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
+    """Scores the days of a batch (``dt, n``) against the stored daily counts of ``table``, the
+    batch's ``dates`` left out; against one another if the table holds no other day."""
+    if spark.catalog.tableExists(table) and date_column in spark.table(table).columns:
+        checkpoint_root(spark)
+        stored = spark.table(table).where(~F.col(date_column).cast("string").isin([str(d) for d in dates]))  # null dates drop out
+        history = daily_counts(stored, date_column).checkpoint(eager=True)  # a row per day; reads no column
+        if not history.isEmpty():
+            return score_daily(daily, threshold, digits, history=history)
+    return score_daily(daily, threshold, digits)
+
+
 def amount_anomalies(df: DataFrame, date_column: str, amount_column: str, threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
     """``dt, amount, score, is_anomaly``: the daily sum of ``amount_column`` against the
     median and MAD of the daily sums. The sum is exact (decimal(18,2), as control totals),

@@ -157,7 +157,7 @@ class ObservedChecks:
                         F.avg(d).alias(f"{p}avg{i}"), F.stddev_samp(d).alias(f"{p}sd{i}")]
         return out
 
-    def results(self, spark, metrics: dict, per_date: dict, digits: int = 4) -> SourceChecks:
+    def results(self, spark, metrics: dict, per_date: dict, digits: int = 4, score=None) -> SourceChecks:
         """The three task results from the observed metrics and the per-date source counts
         (dates without rows are left out, as in the grouped pass)."""
         m = {k[len(_PREFIX):]: v for k, v in metrics.items() if k.startswith(_PREFIX)}
@@ -166,9 +166,9 @@ class ObservedChecks:
             [(r.name, r.kind, r.column, n, int(m[f"f{i}"]), int(m[f"f{i}"]) == 0) for i, r in enumerate(self.rules)],
             "rule_name string, rule_type string, column_name string, checked_rows long, failed_rows long, passed boolean",
         ) if self.rules else None
-        daily = score_daily(spark.createDataFrame(
+        daily = (score or (lambda x: score_daily(x, digits=digits)))(spark.createDataFrame(
             sorted((d, int(c)) for d, c in per_date.items() if d is not None and c), "dt string, n long"
-        ), digits=digits)
+        ))
 
         def rnd(v):
             return None if v is None else round(float(v), digits)

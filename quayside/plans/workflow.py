@@ -16,7 +16,7 @@ from typing import Any, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.anomaly import volume_anomalies
+from quayside.operators.anomaly import score_daily, volume_against_history, volume_anomalies
 from quayside.operators.lineage import edges_from_counts, record_lineage
 from quayside.operators.profile import profile_columns
 from quayside.operators.quality import Rule, check_row_rules
@@ -80,7 +80,11 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
         if dataset_id == wf.load.source.dataset_id:
             return source_frame(spark, wf.load)[0]
         if dataset_id in (wf.load.target.qualified, wf.load.target.dataset_id):
-            return spark.table(wf.load.target.qualified)
+            # a task after an incremental load is about the run's dates, not all history
+            table = spark.table(wf.load.target.qualified)
+            if wf.load.load_type == "incremental" and wf.load.effective_dates and wf.load.date_column in table.columns:
+                table = table.where(F.col(wf.load.date_column).cast("string").isin([str(d) for d in wf.load.effective_dates]))
+            return table
     if wf.extract is not None and dataset_id == wf.extract.target.dataset_id:
         path = resolve_dated_path(wf.extract.target.path_template, wf.extract.effective_date)
         return read_delimited(spark, path, column_spec_to_schema(wf.extract.columns), wf.extract.target.delimiter)
@@ -100,14 +104,18 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
 def _rules(task: ManagementTask, df: DataFrame) -> list[Rule]:
     p = task.params
     rules = [r if isinstance(r, Rule) else Rule(**r) for r in p.get("rules", ())]
-    return rules or [Rule(f"{c}_not_null", "not_null", c) for c in p.get("not_null", df.columns[:1])]
+    return rules or [Rule(f"{c}_not_null", "not_null", c) for c in p.get("not_null", df.columns)]
 
 
-def _summarise(wf: Workflow, task: ManagementTask, step: str, quality=None, daily=None, profile=None) -> tuple:
-    """Result row of a quality / volume / profile task from its result frame."""
+def _summarise(wf: Workflow, task: ManagementTask, step: str, quality=None, daily=None, profile=None, keep: dict | None = None) -> tuple:
+    """Result row of a quality / volume / profile task from its result frame, which is kept."""
+    if keep is not None:
+        frame = {"data quality": quality, "data quality ml": daily}.get(task.name, profile)
+        tasks = wf.pre_tasks if step == "pre" else wf.post_tasks
+        keep[(step, next(i for i, t in enumerate(tasks) if t is task), task.name)] = frame
     if task.name == "data quality":
         res = quality.agg(F.max("checked_rows").alias("checked"), F.sum("failed_rows").alias("failed")).first()
-        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if res.failed == 0 else "failed", res.checked, res.failed)
+        return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if not res.failed else "failed", res.checked, res.failed)
     if task.name == "data quality ml":
         res = daily.agg(F.sum("n").alias("rows"), F.count_if("is_anomaly").alias("bad")).first()
         return _row(wf.workflow_id, step, task.name, task.dataset_id, "ok" if not res.bad else "failed", res.rows, res.bad)
@@ -129,7 +137,16 @@ def _first_of_each_name(tasks: Sequence[ManagementTask], idx: list[int]) -> list
     return out
 
 
-def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str) -> dict[int, tuple]:
+def _volume_score(spark: SparkSession, wf: Workflow, dataset_id: str, date_column: str):
+    """How a task's daily volumes are scored: those of the load's source or target against the
+    days that the target holds besides the run's; others among themselves."""
+    load = wf.load
+    if load is not None and date_column == load.date_column and dataset_id in (load.source.dataset_id, load.target.dataset_id, load.target.qualified):
+        return lambda daily: volume_against_history(daily, spark, load.target.qualified, date_column, load.effective_dates)
+    return score_daily
+
+
+def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str, keep: dict | None = None) -> dict[int, tuple]:
     """Rows of the tasks that share one pass over their dataset, by task index."""
     from quayside.operators.onepass import source_checks
 
@@ -153,16 +170,29 @@ def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTas
         prof = next((t for t in group if t.name == "data profile"), None)
         rules = _rules(dq, df) if dq else []
         checks = source_checks(df, date_col, rules, prof.params.get("columns") if prof else None)
+        daily = _volume_score(spark, wf, ds, date_col)(checks.daily.select("dt", "n"))
         for i, t in zip(idx, group):
-            out[i] = _summarise(wf, t, step, checks.quality, checks.daily, checks.profile)
+            out[i] = _summarise(wf, t, step, checks.quality, daily, checks.profile, keep)
     return out
 
 
-def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str, skip: Sequence[int] = ()) -> dict[int, tuple]:
-    """Result rows by task index; tasks in ``skip`` are left to the caller."""
+def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask], step: str, skip: Sequence[int] = (), keep: dict | None = None) -> dict[int, tuple]:
+    """Result rows by task index; tasks in ``skip`` are left to the caller. A task that raises
+    has the status ``error``; the others still run."""
     todo = [(i, t) for i, t in enumerate(tasks) if i not in skip]
-    fused = _fused_rows(spark, wf, [t for _, t in todo], step)
-    return {i: fused[j] if j in fused else run_management_task(spark, wf, t, step) for j, (i, t) in enumerate(todo)}
+    try:
+        fused = _fused_rows(spark, wf, [t for _, t in todo], step, keep)
+    except Exception as e:  # the tasks then run one by one, and the one that fails says so
+        log.warning("%s: shared pass of the %s tasks failed: %s", wf.workflow_id, step, e)
+        fused = {}
+    out = {}
+    for j, (i, t) in enumerate(todo):
+        try:
+            out[i] = fused[j] if j in fused else run_management_task(spark, wf, t, step, keep)
+        except Exception as e:
+            log.error("%s: %s task %r on %s failed: %s", wf.workflow_id, step, t.name, t.dataset_id, e)
+            out[i] = _row(wf.workflow_id, step, t.name, t.dataset_id, "error")
+    return out
 
 
 def _checks_in_load(spark: SparkSession, wf: Workflow):
@@ -206,23 +236,32 @@ def _checks_in_load(spark: SparkSession, wf: Workflow):
     return idx, ObservedChecks(fields, rules)
 
 
-def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask, step: str) -> tuple:
+def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask, step: str, keep: dict | None = None) -> tuple:
     """One governance task; returns its result row."""
     df = _dataset_frame(spark, wf, task.dataset_id)
     p = task.params
+    date_column = p.get("date_column", "effective_date")
     if task.name == "data quality":
-        return _summarise(wf, task, step, quality=check_row_rules(df, _rules(task, df)))
+        return _summarise(wf, task, step, quality=check_row_rules(df, _rules(task, df)), keep=keep)
     if task.name == "data profile":
-        return _summarise(wf, task, step, profile=profile_columns(df, p.get("columns"), exact=p.get("exact", False)))
+        return _summarise(wf, task, step, profile=profile_columns(df, p.get("columns"), exact=p.get("exact", False)), keep=keep)
     if task.name == "data quality ml":
-        return _summarise(wf, task, step, daily=volume_anomalies(df, p.get("date_column", "effective_date")))
+        daily = volume_anomalies(df, date_column).select("dt", "n")
+        return _summarise(wf, task, step, daily=_volume_score(spark, wf, task.dataset_id, date_column)(daily), keep=keep)
     if task.name == "data reconciliation":
         ds = wf.datasets.get(task.dataset_id) or (wf.load.source if wf.load else None)
         template = p.get("control_path_template") or (ds.recon_path_template if ds else None)
+        if not template:
+            raise ValueError(f"no control file template for dataset {task.dataset_id}")
         dates = p.get("dates") or (wf.load.effective_dates if wf.load else ())
         paths = [resolve_dated_path(template, d) for d in dates]
-        control = read_delimited(spark, paths, control_schema(), sep=p.get("control_delimiter", "|"))
-        res = reconcile_totals(control, df, p.get("date_column", "effective_date"), p.get("amount_column")).agg(
+        scale = p.get("amount_scale", 2)
+        control = read_delimited(spark, paths, control_schema(scale), sep=p.get("control_delimiter") or (ds.recon_delimiter if ds else "|"))
+        report = reconcile_totals(control, df, date_column, p.get("amount_column"), dates=dates, scale=scale)
+        if keep is not None:
+            tasks = wf.pre_tasks if step == "pre" else wf.post_tasks
+            keep[(step, next(i for i, t in enumerate(tasks) if t is task), task.name)] = report
+        res = report.agg(
             F.sum("target_count").alias("rows"), F.count_if(~F.col("is_match")).alias("bad"),
             F.sum("control_count").alias("ctl"),
         ).first()
@@ -242,58 +281,84 @@ def run_extract(spark: SparkSession, spec: ExtractSpec) -> tuple[int, int, str]:
     return written, back, path
 
 
-def run_workflow(spark: SparkSession, wf: Workflow, run_id: str | None = None) -> DataFrame:
+def run_workflow(spark: SparkSession, wf: Workflow, run_id: str | None = None, keep: dict | None = None) -> DataFrame:
+    """Runs a workflow; one result row per step. ``keep`` receives the result frames of the
+    management tasks by ``(step, index, task name)``: failed rules, profiles, daily scores,
+    reconciliation. Statuses: ``ok``; ``failed`` (a check or count does not hold); ``error``
+    (the step raised, see the log); ``skipped``. Lineage is recorded with the main step's status,
+    whatever it is."""
     run_id = run_id or uuid.uuid4().hex
     # Pre tasks on the load's own source ride along with the load's write when nothing
     # waits for them (one parse of the source for the whole workflow); the others run now.
-    in_load = _checks_in_load(spark, wf)
+    try:
+        in_load = _checks_in_load(spark, wf)
+    except Exception as e:  # the source cannot be read: the tasks and the load say so below
+        log.warning("%s: %s", wf.workflow_id, e)
+        in_load = None
     in_load_idx = in_load[0] if in_load else []
-    pre = run_tasks(spark, wf, wf.pre_tasks, "pre", skip=in_load_idx)
+    pre = run_tasks(spark, wf, wf.pre_tasks, "pre", skip=in_load_idx, keep=keep)
     blocked = wf.gate and any(r[4] != "ok" for r in pre.values())
 
-    status_code = 1
+    status = "skipped"
     counts = None
-    src_id = tgt_id = None
+    if wf.extract is not None and wf.load is None:
+        src_id, tgt_id, name = wf.extract.source.dataset_id, wf.extract.target.dataset_id, "distribution"
+        dates = [wf.extract.effective_date]
+    else:
+        load = wf.load
+        src_id, tgt_id = (load.source.dataset_id, load.target.dataset_id or load.target.qualified) if load else (None, None)
+        name, dates = "ingestion", list(load.effective_dates) if load else []
     main: list[tuple] = []
-    if blocked:
-        main.append(_row(wf.workflow_id, "main", "ingestion", None, "skipped"))
-    elif wf.load is not None:
-        res: LoadResult = load_to_table(spark, wf.load, extra_metrics=in_load[1].exprs() if in_load else ())
-        if in_load:
-            per_date = {r.effective_date: r.source_count for r in res.report_rows}
-            checks = in_load[1].results(spark, res.metrics, per_date)
-            for i in in_load_idx:
-                pre[i] = _summarise(wf, wf.pre_tasks[i], "pre", checks.quality, checks.daily, checks.profile)
-        status_code = res.status
-        src_id = wf.load.source.dataset_id
-        tgt_id = wf.load.target.dataset_id or wf.load.target.qualified
-        main.append(_row(wf.workflow_id, "main", "ingestion", tgt_id, "ok" if res.status == 0 else "failed",
-                         res.source_count, res.target_count - res.source_count if res.status else 0,
-                         res.source_count, res.target_count))
-        counts = res.report.select("effective_date", "target_count")
-    elif wf.extract is not None:
-        written, back, _ = run_extract(spark, wf.extract)
-        status_code = 0 if written == back else 1
-        src_id, tgt_id = wf.extract.source.dataset_id, wf.extract.target.dataset_id
-        main.append(_row(wf.workflow_id, "main", "distribution", tgt_id, "ok" if status_code == 0 else "failed",
-                         written, abs(written - back), written, back))
-        counts = spark.createDataFrame([(wf.extract.effective_date, back)], "effective_date string, n long")
+    try:
+        if blocked:
+            main.append(_row(wf.workflow_id, "main", name, tgt_id, "skipped"))
+        elif wf.load is not None:
+            res: LoadResult = load_to_table(spark, wf.load, extra_metrics=in_load[1].exprs() if in_load else ())
+            status = "ok" if res.status == 0 else "failed"
+            # rows that differ, over all dates: +1 on one and -1 on another are two
+            off = sum(abs(r.target_count - r.source_count) for r in res.report_rows)
+            main.append(_row(wf.workflow_id, "main", name, tgt_id, status, res.source_count, off, res.source_count, res.target_count))
+            counts = res.report.select("effective_date", "target_count")
+            if in_load:
+                per_date = {r.effective_date: r.source_count for r in res.report_rows}
+                score = _volume_score(spark, wf, wf.load.source.dataset_id, wf.load.date_column)
+                checks = in_load[1].results(spark, res.metrics, per_date, score=score)
+                for i in in_load_idx:
+                    pre[i] = _summarise(wf, wf.pre_tasks[i], "pre", checks.quality, checks.daily, checks.profile, keep)
+        elif wf.extract is not None:
+            written, back, _ = run_extract(spark, wf.extract)
+            status = "ok" if written == back else "failed"
+            main.append(_row(wf.workflow_id, "main", name, tgt_id, status, written, abs(written - back), written, back))
+            counts = spark.createDataFrame([(wf.extract.effective_date, back)], "effective_date string, n long")
+    except Exception as e:
+        log.error("%s: main task failed: %s", wf.workflow_id, e)
+        if not main:  # else the load itself is done and recorded
+            status = "error"
+            main.append(_row(wf.workflow_id, "main", name, tgt_id, status))
+    for i in in_load_idx:
+        pre.setdefault(i, _row(wf.workflow_id, "pre", wf.pre_tasks[i].name, wf.pre_tasks[i].dataset_id, "error"))
 
     results = [pre[i] for i in sorted(pre)] + main
-    if status_code == 0:  # post tasks only after a successful main task
-        post = run_tasks(spark, wf, wf.post_tasks, "post")
+    if status == "ok":  # post tasks only after a successful main task
+        post = run_tasks(spark, wf, wf.post_tasks, "post", keep=keep)
         results += [post[i] for i in sorted(post)]
 
-    # Lineage always runs (also after a failed main task).
-    edges_n = 0
-    if counts is not None:
-        sources = (wf.extract.upstream or (src_id,)) if wf.extract is not None else (src_id,)
-        edges = None
-        for s in sources:
-            e = edges_from_counts(counts, wf.workflow_id, "main", s, tgt_id, run_id)
-            edges = e if edges is None else edges.unionByName(e)
-        if wf.lineage_table:
-            record_lineage(spark, edges, wf.lineage_table)
-        edges_n = edges.count()
-    results.append(_row(wf.workflow_id, "lineage", "data lineage", tgt_id, "ok", edges_n, 0))
+    # Lineage always runs, also after a failed or skipped main task: its edges carry the status.
+    edges_n, lineage = 0, status
+    try:
+        if src_id is not None:
+            if counts is None:
+                counts = spark.createDataFrame([(str(d), 0) for d in dates] or [(None, 0)], "effective_date string, n long")
+            sources = (wf.extract.upstream or (src_id,)) if wf.load is None else (src_id,)
+            edges = None
+            for s in sources:
+                e = edges_from_counts(counts, wf.workflow_id, "main", s, tgt_id, run_id, status)
+                edges = e if edges is None else edges.unionByName(e)
+            if wf.lineage_table:
+                record_lineage(spark, edges, wf.lineage_table)
+            edges_n = edges.count()
+    except Exception as e:
+        log.error("%s: lineage failed: %s", wf.workflow_id, e)
+        lineage = "error"
+    results.append(_row(wf.workflow_id, "lineage", "data lineage", tgt_id, lineage, edges_n, 0))
     return spark.createDataFrame(results, RESULT_SCHEMA)

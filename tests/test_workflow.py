@@ -46,7 +46,8 @@ def test_workflow_runs_all_steps_with_real_counts(spark, scratch, db):
 def test_gate_blocks_load_and_lineage_still_runs(spark, scratch, db):
     t, r = _files(scratch)
     res = [tuple(x) for x in run_workflow(spark, _wf(db, t, r, gate=True)).collect()]
-    assert [(x[1], x[4]) for x in res] == [("pre", "failed"), ("pre", "ok"), ("main", "skipped"), ("lineage", "ok")]
+    assert [(x[1], x[4]) for x in res] == [("pre", "failed"), ("pre", "ok"), ("main", "skipped"), ("lineage", "skipped")]
+    assert [r.status for r in spark.table(f"{db}.lineage").collect()] == ["skipped"]
     assert not spark.catalog.tableExists(f"{db}.pos")
 
 
@@ -107,3 +108,50 @@ def test_two_quality_tasks_on_one_source_keep_their_own_rules(spark, scratch, db
     for wf in (both, both.__class__(**{**both.__dict__, "gate": True})):  # in the load, and in the grouped pass
         pre = [(x.task, x.status, x.issue_count) for x in run_workflow(spark, wf).collect() if x.step == "pre"]
         assert pre == [("data quality", "failed", 1), ("data quality", "ok", 0), ("data profile", "ok", 0)]
+
+
+def test_a_missing_source_leaves_results_and_lineage(spark, scratch, db):
+    wf = _wf(db, f"{scratch}/nowhere/pos_yyyymmdd.csv", f"{scratch}/nowhere/pos_yyyymmdd.recon")
+    res = [tuple(x) for x in run_workflow(spark, wf).collect()]
+    assert [(x[1], x[2], x[4]) for x in res] == [("pre", "data quality", "error"), ("pre", "data profile", "error"), ("main", "ingestion", "error"), ("lineage", "data lineage", "error")]
+    assert [(r.source_dataset, r.status) for r in spark.table(f"{db}.lineage").collect()] == [("pos_file", "error")]
+
+
+def test_default_rules_cover_every_column_and_frames_are_kept(spark, scratch, db):
+    t, r = _files(scratch, rows=("1,", "2,"))
+    src = DatasetSpec("pos_file", path_template=t, recon_path_template=r)
+    load = LoadSpec(source=src, target=TableSpec(db, "pos", ("effective_date",), "pos_table"), columns=SPEC, effective_dates=("2024-01-02",))
+    wf = Workflow("wf1", load=load, datasets={"pos_file": src}, pre_tasks=(ManagementTask("data quality", "pos_file"), ManagementTask("data profile", "pos_file")))
+    keep = {}
+    assert [x.status for x in run_workflow(spark, wf, keep=keep).collect()][:1] == ["failed"]
+    assert {x.column_name: x.failed_rows for x in keep[("pre", 0, "data quality")].collect()} == {"id": 0, "v": 2, "effective_date": 0}
+    assert {x.column_name: x.null_count for x in keep[("pre", 1, "data profile")].collect()}["v"] == 2
+
+
+def test_a_small_day_fails_against_stored_days(spark, scratch, db):
+    from dataclasses import replace
+
+    dates = [f"2024-01-{d:02d}" for d in range(1, 13)]
+    for i, d in enumerate(dates):
+        _files(scratch, d, rows=["1,2.50"] * (1 if i == 11 else 33 + i % 3))
+    base = _wf(db, f"{scratch}/in/pos_yyyymmdd.csv", f"{scratch}/in/pos_yyyymmdd.recon")
+    load = base.load
+    run_workflow(spark, Workflow("wf1", load=replace(load, effective_dates=tuple(dates[:-1]))))
+    for gate in (False, True):
+        wf = Workflow("wf1", load=replace(load, effective_dates=(dates[-1],)), gate=gate, pre_tasks=(ManagementTask("data quality ml", "pos_file"),))
+        assert run_workflow(spark, wf).collect()[0].status == "failed"
+
+
+def test_control_files_use_the_datasets_delimiter(spark, scratch, db):
+    t, r = _files(scratch)
+    path = r.replace("yyyymmdd", "20240102")
+    with open(path) as f:
+        text = f.read().replace("|", ",")
+    with open(path, "w") as f:
+        f.write(text)
+    wf = _wf(db, t, r)
+    src = DatasetSpec("pos_file", path_template=t, recon_path_template=r, recon_delimiter=",")
+    from dataclasses import replace
+
+    res = run_workflow(spark, replace(wf, load=replace(wf.load, source=src), datasets={"pos_file": src})).collect()
+    assert [x.status for x in res if x.step == "post"] == ["ok"]
