@@ -97,11 +97,6 @@ CUSTOMER_PARITY_SPEC = [
     {"column_name": "c_acctbal", "data_type": "decimal(12,2)"},
     {"column_name": "c_mktsegment", "data_type": "string"},
 ]
-EVENT_SPEC = [
-    {"column_name": "event_id", "data_type": "bigint"},
-    {"column_name": "event_type", "data_type": "string"},
-    {"column_name": "value", "data_type": "double"},
-]
 EVENT_FULL_SPEC = [
     {"column_name": "event_id", "data_type": "bigint"},
     {"column_name": "ts", "data_type": "timestamp_ntz"},
@@ -110,10 +105,17 @@ EVENT_FULL_SPEC = [
     {"column_name": "value", "data_type": "double"},
     {"column_name": "props", "data_type": "string"},
 ]
-NATION_SPEC = [
-    {"column_name": "n_nationkey", "data_type": "int"},
-    {"column_name": "n_name", "data_type": "string"},
-    {"column_name": "n_regionkey", "data_type": "int"},
+EVENT_SPEC = EVENT_FULL_SPEC
+EVENT_COLUMNS = [c["column_name"] for c in EVENT_FULL_SPEC]
+# DuckDB text: all event columns and the effective date.
+EVENT_ROWS = "event_id, ts, user_id, event_type, value, props"
+ORDERS_SPEC = [
+    {"column_name": "o_orderkey", "data_type": "bigint"},
+    {"column_name": "o_custkey", "data_type": "bigint"},
+    {"column_name": "o_orderstatus", "data_type": "string"},
+    {"column_name": "o_totalprice", "data_type": "double"},
+    {"column_name": "o_orderdate", "data_type": "timestamp_ntz"},
+    {"column_name": "o_orderpriority", "data_type": "string"},
 ]
 
 
@@ -122,7 +124,7 @@ def _customer_file(ctx: Ctx) -> str:
 
 
 def _event_landing(ctx: Ctx, df: DataFrame, name: str = "events") -> str:
-    return land_dated(ctx, df.select("event_id", "event_type", "value", "effective_date"), name)
+    return land_dated(ctx, df.select(*EVENT_COLUMNS, "effective_date"), name)
 
 
 def _event_load(ctx: Ctx, template: str, dates: list[str], db: str, table: str, load_type: str, keys=("effective_date",)):
@@ -159,7 +161,7 @@ def q_schema_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schema, sep="|", dataset_id="customer")
 
 
-@register("read_dated_files", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
+@register("read_dated_files", f"SELECT {EVENT_ROWS}, {ED} effective_date FROM events")
 def q_read_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dated event file, read by template in one scan; the date comes from the path."""
     ctx = Ctx(spark, sf_dir)
@@ -171,7 +173,7 @@ def q_read_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- K1-K9, P1
 
 
-@register("create_partitioned", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
+@register("create_partitioned", f"SELECT {EVENT_ROWS}, {ED} effective_date FROM events")
 def q_create_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
     ev = ctx.events()
@@ -181,21 +183,21 @@ def q_create_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, res.table)
 
 
-@register("create_unpartitioned", "SELECT * FROM nation")
+@register("create_unpartitioned", "SELECT * FROM orders")
 def q_create_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
-    path = write_delimited(ctx.table("nation"), ctx.path("landing/nation_20240101.csv"), sep=",")
+    path = write_delimited(ctx.table("orders"), ctx.path("landing/orders_20240101.csv"), sep=",")
     db = ctx.database()
-    src = read_delimited(spark, path, column_spec_to_schema(NATION_SPEC), sep=",")
-    write_table(spark, src, f"{db}.nation", (), "full")
-    return spark.table(f"{db}.nation")
+    src = read_delimited(spark, path, column_spec_to_schema(ORDERS_SPEC), sep=",")
+    write_table(spark, src, f"{db}.orders", (), "full")
+    return spark.table(f"{db}.orders")
 
 
 @register(
     "partition_overwrite",
-    f"""SELECT event_id, event_type,
+    f"""SELECT event_id, ts, user_id, event_type,
                CASE WHEN {ED} IN ({LAST_TWO_DATES}) THEN value * 2 ELSE value END value,
-               {ED} effective_date
+               props, {ED} effective_date
         FROM events""",
 )
 def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,14 +212,17 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     _event_load(ctx, template, dates[:-1], db, "events_daily", "incremental")
     restated_dates = dates[-2:]
     restated = ev.where(F.col("effective_date").isin(restated_dates)).select(
-        F.col("effective_date"), (F.col("value") * 2).alias("value"), "event_type", "event_id",
+        F.col("effective_date"), (F.col("value") * 2).alias("value"), "event_type", "props", "event_id", "ts", "user_id",
         F.col("user_id").alias("extra_user"),
     )
     template2 = land_dated(ctx, restated, "events_restated")
     spec2 = [
         {"column_name": "value", "data_type": "double"},
         {"column_name": "event_type", "data_type": "string"},
+        {"column_name": "props", "data_type": "string"},
         {"column_name": "event_id", "data_type": "bigint"},
+        {"column_name": "ts", "data_type": "timestamp_ntz"},
+        {"column_name": "user_id", "data_type": "bigint"},
         {"column_name": "extra_user", "data_type": "bigint"},
     ]
     load_to_table(
@@ -245,32 +250,32 @@ def q_partition_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.events_daily").groupBy("effective_date").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("append_rerun", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@register("append_rerun", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
 def q_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
-    path = write_delimited(ctx.table("nation"), ctx.path("landing/nation_20240101.csv"), sep=",")
+    path = write_delimited(ctx.table("orders"), ctx.path("landing/orders_20240101.csv"), sep=",")
     db = ctx.database()
-    schema = column_spec_to_schema(NATION_SPEC)
+    schema = column_spec_to_schema(ORDERS_SPEC)
     for _ in range(2):
-        write_table(spark, read_delimited(spark, path, schema), f"{db}.nation", (), "incremental")
-    return spark.table(f"{db}.nation")
+        write_table(spark, read_delimited(spark, path, schema), f"{db}.orders", (), "incremental")
+    return spark.table(f"{db}.orders")
 
 
-@register("full_overwrite", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
+@register("full_overwrite", "SELECT * FROM events WHERE event_type = 'purchase'")
 def q_full_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
     ev = ctx.table("events")
     db = ctx.database()
     t = f"{db}.events_snapshot"
-    write_table(spark, ev.select("event_id", "value", "event_type"), t, (), "full")
-    write_table(spark, ev.where(F.col("event_type") == "purchase").select("event_id", "value"), t, (), "full")
+    write_table(spark, ev.withColumn("loaded", F.lit(1)), t, (), "full")
+    write_table(spark, ev.where(F.col("event_type") == "purchase"), t, (), "full")
     return spark.table(t)
 
 
-@register("full_repartition", f"SELECT event_id, value, {ED} effective_date, event_type FROM events")
+@register("full_repartition", f"SELECT {EVENT_ROWS}, {ED} effective_date FROM events")
 def q_full_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
-    ev = ctx.events().select("event_id", "event_type", "value", "effective_date")
+    ev = ctx.events()
     db = ctx.database()
     t = f"{db}.events_by"
     write_table(spark, ev, t, ("effective_date",), "full")
@@ -278,18 +283,18 @@ def q_full_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(t)
 
 
-@register("align_to_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("align_to_table", "SELECT * FROM orders")
 def q_align_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.operators.align import align_to_table
     from quayside.sources.catalog import table_columns
 
     ctx = Ctx(spark, sf_dir)
-    nation = ctx.table("nation")
+    orders = ctx.table("orders")
     db = ctx.database()
-    t = f"{db}.nation"
-    write_table(spark, nation, t, (), "full")  # the table fixes the column order
-    shuffled = nation.select(
-        F.col("n_regionkey").alias("N_REGIONKEY"), "n_name", F.lit("x").alias("extra"), "n_nationkey"
+    t = f"{db}.orders"
+    write_table(spark, orders, t, (), "full")  # the table fixes the column order
+    shuffled = orders.select(
+        F.col("o_orderpriority").alias("O_ORDERPRIORITY"), "o_custkey", F.lit("x").alias("extra"), "o_totalprice", "o_orderdate", "o_orderkey", "o_orderstatus"
     )
     return align_to_table(shuffled, table_columns(spark, t))
 
@@ -318,7 +323,7 @@ def q_validate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "sample_loaded",
-    f"SELECT event_id, value FROM events WHERE {ED} = '2024-01-02' ORDER BY event_id LIMIT 2",
+    f"SELECT {EVENT_ROWS}, {ED} effective_date FROM events WHERE {ED} = '2024-01-02' ORDER BY event_id LIMIT 2",
 )
 def q_sample_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.operators.validate import sample_loaded
@@ -328,4 +333,70 @@ def q_sample_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     template = _event_landing(ctx, ev)
     db = ctx.database()
     res = _event_load(ctx, template, ctx.event_dates(ev), db, "events_daily", "incremental")
-    return sample_loaded(spark, res.table, "2024-01-02", order_by=["event_id"], n=2).select("event_id", "value")
+    return sample_loaded(spark, res.table, "2024-01-02", order_by=["event_id"], n=2)
+
+
+# --------------------------------------------------------------------------- many dates, exact text
+
+
+def _glob_landing(ctx: Ctx) -> str:
+    """Event files below a folder whose name looks like a date, dated in the middle of a component."""
+    ev = ctx.events().select(*EVENT_COLUMNS, "effective_date")
+    tag = "ev date"
+    staged = ev.withColumn(tag, F.concat(F.date_format(F.to_date("effective_date"), "yyyyMMdd"), F.lit("_99999999"))).drop("effective_date")
+    root = ctx.path("landing/store12345678/events")
+    write_delimited(staged, root, partition_by=[tag], sep=",")
+    return f"{root}/ev date=yyyymmdd_*"
+
+
+@register("read_dated_many", f"SELECT {EVENT_ROWS}, {ED} effective_date FROM events")
+def q_read_dated_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dated event file by a glob template, the date from the whole path."""
+    ctx = Ctx(spark, sf_dir)
+    return read_dated_files(spark, _glob_landing(ctx), ctx.event_dates(), column_spec_to_schema(EVENT_FULL_SPEC))
+
+
+# DuckDB text: the ISO day of an order, and the middle one of the days, which gets no file.
+OD = "strftime(o_orderdate, '%Y-%m-%d')"
+
+
+@register(
+    "validate_many_dates",
+    f"""WITH d AS (SELECT {OD} effective_date, count(*) n FROM orders GROUP BY 1),
+             gap AS (SELECT max(effective_date) effective_date FROM d)
+        SELECT effective_date, CASE WHEN effective_date IN (FROM gap) THEN 0 ELSE n END source_count,
+               CASE WHEN effective_date IN (FROM gap) THEN 0 ELSE n END target_count, true is_match FROM d""",
+)
+def q_validate_many_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of all order days (far more than the write observes one by one). The rows of
+    the last day are missing from the source: the day is reported, with counts of 0."""
+    ctx = Ctx(spark, sf_dir)
+    orders = ctx.table("orders").withColumn("effective_date", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    dates = [r[0] for r in orders.select("effective_date").distinct().orderBy("effective_date").collect()]  # a row per day
+    spec = LoadSpec(
+        source=DatasetSpec("orders_file"), target=TableSpec(ctx.database(), "orders", ("effective_date",)),
+        columns=ORDERS_SPEC, load_type="incremental", effective_dates=tuple(dates), rebalance=True,
+    )
+    return load_to_table(spark, spec, source=orders.where(F.col("effective_date") < F.lit(dates[-1]))).report
+
+
+def _text_round_trip(ctx: Ctx, name: str) -> DataFrame:
+    table = ctx.table(name)
+    path = write_delimited(table, ctx.path(f"out/{name}.dat"), sep="|", escape_lines=True)
+    return read_delimited(ctx.spark, path, table.schema, sep="|", dataset_id=name, escape_lines=True)
+
+
+@register("extract_documents", "SELECT * FROM documents")
+def q_extract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as delimited text and back: line ends, quotes and blanks kept."""
+    return _text_round_trip(Ctx(spark, sf_dir), "documents")
+
+
+@register("extract_pages", "SELECT * FROM pages")
+def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_round_trip(Ctx(spark, sf_dir), "pages")
+
+
+@register("extract_conversations", "SELECT * FROM conversations")
+def q_extract_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_round_trip(Ctx(spark, sf_dir), "conversations")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.schema import column_spec_to_schema
-from quayside.operators.anomaly import amount_anomalies, value_outliers, volume_anomalies
+from quayside.operators.anomaly import MAD_SCALE, Z_THRESHOLD, amount_anomalies, value_outliers, volume_anomalies
 from quayside.operators.lineage import EDGE_COLUMNS
 from quayside.operators.profile import profile_columns, top_values
 from quayside.operators.quality import Rule, check_foreign_key, check_row_rules, check_unique, failing_rows
@@ -412,7 +412,7 @@ def q_lineage_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- streaming form of K4/K10
 
 
-@register("stream_landing", f"SELECT event_id, event_type, value, {ED} effective_date FROM events")
+@register("stream_landing", f"SELECT event_id, ts, user_id, event_type, value, props, {ED} effective_date FROM events")
 def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dated event file in the landing folder, loaded by the file-landing stream
     (``availableNow``); a second run finds no new files and loads nothing."""
@@ -466,3 +466,117 @@ def q_load_large(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_type="full", effective_dates=("2024-01-01",),
     )
     return load_to_table(spark, spec).report
+
+
+@register("stream_landing_split", f"SELECT event_id, ts, user_id, event_type, value, props, {ED} effective_date FROM events")
+def q_stream_landing_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several part files per date, ten files to a micro-batch: dates split over micro-batches."""
+    from quayside.plans.catalogue import EVENT_FULL_SPEC
+    from quayside.sinks.delimited import write_delimited
+    from quayside.streaming.landing import ingest_landing
+
+    ctx = Ctx(spark, sf_dir)
+    ev = ctx.events()
+    staged = ev.withColumn("day", F.date_format(F.to_date("effective_date"), "yyyyMMdd")).drop("effective_date").repartition(3, "event_id")
+    root = ctx.path("landing/split")
+    write_delimited(staged, root, sep=",", partition_by=["day"], rebalance=False)
+    spec = LoadSpec(
+        source=DatasetSpec("events_file", path_template=f"{root}/day=yyyymmdd"), target=TableSpec(ctx.database(), "events", ("effective_date",)),
+        columns=EVENT_FULL_SPEC, load_type="incremental", date_from_path=True,
+    )
+    ingest_landing(spark, spec, ctx.path("stream_checkpoint"), max_files_per_trigger=10)
+    return spark.table(spec.target.qualified)
+
+
+@register(
+    "anomaly_volume_history",
+    f"""WITH d AS (SELECT {ED} dt, count(*) n FROM events GROUP BY 1), l AS (SELECT max(dt) dt FROM d),
+             h AS (SELECT n FROM d WHERE dt NOT IN (FROM l)), m AS (SELECT median(n) med FROM h),
+             a AS (SELECT median(abs(n - med)) mad FROM h, m)
+        SELECT dt, n, round({MAD_SCALE} * (n - med) / nullif(mad, 0), 4) score,
+               CASE WHEN mad = 0 THEN n <> med ELSE abs(round({MAD_SCALE} * (n - med) / nullif(mad, 0), 4)) > {Z_THRESHOLD} END is_anomaly
+        FROM d, m, a WHERE dt IN (FROM l)""",
+)
+def q_anomaly_volume_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days but the last are loaded; the last day's volume is scored against them."""
+    from quayside.operators.anomaly import daily_counts, volume_against_history
+    from quayside.sinks.table import write_table
+
+    ctx = Ctx(spark, sf_dir)
+    ev = ctx.events()
+    last = ctx.event_dates(ev)[-1]
+    table = f"{ctx.database()}.events"
+    write_table(spark, ev.where(F.col("effective_date") < last), table, ("effective_date",), rebalance=True)
+    batch = daily_counts(ev.where(F.col("effective_date") == last), "effective_date")
+    return volume_against_history(batch, spark, table, "effective_date", [last])
+
+
+@register(
+    "recon_missing_control",
+    f"""WITH d AS (SELECT {ED} effective_date, count(*) n FROM events GROUP BY 1), l AS (SELECT max(effective_date) FROM d)
+        SELECT effective_date, CASE WHEN effective_date IN (FROM l) THEN 0 ELSE n END control_count, n target_count,
+               effective_date NOT IN (FROM l) is_match FROM d""",
+)
+def q_recon_missing_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Controls for all days but the last: the last day's rows have no control."""
+    ctx = Ctx(spark, sf_dir)
+    ev = ctx.events()
+    last = ctx.event_dates(ev)[-1]
+    control = control_totals(ev.where(F.col("effective_date") < last), "effective_date", None)
+    return reconcile_totals(control, ev, dates="all").select("effective_date", "control_count", "target_count", "is_match")
+
+
+@register("recon_types", "SELECT o_orderkey, 'changed' AS status FROM orders WHERE o_orderkey % 10 = 0")
+def q_recon_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy whose numbers have other types and whose every tenth customer differs."""
+    ctx = Ctx(spark, sf_dir)
+    orders = ctx.table("orders")
+    other = orders.select(
+        F.col("o_orderkey").cast("decimal(20,0)").alias("o_orderkey"),
+        F.when(F.col("o_orderkey") % 10 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).cast("string").alias("o_custkey"),
+        F.col("o_totalprice").cast("decimal(20,6)").alias("o_totalprice"), "o_orderstatus",
+    )
+    return reconcile_rows(other, orders, ["o_orderkey"])
+
+
+@register(
+    "workflow_failed_load",
+    """SELECT 'wf_missing' workflow_id, 'pre' step, 'data quality' task, 'events_file' dataset_id, 'error' status, CAST(NULL AS BIGINT) checked_rows, CAST(NULL AS BIGINT) issue_count, CAST(NULL AS BIGINT) source_count, CAST(NULL AS BIGINT) target_count FROM events HAVING count(*) > 0
+       UNION ALL SELECT 'wf_missing', 'main', 'ingestion', 'events_table', 'error', NULL, NULL, NULL, NULL FROM events HAVING count(*) > 0
+       UNION ALL SELECT 'wf_missing', 'lineage', 'data lineage', 'events_table', 'error', count(DISTINCT strftime(ts, '%Y-%m-%d')), 0, NULL, NULL FROM events HAVING count(*) > 0""",
+)
+def q_workflow_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose files never came, for all event dates: every step leaves its row, and each
+    date an edge with the status."""
+    from quayside.plans.catalogue import EVENT_FULL_SPEC
+
+    ctx = Ctx(spark, sf_dir)
+    db = ctx.database()
+    source = DatasetSpec("events_file", path_template=ctx.path("nowhere/events_yyyymmdd.csv"))
+    load = LoadSpec(
+        source=source, target=TableSpec(db, "events", ("effective_date",), "events_table"), columns=EVENT_FULL_SPEC,
+        load_type="incremental", effective_dates=tuple(ctx.event_dates()), date_from_path=True,
+    )
+    return run_workflow(spark, Workflow("wf_missing", load=load, pre_tasks=(ManagementTask("data quality", "events_file"),), lineage_table=f"{db}.lineage"))
+
+
+@register(
+    "workflow_profile",
+    f"""WITH d AS (SELECT {ED} dt, count(*) n FROM events GROUP BY 1)
+        SELECT 'rows' item, 'all' name, count(*) n FROM events
+        UNION ALL SELECT 'nulls', 'value', count(*) - count(value) FROM events
+        UNION ALL SELECT 'nulls', 'props', count(*) - count(props) FROM events
+        UNION ALL SELECT 'volume', dt, n FROM d
+        UNION ALL SELECT 'failed', 'value_non_negative', count(*) FILTER (WHERE value < 0) FROM events""",
+)
+def q_workflow_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames that a workflow keeps: profile, daily volumes and failed rules of its load."""
+    ctx = Ctx(spark, sf_dir)
+    wf, _ = _ingest_workflow(ctx, None)
+    keep: dict = {}
+    run_workflow(spark, wf, keep=keep)
+    quality, daily, profile = (keep[("pre", i, n)] for i, n in enumerate(("data quality", "data quality ml", "data profile")))
+    out = profile.where("column_name = 'event_id'").select(F.lit("rows").alias("item"), F.lit("all").alias("name"), F.col("row_count").alias("n"))
+    out = out.union(profile.where("column_name in ('value', 'props')").select(F.lit("nulls"), "column_name", "null_count"))
+    out = out.union(daily.select(F.lit("volume"), "dt", "n"))
+    return out.union(quality.where("rule_name = 'value_non_negative'").select(F.lit("failed"), "rule_name", "failed_rows"))

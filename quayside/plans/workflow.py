@@ -87,7 +87,7 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
             return table
     if wf.extract is not None and dataset_id == wf.extract.target.dataset_id:
         path = resolve_dated_path(wf.extract.target.path_template, wf.extract.effective_date)
-        return read_delimited(spark, path, column_spec_to_schema(wf.extract.columns), wf.extract.target.delimiter)
+        return read_delimited(spark, path, column_spec_to_schema(wf.extract.columns), wf.extract.target.delimiter, wf.extract.target.header, escape_lines=True)
     ds = wf.datasets.get(dataset_id)
     if ds is None:
         raise KeyError(f"unknown dataset {dataset_id}")
@@ -275,9 +275,9 @@ def run_extract(spark: SparkSession, spec: ExtractSpec) -> tuple[int, int, str]:
     df = read_sql_file(spark, spec.source.sql_path, dict(spec.args) or None)
     obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
     path = resolve_dated_path(spec.target.path_template, spec.effective_date)
-    write_delimited(df.observe(obs, F.count(F.lit(1)).alias("n")), path, sep=spec.target.delimiter, header=spec.target.header)
+    write_delimited(df.observe(obs, F.count(F.lit(1)).alias("n")), path, sep=spec.target.delimiter, header=spec.target.header, escape_lines=True)
     written = int(obs.get["n"])
-    back = spark.read.option("header", spec.target.header).option("sep", spec.target.delimiter).csv(path).count()
+    back = read_delimited(spark, path, df.schema, spec.target.delimiter, spec.target.header, dataset_id=spec.target.dataset_id, escape_lines=True).count()
     return written, back, path
 
 

@@ -16,7 +16,8 @@ Safety choices:
   ``partitionOverwriteMode=dynamic``, so no session setting is touched; for a partitioned
   table created elsewhere the session setting is switched around the write and restored.
 - K6/K7 write the new table under a staging name first; the old table is replaced only
-  after that write committed, so a failing job leaves the old table whole (E14).
+  after that write committed, so a failing write leaves the old table whole (E14). A run that
+  stops between the drop and the rename is finished by the next write (``recover_table``).
 - No shuffle is added before a write by default: each task writes the partitions it holds
   (right for a one-date load). ``rebalance=True`` clusters rows by the keys for many-date
   loads, with AQE splitting a hot date over several writers.
@@ -108,22 +109,58 @@ def _dynamic_by_table(spark: SparkSession, table: str) -> bool:
     return bool(rows) and f"{_OVERWRITE_OPTION}=dynamic" in rows[0][1].replace(" ", "")
 
 
+_REPLACES = "quayside.replaces"
+
+
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Finishes a replacement that stopped between dropping the old table and renaming the new
+    one: if ``table`` is missing and a complete staging table of it exists, that one becomes it."""
+    if spark.catalog.tableExists(table):
+        return False
+    db, _, name = table.rpartition(".")
+    if db and not spark.catalog.databaseExists(db):
+        return False
+    pattern = f"{name.lower()}__staging_*"
+    found = [t.name for t in spark.catalog.listTables(db or None, pattern)]
+    for staging in sorted(found):
+        full = (f"{db}." if db else "") + staging
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quote_table(full)}").collect()}
+        if props.get(_REPLACES, "").lower() == table.lower():
+            keys = [c.name for c in spark.catalog.listColumns(full) if c.isPartition]
+            log.warning("%s is missing; its complete replacement %s takes its name", table, full)
+            _rename(spark, full, table, keys)
+            return True
+    return False
+
+
+def _rename(spark: SparkSession, staging: str, table: str, keys: list[str]) -> None:
+    spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": staging, "b": table})
+    spark.sql(f"ALTER TABLE {quote_table(table)} UNSET TBLPROPERTIES IF EXISTS ('{_REPLACES}')")
+    if keys:
+        # Re-list the partitions from the renamed directory (see below).
+        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def _swap_in(spark: SparkSession, df: DataFrame, table: str, keys: list[str]) -> None:
     """Write under a staging name first; only once that write committed is the old table
-    dropped and the staging table renamed. A failing job leaves the old table whole.
+    dropped and the staging table renamed. A failing write leaves the old table whole and drops
+    its staging table. Between the drop and the rename the table is missing; a run that stops
+    there is finished by ``recover_table``, which every later write calls first.
 
     The old table is dropped rather than renamed away: a rename moves the directory but
     keeps the catalog's partition paths, and dropping a renamed partitioned table would
     delete whatever now sits at those paths."""
     db, _, name = table.rpartition(".")
     staging = (f"{db}." if db else "") + fresh_name(f"{name}__staging")
-    _create(df, staging, keys)
+    try:
+        _create(df, staging, keys)
+    except Exception:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": staging})
+        raise
+    spark.sql(f"ALTER TABLE {quote_table(staging)} SET TBLPROPERTIES ('{_REPLACES}' = '{table}')")  # complete
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-    spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": staging, "b": table})
-    if keys:
-        # Re-list the partitions from the renamed directory (see above).
-        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
-    spark.catalog.refreshTable(table)
+    _rename(spark, staging, table, keys)
 
 
 def write_table(
@@ -148,6 +185,7 @@ def write_table(
     if missing:
         raise ValueError(f"partition keys {missing} are not columns of the batch")
 
+    recover_table(spark, table)
     if not table_exists(spark, table):
         _create(watch(_clustered(df, keys, rebalance)), table, keys)
         spark.catalog.refreshTable(table)  # K9

@@ -68,6 +68,7 @@ def _reader(spark: SparkSession, schema: T.StructType, sep: str, header: bool, c
         .option("sep", sep)
         .option("header", header)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
         .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
         .option("timestampFormat", TIMESTAMP_FORMAT)
     )
@@ -81,6 +82,16 @@ def _reader(spark: SparkSession, schema: T.StructType, sep: str, header: bool, c
     return r
 
 
+def _unescaped(df: DataFrame, corrupt_column: str | None) -> DataFrame:
+    def undo(name):
+        # a private stand-in keeps escaped backslashes apart while line ends are restored
+        c = F.replace(F.col(f"`{name}`"), F.lit("\\\\"), F.lit("\ue000\ue001"))
+        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(c, F.lit("\ue000\ue001"), F.lit("\\")).alias(name)
+
+    return df.select(*[undo(f.name) if isinstance(f.dataType, T.StringType) and f.name != corrupt_column else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -91,8 +102,10 @@ def read_delimited(
     dataset_id: str | None = None,
     corrupt_column: str | None = None,
     options: dict | None = None,
+    escape_lines: bool = False,
 ) -> DataFrame:
-    """Scan delimited file(s) with a declared schema.
+    """Scan delimited file(s) with a declared schema. ``escape_lines`` undoes the escapes of
+    ``write_delimited`` in string columns.
 
     ``corrupt_column`` (E17) adds a string column holding the raw line of rows whose
     fields do not parse; those rows keep nulls in the bad fields and can be counted by the
@@ -105,7 +118,9 @@ def read_delimited(
     if corrupt_column and corrupt_column not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
     try:
-        return _reader(spark, schema, sep, header, corrupt_column, options).csv(paths)
+        exact = {"nullValue": "\\N"} if escape_lines else {}
+        out = _reader(spark, schema, sep, header, corrupt_column, exact | dict(options or {})).csv(paths)
+        return _unescaped(out, corrupt_column) if escape_lines else out
     except AnalysisException as e:  # S3: the reader lists files eagerly
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceMissingError(f"dataset {dataset_id}: no source at {', '.join(paths)}") from e

@@ -228,3 +228,34 @@ def test_expected_dates_without_rows_are_reported(spark, db, n_dates):
     want = {d: (int(d != "d007"),) * 2 + (True,) for d in dates} | {"other": (1, 1, True)}
     assert {r.effective_date: (r.source_count, r.target_count, r.is_match) for r in res.report_rows} == want
     assert sorted(map(tuple, res.report.collect())) == sorted(map(tuple, res.report_rows))
+
+
+@pytest.mark.parametrize("keys", [(), ("effective_date",)])
+def test_a_replacement_that_stopped_before_the_rename_is_finished(spark, db, monkeypatch, keys):
+    import quayside.sinks.table as T
+
+    t = f"{db}.snap"
+    write_table(spark, batch(spark, [(1, 1.0, "2024-01-01")]), t, keys, "full")
+    real = T._rename
+
+    def stop(*args):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(T, "_rename", stop)
+    with pytest.raises(RuntimeError, match="lost the driver"):
+        write_table(spark, batch(spark, [(2, 2.0, "2024-01-02"), (3, 3.0, "2024-01-03")]), t, keys, "full")
+    assert not spark.catalog.tableExists(t)
+    monkeypatch.setattr(T, "_rename", real)
+    write_table(spark, batch(spark, [(4, 4.0, "2024-01-04")]), t, keys, "incremental")
+    first = spark.table(t).columns[0]
+    assert len(spark.table(t).select(first).collect()) == 3
+    assert [x.name for x in spark.catalog.listTables(db)] == ["snap"]
+
+
+def test_a_failed_replacement_keeps_the_table_and_leaves_no_staging_table(spark, db):
+    t = f"{db}.snap"
+    write_table(spark, batch(spark, [(1, 1.0, "2024-01-01")]), t, (), "full")
+    bad = batch(spark, [(2, 2.0, "2024-01-02")]).withColumn("x", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        write_table(spark, bad, t, (), "full")
+    assert spark.table(t).count() == 1 and [x.name for x in spark.catalog.listTables(db)] == ["snap"]

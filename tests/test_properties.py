@@ -50,3 +50,18 @@ def test_exact_quantiles_match_numpy(spark, data, probs, parts):
         vals = np.array([v for gg, v in data if gg == g], dtype=float)
         want = np.quantile(vals, probs)  # linear interpolation
         np.testing.assert_allclose(got[g], want, atol=1e-9)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.text(alphabet="ab\\nr\n\r\"|, \t'é", max_size=12) | st.none(), st.integers(0, 9)), max_size=8))
+def test_text_round_trips_through_delimited_files(spark, rows):
+    from quayside.session import scratch_path
+    from quayside.sinks.delimited import write_delimited
+    from quayside.sources.delimited import read_delimited
+
+    df = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(rows)], "i long, t string, n int")
+    path = write_delimited(df, scratch_path(spark, "text"), sep="|", escape_lines=True)
+    if not rows:
+        return
+    back = read_delimited(spark, path, df.schema, sep="|", escape_lines=True)
+    assert sorted(map(tuple, back.collect())) == [(i, t, n) for i, (t, n) in enumerate(rows)]
