@@ -112,10 +112,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn_from: Column | None = None,
-    max_toxic: int = 1000, max_clean: int = 2000, max_chars: int = 30_000, min_docs: int = 3, passes: int = 12, steps: int = 600, rate: float = 0.3, decay: float = 1e-4, seed: int = 7,
+    max_toxic: int = 1000, max_clean: int = 2000, max_chars: int = 200_000, min_docs: int = 3, passes: int = 12, steps: int = 600, rate: float = 0.3, prior: float = 0.1, bias: float = -10.0, bias_rate: float = 1.0, seed: int = 7,
 ) -> Model:
     """Fits the model by AdaGrad in batches of 64 documents, ``passes`` times over the sample and
-    at least ``steps`` batches. ``learn_from`` is a condition on ``id`` (the label's id)."""
+    at least ``steps`` batches. ``learn_from`` is a condition on ``id`` (the label's id). ``prior``
+    is the strength of the quadratic penalty against one document's likelihood. The bias starts
+    low: the noisy-or of thousands of harmless sentences has to stay harmless."""
     rows, share = training_sample(docs, labels, id_col, text_col, learn_from, max_toxic, max_clean, max_chars)
     y = np.array([r.y > 0 for r in rows], bool)
     if not len(rows) or y.all() or not y.any():
@@ -134,7 +136,7 @@ def fit(
     weight = np.where(y, share / y.mean(), (1 - share) / (1 - y.mean()))
     # few documents of a class make large steps of chance: weights stay within a factor of 3 of the mean
     weight = np.clip(weight, 1 / 3, 3)
-    w, b = np.zeros(len(vocabulary)), -6.0
+    w, b = np.zeros(len(vocabulary)), bias
     g2, b2 = np.full(len(vocabulary), 1e-3), 1e-3
     order = np.random.default_rng(seed)
     for _ in range(max(passes, -(-steps * 64 // len(bags)))):
@@ -150,12 +152,12 @@ def fit(
             a = np.bincount(bag, np.logaddexp(0, z), minlength=len(some))  # -log of "no sentence offends"
             da = np.where(y[some], -1 / np.expm1(np.maximum(a, 1e-6)), 1.0) * weight[some]
             dz = da[bag] / (1 + np.exp(-z)) / len(some)
-            gw = np.bincount(feat, dz[sent], minlength=len(w)) + decay * w
+            gw = np.bincount(feat, dz[sent], minlength=len(w)) + prior / len(bags) * w
             g2 += gw * gw
             w -= rate * gw / np.sqrt(g2)
             gb = dz.sum()
             b2 += gb * gb
-            b -= rate * 0.3 * gb / np.sqrt(b2)
+            b -= rate * bias_rate * gb / np.sqrt(b2)
     keep = np.abs(w) > 0.02
     return Model(vocabulary[keep], w[keep], float(b))
 
