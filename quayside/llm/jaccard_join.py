@@ -383,7 +383,7 @@ def _fold(bits: list[bytes]) -> np.ndarray:
 
 
 _BLOCK = 512  # members of a list that a task compares at a time
-_MEMBER = "struct<key:long,component:long,n:long,bits:binary,open:array<long>>"
+_MEMBER = "struct<key:long,component:long,n:long,bits:binary>"
 
 
 def _stars(lists: DataFrame) -> DataFrame:
@@ -399,42 +399,59 @@ def _stars(lists: DataFrame) -> DataFrame:
 def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of a list in different components that pass the size and bitmap bounds. ``where``:
     (key, component) of linked classes. Long lists are compared in blocks of members, so no task
-    holds a list; a pair is emitted by the first of the open lists that it shares, and only if
-    it passes."""
+    holds a list; pairs that pass travel packed, since many lists find the same ones."""
     at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
     sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
     open_ = at.join(sizes.select("list", blocks.alias("blocks")), "list").join(classes.select("key", "n", "bits"), "key")
-    mine = open_.groupBy("key").agg(F.sort_array(F.collect_list("list")).alias("open"))  # at most a set's signatures
-    open_ = open_.join(mine, "key").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "bits", "open")).alias("members"))
-    one = held.select("list", F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
+    open_ = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "bits")).alias("members"))
+    one = held.select(F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
     long = held.where("blocks > 1")
     ahead = F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("other")
     left = long.where("block + 1 < blocks").select("list", ahead, F.col("members").alias("p"))
-    two = left.join(long.select("list", F.col("block").alias("other"), F.col("members").alias("q")), ["list", "other"]).select("list", "p", "q")
+    two = left.join(long.select("list", F.col("block").alias("other"), F.col("members").alias("q")), ["list", "other"]).select("p", "q")
+
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = (2 * parts - 1).bit_length()
 
     def compare(batches):
+        held, n = [], 0
+
+        def flush():
+            ab = np.unique(np.concatenate(held), axis=0)  # lists of one group of copies share their pairs
+            at = mix(ab[:, 0].view(_U) ^ mix(ab[:, 1].view(_U)))
+            order = np.argsort(at)
+            return exchange.blob_rows(at[order], [ab[order, 0], ab[order, 1]], bits)
+
         for batch in batches:
-            out = []
-            for name, p, q in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for p, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 both = p + (q or [])
-                key, component, n = (np.array([m[c] for m in both], np.int64) for c in ("key", "component", "n"))
-                bits = _fold([m["bits"] for m in both])
+                key, component, size = (np.array([m[c] for m in both], np.int64) for c in ("key", "component", "n"))
+                bitmaps = _fold([m["bits"] for m in both])
                 begin = len(p) if q else 0
-                lists_of = [frozenset(m["open"]) for m in p]
                 for i in range(len(p)):
                     j = np.arange(max(i + 1, begin), len(both))
-                    j = j[(component[j] != component[i]) & (np.minimum(n[j], n[i]) * den >= np.maximum(n[j], n[i]) * num)]
-                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
-                    j = j[differ <= (n[j] + n[i]) * (den - num) // (den + num)]
+                    j = j[(component[j] != component[i]) & (np.minimum(size[j], size[i]) * den >= np.maximum(size[j], size[i]) * num)]
+                    differ = np.bitwise_count(bitmaps[j] ^ bitmaps[i]).sum(axis=1)
+                    j = j[differ <= (size[j] + size[i]) * (den - num) // (den + num)]
                     if len(j):
-                        j = j[[next(x for x in both[k]["open"] if x in lists_of[i]) == name for k in j]]
-                    out.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
-            ab = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+                        held.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
+                        n += len(j)
+                if n > 1_000_000:
+                    yield flush()
+                    held, n = [], 0
+        if n:
+            yield flush()
+
+    def distinct(batches):
+        for _, blobs in exchange.by_bucket(batches):
+            _, a, b = exchange.gather(blobs)
+            ab = np.unique(np.stack([a, b], 1), axis=0)
             yield pa.record_batch([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
-    return one.union(two).mapInArrow(compare, "a long, b long").distinct()
+    found = one.union(two).mapInArrow(compare, exchange.BLOB_DDL)
+    return exchange.deal(found, parts).mapInArrow(distinct, "a long, b long")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 75, den: int = 100, lower: bool = True) -> DataFrame:
