@@ -46,11 +46,11 @@ from pyspark.sql import functions as F
 
 from quayside.llm import exchange
 from quayside.llm.components import components
-from quayside.llm.words import SLICE_BYTES, Words, mix, slices
+from quayside.llm.words import Words, mix, slices
 from quayside.session import scratch_path
 
 HOT = 32  # a list with more sets is left out where the cover allows it
-RUN_SIGNATURES = 500_000  # entries that a map task sorts at a time
+RUN_SIGNATURES = 300_000  # entries that a map task sorts at a time
 MAX_BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast to fetch texts; beyond, a shuffle join
 _U = np.uint64
 _LEVELS = 3
@@ -250,7 +250,7 @@ def _lists(docs: DataFrame, shingle: int, lower: bool, schemes: list[Scheme], nu
             yield rows(bucket, [None] * len(key), key, scheme, left)
 
         for batch in batches:
-            for _, _, w in slices(batch.column(1), lower, limit=SLICE_BYTES // 2):
+            for _, _, w in slices(batch.column(1), lower):
                 h, first = shingle_sets(w, shingle)
                 key = _set_sums(h, first, 0x1234567).view(np.int64)
                 _, one = np.unique(key, return_index=True)  # one of each class of the slice
@@ -343,6 +343,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
             na, nb, ba, bb = (batch.column(i).to_pylist() for i in range(4, 8))
             keep = [_differ(p, q) <= most_different(r, s, num, den) for r, s, p, q in zip(na, nb, ba, bb)]
             yield pa.RecordBatch.from_arrays(batch.filter(pa.array(keep, pa.bool_())).columns[:4], names=["a", "b", "x", "y"])
+        exchange.release_memory()
 
     close = sized.select("a", "b", "x", "y", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bounded, "a long, b long, x long, y long")
     path = scratch_path(spark, "jaccard_close")
@@ -357,6 +358,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
             for a, b, w in slices(batch.column(1), lower):
                 h, first = shingle_sets(w, shingle)
                 yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array([h[x:y].tobytes() for x, y in zip(first[:-1], first[1:])], pa.binary())], names=["id", "shingles"])
+        exchange.release_memory()
 
     # rows that share an id give several sets; any of them may link
     table = docs.join(ids, "id", "left_semi").mapInArrow(sets, "id long, shingles binary").distinct()
@@ -369,6 +371,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(bool(both) and den * both >= num * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays(batch.filter(pa.array(keep, pa.bool_())).columns[:4], names=["a", "b", "x", "y"])
+        exchange.release_memory()
 
     full = close.join(table.select(F.col("id").alias("x"), F.col("shingles").alias("p")), "x").join(table.select(F.col("id").alias("y"), F.col("shingles").alias("q")), "y")
     path = scratch_path(spark, "jaccard_links")
@@ -424,8 +427,8 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
             order = np.argsort(at)
             return exchange.blob_rows(at[order], [ab[order, 0], ab[order, 1]], bits)
 
-        for batch in batches:
-            for p, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for some in (b.slice(at, 32) for b in batches for at in range(0, len(b), 32)):
+            for p, q in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                 both = p + (q or [])
                 key, component, size = (np.array([m[c] for m in both], np.int64) for c in ("key", "component", "n"))
                 bitmaps = _fold([m["bits"] for m in both])
@@ -443,6 +446,8 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
                     held, n = [], 0
         if n:
             yield flush()
+        held = []
+        exchange.release_memory()
 
     def distinct(batches):
         for _, blobs in exchange.by_bucket(batches):

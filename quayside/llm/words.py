@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Odd multipliers of the two polynomial hashes (bytes in a word, words in a window) and the
 # finalizer's constants (splitmix64).
