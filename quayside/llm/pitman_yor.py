@@ -367,10 +367,19 @@ def held_out(id_col: str, parts: int = 5, part: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def digest(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text, held_out, train), written once: row ids follow the file splits of one
+    scan, and another scan may be split otherwise, so every pass reads them from this table."""
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     slim = slim.withColumn("held_out", held_out("doc_id")).withColumn("train", ~F.col("held_out"))
+    path = scratch_path(docs.sparkSession, "pitman_yor_docs")
+    slim.write.parquet(path)
+    return docs.sparkSession.read.schema(slim.schema).parquet(path)
+
+
+def digest(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    slim = _numbered(docs)
     model = fit(slim, **options)
 
     def count(batches):

@@ -99,3 +99,23 @@ def test_same_run_twice_and_tables_without_training_texts(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     only, = py.digest(spark.createDataFrame([(held, "a b")], "doc_id long, text string").checkpoint()).collect()
     assert (only.n_tokens, only.n_known, only.train_tokens, only.base_score, only.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_rows_keep_their_scores_when_a_later_scan_is_split_otherwise(spark, tmp_path, monkeypatch):
+    rows = [(i, f"w{i % 7} " * (i + 1)) for i in range(60)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    fit, option = py.fit, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(option)
+
+    def then_split_otherwise(docs, **options):
+        model = fit(docs, **options)
+        spark.conf.set(option, "1000")
+        return model
+
+    monkeypatch.setattr(py, "fit", then_split_otherwise)
+    try:
+        got = sorted((r.doc_id, r.n_tokens) for r in py.digest(spark.read.parquet(path)).collect() if r.n_known <= r.n_tokens)
+    finally:
+        spark.conf.set(option, before)
+    assert got == [(i, i + 2) for i, _ in rows]
