@@ -1,26 +1,30 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-Every context has a restaurant whose customers are the words that follow it in the training
-texts; tables of one dish in all context restaurants are customers of the root restaurant, the
-parent they share, and its tables draw from a uniform base over the V words seen and one unknown
-word. Words that make up at least ``frequent`` of the tokens of some run of documents are
-contexts of their own; other words share restaurants by their length and last byte, and texts
-begin in one more. So contexts are bounded, and what grows with the corpus are dishes.
+Every word has a restaurant whose customers are the words that follow it in the training texts,
+and every pair of words has one for what follows the pair; places before the beginning of a text
+count as one more word. Tables of one dish in the restaurants of all pairs that end in a word are
+customers of that word's restaurant, its tables are customers of the root restaurant, and the
+root's tables draw from a uniform base over the V words seen and one unknown word. So there are
+as many restaurants as the texts have words and pairs, told apart by 64-bit hashes.
 
 Gibbs sampling: a sweep unseats all customers of a dish in a restaurant and seats them again one
 by one, opening a table with odds (theta + d * tables) * parent probability against
 (seated - d * tables of the dish); beyond the first customers in runs, within which these odds are
 held. The restaurants' totals and the parent probabilities are those of the sweep before. Then
-the root seats its customers likewise. Probabilities of a text are averaged over the samples
-after ``burn_in`` sweeps; ``perplexity`` sums them up.
+the parents seat their customers likewise. Words and pairs have one discount, the root its own.
+Probabilities of a text are averaged over the samples after ``burn_in`` sweeps; ``perplexity``
+sums them up.
 
 Plan: tokens go to ranges of word hashes in packed rows, one shuffle, kept as a table. All of a
-word's counts and tables are in its range, except for frequent words, whose entries are split by
-context (no range holds a third of all tokens); their sums, and the totals of each context, are
-small tables of bounded size that go through the driver between sweeps. A sweep replays its
-predecessors in each range from these totals, with random numbers seeded by range and sweep, so a
-lost task repeats itself exactly and no seating is stored. Probabilities return to the texts
-as packed sums by row.
+word's counts and tables are in its range, except for words that make up at least ``frequent`` of
+the tokens of some run of documents: their entries are split by the word before (no range holds a
+third of all tokens), and their root sums, a small table of bounded size, go through the driver
+between sweeps. Restaurants are numbered by ranges of their hashes. After a sweep each word range
+sends its restaurants' customers and tables to the restaurants' ranges, one shuffle, which add
+them up and return the totals, another; they are kept as a table by word range. The tables are
+bucketed alike, so they are joined without a shuffle. A sweep replays its predecessors in each
+range from these totals, with random numbers seeded by range and sweep, so a lost task repeats
+itself exactly and no seating is stored. Probabilities return to the texts as packed sums by row.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. Words are told apart by
 64-bit hashes. Defined results: a null or empty text has the end only; rows with a null id are
@@ -40,23 +44,48 @@ from pyspark.sql import functions as F
 
 from quayside.llm import exchange
 from quayside.llm.words import Words, mix, slices
-from quayside.session import scratch_path
+from quayside.session import fresh_name, scratch_path
 
 RUN_TOKENS = 1_500_000  # tokens that a map task sorts at a time
-CLASSES = 512  # restaurants that other words share as contexts
+PARTITION_BYTES = 6 << 20  # text whose tokens make up the ranges of one task
 _U = np.uint64
 END = int(mix(np.array([0xE0D], _U))[0])  # the hash that stands for the end of a text
+START = int(mix(np.array([0x57A7], _U))[0])  # and for the places before its first word
 
 
 class Totals(NamedTuple):
-    """What all ranges share after a sweep."""
+    """What all ranges share after a sweep. In a task ``customers`` and ``tables`` are those of the
+    restaurants of its range; outside they are a ``Spread``."""
 
-    customers: np.ndarray  # of each context
-    tables: np.ndarray  # of each context
+    customers: np.ndarray  # of each restaurant
+    tables: np.ndarray  # of each restaurant
     root: tuple  # customers and tables of the root
     frequent: np.ndarray  # rows: count, root customers, root tables of each frequent word
 
 
+class Spread(np.lib.mixins.NDArrayOperatorsMixin):
+    """A column of restaurants' totals in a table; an array only when one is asked for (tests)."""
+
+    def __init__(self, table: DataFrame, name: str, column: int, size: int):
+        self.table, self.name, self.column, self.size = table, name, column, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        out = np.zeros(self.size)
+        for r in self.table.where("bucket >= 0").toLocalIterator():
+            columns = exchange.unpack(r[self.name])
+            out[columns[0].astype(np.int64)] = columns[self.column]
+        return out if dtype is None else out.astype(dtype)
+
+    def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
+        return getattr(ufunc, method)(*(np.asarray(x) if isinstance(x, Spread) else x for x in inputs), **kwargs)
+
+    def __getitem__(self, at):
+        return np.asarray(self)[at]
+
+
 class Rates(NamedTuple):
     d: float  # discounts and strengths of the context restaurants and of the root
     theta: float
@@ -83,33 +112,31 @@ def seat(rng, count: np.ndarray, a: np.ndarray, d: float) -> np.ndarray:
     return tables
 
 
-def contexts(w: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of each word among the sorted frequent hashes or -1, context class of each word)."""
-    at = np.minimum(np.searchsorted(frequent, w.hash), max(len(frequent) - 1, 0))
-    known = frequent[at] == w.hash if len(frequent) else np.zeros(len(w.hash), bool)
-    size = np.minimum(w.end - w.start, 15)
-    last = w.data[w.end - 1].astype(np.int64) if len(w.hash) else size
-    shape = len(frequent) + (size * 37 + last) % CLASSES
-    return np.where(known, at, -1), np.where(known, at, shape)
-
-
 def _tokens(w: Words, frequent: np.ndarray):
-    """(hash, frequent index, context, text) of every token of a slice, the ends included."""
-    index, own = contexts(w, frequent)
+    """(hash, frequent index or -1, restaurant of the word before, of the two words before, text)
+    of every token of a slice, the ends included."""
     n, total = w.n_docs, len(w.hash) + w.n_docs
     place = np.arange(len(w.hash)) + w.doc
     ends = np.cumsum(w.count + 1) - 1
-    h, f, doc = np.full(total, END, _U), np.full(total, np.searchsorted(frequent, _U(END))), np.zeros(total, np.int64)
-    h[place], f[place], doc[place], doc[ends] = w.hash, index, w.doc, np.arange(n)
-    before = np.full(total, len(frequent) + CLASSES)  # a text begins in a restaurant of its own
-    before[place + 1] = own
-    return h, f, before, doc
+    h, doc = np.full(total, END, _U), np.zeros(total, np.int64)
+    h[place], doc[place], doc[ends] = w.hash, w.doc, np.arange(n)
+    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+    f = np.where(frequent[at] == h, at, -1)
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    back = []
+    for x in (h, None):
+        x = back[0] if x is None else x
+        back.append(np.concatenate([np.full(1, START, _U), x[:-1]]))
+        back[-1][begins] = START
+    one = mix(back[0] + _U(1))
+    two = mix(one ^ mix(back[1] + _U(2)))
+    return h, f, one, two, doc
 
 
 def _frequent(docs: DataFrame, share: float) -> np.ndarray:
     """Sorted hashes of words that make up ``share`` of the tokens of some run of documents and
-    half of that overall; at most 2 / share. They only decide what is split and which contexts
-    are told apart. The end is one of them."""
+    half of that overall; at most 2 / share. They only decide what is split. The end is one
+    of them."""
 
     def run(batches):
         counts = []
@@ -134,33 +161,106 @@ def _frequent(docs: DataFrame, share: float) -> np.ndarray:
     return np.unique(np.append(np.array([r[0] for r in rows], np.int64).view(_U), _U(END)))
 
 
-_RANGE = "bucket int, pairs binary, refs binary"
+def _keep(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows``, dealt to ``parts`` by bucket, as a table that Spark knows to be dealt so: joins on
+    the bucket need no shuffle. Only its files stay, not its name."""
+    spark, name = rows.sparkSession, fresh_name("pitman_yor")
+    rows.write.format("parquet").bucketBy(parts, "bucket").option("path", scratch_path(spark, "pitman_yor")).saveAsTable(name)
+    out = spark.table(name)
+    out.schema  # resolved here
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def _round(table: DataFrame, send, reply, receive, parts: int, name: str) -> DataFrame:
+    """(bucket, ``name``): what the word ranges send to the restaurants' ranges comes back."""
+    sent = table.mapInArrow(send, "piece int, origin int, blob binary")
+    back = sent.repartition(parts, "piece").sortWithinPartitions("piece").mapInArrow(reply, "bucket int, piece int, blob binary")
+    return _keep(back.repartition(parts, "bucket").sortWithinPartitions("bucket", "piece").mapInArrow(receive, f"bucket int, {name} binary"), parts)
+
+
+def _groups(batches):
+    """(key, lists of the other columns) of rows sorted by their first column."""
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+            if held and row[0] != now:
+                yield now, [list(x) for x in zip(*held)]
+                held = []
+            now = row[0]
+            held.append(row[1:])
+    if held:
+        yield now, [list(x) for x in zip(*held)]
+
+
+def _rows(rows: list, names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows))
+    return pa.record_batch([*(pa.array(c, pa.int32()) for c in columns[:-1]), pa.array(columns[-1], pa.binary())], names=names)
+
+
+def _pieces(bits: int, ids: np.ndarray):
+    """(order, piece, key, cuts) of restaurants by piece: piece ``ids % 2**bits``, key the rest."""
+    order = np.argsort(ids & ((1 << bits) - 1), kind="stable")
+    piece = ids[order] & ((1 << bits) - 1)
+    cuts = np.flatnonzero(np.diff(piece)) + 1
+    return order, piece, (ids[order] >> bits).astype(_U), list(zip([0, *cuts], [*cuts, len(ids)]))
+
+
+_UP, _DOWN = ["piece", "origin", "blob"], ["bucket", "piece", "blob"]
+
+
+def _numbers(raw: DataFrame, parts: int, bits: int) -> DataFrame:
+    """Numbers of the restaurants of each word range, in the order of their hashes: 2**bits ranges
+    of hashes count up on their own, the range is the low bits of a number."""
+
+    def send(batches):
+        for batch in batches:
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                _, _, one, two, _ = exchange.unpack(blob.as_py())
+                rows = [(piece, bucket, b) for piece, b in exchange.split(np.unique(np.concatenate([one, two]).view(_U)), [], bits)]
+                yield _rows(rows, _UP)
+        exchange.release_memory()
+
+    def reply(batches):
+        for piece, (origins, blobs) in _groups(batches):
+            asked = [exchange.unpack(b)[0] for b in blobs]
+            known = np.unique(np.concatenate(asked))
+            yield _rows([(o, piece, exchange.pack(np.searchsorted(known, a).astype(_U))) for o, a in zip(origins, asked)], _DOWN)
+        exchange.release_memory()
+
+    def receive(batches):
+        for bucket, (pieces, blobs) in _groups(batches):
+            ids = np.concatenate([(exchange.unpack(b)[0].astype(np.int64) << bits) | p for p, b in zip(pieces, blobs)])
+            yield _rows([(bucket, exchange.pack(np.zeros(len(ids), _U), ids))], ["bucket", "ids"])
+        exchange.release_memory()
+
+    return _round(raw.select("bucket", "raw"), send, reply, receive, parts, "ids")
 
 
 def _ranges(docs: DataFrame, frequent: np.ndarray, parts: int, bits: int) -> DataFrame:
-    """One row per range of word hashes: its training counts by (word, context), and its tokens
-    by (word, context, row)."""
+    """One row per range of word hashes: its training counts by (word, the two restaurants), and
+    its tokens by (word, restaurants, row)."""
 
     def emit(batches):
         held, n = [], 0
 
         def flush():
-            key, f, u, ref = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((ref, u, key))
-            key, f, u, ref = key[order], f[order], u[order], ref[order]
+            key, f, one, two, ref = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((ref, two, one, key))
+            key, f, one, two, ref = key[order], f[order], one[order], two[order], ref[order]
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1]) | (ref[1:] != ref[:-1])
+            new[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1]) | (ref[1:] != ref[:-1])
             at = np.flatnonzero(new)
             many = np.diff(np.concatenate([at, [len(key)]]))
-            return exchange.blob_rows(key[at], [f[at] + 1, u[at], ref[at], many], bits)
+            return exchange.blob_rows(key[at], [f[at] + 1, one[at].view(np.int64), two[at].view(np.int64), ref[at], many], bits)
 
         for batch in batches:
             rows, train = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b, w in slices(batch.column(1), lower=True):
-                h, f, u, doc = _tokens(w, frequent)
-                split = f >= 0  # frequent words: a place of its own for each context
-                h[split] = mix(h[split] ^ mix(u[split].astype(_U) + _U(1)))
-                held.append((h, f.astype(np.int32), u.astype(np.int32), rows[a:b][doc] * 2 + train[a:b][doc]))
+                h, f, one, two, doc = _tokens(w, frequent)
+                split = f >= 0  # frequent words: a place of its own for each word before
+                h[split] = mix(h[split] ^ mix(one[split] + _U(1)))
+                held.append((h, f.astype(np.int32), one, two, rows[a:b][doc] * 2 + train[a:b][doc]))
                 n += len(h)
                 if n >= RUN_TOKENS:
                     yield flush()
@@ -173,38 +273,73 @@ def _ranges(docs: DataFrame, frequent: np.ndarray, parts: int, bits: int) -> Dat
 
     def merge(batches):
         for bucket, blobs in exchange.by_bucket(batches):
-            key, f, u, ref, many = exchange.gather(blobs)
-            order = np.lexsort((ref, u, f, key))
-            key, f, u, ref, many = key[order], f[order], u[order], ref[order], many[order]
+            key, f, one, two, ref, many = exchange.gather(blobs)
+            order = np.lexsort((ref, two, one, f, key))
+            key, f, one, two, ref, many = key[order], f[order], one[order], two[order], ref[order], many[order]
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1]) | (f[1:] != f[:-1])
+            new[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1]) | (f[1:] != f[:-1])
             at = np.flatnonzero(new)
             pair = np.cumsum(new) - 1
             count = np.bincount(pair, many * (ref & 1), minlength=len(at)).astype(np.int64)
-            pairs = exchange.pack(key[at], f[at] - 1, u[at], count)
+            raw = exchange.pack(key[at], f[at] - 1, one[at], two[at], count)
             refs = exchange.pack(np.cumsum(new).astype(_U), ref, many)
-            yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([pairs], pa.binary()), pa.array([refs], pa.binary())], names=["bucket", "pairs", "refs"])
+            yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([raw], pa.binary()), pa.array([refs], pa.binary())], names=["bucket", "raw", "refs"])
         exchange.release_memory()
 
     blobs = docs.select("row", "text", "train").mapInArrow(emit, exchange.BLOB_DDL)
-    return exchange.deal(blobs, parts).mapInArrow(merge, _RANGE)
+    return _keep(exchange.deal(blobs, parts).mapInArrow(merge, "bucket int, raw binary, refs binary"), parts)
+
+
+def _numbered_ranges(raw: DataFrame, parts: int, bits: int) -> DataFrame:
+    """(bucket, pairs): the ranges with the numbers of their restaurants instead of hashes."""
+
+    def put(batches):
+        for batch in batches:
+            for bucket, blob, ids in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                key, f, one, two, count = exchange.unpack(blob.as_py())
+                both, at = np.unique(np.concatenate([one, two]).view(_U), return_inverse=True)
+                u = exchange.unpack(ids.as_py())[1][at]
+                yield _rows([(bucket, exchange.pack(key, f, u[: len(key)], u[len(key) :], count))], ["bucket", "pairs"])
+        exchange.release_memory()
+
+    ids = _numbers(raw, parts, bits)
+    return _keep(raw.select("bucket", "raw").join(ids.hint("merge"), "bucket").mapInArrow(put, "bucket int, pairs binary"), parts)
 
 
 class _Range:
-    """The words of one range: counts by (word, context) and the seatings of the sweeps."""
+    """The words of one range: counts by (word, two words before), dishes by (word, word before),
+    and the seatings of the sweeps. ``u``, ``count`` and ``tables`` list the entries of pairs of
+    words, then those of single words."""
 
     def __init__(self, bucket: int, blob: bytes, seed: int):
-        key, self.f, self.u, self.count = exchange.unpack(blob)
+        key, f, one, two, self.count3 = exchange.unpack(blob)
         self.bucket, self.seed = bucket, seed
         new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (self.f[1:] >= 0)
-        self.word = np.cumsum(new) - 1  # entries of a frequent word stand alone here
+        new[1:] = (key[1:] != key[:-1]) | (f[1:] != f[:-1])
+        dish = new.copy()
+        dish[1:] |= one[1:] != one[:-1]
+        self.dish = np.cumsum(dish) - 1  # of each entry
+        first = np.flatnonzero(dish)
+        self.word = np.cumsum(new)[first] - 1  # of each dish; a frequent word's dish stands alone
         self.first = np.flatnonzero(new)
-        self.wf = self.f[self.first]
-        self.total = np.bincount(self.word, self.count).astype(np.int64)
-        self.tables = (self.count > 0).astype(np.int64)
-        self.c0 = np.bincount(self.word, self.tables).astype(np.int64)
-        self.t0 = (self.c0 > 0).astype(np.int64)
+        self.wf = f[self.first]
+        self.u = np.concatenate([two, one[first]])
+        self.total = np.bincount(self.word[self.dish], self.count3).astype(np.int64)
+        self._seated((self.count3 > 0).astype(np.int64), None, None)
+
+    def _seated(self, tables, upper, root) -> None:
+        """Takes the tables of pairs; ``upper`` and ``root`` seat what they are sent."""
+        one = lambda c: (c > 0).astype(np.int64)
+        self.c2 = np.bincount(self.dish, tables).astype(np.int64)
+        self.t2 = (upper or one)(self.c2)
+        self.c0 = np.bincount(self.word, self.t2).astype(np.int64)
+        self.t0 = (root or one)(self.c0)
+        self.count, self.tables = np.concatenate([self.count3, self.c2]), np.concatenate([tables, self.t2])
+
+    def local(self) -> np.ndarray:
+        """The sorted numbers of its restaurants, which ``u`` then points into."""
+        ids, self.u = np.unique(self.u, return_inverse=True)
+        return ids
 
     def root(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
         """Root probability of each word, by the totals of the last sweep."""
@@ -214,30 +349,40 @@ class _Range:
         c[own], t[own] = totals.frequent[1][self.wf[own]], totals.frequent[2][self.wf[own]]
         return (np.maximum(c - rates.d0 * t, 0) + (rates.theta0 + rates.d0 * tables) * base) / (rates.theta0 + customers)
 
+    def parent(self, totals: Totals, rates: Rates, base: float) -> tuple[np.ndarray, np.ndarray]:
+        """(root probability, probability after the word before) of each dish."""
+        p, u = self.root(totals, rates, base)[self.word], self.u[len(self.count3) :]
+        c, t = totals.customers[u], totals.tables[u]
+        return p, (np.maximum(self.c2 - rates.d * self.t2, 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
+
     def sweep(self, number: int, totals: Totals, rates: Rates, base: float) -> None:
         rng = np.random.default_rng([self.seed, number, self.bucket])
-        p = self.root(totals, rates, base)
-        weight = (rates.theta + rates.d * totals.tables[self.u]) * p[self.word]
-        self.tables = seat(rng, self.count, weight, rates.d)
-        self.c0 = np.bincount(self.word, self.tables, minlength=len(self.first)).astype(np.int64)
-        self.t0 = seat(rng, self.c0, np.full(len(self.c0), (rates.theta0 + rates.d0 * totals.root[1]) * base), rates.d0)
-
-    def sums(self, contexts_: int, frequent: int):
-        """Customers and tables by context; root customers and tables of the words that are not
-        split; count and root customers of the split ones; (distinct words, dishes by 1, 2
-        customers in restaurants and root)."""
-        customers = np.bincount(self.u, self.count, minlength=contexts_)
-        tables = np.bincount(self.u, self.tables, minlength=contexts_)
+        p1, p2 = self.parent(totals, rates, base)
+        weight = (rates.theta + rates.d * totals.tables[self.u]) * np.concatenate([p2[self.dish], p1])
+        n = len(self.count3)
+        upper = lambda c: seat(rng, c, weight[n:], rates.d)
+        root = lambda c: seat(rng, c, np.full(len(c), (rates.theta0 + rates.d0 * totals.root[1]) * base), rates.d0)
+        self._seated(seat(rng, self.count3, weight[:n], rates.d), upper, root)
+
+    def totals(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables by restaurant."""
+        return np.bincount(self.u, self.count, minlength=n).astype(np.int64), np.bincount(self.u, self.tables, minlength=n).astype(np.int64)
+
+    def sums(self, frequent: int):
+        """Root customers and tables of the words that are not split; count and root customers of
+        the split ones; (distinct words, dishes by 1, 2 customers in restaurants and root, training
+        tokens)."""
         own = self.wf >= 0
         rest = ~own
         split = np.stack([np.bincount(self.wf[own], x[own], minlength=frequent) for x in (self.total, self.c0)])
-        some = [(self.total[rest] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), (self.c0[rest] == 1).sum(), (self.c0[rest] == 2).sum()]
-        return np.concatenate([customers, tables, [self.c0[rest].sum(), self.t0[rest].sum()], split.reshape(-1), some])
+        some = [(self.total[rest] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), (self.c0[rest] == 1).sum(), (self.c0[rest] == 2).sum(), self.total.sum()]
+        return np.concatenate([[self.c0[rest].sum(), self.t0[rest].sum()], split.reshape(-1), some])
 
     def predictive(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
-        p = self.root(totals, rates, base)[self.word]
-        c, t = totals.customers[self.u], totals.tables[self.u]
-        return (np.maximum(self.count - rates.d * self.tables, 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
+        n = len(self.count3)
+        p = self.parent(totals, rates, base)[1][self.dish]
+        c, t = totals.customers[self.u[:n]], totals.tables[self.u[:n]]
+        return (np.maximum(self.count3 - rates.d * self.tables[:n], 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
 
 
 def _discount(one: float, two: float) -> float:
@@ -255,64 +400,124 @@ class Model(NamedTuple):
     seed: int
     bits: int
     parts: int
+    refs: DataFrame  # (bucket, refs): the tokens of the ranges by row
+
+
+def _known(history: list, blobs) -> list:
+    """``history`` with the totals of one range's restaurants in place of those in the tables."""
+    out = []
+    for totals, blob in zip(history, blobs):
+        _, c, t = exchange.unpack(blob.as_py())
+        out.append(totals._replace(customers=c, tables=t))
+    return out
+
+
+def _small(history: list) -> list:
+    return [t._replace(customers=None, tables=None) for t in history]
+
+
+def _with_totals(table: DataFrame, history: list) -> DataFrame:
+    for totals in history:
+        table = table.join(totals.customers.table.hint("merge"), "bucket")
+    return table
 
 
 def fit(docs: DataFrame, sweeps: int = 3, burn_in: int = 1, frequent: float = 1 / 2048, theta: float = 1.0, seed: int = 5) -> Model:
     """``docs``: (row, text, train). Runs the sweeps; the model's table has all tokens."""
     spark = docs.sparkSession
-    parts, bits = exchange.plan_partitions(docs, "text")
+    parts, bits = exchange.plan_partitions(docs, "text", PARTITION_BYTES)
     words = _frequent(docs, frequent)
-    path = scratch_path(spark, "pitman_yor")
-    _ranges(docs, words, parts, bits).write.parquet(path)
-    table = spark.read.schema(_RANGE).parquet(path)
-    n_contexts, n_frequent = len(words) + CLASSES + 1, len(words)
+    raw = _ranges(docs, words, parts, bits)
+    piece_bits = (parts - 1).bit_length()
+    table, n_frequent = _numbered_ranges(raw, parts, piece_bits), len(words)
 
     def collect(history, rates, base):
-        sent = spark.sparkContext.broadcast((history, rates, base))
+        sent = spark.sparkContext.broadcast((_small(history), rates, base))
 
-        def run(batches):
+        def send(batches):
             out = 0.0
             history, rates, base = sent.value
             for batch in batches:
-                for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    r = _Range(bucket, blob.as_py(), seed)
-                    for number, totals in enumerate(history):
+                for i, bucket in enumerate(batch.column(0).to_pylist()):
+                    r = _Range(bucket, batch.column(1)[i].as_py(), seed)
+                    ids = r.local()
+                    for number, totals in enumerate(_known(history, [batch.column(2 + k)[i] for k in range(len(history))])):
                         r.sweep(number, totals, rates, base)
-                    out = out + r.sums(n_contexts, n_frequent)
+                    out = out + r.sums(n_frequent)
+                    order, piece, key, cuts = _pieces(piece_bits, ids)
+                    c, t = (x[order] for x in r.totals(len(ids)))
+                    yield _rows([(int(piece[a]), bucket, exchange.pack(key[a:b], c[a:b], t[a:b])) for a, b in cuts], _UP)
             if not np.isscalar(out):
-                some = np.flatnonzero(out)
-                yield pa.record_batch([pa.array(some), pa.array(out[some])], names=["i", "x"])
-
-        rows = table.select("bucket", "pairs").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x")).collect()
-        sums = np.zeros(2 * n_contexts + 2 + 2 * n_frequent + 5)  # at most so many rows
-        for i, x in rows:
-            sums[i] = x
+                yield _rows([(-1, -1, out.tobytes())], _UP)
+            exchange.release_memory()
+
+        def reply(batches):
+            for piece, (origins, blobs) in _groups(batches):
+                if piece < 0:
+                    yield _rows([(-1, -1, sum(np.frombuffer(b) for b in blobs).tobytes())], _DOWN)
+                    continue
+                parts_ = [exchange.unpack(b) for b in blobs]
+                n = 1 + max(int(x[0][-1]) for x in parts_)
+                c, t = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                for key, c_, t_ in parts_:
+                    c[key] += c_  # a range names a restaurant once
+                    t[key] += t_
+                for o, (key, _, _) in zip(origins, parts_):
+                    yield _rows([(o, piece, exchange.pack(key, c[key], t[key]))], _DOWN)
+            exchange.release_memory()
+
+        def receive(batches):
+            for bucket, (pieces, blobs) in _groups(batches):
+                if bucket < 0:
+                    yield _rows([(-1, blobs[0])], ["bucket", name])
+                    continue
+                some = [exchange.unpack(b) for b in blobs]
+                ids = np.concatenate([(x[0].astype(np.int64) << piece_bits) | p for p, x in zip(pieces, some)])
+                order = np.argsort(ids)
+                c, t = (np.concatenate([x[k] for x in some])[order] for k in (1, 2))
+                yield _rows([(bucket, exchange.pack(ids[order].astype(_U), c, t))], ["bucket", name])
+            exchange.release_memory()
+
+        name = f"totals{len(history)}"
+        kept = _round(_with_totals(table, history), send, reply, receive, parts, name)
         sent.unpersist()
-        return sums
+        row = kept.where("bucket = -1").first()
+        return kept, name, np.frombuffer(row[1]) if row else np.zeros(2 + 2 * n_frequent + 6)
 
     history: list[Totals] = []
-    rates, base, n_words, n_tokens = Rates(0.5, theta, 0.5, theta), 1.0, 0, 0
+    rates, base, n_words, n_tokens, size = Rates(0.5, theta, 0.5, theta), 1.0, 0, 0, 0
     for number in range(sweeps + 1):
-        s = collect(history, rates, base)
-        customers, tables = s[:n_contexts], s[n_contexts : 2 * n_contexts]
-        (c0, t0), split, some = s[2 * n_contexts : 2 * n_contexts + 2], s[2 * n_contexts + 2 : -5].reshape(2, -1), s[-5:]
+        kept, name, s = collect(history, rates, base)
+        (c0, t0), split, some = s[:2], s[2:-6].reshape(2, -1), s[-6:]
         if not number:
-            n_words, n_tokens = int(some[0] + (split[0] > 0).sum()), int(customers.sum())
+            n_words, n_tokens = int(some[0] + (split[0] > 0).sum()), int(some[5])
             base = 1.0 / (n_words + 1)
             rates = Rates(_discount(some[1], some[2]), theta, _discount(some[3], some[4]), theta)
             own = (split[1] > 0).astype(np.int64)
+            size = _highest(kept) + 1
         else:
             rng = np.random.default_rng([seed, number, 1 << 40])
             before = history[-1]
             own = seat(rng, split[1].astype(np.int64), np.full(n_frequent, (rates.theta0 + rates.d0 * before.root[1]) * base), rates.d0)
-        history.append(Totals(customers, tables, (float(c0 + split[1].sum()), float(t0 + own.sum())), np.stack([split[0], split[1], own])))
-    return Model(table, history, rates, n_words, n_tokens, burn_in, seed, bits, parts)
+        spread = [Spread(kept, name, k, size) for k in (1, 2)]
+        history.append(Totals(*spread, (float(c0 + split[1].sum()), float(t0 + own.sum())), np.stack([split[0], split[1], own])))
+    return Model(table, history, rates, n_words, n_tokens, burn_in, seed, bits, parts, raw.select("bucket", "refs"))
+
+
+def _highest(kept: DataFrame) -> int:
+    """The highest number of a restaurant."""
+
+    def top(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([int(exchange.unpack(b.as_py())[0][-1]) for b in batch.column(1)], pa.int64())], names=["top"])
+
+    return kept.where("bucket >= 0").mapInArrow(top, "top long").agg(F.max("top")).first()[0] or 0
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(row, n_known, base_score, score) of every row of ``docs`` (row, text, train)."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model._replace(table=None))
+    sent = spark.sparkContext.broadcast(model._replace(table=None, refs=None, history=_small(model.history)))
     back = (2 * model.parts - 1).bit_length()
 
     def run(batches):
@@ -320,22 +525,24 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         base, floor = 1.0 / (m.words + 1), m.tokens + 0.5 * (m.words + 1)
         held = []
         for batch in batches:
-            for bucket, pairs, refs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                r = _Range(bucket, pairs.as_py(), m.seed)
-                p, samples = np.zeros(len(r.count)), 0
-                for number, totals in enumerate(m.history[:-1]):
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                r = _Range(bucket, batch.column(1)[i].as_py(), m.seed)
+                r.local()
+                history = _known(m.history, [batch.column(3 + k)[i] for k in range(len(m.history))])
+                p, samples = np.zeros(len(r.count3)), 0
+                for number, totals in enumerate(history[:-1]):
                     r.sweep(number, totals, m.rates, base)
                     if number >= m.burn_in or number == len(m.history) - 2:
-                        p += r.predictive(m.history[number + 1], m.rates, base)
+                        p += r.predictive(history[number + 1], m.rates, base)
                         samples += 1
                 if not samples:
-                    p, samples = r.predictive(m.history[0], m.rates, base), 1
+                    p, samples = r.predictive(history[0], m.rates, base), 1
                 total = r.total.astype(float)
                 own = r.wf >= 0
                 total[own] = m.history[0].frequent[0][r.wf[own]]
-                count = total[r.word]
+                count = total[r.word[r.dish]]
                 log_p, log_b = np.log10(p / samples), np.log10((count + 0.5) / floor)
-                pair, ref, many = exchange.unpack(refs.as_py())
+                pair, ref, many = exchange.unpack(batch.column(2)[i].as_py())
                 pair, row = pair.astype(np.int64) - 1, ref >> 1
                 rows, at = np.unique(row, return_inverse=True)
                 held.append((rows, np.bincount(at, many * (count[pair] > 0)).astype(np.int64), np.bincount(at, many * log_b[pair]), np.bincount(at, many * log_p[pair])))
@@ -358,7 +565,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             cols = [np.bincount(at, known).astype(np.int64), np.bincount(at, b.view(np.float64)), np.bincount(at, s.view(np.float64))]
             yield pa.record_batch([pa.array(ids.view(np.int64)), *map(pa.array, cols)], names=["row", "n_known", "base_score", "score"])
 
-    sums = model.table.mapInArrow(run, exchange.BLOB_DDL)
+    sums = _with_totals(model.table.join(model.refs.hint("merge"), "bucket"), model.history).mapInArrow(run, exchange.BLOB_DDL)
     return exchange.deal(sums, model.parts).mapInArrow(add, "row long, n_known long, base_score double, score double")
 
 

@@ -119,3 +119,22 @@ def test_rows_keep_their_scores_when_a_later_scan_is_split_otherwise(spark, tmp_
     finally:
         spark.conf.set(option, before)
     assert got == [(i, i + 2) for i, _ in rows]
+
+
+def test_contexts_are_the_words_before_and_grow_with_the_texts(spark):
+    # "xaab" and "yaab" have one length and last byte, and are followed by different words
+    rows = [(i, f"{c}aab {n} {c}{j}z xx{j} {n}") for i, (c, n, j) in enumerate((c, n, j) for j in range(60) for c, n in (("x", "one"), ("y", "two")))]
+    train = spark.createDataFrame([(i, t, True) for i, t in rows] + [(1000, "xaab one", False), (1001, "xaab two", False)], "row long, text string, train boolean").coalesce(1).checkpoint()
+    model = py.fit(train, frequent=0.4)
+    got = {r.row: r.score for r in py.score(train, model).where("row >= 1000").collect()}
+    assert got[1000] > got[1001] + 1
+    seen = {k: {tuple(w[max(i - k, 0) : i]) for w in (t.split() for _, t in rows) for i in range(len(w) + 1)} for k in (1, 2)}
+    customers = np.asarray(model.history[0].customers)
+    assert (customers > 0).sum() == len(seen[1]) + len(seen[2]) and np.sort(customers)[-1] <= len(rows) + 60
+
+
+def test_what_follows_depends_on_two_words(spark):
+    rows = [(i, f"a{i % 2} middle z{i % 2}") for i in range(200)]
+    docs = spark.createDataFrame([(i, t, True) for i, t in rows] + [(1000, "a0 middle z0", False), (1001, "a0 middle z1", False)], "row long, text string, train boolean").coalesce(1).checkpoint()
+    got = {r.row: r.score for r in py.score(docs, py.fit(docs)).where("row >= 1000").collect()}
+    assert got[1000] > got[1001] + 0.7
