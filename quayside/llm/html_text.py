@@ -36,7 +36,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-RAW = frozenset("script style title template textarea noscript iframe svg math object xmp".split())
+RAW = frozenset("script style title template textarea iframe".split())  # not shown
+FOREIGN = frozenset(("svg", "math"))  # in these, and for these, "/>" ends an element
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # an open element that a start tag of the same kind ends
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -66,7 +67,7 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple]] = []
     held: list[str] = []
-    linked, in_link, skip, at = 0, False, 0, 0
+    linked, in_link, skip, at, foreign = 0, False, 0, 0, 0
 
     def close():
         nonlocal held, linked
@@ -76,9 +77,9 @@ def blocks(page: str | None) -> list[Block]:
                 out.append(Block(text, tuple(stack), min(linked, len(text))))
             held, linked = [], 0
 
-    def put(raw):
+    def put(raw, verbatim=False):
         nonlocal linked
-        text = entities.unescape(raw) if "&" in raw else raw
+        text = entities.unescape(raw) if "&" in raw and not verbatim else raw
         held.append(text)
         if in_link:
             linked += len(text)
@@ -97,6 +98,8 @@ def blocks(page: str | None) -> list[Block]:
         if m[1] or m[4]:
             if name == "a":
                 in_link = False
+            elif name in FOREIGN:
+                foreign = max(0, foreign - 1)
             elif name in BLOCKS:
                 close()
                 in_link = False
@@ -105,9 +108,16 @@ def blocks(page: str | None) -> list[Block]:
                         del stack[i:]
                         break
             continue
-        if name in RAW:
+        closed = (m[3] or m[6] or "").endswith("/")
+        if name in FOREIGN:
+            foreign += not closed
+        elif name in RAW and foreign and closed:
+            pass
+        elif name in RAW or name == "xmp":
             end = re.compile(f"</{re.escape(name)}", re.I).search(page, at)
             stop = page.find(">", end.end()) if end else -1
+            if name == "xmp":  # shown as it is written
+                put(page[at : end.start() if end else len(page)], verbatim=True)
             at = skip = stop + 1 if stop >= 0 else len(page)
         elif name == "a":
             in_link = True

@@ -62,3 +62,13 @@ def test_rows(spark):
     t = "Some longer text, of words, in one block. And more."
     assert got == sorted([(1, "u", "", 0), (2, None, "", 0), (None, "v", t, len(t)), (3, "w", t, len(t)), (3, "w", t, len(t)), (4, "x", "", 0)], key=str)
     assert h.extract(frame.limit(0)).collect() == []
+
+
+def test_text_around_and_inside_shown_elements_stays():
+    text = lambda page: [b.text for b in h.blocks(page)]
+    assert text("<p>a <svg viewBox='0 0 1 1'/> b</p><p>c</p>") == ["a b", "c"]
+    assert text("<p>a <math/> b</p><p>c <object data=x> d</p><p>e</p>") == ["a b", "c d", "e"]
+    assert text("<p>a <math><mi>x</mi></math> <object>o</object> <xmp>1 &lt; <b>2</xmp> z</p>") == ["a x o 1 &lt; <b>2 z"]
+    assert text("<noscript><p>shown</p></noscript><p>a</p>") == ["shown", "a"]
+    assert text("<p><svg><title/><style/></svg>a</p><p>b</p>") == ["a", "b"]
+    assert text("<p>a<script>x</script><svg><title>no</title></svg><template><p>no</p></template></p>") == ["a"]
