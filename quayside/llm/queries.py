@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, html_text, jaccard_join, piece_codec, pitman_yor, substring_dedup, token_files, topk, toxicity, warc
+from quayside.llm import decontaminate, fill_middle, html_text, jaccard_join, merkle, piece_codec, pitman_yor, substring_dedup, token_files, topk, toxicity, warc
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -158,3 +158,88 @@ def op10(spark, table):
 @query("op3_pitman_yor")
 def op3(spark, table):
     return pitman_yor.digest(table("documents"))
+
+
+@query(
+    "op11_merkle",
+    """
+    WITH RECURSIVE leaves AS (
+      SELECT coalesce('=' || source, '') AS tree, doc_id,
+             sha256(list_aggregate([coalesce(octet_length(encode(x)) || ':' || x, '-') FOR x IN [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text]], 'string_agg', '')) AS leaf,
+             sha256(list_aggregate([coalesce(octet_length(encode(x)) || ':' || x, '-') FOR x IN [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')]], 'string_agg', '')) AS other
+      FROM documents
+    ), placed AS (
+      SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n, 
+             xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+               lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+               4294967295) % 5 = 0 AS changed
+      FROM leaves WINDOW w AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf)
+    ), nodes AS (
+      SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+      UNION ALL
+      SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, n, pos // 16
+    ), tops AS (
+      SELECT 0 AS level, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n, h FROM nodes WHERE n = 1
+      UNION ALL
+      SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, n, pos // 16
+    ), subroots AS (
+      SELECT tree, h AS subroot, level AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM nodes WHERE n = 1
+    ), runs AS (
+      SELECT tree, level, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+    ), top_runs AS (
+      SELECT level, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM tops WHERE n > 1 GROUP BY ALL
+    ), fold AS (
+      SELECT row_number() OVER () AS k, tree, doc_id, leaf, 0 AS level, pos, CASE WHEN changed THEN other ELSE leaf END AS h, '' AS proof, height, place
+      FROM placed JOIN subroots USING (tree)
+      UNION ALL
+      SELECT k, f.tree, doc_id, leaf, f.level + 1, pos // 16,
+             sha256(array_to_string(list_slice(hs, 1, pos % 16), '') || h || array_to_string(list_slice(hs, pos % 16 + 2, len(hs)), '')),
+             proof || array_to_string(list_slice(hs, 1, pos % 16), '') || array_to_string(list_slice(hs, pos % 16 + 2, len(hs)), ''), height, place
+      FROM fold f JOIN runs r ON f.tree = r.tree AND f.level = r.level AND f.pos // 16 = r.run
+    ), top_fold AS (
+      SELECT k, tree, doc_id, leaf, 0 AS level, place AS pos, h, proof FROM fold WHERE level = height
+      UNION ALL
+      SELECT k, tree, doc_id, leaf, f.level + 1, pos // 16,
+             sha256(array_to_string(list_slice(hs, 1, pos % 16), '') || h || array_to_string(list_slice(hs, pos % 16 + 2, len(hs)), '')),
+             proof || array_to_string(list_slice(hs, 1, pos % 16), '') || array_to_string(list_slice(hs, pos % 16 + 2, len(hs)), '')
+      FROM top_fold f JOIN top_runs r ON f.level = r.level AND f.pos // 16 = r.run
+    )
+    SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+    FROM top_fold f JOIN subroots s USING (tree) JOIN tops t ON t.n = 1 AND f.level = t.level
+    """,
+)
+def op11(spark, table):
+    return merkle.digest(table("documents"))
+
+
+@query(
+    "op12_fill_middle",
+    r"""
+    WITH cut AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+             regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS w
+      FROM documents
+    ), drawn AS (
+      SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS h1, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS h2,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+                  WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+      FROM cut
+    ), parts AS (
+      SELECT *, array_to_string(list_slice(w, 1, least(h1, h2)), '') AS prefix, array_to_string(list_slice(w, least(h1, h2) + 1, greatest(h1, h2)), '') AS middle,
+             array_to_string(list_slice(w, greatest(h1, h2) + 1, len(w)), '') AS suffix
+      FROM drawn
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+    """,
+)
+def op12(spark, table):
+    return fill_middle.digest(table("documents"))
