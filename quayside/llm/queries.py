@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, fill_middle, html_text, jaccard_join, merkle, piece_codec, pitman_yor, substring_dedup, token_files, topk, toxicity, warc
+from quayside.llm import decontaminate, fill_middle, html_text, jaccard_join, merkle, piece_codec, pitman_yor, projection_forest, substring_dedup, token_files, topk, toxicity, warc
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -243,3 +243,28 @@ def op11(spark, table):
 )
 def op12(spark, table):
     return fill_middle.digest(table("documents"))
+
+
+@query(
+    "op13_embedding_dedup",
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+    ), unit AS (
+      SELECT vec_id, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x))) AS u FROM v
+    ), link AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND list_dot_product(a.u, b.u) >= 0.9
+    ), reach AS (
+      SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+    ), counted AS (
+      SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+    ), lows AS (
+      SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+    )
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(e.vec_id = component_id, false) AS kept
+    FROM embeddings e LEFT JOIN counted USING (vec_id) LEFT JOIN lows USING (vec_id)
+    """,
+)
+def op13(spark, table):
+    return projection_forest.near_duplicates(table("embeddings"))
