@@ -150,7 +150,7 @@ def fold(node: str, steps) -> str:
 def _blocks(leaves: DataFrame, fanout: int, levels: int) -> tuple[DataFrame, DataFrame]:
     """(a row per block with its sorted leaves; the proofs of blocks and groups up to the root)."""
     size = fanout**levels
-    ranked = _ranked(leaves, ["doc_id", "leaf"])
+    ranked = _ranked(_stored(leaves, "merkle_leaves"), ["doc_id", "leaf"])  # the range shuffle samples: texts are read once
     packed = ranked.groupBy("tree", F.floor(F.col("pos") / F.lit(size)).alias("p"), F.ceil(F.col("total") / F.lit(size)).alias("blocks")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "doc_id", "leaf", "changed"))).alias("leaves")
     )
