@@ -8,8 +8,8 @@
 (b) ``value_outliers``: rows outside the Tukey fences ``[q1 - k*IQR, q3 + k*IQR]`` of
     their group. Quartiles are exact by default (``quantiles.exact_quantiles``, which
     splits a hot group across tasks) or approximate (``method="approx"``); the quartile
-    table (one row per group) is counted and joined back on the group key, broadcast only
-    when the count is under ``MAX_BROADCAST_ROWS``.
+    table (one row per group) is measured and joined back on the group key, broadcast only
+    under a bound of its bytes (``broadcasts.small_side``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.quantiles import MAX_BROADCAST_ROWS, quantiles
+from quayside.operators.broadcasts import small_side
+from quayside.operators.quantiles import quantiles
 from quayside.session import checkpoint_root
 
 # The constant that makes the MAD comparable to a standard deviation for
@@ -81,14 +82,13 @@ def value_outliers(df: DataFrame, groups: Sequence[str], value: str, k: float =
     """Rows of ``df`` outside their group's Tukey fences, with ``q1, q3``."""
     groups = list(groups)
     checkpoint_root(df.sparkSession)
-    # One row per group, materialised once, then counted: broadcast to the rows only under a
-    # proven row bound; above it the join shuffles on the group key (AQE splits a hot group).
+    # One row per group, materialised once, then measured: broadcast to the rows only under a
+    # proven bound; above it the join shuffles on the group key (AQE splits a hot group).
     q = quantiles(df, groups, value, [0.25, 0.75], method=method).withColumnsRenamed({"q0": "_q1", "q1": "_q3"})
     v = F.col(f"`{value}`")
     if groups:
         q = q.checkpoint(eager=True)
-        side = q if q.count() > MAX_BROADCAST_ROWS else F.broadcast(q)
-        joined, q1, q3 = df.join(side, groups), F.col("_q1"), F.col("_q3")
+        joined, q1, q3 = df.join(small_side(q), groups), F.col("_q1"), F.col("_q3")
     else:  # one row of global quartiles: scalar subqueries, no join
         joined, q1, q3 = df, q.select("_q1").scalar(), q.select("_q3").scalar()
     iqr = q3 - q1

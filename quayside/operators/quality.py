@@ -102,9 +102,9 @@ def check_foreign_key(df: DataFrame, keys: Sequence[str], parent: DataFrame, par
     Keys are checked, not rows: the child's distinct keys (de-duplicated on every task
     before the shuffle, so a hot key is one row per task) are anti-joined with the parent's
     keys. The orphan keys are materialised and counted; the child's rows are then fetched
-    with a semi-join that broadcasts the orphan keys when their count is under
-    ``MAX_BROADCAST_ROWS`` - the child table itself is never shuffled in that case."""
-    from quayside.operators.quantiles import MAX_BROADCAST_ROWS
+    with a semi-join that broadcasts the orphan keys when their measured bytes are under a bound
+    (``broadcasts.small_side``) - the child table itself is never shuffled in that case."""
+    from quayside.operators.broadcasts import small_side
     from quayside.session import checkpoint_root
 
     keys, parent_keys = list(keys), list(parent_keys or keys)
@@ -117,8 +117,7 @@ def check_foreign_key(df: DataFrame, keys: Sequence[str], parent: DataFrame, par
     cond = [F.col(f"_key_{i}") == F.col(f"_ref_{i}") for i in range(len(keys))]
     checkpoint_root(df.sparkSession)
     orphans = child_keys.join(ref, cond, "left_anti").checkpoint(eager=True)
-    side = orphans if orphans.count() > MAX_BROADCAST_ROWS else F.broadcast(orphans)
-    return child.join(side, [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)], "left_semi")
+    return child.join(small_side(orphans), [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)], "left_semi")
 
 
 def quality_summary(df: DataFrame, rules: Sequence[Rule], unique_keys: Sequence[str] | None = None) -> DataFrame:

@@ -6,10 +6,15 @@
     filter, so partitions of other dates are never read); amounts are summed as
     decimals, so the comparison is exact.
 (b) ``reconcile_rows``: key-level compare of a source and a target frame. Each side is
-    first reduced to ONE row per key: ``count`` and two 32-bit halves of the summed
-    xxhash64 of the compared columns (a multiset fingerprint that cannot overflow). A hot
-    or duplicated key therefore collapses map-side, and the full outer join that follows
-    matches one row to one row, never all pairs of a key.
+    first reduced to ONE row per key: ``count`` and the summed pieces of the xxhash64 of
+    the compared columns (a multiset fingerprint that cannot overflow below 2**41 rows of a
+    key). A hot or duplicated key therefore collapses map-side, and the full outer join that
+    follows matches one row to one row, never all pairs of a key.
+
+Columns whose types differ between the sides are compared in a type that holds both, so a value
+is never rounded to the other side's type; a text that is no value of the other side's type is
+different from every value of it. ``operators/hashtree.py`` compares the same rows by a tree of
+fingerprints first.
 """
 
 from __future__ import annotations
@@ -73,11 +78,100 @@ def reconcile_totals(
     )
 
 
-def row_fingerprint(columns: Sequence[str]) -> Column:
-    """64-bit hash of the compared columns; null flags are hashed too, so (a, null) and
-    (null, a) differ."""
-    cols = [F.col(f"`{c}`") for c in columns]
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type in which values of both types can be compared without loss (text against decimals:
+    18 places at least)."""
+    text = (T.StringType, T.VarcharType, T.CharType)
+    if isinstance(a, text) and isinstance(b, text):
+        return T.StringType()
+    if a == b:
+        return a
+    if isinstance(a, text):
+        a, b = b, a
+    if isinstance(b, text):
+        if isinstance(a, (T.FloatType, T.DoubleType)):
+            return T.DoubleType()
+        if isinstance(a, T.DecimalType):
+            return T.DecimalType(38, max(18, a.scale))
+        if isinstance(a, T.IntegralType):
+            return T.DecimalType(38, 18)
+        if isinstance(a, T.DateType):
+            return T.TimestampNTZType()
+        return a if isinstance(a, (T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)) else T.StringType()
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        if isinstance(a, (T.FloatType, T.DoubleType)) or isinstance(b, (T.FloatType, T.DoubleType)):
+            return T.DoubleType()
+        digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+        if type(a) in digits and type(b) in digits:
+            return a if digits[type(a)] > digits[type(b)] else b
+        (pa, sa), (pb, sb) = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (digits[type(t)], 0) for t in (a, b)]
+        scale = max(sa, sb)
+        return T.DecimalType(min(38, max(pa - sa, pb - sb) + scale), scale)
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+class Pair:
+    """The two sides of a key-level compare: every row as its key, in common types, and the
+    fingerprint of its compared columns."""
+
+    def __init__(self, source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None):
+        self.keys = list(keys)
+        if compare is None:
+            compare = [c for c in source.columns if c not in self.keys and c in target.columns]
+        self.compare = list(compare)
+        kinds = [{f.name: f.dataType for f in df.schema.fields} for df in (source, target)]
+        self.mixed = {c: kinds[0][c] != kinds[1][c] for c in [*self.keys, *self.compare]}
+        self.types = {c: common_type(kinds[0][c], kinds[1][c]) for c in self.mixed}
+        text = (T.StringType, T.VarcharType, T.CharType)
+        #: keys that are text on one side only: the result gives them as text
+        self.as_text = {k for k in self.keys if isinstance(kinds[0][k], text) != isinstance(kinds[1][k], text)}
+        self.source, self.target = self._side(source), self._side(target)
+
+    def _value(self, name: str) -> tuple[Column, Column]:
+        """(value in the common type, the text of a value that has none in it)."""
+        c = F.col(f"`{name}`")
+        if not self.mixed[name]:
+            return c, F.lit(None).cast("string")
+        v = c.try_cast(self.types[name])
+        return v, F.when(v.isNull(), c.cast("string"))
+
+    def _side(self, df: DataFrame) -> DataFrame:
+        out = []
+        for i, k in enumerate(self.keys):
+            v, raw = self._value(k)
+            out += [v.isNull().alias(f"_kn{i}"), F.coalesce(v, _placeholder(self.types[k])).alias(f"_kv{i}")]
+            if self.mixed[k]:
+                out.append(F.coalesce(raw, F.lit("")).alias(f"_kr{i}"))
+        parts = [self._value(c) for c in self.compare]
+        hashed = [v for v, _ in parts] + [v.isNull() for v, _ in parts] + [raw for (_, raw), c in zip(parts, self.compare) if self.mixed[c]]
+        out += [F.xxhash64(*hashed).alias("_h1"), F.xxhash64(F.lit(1), *hashed).alias("_h2")] if hashed else [F.lit(0).cast("long").alias("_h1"), F.lit(0).cast("long").alias("_h2")]
+        return df.select(*out)
+
+    @property
+    def key_columns(self) -> list[str]:
+        return [c for i, k in enumerate(self.keys) for c in ([f"_kn{i}", f"_kv{i}"] + ([f"_kr{i}"] if self.mixed[k] else []))]
+
+    def output_keys(self) -> list[Column]:
+        out = []
+        for i, k in enumerate(self.keys):
+            v = F.when(~F.col(f"_kn{i}"), F.col(f"_kv{i}"))
+            if k in self.as_text:  # whole numbers as they are written, the other side's text as it is
+                v = v.cast("string")
+                if isinstance(self.types[k], T.DecimalType):
+                    v = F.regexp_replace(F.regexp_replace(v, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+                v = F.coalesce(v, F.nullif(F.col(f"_kr{i}"), F.lit("")))
+            out.append(v.alias(k))
+        return out
+
+
+def hash_sums(name: str, tag: str) -> list[Column]:
+    """Sums of three pieces of a 64-bit hash: a fingerprint of a multiset of rows. The pieces
+    have 22 bits at most, so the sums hold 2**41 rows."""
+    h = F.col(name)
+    return [F.sum(F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 22) - 1))).alias(f"{tag}{at}") for at in (0, 22, 44)]
 
 
 def _placeholder(dtype: T.DataType) -> Column:
@@ -96,44 +190,23 @@ def _placeholder(dtype: T.DataType) -> Column:
     return F.lit(0).cast(dtype)
 
 
-def _per_key(df: DataFrame, keys: Sequence[str], compare: Sequence[str], tag: str) -> DataFrame:
-    h = row_fingerprint(compare)
-    lo = h.bitwiseAND(F.lit(0xFFFFFFFF))
-    hi = F.shiftrightunsigned(h, 32)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    grouping = []
-    for i, k in enumerate(keys):
-        c = F.col(f"`{k}`")
-        grouping += [c.isNull().alias(f"_kn{i}"), F.coalesce(c, _placeholder(types[k])).alias(f"_kv{i}")]
-    return df.groupBy(*grouping).agg(
-        F.count(F.lit(1)).alias(f"{tag}_n"), F.sum(lo).alias(f"{tag}_lo"), F.sum(hi).alias(f"{tag}_hi")
-    )
+def compare_keys(pair: Pair, source: DataFrame, target: DataFrame) -> DataFrame:
+    """Keys that differ between two frames of ``pair``'s rows."""
+    sides = []
+    for df, tag in ((source, "s"), (target, "t")):
+        sides.append(df.groupBy(*pair.key_columns).agg(F.count(F.lit(1)).alias(f"{tag}_n"), *hash_sums("_h1", f"{tag}_")))
+    # Plain equality on the (is-null flag, value-or-placeholder) grouping columns: null
+    # keys match each other and the join reuses the aggregates' hash partitioning.
+    j = sides[0].join(sides[1], pair.key_columns, "full_outer")
+    differs = F.lit(False)
+    for what in ("n", "0", "22", "44"):
+        differs = differs | (F.col(f"s_{what}") != F.col(f"t_{what}"))
+    status = F.when(F.col("t_n").isNull(), F.lit("missing")).when(F.col("s_n").isNull(), F.lit("extra")).when(differs, F.lit("changed"))
+    return j.select(*pair.output_keys(), status.alias("status")).where(F.col("status").isNotNull())
 
 
 def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
     """Keys that differ: ``<keys>, status`` with status ``missing`` (in source, not in
     target), ``extra`` (in target only) or ``changed`` (different rows under the key)."""
-    keys = list(keys)
-    if compare is None:
-        compare = [c for c in source.columns if c not in keys and c in target.columns]
-    # Equal values of different types have different hashes: both sides take the target's types.
-    kinds = {f.name: f.dataType for f in target.schema.fields}
-    source = source.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in dict.fromkeys([*keys, *compare])])
-    s = _per_key(source, keys, compare, "s")
-    t = _per_key(target, keys, compare, "t")
-    # Plain equality on the (is-null flag, value-or-placeholder) grouping columns: null
-    # keys match each other and the join reuses the aggregates' hash partitioning.
-    gcols = [c for i in range(len(keys)) for c in (f"_kn{i}", f"_kv{i}")]
-    j = s.join(t, gcols, "full_outer")
-    status = (
-        F.when(F.col("t_n").isNull(), F.lit("missing"))
-        .when(F.col("s_n").isNull(), F.lit("extra"))
-        .when(
-            (F.col("s_n") != F.col("t_n")) | (F.col("s_lo") != F.col("t_lo")) | (F.col("s_hi") != F.col("t_hi")),
-            F.lit("changed"),
-        )
-    )
-    out = j.select(
-        *[F.when(~F.col(f"_kn{i}"), F.col(f"_kv{i}")).alias(k) for i, k in enumerate(keys)], status.alias("status")
-    )
-    return out.where(F.col("status").isNotNull())
+    pair = Pair(source, target, keys, compare)
+    return compare_keys(pair, pair.source, pair.target)

@@ -276,8 +276,9 @@ SEGMENT_SPEC = [
 )
 def q_extract_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
-    ctx.table("customer").createOrReplaceTempView("customer")
-    result = read_sql_file(spark, os.path.join(SQL_DIR, "segment_balance.sql"))
+    customers = f"{ctx.database()}.customer"  # a table of the query's own: no view is left in the session
+    write_table(spark, ctx.table("customer"), customers, (), "full")
+    result = read_sql_file(spark, os.path.join(SQL_DIR, "segment_balance.sql"), {"source_table": customers})
     path = resolve_dated_path(ctx.path("out/segment_balance_yyyymmdd.dat"), "2024-01-01")
     write_delimited(result, path, sep="|")
     return read_delimited(spark, path, column_spec_to_schema(SEGMENT_SPEC), sep="|")
@@ -536,7 +537,7 @@ def q_recon_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 10 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).cast("string").alias("o_custkey"),
         F.col("o_totalprice").cast("decimal(20,6)").alias("o_totalprice"), "o_orderstatus",
     )
-    return reconcile_rows(other, orders, ["o_orderkey"])
+    return reconcile_rows(other, orders, ["o_orderkey"]).withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
 
 
 @register(

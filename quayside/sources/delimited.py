@@ -84,10 +84,12 @@ def _reader(spark: SparkSession, schema: T.StructType, sep: str, header: bool, c
 
 def _unescaped(df: DataFrame, corrupt_column: str | None) -> DataFrame:
     def undo(name):
-        # a private stand-in keeps escaped backslashes apart while line ends are restored
-        c = F.replace(F.col(f"`{name}`"), F.lit("\\\\"), F.lit("\ue000\ue001"))
-        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-        return F.replace(c, F.lit("\ue000\ue001"), F.lit("\\")).alias(name)
+        # Escaped text holds no raw line end, and once the escaped backslashes are taken out (a
+        # line end stands for each) a backslash only comes before n or r: both make room for
+        # stand-ins that no text can contain.
+        c = F.replace(F.col(f"`{name}`"), F.lit("\\\\"), F.lit("\n"))
+        c = F.replace(F.replace(c, F.lit("\\r"), F.lit("\r")), F.lit("\n"), F.lit("\\b"))
+        return F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\")).alias(name)
 
     return df.select(*[undo(f.name) if isinstance(f.dataType, T.StringType) and f.name != corrupt_column else F.col(f"`{f.name}`") for f in df.schema.fields])
 
