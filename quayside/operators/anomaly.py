@@ -55,9 +55,21 @@ def score_daily(daily: DataFrame, threshold: float = Z_THRESHOLD, digits: int =
     return daily.select("dt", metric, score.alias("score")).withColumn("is_anomaly", flag)
 
 
-def volume_against_history(daily: DataFrame, spark: SparkSession, table: str, date_column: str, dates: Sequence[str], threshold: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:
+def volume_against_history(daily: DataFrame, spark: SparkSession, table: str, date_column: str, dates: Sequence[str], threshold: float = Z_THRESHOLD, digits: int = 4, state_table: str | None = None) -> DataFrame:
     """Scores the days of a batch (``dt, n``) against the stored daily counts of ``table``, the
-    batch's ``dates`` left out; against one another if the table holds no other day."""
+    batch's ``dates`` left out; against one another if the table holds no other day. With
+    ``state_table`` (``state.update_state``) the counts come from there, a row per day, and no
+    partition of ``table`` is read, but those of days that have no state yet (once)."""
+    if state_table is not None and spark.catalog.tableExists(table):
+        from quayside.operators.state import complete_state, daily_volumes
+
+        complete_state(spark, table, state_table, date_column, but=dates)
+        if spark.catalog.tableExists(state_table):
+            kept = spark.table(state_table).where(~F.col(date_column).cast("string").isin([str(d) for d in dates]))
+            history = daily_volumes(kept, date_column)
+            if not history.isEmpty():
+                return score_daily(daily, threshold, digits, history=history)
+        return score_daily(daily, threshold, digits)
     if spark.catalog.tableExists(table) and date_column in spark.table(table).columns:
         checkpoint_root(spark)
         stored = spark.table(table).where(~F.col(date_column).cast("string").isin([str(d) for d in dates]))  # null dates drop out

@@ -1,23 +1,28 @@
 """Column profiles.
 
 All columns are profiled in ONE aggregation (partial aggregates per task, one small row
-per task shuffled), then unpivoted to one row per column with ``inline``. Exact distinct
-counts use Spark's distinct-aggregate rewrite (values are de-duplicated per task before
-the shuffle); ``exact=False`` switches to HyperLogLog++ (``approx_count_distinct``), a
-fixed-size sketch per task, for very wide or very high-cardinality tables.
-
-Top values: per column a grouped count (map-side combined) and a top-k
-(``orderBy().limit(k)``: each task keeps k rows, the merge sees k x tasks rows).
+per task shuffled), then unpivoted to one row per column with ``inline``. Distinct counts
+are HyperLogLog++ estimates (``approx_count_distinct``), a fixed-size sketch per task; ``exact=True``
+counts by Spark's distinct-aggregate rewrite, which copies each row once per column (values are
+de-duplicated per task before the shuffle).
+
+Top values, exact, of all columns in two scans: the first keeps a mergeable heavy-hitter sketch
+of each column's value hashes (``approx_top_k``), whose counts are off by a share of the rows at
+most; the second counts exactly the values that can be among the k most frequent by those bounds.
+Where the k-th exact count is not above what an unlisted value may have (columns of nearly
+distinct values), that column is counted whole by a grouped count and a top-k.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.session import scratch_path
+
 PROFILE_SCHEMA = (
     "column_name string, data_type string, row_count long, null_count long, distinct_count long, "
     "min_length long, max_length long, min_value double, max_value double, mean_value double, stddev_value double"
@@ -32,7 +37,12 @@ def _is_text(dt: T.DataType) -> bool:
     return isinstance(dt, (T.StringType, T.VarcharType, T.CharType))
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True, digits: int = 4) -> DataFrame:
+def hashed(c: Column) -> Column:
+    """What a distinct sketch is fed: the value's hash (sketches leave empty strings out)."""
+    return F.when(c.isNotNull(), F.xxhash64(c))
+
+
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False, digits: int = 4) -> DataFrame:
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     if not fields:
         raise ValueError("no columns to profile")
@@ -73,20 +83,78 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
     return wide.select(F.inline(F.array(*entries)))
 
 
-def top_values(df: DataFrame, columns: Sequence[str], k: int = 3) -> DataFrame:
+# Values that a column's sketch tracks. The sketch's table has the next power of two above 4/3 of
+# them, and a count is off by 3.5 / table size of the rows at most (frequent-items sketch).
+TRACKED = 2048
+_TABLE = 1 << (-(-TRACKED * 4 // 3) - 1).bit_length()
+_ERROR = 3.5 / _TABLE
+
+
+def _plain(c: Column, dtype: T.DataType) -> Column:
+    return F.when(c == 0, F.lit(0).cast(dtype)).otherwise(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c
+
+
+def _as_text(c: Column, dtype: T.DataType) -> Column:
+    return F.hex(c) if isinstance(dtype, T.BinaryType) else c.cast("string")
+
+
+def _ranked(counts: DataFrame, name: str, k: int) -> DataFrame:
+    """``counts`` (_v in its own type, n): the first k by count, then value."""
+    top = counts.orderBy(F.col("n").desc(), F.col("_v").asc()).limit(k)  # k rows
+    ranked = top.withColumn("rk", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("_v").asc())).cast("long"))
+    return ranked.select(F.lit(name).alias("column_name"), F.col("_v").cast("string").alias("value"), "n", "rk")
+
+
+def _counted_whole(df: DataFrame, name: str, k: int) -> DataFrame:
+    c = F.col(f"`{name}`")
+    return _ranked(df.where(c.isNotNull()).groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("n")), name, k)
+
+
+def _candidates(df: DataFrame, columns: Sequence[str], k: int) -> tuple[dict[str, list[int]], dict[str, float]]:
+    """First scan: per column the hashes of the values that may be among the k most frequent, and
+    the count that a value without such a hash does not exceed."""
+    aggs = []
+    for i, name in enumerate(columns):
+        h = F.when(F.col(f"`{name}`").isNotNull(), F.xxhash64(F.col(f"`{name}`")))
+        aggs += [F.call_function("approx_top_k", h, F.lit(TRACKED), F.lit(TRACKED)).alias(f"t{i}"), F.count(h).alias(f"n{i}")]
+    row = df.agg(*aggs).first()  # TRACKED pairs of numbers per column at most
+    hashes, bounds = {}, {}
+    for i, name in enumerate(columns):
+        error = _ERROR * row[f"n{i}"]
+        found = [(x["item"], x["count"]) for x in row[f"t{i}"] or () if x["item"] is not None]  # in descending order; counts are upper bounds
+        least = found[k - 1][1] - error if len(found) >= k else 0
+        hashes[name] = [h for h, n in found if n >= least]
+        # a value that is not listed has 2 * error rows at most: the sketch lists those whose lower
+        # bound (its count less the error) is above the error
+        bounds[name] = 2 * error if row[f"n{i}"] else 0.0
+    return hashes, bounds
+
+
+def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 3) -> DataFrame:
     """``column_name, value, n, rk``: the k most frequent values of each column, ties broken
     by the value in its own type order. Null values are not ranked."""
-    parts = []
-    for name in columns:
+    columns = list(df.columns if columns is None else columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    hashes, bounds = _candidates(df, columns, k)
+    entries = []
+    for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
-        counts = df.where(c.isNotNull()).groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-        top = counts.orderBy(F.col("n").desc(), F.col("_v").asc()).limit(k)  # k rows
-        ranked = top.withColumn(
-            "rk", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("_v").asc())).cast("long")
-        )
-        parts.append(ranked.select(
-            F.lit(name).alias("column_name"), F.col("_v").cast("string").alias("value"), "n", "rk"
-        ))
+        if hashes[name]:
+            entries.append(F.when(F.xxhash64(c).isin(hashes[name]) & c.isNotNull(), F.struct(F.lit(i).alias("i"), _as_text(_plain(c, types[name]), types[name]).alias("v"))))
+    parts = []
+    if entries:
+        path = scratch_path(df.sparkSession, "top_values")
+        listed = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
+        listed.write.parquet(path)
+        listed = df.sparkSession.read.schema("i int, v string, n long").parquet(path)
+        # the k-th count of each column: a row per column
+        kth = {r[0]: r[1][k - 1] if len(r[1]) >= k else 0 for r in listed.groupBy("i").agg(F.slice(F.sort_array(F.collect_list("n"), asc=False), 1, k)).collect()}
+    for i, name in enumerate(columns):
+        if hashes[name] and kth.get(i, 0) > bounds[name]:
+            v = F.unhex("v") if isinstance(types[name], T.BinaryType) else F.col("v").cast(types[name])
+            parts.append(_ranked(listed.where(F.col("i") == i).select(v.alias("_v"), "n"), name, k))
+        else:
+            parts.append(_counted_whole(df, name, k))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -10,18 +10,27 @@
   ``left_anti`` the parent's keys give the orphan keys, which are counted and then fetch
   the orphan rows by a semi-join, broadcast under a counted bound (so the child table is
   not shuffled), a shuffle join with AQE skew splitting above it.
-Null values pass every rule except ``not_null`` (and a null foreign key is not an orphan).
+- ``check_rules`` plans a whole rule list: all row rules in one aggregation, and all unique and
+  foreign-key rules together in a second one. For these every row becomes a (rule, hashed key) pair
+  per rule, counted on every task before one shuffle; a parent's distinct keys join those counts,
+  not the rows. Keys are hashed to 128 bits, in a type that holds child and parent.
+Null values pass every rule except ``not_null`` (a null foreign key is not an orphan, a key with a
+null part is not repeated).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any, Sequence
+from typing import Any, Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside.operators.reconcile import common_type
 
 ROW_RULE_KINDS = ("not_null", "range", "allowed", "regex", "expression")
+KEY_RULE_KINDS = ("unique", "foreign_key")
 
 
 @dataclass(frozen=True)
@@ -34,6 +43,15 @@ class Rule:
     allowed: tuple = ()
     pattern: str | None = None
     expression: str | None = None
+    # unique, foreign_key: the key's columns (``column`` for a single one), and for a foreign key the
+    # parent's dataset id (or frame) and its key columns, where they have other names
+    columns: tuple = ()
+    parent: Any = None
+    parent_columns: tuple = ()
+
+    @property
+    def key(self) -> list[str]:
+        return list(self.columns or ([self.column] if self.column else []))
 
     def failing(self) -> Column:
         """True where the row breaks the rule."""
@@ -120,19 +138,67 @@ def check_foreign_key(df: DataFrame, keys: Sequence[str], parent: DataFrame, par
     return child.join(small_side(orphans), [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)], "left_semi")
 
 
-def quality_summary(df: DataFrame, rules: Sequence[Rule], unique_keys: Sequence[str] | None = None) -> DataFrame:
-    """Row rules plus (optionally) a uniqueness rule, as one result frame."""
-    out = check_row_rules(df, rules)
-    if unique_keys:
-        dup = check_unique(df, unique_keys).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("failed_rows")
-        )
-        name = "unique_" + "_".join(unique_keys)
-        uniq = dup.select(
-            F.lit(name).alias("rule_name"), F.lit("unique").alias("rule_type"),
-            F.lit(",".join(unique_keys)).alias("column_name"),
-            df.select(F.count(F.lit(1))).scalar().alias("checked_rows"),
-            F.col("failed_rows"),
-        ).withColumn("passed", F.col("failed_rows") == 0)
-        out = out.unionByName(uniq)
+def _hashed_key(names: Sequence[str], own: Sequence[T.DataType], wide: Sequence[T.DataType]) -> list[Column]:
+    """(key without nulls, two 64-bit hashes of the key in the types ``wide``)."""
+    there, parts = F.lit(True), []
+    for n, a, b in zip(names, own, wide):
+        c = F.col(f"`{n}`")
+        v = c if a == b else c.try_cast(b)
+        there = there & c.isNotNull()
+        parts += [v, F.when(v.isNull(), c.cast("string"))]  # the text of what has no value in the wider type
+    return [there, F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+
+
+def check_key_rules(df: DataFrame, rules: Sequence[Rule], parent: Callable[[Any], DataFrame] = lambda p: p) -> DataFrame:
+    """Unique and foreign-key rules, one row per rule as ``check_row_rules``: one pass over ``df``
+    and one over each parent's key columns. A unique rule fails for every row of a repeated key.
+    ``parent`` gives the frame of a rule's ``parent``."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    entries = [F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))]  # every row
+    parents: DataFrame | None = None
+    for i, r in enumerate(rules):
+        if not r.key:
+            raise ValueError(f"rule {r.name!r} names no columns")
+        own = wide = [kinds[c] for c in r.key]
+        if r.kind == "foreign_key":
+            ref = parent(r.parent)
+            names = list(r.parent_columns or r.key)
+            theirs = {f.name: f.dataType for f in ref.schema.fields}
+            wide = [common_type(x, theirs[n]) for x, n in zip(own, names)]
+            there, a, b = _hashed_key(names, [theirs[n] for n in names], wide)
+            known = ref.where(there).select(F.lit(i).alias("i"), a.alias("a"), b.alias("b")).distinct().withColumn("known", F.lit(True))
+            parents = known if parents is None else parents.union(known)
+        elif r.kind != "unique":
+            raise ValueError(f"unknown key rule kind {r.kind!r}")
+        there, a, b = _hashed_key(r.key, own, wide)
+        entries.append(F.when(there, F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"))))
+    pairs = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counts = pairs.groupBy("i", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(parents, ["i", "a", "b"], "left") if parents is not None else counts.withColumn("known", F.lit(None).cast("boolean"))
+    unique = F.col("i").isin([i for i, r in enumerate(rules) if r.kind == "unique"])
+    broken = F.when(unique, F.col("n") > 1).otherwise(F.col("known").isNull())
+    aggs = [F.coalesce(F.sum(F.when(F.col("i") == -1, F.col("n"))), F.lit(0)).alias("_checked")]
+    aggs += [F.coalesce(F.sum(F.when((F.col("i") == i) & broken, F.col("n"))), F.lit(0)).alias(f"_f{i}") for i in range(len(rules))]
+    rows = F.array(*[
+        F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.kind).alias("rule_type"), F.lit(",".join(r.key)).alias("column_name"),
+                 F.col("_checked").alias("checked_rows"), F.col(f"_f{i}").alias("failed_rows"))
+        for i, r in enumerate(rules)
+    ])
+    return counts.agg(*aggs).select(F.inline(rows)).withColumn("passed", F.col("failed_rows") == 0)
+
+
+def check_rules(df: DataFrame, rules: Sequence[Rule], parent: Callable[[Any], DataFrame] = lambda p: p) -> DataFrame:
+    """One report row per rule, of any kind."""
+    if not rules:
+        raise ValueError("no rules given")
+    row_rules, key_rules = split_rules(rules)
+    out = check_row_rules(df, row_rules) if row_rules else None
+    if key_rules:
+        keys = check_key_rules(df, key_rules, parent)
+        out = keys if out is None else out.unionByName(keys)
     return out
+
+
+def split_rules(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """(row rules, key rules)."""
+    return [r for r in rules if r.kind not in KEY_RULE_KINDS], [r for r in rules if r.kind in KEY_RULE_KINDS]

@@ -134,7 +134,7 @@ def _profile_oracle() -> str:
 def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = Ctx(spark, sf_dir).table("customer")
     cust = cust.withColumn("c_acctbal_nonneg", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
-    return profile_columns(cust)
+    return profile_columns(cust, exact=True)
 
 
 def _top_oracle(table: str, columns, k: int) -> str:

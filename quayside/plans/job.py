@@ -1,8 +1,8 @@
 """``spark-submit`` entry for one load, or for a whole workflow from metadata.
 
     spark-submit quayside/plans/job.py --source_file_path ... (see --help)
-    spark-submit quayside/plans/job.py workflow --metadata m.json --workflow_id workflow_2 \
-        --cycle_date 2024-12-26 --schemas s.json --placeholder APP_DATA_IN_DIR=/data/in
+    spark-submit quayside/plans/job.py workflow --metadata m.json --workflow_id fuel \
+        --cycle_date 2025-03-11 --schemas s.json --placeholder LANDING=/landing
 
 Cluster settings come from spark-submit and the cluster's defaults, which nothing here
 overrides. The reference job's own cluster options (``--spark_master_uri``,
@@ -11,7 +11,9 @@ session settings where spark-submit has not decided them (see ``session_settings
 ``--postgres_uri`` selects a persistent catalog, which daily runs in separate processes need;
 its JDBC driver has to be on spark-submit's class path. Without it, or a catalog named on
 submit, the tables are known to one process only. Prints one JSON line with the load result and
-exits 1 on a count mismatch when ``--strict`` is given."""
+exits 1 on a count mismatch when ``--strict`` is given. A workflow prints a line per step and exits
+1 if any step failed or raised, checks and lineage included, so that the scheduler sees it;
+``--main_step_only`` looks at the load or extract alone."""
 
 from __future__ import annotations
 
@@ -20,6 +22,7 @@ import json
 import sys
 
 from quayside.plans.load import LoadMismatchError, load_to_table
+from quayside.plans.metadata import datasets_from_metadata
 from quayside.spec import DatasetSpec, LoadSpec, TableSpec
 
 
@@ -72,10 +75,11 @@ def spec_from_args(a: argparse.Namespace) -> LoadSpec:
     delimiter, user = a.file_delim, None
     if a.metadata:
         with open(a.metadata) as f:
-            records = {r["dataset_id"]: r for r in json.load(f).get("datasets", ())}
-        if a.source_dataset_id not in records:
+            metadata = json.load(f)
+        known = datasets_from_metadata([r for r in metadata.get("datasets", ()) if r["dataset_id"] == a.source_dataset_id], {}, metadata.get("data_sources", ()))
+        if a.source_dataset_id not in known:
             raise KeyError(f"dataset {a.source_dataset_id} is not in {a.metadata}")
-        described = DatasetSpec.from_record(records[a.source_dataset_id])
+        described = known[a.source_dataset_id]
         delimiter, user = delimiter or described.delimiter, described.data_source_user
     return LoadSpec(
         source=DatasetSpec(a.source_dataset_id, path_template=a.source_file_path, delimiter=delimiter or ",", data_source_user=user),
@@ -101,7 +105,8 @@ def workflow_main(argv) -> int:
     p.add_argument("--workflow_id", required=True)
     p.add_argument("--cycle_date", required=True, help="effective date of the run (ISO)")
     p.add_argument("--schemas", required=True, help="JSON file: target dataset id -> column spec")
-    p.add_argument("--placeholder", action="append", default=[], help="NAME=path, e.g. APP_DATA_IN_DIR=/data/in")
+    p.add_argument("--placeholder", action="append", default=[], help="NAME=path, e.g. LANDING=/landing")
+    p.add_argument("--main_step_only", action="store_true", help="exit status by the load or extract alone, not by checks")
     p.add_argument("--warehouse_path")
     p.add_argument("--lineage_table")
     a = p.parse_args(argv)
@@ -118,7 +123,13 @@ def workflow_main(argv) -> int:
     rows = [r.asDict() for r in run_workflow(spark, wf).collect()]  # one row per step
     for r in rows:
         print(json.dumps(r))
-    return 0 if all(r["status"] in ("ok", "skipped") for r in rows if r["step"] == "main") else 1
+    return exit_status(rows, a.main_step_only)
+
+
+def exit_status(rows: list[dict], main_step_only: bool = False) -> int:
+    """1 if a step has failed or raised (a skipped one has not), else 0."""
+    looked_at = [r for r in rows if not main_step_only or r["step"] == "main"]
+    return 0 if all(r["status"] in ("ok", "skipped") for r in looked_at) else 1
 
 
 def main(argv=None) -> int:

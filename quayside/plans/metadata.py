@@ -26,10 +26,15 @@ def _resolve(path: str | None, placeholders: Mapping[str, str]) -> str | None:
     return path
 
 
-def datasets_from_metadata(records: Sequence[Mapping[str, Any]], placeholders: Mapping[str, str]) -> dict[str, DatasetSpec]:
+def datasets_from_metadata(records: Sequence[Mapping[str, Any]], placeholders: Mapping[str, str], data_sources: Sequence[Mapping[str, Any]] = ()) -> dict[str, DatasetSpec]:
+    """``data_sources``: records ``data_source_id, data_source_user``; a dataset that names one reads
+    the paths of its user."""
+    users = {d["data_source_id"]: d.get("data_source_user") for d in data_sources}
     out = {}
     for rec in records:
         ds = DatasetSpec.from_record(rec)
+        if ds.data_source_user is None and rec.get("data_source_id") in users:
+            ds = replace(ds, data_source_user=users[rec["data_source_id"]])
         out[ds.dataset_id] = replace(
             ds,
             path_template=_resolve(ds.path_template, placeholders),
@@ -54,11 +59,13 @@ def workflow_from_metadata(
     lineage_table: str | None = None,
 ) -> Workflow:
     """``metadata`` holds the three record lists ``datasets``, ``integration_tasks`` and
-    ``workflows``; ``schemas`` maps a target dataset id to its column spec (for a
+    ``workflows``, and may hold ``data_sources``; ``schemas`` maps a target dataset id to its column spec (for a
     distribution task: the extract's dataset id). ``task_params`` adds rule lists and
     other parameters per management-task name."""
-    datasets = datasets_from_metadata(metadata["datasets"], placeholders or {})
-    wf = next(w for w in metadata["workflows"] if w["workflow_id"] == workflow_id)
+    datasets = datasets_from_metadata(metadata["datasets"], placeholders or {}, metadata.get("data_sources", ()))
+    wf = next((w for w in metadata["workflows"] if w["workflow_id"] == workflow_id), None)
+    if wf is None:
+        raise KeyError(f"workflow {workflow_id} is not among the records: {sorted(w['workflow_id'] for w in metadata['workflows'])}")
     tasks = {t["task_id"]: t for t in metadata["integration_tasks"]}
     params = task_params or {}
 
@@ -89,7 +96,7 @@ def workflow_from_metadata(
     return Workflow(
         workflow_id=workflow_id, load=load, extract=extract,
         pre_tasks=with_params(_tasks(wf.get("pre_tasks"))), post_tasks=with_params(_tasks(wf.get("post_tasks"))),
-        datasets=datasets, lineage_table=lineage_table,
+        datasets=datasets, columns=schemas, lineage_table=lineage_table,
     )
 
 

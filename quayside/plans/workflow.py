@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from quayside.operators.anomaly import score_daily, volume_against_history, volume_anomalies
 from quayside.operators.lineage import edges_from_counts, record_lineage
 from quayside.operators.profile import profile_columns
-from quayside.operators.quality import Rule, check_row_rules
+from quayside.operators.isolation import CONTAMINATION, learned_outliers
+from quayside.operators.quality import KEY_RULE_KINDS, Rule, check_key_rules, check_rules, split_rules
 from quayside.operators.reconcile import control_schema, reconcile_totals
 from quayside.plans.load import LoadResult, load_to_table, source_frame
 from quayside.sinks.delimited import write_delimited
+from quayside.sinks.quarantine import quarantined
 from quayside.sources.delimited import read_delimited, resolve_dated_path
 from quayside.sources.sqlfile import read_sql_file
 from quayside.spec import DatasetSpec, LoadSpec
@@ -64,6 +66,7 @@ class Workflow:
     pre_tasks: tuple[ManagementTask, ...] = ()
     post_tasks: tuple[ManagementTask, ...] = ()
     datasets: Mapping[str, DatasetSpec] = field(default_factory=dict)
+    columns: Mapping[str, Sequence[Mapping[str, str]]] = field(default_factory=dict)  # of delimited datasets besides the load's
     lineage_table: str | None = None
     gate: bool = False  # E11: pre-task failures block the load only when set
     # Run quality, volume and profile tasks on the same dataset in one pass over it
@@ -92,8 +95,12 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
     if ds is None:
         raise KeyError(f"unknown dataset {dataset_id}")
     if ds.kind == "delimited" and wf.load is not None and ds.path_template:
-        # Another delimited dataset, read with the load's declared columns and dates.
-        return source_frame(spark, replace(wf.load, source=ds))[0]
+        # Another delimited dataset: its own declared columns, at the load's dates.
+        if dataset_id not in wf.columns:
+            raise RuntimeError(f"dataset {dataset_id}: no declared columns to read it with (Workflow.columns)")
+        spec = replace(wf.load, source=ds, columns=wf.columns[dataset_id], corrupt_column=None, quarantine_table=None, ledger=False)
+        names = {c["column_name"].lower() for c in spec.columns}
+        return source_frame(spark, replace(spec, date_from_path=spec.date_from_path and spec.date_column.lower() not in names))[0]
     if ds.kind == "table":
         return spark.table(ds.table.qualified)
     if ds.kind == "sql_file":
@@ -101,6 +108,33 @@ def _dataset_frame(spark: SparkSession, wf: Workflow, dataset_id: str) -> DataFr
     raise RuntimeError(f"dataset {dataset_id}: no schema to read it with")
 
 
+def _parent(spark: SparkSession, wf: Workflow):
+    """The parent of a foreign-key rule: a frame, or the id of a dataset of the workflow."""
+    return lambda p: p if isinstance(p, DataFrame) else _dataset_frame(spark, wf, p)
+
+
+def _with_key_rules(spark: SparkSession, wf: Workflow, task: ManagementTask, df: DataFrame, quality: DataFrame | None) -> DataFrame:
+    """The report of the row rules with that of the task's unique and foreign-key rules."""
+    keys = split_rules(_rules(task, df))[1]
+    if not keys:
+        return quality
+    more = check_key_rules(df, keys, _parent(spark, wf))
+    return more if quality is None else quality.unionByName(more)
+
+
+def _with_bad_lines(spark: SparkSession, wf: Workflow, task: ManagementTask, df: DataFrame, quality: DataFrame) -> DataFrame:
+    """After a load with a quarantine, a task on its target reports the lines that did not parse."""
+    load = wf.load
+    if load is None or not load.quarantine_table or task.dataset_id not in (load.target.dataset_id, load.target.qualified):
+        return quality
+    lines = quarantined(spark, load.quarantine_table, load.effective_dates, load.date_column).select(F.count(F.lit(1))).scalar()
+    found = df.agg((F.count(F.lit(1)) + lines).alias("checked_rows"), lines.alias("failed_rows"))
+    return quality.unionByName(found.select(
+        F.lit("lines_parse").alias("rule_name"), F.lit("parse").alias("rule_type"), F.lit(None).cast("string").alias("column_name"),
+        "checked_rows", "failed_rows", (F.col("failed_rows") == 0).alias("passed"),
+    ))
+
+
 def _rules(task: ManagementTask, df: DataFrame) -> list[Rule]:
     p = task.params
     rules = [r if isinstance(r, Rule) else Rule(**r) for r in p.get("rules", ())]
@@ -142,7 +176,7 @@ def _volume_score(spark: SparkSession, wf: Workflow, dataset_id: str, date_colum
     days that the target holds besides the run's; others among themselves."""
     load = wf.load
     if load is not None and date_column == load.date_column and dataset_id in (load.source.dataset_id, load.target.dataset_id, load.target.qualified):
-        return lambda daily: volume_against_history(daily, spark, load.target.qualified, date_column, load.effective_dates)
+        return lambda daily: volume_against_history(daily, spark, load.target.qualified, date_column, load.effective_dates, state_table=load.state_table)
     return score_daily
 
 
@@ -155,7 +189,7 @@ def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTas
         return out
     by_ds: dict[str, list[int]] = {}
     for i, t in enumerate(tasks):
-        if t.name in FUSABLE and not (t.name == "data profile" and t.params.get("exact")):
+        if t.name in FUSABLE and not t.params.get("exact") and not t.params.get("features"):
             by_ds.setdefault(t.dataset_id, []).append(i)
     for ds, idx in by_ds.items():
         idx = _first_of_each_name(tasks, idx)
@@ -168,8 +202,10 @@ def _fused_rows(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTas
             continue
         dq = next((t for t in group if t.name == "data quality"), None)
         prof = next((t for t in group if t.name == "data profile"), None)
-        rules = _rules(dq, df) if dq else []
+        rules = split_rules(_rules(dq, df))[0] if dq else []
         checks = source_checks(df, date_col, rules, prof.params.get("columns") if prof else None)
+        if dq:
+            checks.quality = _with_bad_lines(spark, wf, dq, df, _with_key_rules(spark, wf, dq, df, checks.quality))
         daily = _volume_score(spark, wf, ds, date_col)(checks.daily.select("dt", "n"))
         for i, t in zip(idx, group):
             out[i] = _summarise(wf, t, step, checks.quality, daily, checks.profile, keep)
@@ -198,17 +234,18 @@ def run_tasks(spark: SparkSession, wf: Workflow, tasks: Sequence[ManagementTask]
 def _checks_in_load(spark: SparkSession, wf: Workflow):
     """Pre tasks that can run as observed metrics of the load's own write: the workflow is
     not gated (so nothing waits for them), the task reads the load's source and uses its
-    date column, and a profile is approximate and not too wide. Returns ``(indices,
-    ObservedChecks)`` or ``None``."""
+    date column, and asks for no exact profile, learned detector or key rules. Returns
+    ``(indices, ObservedChecks)`` or ``None``."""
     from quayside.operators.onepass import ObservedChecks
 
     load = wf.load
-    if wf.gate or load is None or not wf.fuse_checks:
+    if wf.gate or load is None or not wf.fuse_checks or load.ledger:  # a ledger may leave files out
         return None
     candidates = _first_of_each_name(wf.pre_tasks, [
         i for i, t in enumerate(wf.pre_tasks)
         if t.name in FUSABLE and t.dataset_id == load.source.dataset_id
-        and not (t.name == "data profile" and t.params.get("exact"))
+        and not t.params.get("exact") and not t.params.get("features")
+        and not any((r if isinstance(r, Rule) else Rule(**r)).kind in KEY_RULE_KINDS for r in t.params.get("rules", ()))
     ])
     if not candidates:
         return None
@@ -227,9 +264,6 @@ def _checks_in_load(spark: SparkSession, wf: Workflow):
         wanted = tasks["data profile"].params.get("columns")
         fields = [f for f in df.schema.fields
                   if f.name not in (load.date_column, load.corrupt_column) and (wanted is None or f.name in wanted)]
-        if not ObservedChecks.fits(len(fields)):
-            idx = [i for i in idx if wf.pre_tasks[i].name != "data profile"]
-            fields = []
     if not idx:
         return None
     rules = _rules(tasks["data quality"], df) if "data quality" in tasks else []
@@ -242,9 +276,20 @@ def run_management_task(spark: SparkSession, wf: Workflow, task: ManagementTask,
     p = task.params
     date_column = p.get("date_column", "effective_date")
     if task.name == "data quality":
-        return _summarise(wf, task, step, quality=check_row_rules(df, _rules(task, df)), keep=keep)
+        quality = check_rules(df, _rules(task, df), _parent(spark, wf))
+        return _summarise(wf, task, step, quality=_with_bad_lines(spark, wf, task, df, quality), keep=keep)
     if task.name == "data profile":
         return _summarise(wf, task, step, profile=profile_columns(df, p.get("columns"), exact=p.get("exact", False)), keep=keep)
+    if task.name == "data quality ml" and p.get("features"):
+        # a learned detector over the rows; more than twice the expected share is a finding
+        share = p.get("contamination", CONTAMINATION)
+        rows = learned_outliers(df, p["features"], share, id_columns=p.get("id_columns", ()))
+        res = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("bad")).first()
+        if keep is not None:
+            tasks = wf.pre_tasks if step == "pre" else wf.post_tasks
+            keep[(step, next(i for i, t in enumerate(tasks) if t is task), task.name)] = rows.where("is_anomaly")
+        status = "ok" if res.bad <= 2 * share * res.n else "failed"
+        return _row(wf.workflow_id, step, task.name, task.dataset_id, status, res.n, res.bad)
     if task.name == "data quality ml":
         daily = volume_anomalies(df, date_column).select("dt", "n")
         return _summarise(wf, task, step, daily=_volume_score(spark, wf, task.dataset_id, date_column)(daily), keep=keep)

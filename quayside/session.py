@@ -34,6 +34,8 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # folders of a table are listed in so many tasks at most, not in one task each
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     }
     if shuffle_partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

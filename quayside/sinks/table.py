@@ -82,9 +82,26 @@ def _session_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
-def _clustered(df: DataFrame, keys: list[str], rebalance: bool) -> DataFrame:
+# Partition values that one writer opens files for in a write of known, many values.
+VALUES_PER_WRITER = 64
+
+
+@contextmanager
+def _many_writers(spark: SparkSession, rebalance: bool, values: int | None):
+    """AQE packs rebalanced rows by bytes alone: thousands of small dates would go to one writer,
+    which opens and closes their files one by one. For a write of that many values it only splits."""
+    if rebalance and values and values > VALUES_PER_WRITER:
+        with _session_conf(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+            yield
+    else:
+        yield
+
+
+def _clustered(df: DataFrame, keys: list[str], rebalance: bool, values: int | None = None) -> DataFrame:
     if not keys or not rebalance:
         return df
+    if values and values > VALUES_PER_WRITER:
+        return df.hint("rebalance", -(-values // VALUES_PER_WRITER), *keys)
     # REBALANCE: rows of one partition value go to the same writer where sizes allow, and
     # AQE splits a hot value into advisory-size pieces (spark.sql.adaptive.*), so a
     # many-date load writes few files per date without funnelling a hot date to one task.
@@ -172,9 +189,13 @@ def write_table(
     *,
     rebalance: bool = False,
     observe: Callable[[DataFrame], DataFrame] | None = None,
+    values: int | None = None,
 ) -> WriteOutcome:
     """Write ``df`` into ``table`` following the decision table above.
 
+    ``values``: how many partition values the batch holds, if known; a rebalanced write of many
+    gets a writer for each ``VALUES_PER_WRITER`` at least (a hot value is still split).
+
     ``observe`` wraps the frame right before ``.write`` (after any rebalance shuffle), so
     observed metrics live in the write's result stage, where Spark applies each task's
     metrics once even when tasks or stages are retried after an executor loss."""
@@ -185,9 +206,14 @@ def write_table(
     if missing:
         raise ValueError(f"partition keys {missing} are not columns of the batch")
 
+    with _many_writers(spark, rebalance, values):
+        return _write(spark, df, table, keys, load_type, rebalance, watch, values)
+
+
+def _write(spark, df, table, keys, load_type, rebalance, watch, values) -> WriteOutcome:
     recover_table(spark, table)
     if not table_exists(spark, table):
-        _create(watch(_clustered(df, keys, rebalance)), table, keys)
+        _create(watch(_clustered(df, keys, rebalance, values)), table, keys)
         spark.catalog.refreshTable(table)  # K9
         return WriteOutcome(table, "create_partitioned" if keys else "create_unpartitioned", True)
 
@@ -195,7 +221,7 @@ def write_table(
         cols = table_columns(spark, table)
         align_to_table(df, cols)  # P1: fail on a missing column before any job runs
         if keys:
-            out = align_to_table(watch(_clustered(df, keys, rebalance)), cols)
+            out = align_to_table(watch(_clustered(df, keys, rebalance, values)), cols)
             if _dynamic_by_table(spark, table):
                 out.write.insertInto(table, overwrite=True)
             else:  # a table created elsewhere: dynamic mode for this write only
@@ -206,5 +232,5 @@ def write_table(
         align_to_table(watch(df), cols).write.insertInto(table)
         return WriteOutcome(table, "append", False)
 
-    _swap_in(spark, watch(_clustered(df, keys, rebalance)), table, keys)
+    _swap_in(spark, watch(_clustered(df, keys, rebalance, values)), table, keys)
     return WriteOutcome(table, "full_overwrite_partitioned" if keys else "full_overwrite", True)

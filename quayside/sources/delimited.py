@@ -5,10 +5,10 @@ Design notes (scale):
   scan split into ``maxPartitionBytes`` slices across the cluster, not a driver loop.
 - The declared schema is applied by header name check (``enforceSchema=false``), so a
   reordered file fails loudly instead of silently shifting columns (E16).
-- The effective date of each row comes from its file: one scan over all paths takes it
-  from the hidden ``_metadata.file_path`` column, whatever the number of dates. The decoded
-  path must match the whole resolved template, globs included; a path that does not is an
-  error, never a wrong or empty date.
+- The effective date of each row comes from its file: one scan over all paths, whatever the number
+  of dates. The file names, which Spark has listed, are matched once each against the whole
+  template, globs included, and a row finds its date by its ``_metadata.file_path`` in that table
+  (a broadcast join); a path that does not match is an error, never a wrong or empty date.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from datetime import date, datetime
 from typing import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,10 @@ TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+# A table of file names and dates up to this size is broadcast to the scan (some 300,000 files).
+MAX_FILE_TABLE_BYTES = 64 << 20
+
+
 class SourceMissingError(RuntimeError):
     """A declared source path does not exist (S3)."""
 
@@ -129,6 +134,11 @@ def read_delimited(
         raise
 
 
+def literal_path(path: str) -> str:
+    """A path as the reader takes it literally: glob characters escaped."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def _glob_to_regex(component: str) -> str:
     """A Hadoop glob (``* ? [ab] [!ab] {a,b}``, backslash escapes) as a regex without slashes."""
     out, i, depth = [], 0, 0
@@ -214,4 +224,30 @@ def read_dated_files(
         day = _as_yyyymmdd(dates[0])
         return df.withColumn(date_column, F.lit(f"{day[:4]}-{day[4:6]}-{day[6:]}"))
     named = template.replace("{data_source_user}", data_source_user or "{data_source_user}")
-    return df.withColumn(date_column, date_from_path_column(named))
+    return with_date_of_file(df, named, date_column)
+
+
+def with_date_of_file(df: DataFrame, template: str, date_column: str) -> DataFrame:
+    """``df``, a scan of files, with the date in each row's path as the last column."""
+    table = file_table(df.inputFiles(), template)
+    if sum(len(path) + 32 for path, _ in table) > MAX_FILE_TABLE_BYTES:  # same dates, matched row by row
+        return df.withColumn(date_column, date_from_path_column(template))
+    files = df.sparkSession.createDataFrame(table, f"_file_path string, `{date_column}` string")
+    out = df.join(F.broadcast(files), F.col("_metadata.file_path") == F.col("_file_path"), "left").drop("_file_path")
+    # a name that is written in another way than listed is matched itself
+    return out.withColumn(date_column, F.coalesce(F.col(f"`{date_column}`"), date_from_path_column(template)))
+
+
+def file_table(paths: Iterable[str], template: str) -> list[tuple[str, str]]:
+    """(path, ISO date) of files, each matched once against the whole template; a path without an
+    authority in both its forms (``file:///a``, ``file:/a``)."""
+    pattern = re.compile(dated_path_regex(template))
+    out = []
+    for path in paths:
+        found = pattern.match(unquote(path))
+        if not found:
+            raise ValueError(f"no effective date by template {template} in path {unquote(path)}")
+        day = found.group(1)
+        for form in {path, re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", path)}:
+            out.append((form, f"{day[:4]}-{day[4:6]}-{day[6:]}"))
+    return out

@@ -93,3 +93,12 @@ class LoadSpec:
     # rows are counted during the load (``LoadResult.corrupt_count``) and the column is
     # not written to the table.
     corrupt_column: str | None = None
+    # Table of lines that do not parse (needs ``corrupt_column``): such lines go there, with file and
+    # date, and only parsed rows reach the target.
+    quarantine_table: str | None = None
+    # Table of the target's stored daily state (``operators/state.py``), kept up by every load.
+    state_table: str | None = None
+    state_columns: tuple[str, ...] | None = None
+    # An append (incremental, no partition keys) that a rerun repeats without effect: files that the
+    # target's ledger names are not loaded again (``sinks/ledger.py``).
+    ledger: bool = False

@@ -9,8 +9,10 @@ may be split over micro-batches, arrive late, or be replayed after a failure: th
 holds each landed file of the date exactly once. A date's files therefore have to stay in the
 landing folder as long as more of them may come; a late file costs reading its date again.
 
-The target needs the date column among its partition keys (an append could not be replayed);
-other targets are refused. With dates in the data (no ``date_from_path``) the landing folder is
+The target needs the date column among its partition keys, or a ledger (``LoadSpec.ledger``): a
+table without keys is appended to, and the ledger of its files makes a replayed micro-batch add
+nothing, so that every landed file is read once and need not stay. Other targets are refused (an
+append could not be replayed). With dates in the data (no ``date_from_path``) the landing folder is
 read whole and filtered to the changed dates.
 
 ``trigger="availableNow"`` loads everything present and stops (a scheduled run);
@@ -19,16 +21,15 @@ read whole and filtered to the changed dates.
 
 from __future__ import annotations
 
-import re
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.schema import column_spec_to_schema
-from quayside.plans.load import LoadResult, load_to_table
+from quayside.plans.load import LoadResult, append_files, load_to_table
 from quayside.sinks.table import ensure_database
-from quayside.sources.delimited import DATE_TOKEN, date_from_path_column, read_delimited, to_spark_uri
+from quayside.sources.delimited import DATE_TOKEN, date_from_path_column, literal_path, read_delimited, to_spark_uri
 from quayside.spec import DatasetSpec, LoadSpec
 
 
@@ -46,12 +47,13 @@ def _landing_root_and_glob(src: DatasetSpec) -> tuple[str, str, str]:
 
 
 def landing_stream(spark: SparkSession, spec: LoadSpec, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The streaming frame of newly landed files: ``(path)``; their contents are not read."""
+    """The streaming frame of newly landed files: ``(path, length, modified)``; their contents are
+    not read."""
     _, root, glob = _landing_root_and_glob(spec.source)
     r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(f"{root}/{glob}").select("path")
+    return r.load(f"{root}/{glob}").select("path", "length", F.col("modificationTime").cast("string").alias("modified"))
 
 
 def changed_dates(files: DataFrame, spec: LoadSpec) -> list[str]:
@@ -64,15 +66,11 @@ def changed_dates(files: DataFrame, spec: LoadSpec) -> list[str]:
         schema = column_spec_to_schema(spec.columns, parity=spec.parity)
         src = spec.source
         # names come unencoded here, and the reader takes glob characters in them literally when escaped
-        days = read_delimited(files.sparkSession, [_literal(p) for p in paths], schema, src.delimiter, src.header, dataset_id=src.dataset_id, options=dict(src.options))
+        days = read_delimited(files.sparkSession, [literal_path(p) for p in paths], schema, src.delimiter, src.header, dataset_id=src.dataset_id, options=dict(src.options))
         days = days.select(F.col(spec.date_column).cast("string").alias("d"))
     return sorted(r[0] for r in days.distinct().collect() if r[0] is not None)
 
 
-def _literal(path: str) -> str:
-    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
-
-
 def ingest_landing(
     spark: SparkSession,
     spec: LoadSpec,
@@ -83,13 +81,18 @@ def ingest_landing(
 ) -> tuple[object, list[LoadResult]]:
     """Start (and with ``availableNow`` finish) the landing stream. Returns the streaming
     query and the results of the micro-batches run in this call."""
-    if spec.date_column.lower() not in [k.lower() for k in spec.target.partition_keys] or spec.load_type != "incremental":
-        raise ValueError(f"a landing stream needs an incremental load into a table partitioned by {spec.date_column}: other loads cannot be replayed")
+    dated = spec.date_column.lower() in [k.lower() for k in spec.target.partition_keys]
+    if spec.load_type != "incremental" or dated == spec.ledger:
+        raise ValueError(f"a landing stream needs an incremental load into a table partitioned by {spec.date_column}, or a ledger: other loads cannot be replayed")
     ensure_database(spark, spec.target.database, spec.warehouse_path)
     results: list[LoadResult] = []
     _, root, glob = _landing_root_and_glob(spec.source)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        if spec.ledger:
+            if not batch.isEmpty():
+                results.append(append_files(spark, spec, batch))
+            return
         dates = changed_dates(batch, spec) if not batch.isEmpty() else []
         if not dates:
             return
