@@ -461,6 +461,12 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 75, den: int = 100, lower: bool = True) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``docs``: the smallest id reachable by links."""
+    return _components_of_sets(docs, id_col, text_col, shingle, num, den, lower).select("id", "n_shingles", "component_id")
+
+
+def _components_of_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int, lower: bool) -> DataFrame:
+    """``similar_components`` with the set's hashes (key, key2) and its component's own: the set that
+    stands for it, that of the smallest id (of several sets of this id, the one with the least hashes)."""
     spark = docs.sparkSession
     docs = _slim(docs, id_col, text_col)
     path = scratch_path(spark, "jaccard_sets")
@@ -474,7 +480,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     top = classes.agg(F.max("n")).first()[0]
     if not top:
-        return sets.select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+        return sets.select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "key", "key2", F.lit(None).cast("boolean").alias("stands"))
     ends = bands(top, num, den)
     band = F.lit(len(ends) - 1)
     for k in reversed(range(len(ends) - 1)):
@@ -498,16 +504,52 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _verified(_across(lists, first, classes, num, den), *args)
 
     reach = components(links.union(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
-    classes = classes.join(reach, "id", "left").select("n", "key", "key2", F.coalesce("component", "id").alias("component_id"))
-    out = sets.where("id is not null and n > 0").join(classes, ["n", "key", "key2"]).select("id", F.col("n").alias("n_shingles"), "component_id")
-    rest = sets.where("id is null or n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    classes = classes.join(reach, "id", "left").select("id", "n", "key", "key2", F.coalesce("component", "id").alias("component_id"))
+    # the class that stands for its component has the component's id; of several that share this id
+    # (a repeated id) those stand that do not link, and of linked ones that of the least key
+    path = scratch_path(spark, "jaccard_components")
+    classes.write.parquet(path)
+    classes = spark.read.parquet(path)
+    shared = classes.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
+    stands = F.col("id") == F.col("component_id")
+    if not shared.isEmpty():
+        groups = components(links.union(more).select("a", "b")).withColumnsRenamed({"id": "key", "component": "group"})
+        some = classes.where("id = component_id").join(shared, "id").join(groups, "key", "left")
+        least = some.groupBy("id", F.coalesce("group", "key").alias("group")).agg(F.min("key").alias("key"))
+        out_of = some.join(least.select("key", F.lit(True).alias("least")), "key", "left").where("least is null").select("key", F.lit(True).alias("linked"))
+        classes = classes.join(out_of, "key", "left")
+        stands = stands & F.col("linked").isNull()
+    classes = classes.select("n", "key", "key2", "component_id", stands.alias("stands"))
+    out = sets.where("id is not null and n > 0").join(classes, ["n", "key", "key2"]).select("id", F.col("n").alias("n_shingles"), "component_id", "key", "key2", "stands")
+    rest = sets.where("id is null or n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "key", "key2", F.lit(None).cast("boolean"))
     return out.union(rest)
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without near copies: of each component the row with the smallest id stays; rows
-    with an empty set or a null id stay."""
-    reach = similar_components(docs, id_col, text_col, **options)
-    gone = reach.where("id <> component_id").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
-
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 75, den: int = 100, lower: bool = True) -> DataFrame:
+    """``docs`` without near copies: of each component one row stays, that with the smallest id; of
+    several such rows (a repeated id, equal sets) the one with the least text. Rows with an empty
+    set or a null id stay. Rows are told apart by id and set, so a row of other content that
+    shares an id with a copy is judged by itself."""
+    reach = _components_of_sets(docs, id_col, text_col, shingle, num, den, lower)
+    judged = reach.where(F.col("stands").isNotNull())
+    # ids of rows that go, or that hold the row that stays more than once: a few columns, no texts
+    path = scratch_path(docs.sparkSession, "jaccard_judged")
+    judged.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("stands").alias("standing")).write.parquet(path)
+    several = docs.sparkSession.read.parquet(path)
+    names = docs.columns
+    gone = several.where("standing = 0").select(F.col("id").alias("__gone"))
+    left = docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    mixed = several.where("rows > 1 and standing > 0").select(F.col("id").alias("__mixed"))  # repeated ids
+    if mixed.isEmpty():
+        return left
+    path = scratch_path(docs.sparkSession, "jaccard_mixed")
+    some = left.join(mixed, left[id_col].cast("long") == mixed["__mixed"], "left_semi").withColumn("__row", F.monotonically_increasing_id())
+    some.write.parquet(path)
+    some = docs.sparkSession.read.schema(some.schema).parquet(path)
+    keyed = set_table(some.select(F.col("__row").alias("id"), F.col(text_col).alias("text")), shingle, lower).select(F.col("id").alias("__row"), "n", F.col("key").alias("__key"), F.col("key2").alias("__key2"))
+    standing = judged.where("stands").select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("key2").alias("__key2")).distinct()
+    known = keyed.join(some.select("__row", F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")), "__row")
+    empty = known.where("n = 0").select("__row")
+    first = known.where("n > 0").join(standing, ["__id", "__key", "__key2"]).groupBy("__id", "__key", "__key2").agg(F.min(F.struct("__text", "__row")).alias("f")).select(F.col("f.__row").alias("__row"))
+    kept = some.join(empty.union(first), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in names])
+    return left.join(mixed, left[id_col].cast("long") == mixed["__mixed"], "left_anti").union(kept)

@@ -1,4 +1,7 @@
-"""Words of Arrow text columns as numpy arrays, with 64-bit polynomial (Rabin-Karp) hashes.
+"""Words of Arrow text columns as numpy arrays, with 64-bit hashes; runs of words have polynomial
+(Rabin-Karp) hashes over those. A word's bytes are summed with a random odd factor per position, not
+with powers of a base: modulo 2**64 powers of any base give equal sums to some long words of two
+letters (the Thue-Morse word and its complement).
 
 Shared by the operators that hash words or word windows. Everything here works on one slice
 of a partition at a time, so memory is bounded by the slice size, not by the partition: a
@@ -55,7 +58,20 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_bytes, _words = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+class _Factors:
+    """A random odd factor for each byte position of a word, grown on demand."""
+
+    def __init__(self):
+        self.values = np.zeros(0, np.uint64)
+
+    def get(self, n: int) -> np.ndarray:
+        if len(self.values) < n:
+            i = np.arange(max(n, 2 * len(self.values), 64), dtype=np.uint64)
+            self.values = mix(i * np.uint64(_BYTE_BASE) + np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
+        return self.values
+
+
+_bytes, _words, _factors = _Powers(_BYTE_BASE), _Powers(_WORD_BASE), _Factors()
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -93,11 +109,15 @@ class Words:
         if lower:
             table = _TABLE.copy()
             table[0x41:0x5B] = _TABLE[0x61:0x7B]
-        up, down = _bytes.get(size + 1)
-        total = np.zeros(size + 1, np.uint64)
-        np.cumsum(table[data] * up[:size], out=total[1:])
-        h = (total[self.end] - total[self.start]) * down[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(np.uint64))
+        length = self.end - self.start
+        if len(length):
+            begin = np.cumsum(length) - length  # of each word among the bytes of words
+            byte = np.arange(begin[-1] + length[-1])
+            at = byte - np.repeat(begin, length)
+            value = table[data[byte + np.repeat(self.start - begin, length)]] * _factors.get(int(length.max()))[at]
+            self.hash = mix(np.add.reduceat(value, begin) + length.astype(np.uint64))
+        else:
+            self.hash = np.zeros(0, np.uint64)
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()

@@ -119,3 +119,32 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (500, 499)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}, 499: 499, 500: 499}
+
+
+def test_keep_first_of_repeated_ids(spark):
+    text = lambda a, n=40: " ".join(f"{a}{i}" for i in range(n))
+    rows = [(1, text("t")), (5, text("t")), (5, text("u")), (7, text("u") + " more"), (9, text("x")), (9, text("x")), (11, text("p")), (11, text("q")), (12, ""), (12, None), (13, text("q") + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jj.keep_first(docs).collect()), key=repr)
+    assert got == sorted([(1, text("t")), (5, text("u")), (9, text("x")), (11, text("p")), (11, text("q")), (12, ""), (12, None)], key=repr)
+
+
+def test_one_passage_in_most_documents(spark):
+    common = " ".join(f"c{i}" for i in range(12))
+    rows = [(i, f"{common} " + " ".join(f"w{i}_{j}" for j in range(3 if i % 2 else 40))) for i in range(150)]
+    rows += [(200, " ".join(f"l{i}" for i in range(30_000))), (201, " ".join(f"l{i}" for i in range(29_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component_id for r in jj.similar_components(docs).collect()}
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    sets = {i: shingles(t) for i, t in rows}
+    low = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 100 * both >= 75 * len(sets[a] | sets[b]):
+                low[b] = min(low[b], low[a])
+    assert got == low

@@ -97,3 +97,12 @@ def test_one_very_long_text(spark):
     rows = [(1, long), (2, "start " + long[:2000] + " end"), (3, long)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(x) for x in substring_dedup.digest(docs).collect()) == brute(rows, 13)
+
+
+def test_windows_of_long_words_with_one_polynomial_sum(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, " ".join([word] * 13)), (2, " ".join([other] * 13))], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.digest(docs).orderBy("doc_id").collect()] == [0, 0]
