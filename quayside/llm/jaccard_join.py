@@ -520,7 +520,7 @@ def _components_of_sets(docs: DataFrame, id_col: str, text_col: str, shingle: in
         classes = classes.join(out_of, "key", "left")
         stands = stands & F.col("linked").isNull()
     classes = classes.select("n", "key", "key2", "component_id", stands.alias("stands"))
-    out = sets.where("id is not null and n > 0").join(classes, ["n", "key", "key2"]).select("id", F.col("n").alias("n_shingles"), "component_id", "key", "key2", "stands")
+    out = sets.where("id is not null and n > 0").join(classes, ["n", "key", "key2"]).select("id", F.col("n").alias("n_shingles"), "component_id", "key", "key2", (F.col("stands") & (F.col("id") == F.col("component_id"))).alias("stands"))
     rest = sets.where("id is null or n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "key", "key2", F.lit(None).cast("boolean"))
     return out.union(rest)
 

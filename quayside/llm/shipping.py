@@ -8,7 +8,7 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 _done: set[str] = set()
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from quayside.llm import exchange
 from quayside.llm.words import mix, slices
 
-RUN_WINDOWS = 600_000  # windows that a map task sorts at a time (about 30 MB)
+RUN_WINDOWS = 300_000  # windows that a map task sorts at a time (about 15 MB)
 _FLAGS = "__repeat_hashes"
 
 
