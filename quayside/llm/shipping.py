@@ -8,17 +8,20 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
+_SETTING, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _done: set[str] = set()
+_sizes: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Adds the package's modules to the session's Python files, once per application, for
     sessions that were not started with ``--py-files``. Rows here are whole texts, so batches
-    for Python workers get ``BATCH_BYTES`` where the session has Spark's default size."""
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for Python workers get ``batch_bytes``, unless the session has a size of the user's."""
+    if spark.conf.get(_SETTING) in {_DEFAULT, *_sizes}:
+        _sizes.add(str(batch_bytes))
+        spark.conf.set(_SETTING, str(batch_bytes))
     app = spark.sparkContext.applicationId
     if app in _done:
         return
