@@ -21,6 +21,11 @@ from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
 
+# Batches of rows for Python workers. Their buffers outlive a stage in the executor's JVM and in its
+# idle workers, and the stages follow one another in the same executors.
+BATCH_BYTES = 2 << 20
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,28 +33,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that do not score as toxic. Labels name documents by id; the model learns from the
     rows that this stage gets."""
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return toxicity.keep_clean(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return jaccard_join.keep_first(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     cut = substring_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return decontaminate.remove_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return piece_codec.stage(spark, docs)
 
 
