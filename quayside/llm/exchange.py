@@ -11,11 +11,12 @@ merged before they are shuffled.
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = "bucket"
@@ -33,6 +34,20 @@ def release_memory() -> None:
         pass
 
 
+def settle(spark: SparkSession) -> None:
+    """Has idle Python workers give back what they hold of earlier stages: a task's last batch
+    and what it was made of stay with the worker until its next task. A few empty tasks per core reach
+    them all, as Spark hands out idle workers in turn."""
+
+    def give_back(batches):
+        gc.collect()
+        release_memory()
+        yield from batches
+
+    n = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).mapInArrow(give_back, "id long").write.format("noop").mode("overwrite").save()
+
+
 def _planes(x: np.ndarray) -> tuple[int, bytes]:
     top = int(x.max()) if len(x) else 0
     width = max(1, (top.bit_length() + 7) // 8)

@@ -491,6 +491,7 @@ def _components_of_sets(docs: DataFrame, id_col: str, text_col: str, shingle: in
     path = scratch_path(spark, "jaccard_lists")
     named = docs.where("id is not null")
     _lists(named, shingle, lower, schemes, num, den).write.parquet(path)
+    exchange.settle(spark)
     found = spark.read.schema(_FOUND).parquet(path)
     lists = _needed_lists(found, [s.deletions for s in schemes])
     path = scratch_path(spark, "jaccard_needed")
@@ -500,6 +501,7 @@ def _components_of_sets(docs: DataFrame, id_col: str, text_col: str, shingle: in
     star = found.where(F.col("kind") == _PAIR).select("a", "b").union(_stars(lists)).distinct()
     args = (classes, named, shingle, lower, num, den)
     links = _verified(star, *args)
+    exchange.settle(spark)
     first = components(links.select("a", "b")).withColumnsRenamed({"id": "key"})
     more = _verified(_across(lists, first, classes, num, den), *args)
 
