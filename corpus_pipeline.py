@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, jaccard_join, piece_codec, substring_dedup, toxicity
+from quayside.llm import decontaminate, exchange, jaccard_join, piece_codec, substring_dedup, toxicity
 from quayside.llm.shipping import ship
 from quayside.session import scratch_path
 
@@ -26,6 +26,11 @@ from quayside.session import scratch_path
 BATCH_BYTES = 2 << 20
 
 
+def _begin(spark: SparkSession) -> None:
+    ship(spark, BATCH_BYTES)
+    exchange.settle(spark)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,28 +38,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that do not score as toxic. Labels name documents by id; the model learns from the
     rows that this stage gets."""
-    ship(spark, BATCH_BYTES)
+    _begin(spark)
     return toxicity.keep_clean(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark, BATCH_BYTES)
+    _begin(spark)
     return jaccard_join.keep_first(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark, BATCH_BYTES)
+    _begin(spark)
     cut = substring_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark, BATCH_BYTES)
+    _begin(spark)
     return decontaminate.remove_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark, BATCH_BYTES)
+    _begin(spark)
     return piece_codec.stage(spark, docs)
 
 
