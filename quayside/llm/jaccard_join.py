@@ -50,6 +50,7 @@ from quayside.llm.words import Words, mix, slices
 from quayside.session import scratch_path
 
 HOT = 32  # a list with more sets is left out where the cover allows it
+RUN_PAIRS = 250_000  # pairs that a task makes distinct at a time
 RUN_SIGNATURES = 300_000  # entries that a map task sorts at a time
 MAX_BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast to fetch texts; beyond, a shuffle join
 _U = np.uint64
@@ -441,7 +442,7 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
                     if len(j):
                         held.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
                         n += len(j)
-                if n > 1_000_000:
+                if n > RUN_PAIRS:
                     yield flush()
                     held, n = [], 0
         if n:

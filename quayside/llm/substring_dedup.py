@@ -32,6 +32,7 @@ from quayside.llm import exchange
 from quayside.llm.words import mix, slices
 
 RUN_WINDOWS = 600_000  # windows that a map task sorts at a time (about 30 MB)
+RUN_REPEATS = 250_000  # repeats that a task of the way back sorts at a time
 _FLAGS = "__repeat_hashes"
 
 
@@ -110,25 +111,34 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 _, _, mk, mi = _first_of_groups(keys, ids)
                 out.append((mk, mi))
 
+        def flush():
+            keys, ids = (np.concatenate(x) for x in zip(*out))
+            bucket = (mix(ids.view(np.uint64)) >> np.uint64(64 - back)).astype(np.int64)
+            order = np.lexsort((ids, bucket))
+            bucket, keys, ids = bucket[order], keys[order].view(np.int64), ids[order]
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            rows = [(int(bucket[a]), exchange.pack(ids[a:b].view(np.uint64), keys[a:b])) for a, b in zip([0, *cuts], [*cuts, len(ids)]) if b > a]
+            return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=exchange.BLOB_SCHEMA)
+
         for batch in batches:
             for bucket, blob, repeats in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 if bucket != now:
                     close()
                     now, mins = bucket, []
+                    if sum(len(k) for k, _ in out) >= RUN_REPEATS:
+                        yield flush()
+                        out.clear()
+                        exchange.release_memory()
                 if repeats:
                     out.append(tuple(exchange.unpack(blob.as_py())))
                 else:
                     mins.append(blob.as_py())
         close()
-        if not out:
-            return
-        keys, ids = (np.concatenate(x) for x in zip(*out))
-        bucket = (mix(ids.view(np.uint64)) >> np.uint64(64 - back)).astype(np.int64)
-        order = np.lexsort((ids, bucket))
-        bucket, keys, ids = bucket[order], keys[order].view(np.int64), ids[order]
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        rows = [(int(bucket[a]), exchange.pack(ids[a:b].view(np.uint64), keys[a:b])) for a, b in zip([0, *cuts], [*cuts, len(ids)]) if b > a]
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=exchange.BLOB_SCHEMA)
+        mins = []
+        if out:
+            yield flush()
+        out.clear()
+        exchange.release_memory()
 
     def collect(batches):
         for _, blobs in exchange.by_bucket(batches):
