@@ -10,6 +10,7 @@ smallest id (a window that a third of all documents share leaves one entry per r
 document); other documents of the run know at once that theirs is a repeat. (2) One shuffle by
 hash range finds, for each run's smallest id, whether a smaller one exists. (3) Repeated hashes
 go back to their documents by id (again as packed rows), and each document marks the words they cover.
+Texts without repeats stay where they are.
 
 Judged by hash: two different windows of one corpus collide with a chance of about n*n/2**65
 for n windows. Defined results: a null text has no words; a row with a null id is returned
@@ -30,9 +31,12 @@ from pyspark.sql import functions as F
 
 from quayside.llm import exchange
 from quayside.llm.words import mix, slices
+from quayside.operators.broadcasts import measured_bytes
+from quayside.session import scratch_path
 
 RUN_WINDOWS = 600_000  # windows that a map task sorts at a time (about 30 MB)
 RUN_REPEATS = 250_000  # repeats that a task of the way back sorts at a time
+BROADCAST_BYTES = 16 << 20  # of the ids of documents with repeats (16 bytes each)
 _FLAGS = "__repeat_hashes"
 
 
@@ -175,8 +179,17 @@ def _marks(texts: pa.Array, flags: list, window: int) -> Iterator[tuple[int, np.
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    flags = repeated_windows(docs, id_col, text_col, window).toDF("__repeat_id", _FLAGS)
-    return docs.join(flags, docs[id_col].cast("long") == flags["__repeat_id"], "left").drop("__repeat_id")
+    """``docs`` with the packed hashes of their repeats (null: none). Where the ids that have any
+    are few enough to broadcast, texts without repeats are not shuffled; else all are."""
+    path = scratch_path(docs.sparkSession, "repeat_flags")
+    repeated_windows(docs, id_col, text_col, window).write.parquet(path)
+    flags = docs.sparkSession.read.schema("id long, hashes binary").parquet(path).toDF("__repeat_id", _FLAGS)
+    same = docs[id_col].cast("long") == F.col("__repeat_id")
+    ids = flags.select("__repeat_id")
+    if measured_bytes(ids) > BROADCAST_BYTES:
+        return docs.join(flags, same, "left").drop("__repeat_id")
+    some = docs.join(F.broadcast(ids), same, "left_semi").join(flags, same).drop("__repeat_id")
+    return some.union(docs.join(F.broadcast(ids), same, "left_anti").withColumn(_FLAGS, F.lit(None).cast("binary")))
 
 
 def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:

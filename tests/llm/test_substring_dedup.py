@@ -106,3 +106,16 @@ def test_windows_of_long_words_with_one_polynomial_sum(spark):
     other = word.translate(str.maketrans("ab", "ba"))
     docs = spark.createDataFrame([(1, " ".join([word] * 13)), (2, " ".join([other] * 13))], "doc_id long, text string")
     assert [r.n_removed for r in substring_dedup.digest(docs).orderBy("doc_id").collect()] == [0, 0]
+
+
+def test_broadcast_and_shuffled_ids_give_the_same_rows(spark, monkeypatch):
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abcdefgh") * 3 for _ in range(r.randrange(60))) for _ in range(60)]
+    rows = [(r.randrange(50), r.choice(texts), "x", b"y") for _ in range(200)] + [(None, texts[0], "x", b"y"), (7, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, hashes binary")
+    few = sorted(map(repr, substring_dedup.remove_repeats(docs).collect()))
+    spans = sorted(map(repr, substring_dedup.removal_intervals(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(substring_dedup, "RUN_REPEATS", 1)
+    assert sorted(map(repr, substring_dedup.remove_repeats(docs).collect())) == few and len(few) == len(rows) and spans
+    assert sorted(map(repr, substring_dedup.removal_intervals(docs).collect())) == spans
