@@ -51,7 +51,7 @@ from quayside.session import scratch_path
 
 HOT = 32  # a list with more sets is left out where the cover allows it
 RUN_PAIRS = 250_000  # pairs that a task makes distinct at a time
-RUN_SIGNATURES = 300_000  # entries that a map task sorts at a time
+RUN_SIGNATURES = 200_000  # entries that a map task sorts at a time
 MAX_BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast to fetch texts; beyond, a shuffle join
 _U = np.uint64
 _LEVELS = 3

@@ -34,7 +34,7 @@ from quayside.llm.words import mix, slices
 from quayside.operators.broadcasts import measured_bytes
 from quayside.session import scratch_path
 
-RUN_WINDOWS = 600_000  # windows that a map task sorts at a time (about 30 MB)
+RUN_WINDOWS = 200_000  # windows that a map task sorts at a time (some 20 MB)
 RUN_REPEATS = 250_000  # repeats that a task of the way back sorts at a time
 BROADCAST_BYTES = 16 << 20  # of the ids of documents with repeats (16 bytes each)
 _FLAGS = "__repeat_hashes"
