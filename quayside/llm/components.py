@@ -1,7 +1,9 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is a grouped minimum (combined before the shuffle) and a join, so a hub with a third
-of all edges is never gathered; the lineage is cut by a reliable checkpoint after each round.
+Each step is a grouped minimum (combined before the shuffle) and a join of the edges with it. The
+join deals edges by their node, so the edges of a hub meet in one task unless adaptive execution splits
+that partition; they stream through it and are not gathered. The lineage is cut by a reliable
+checkpoint after each round.
 """
 
 from __future__ import annotations
