@@ -67,7 +67,8 @@ class Tokens:
         """The words whose ids, in a row, are the text's."""
         out = []
         for w in words:
-            if w[-1] in ".," and w[:-1].isalpha():
+            # some letters become a letter and a mark in lower case, and a mark runs on with the point
+            if w[-1] in ".," and w[:-1].isalpha() and (w.isascii() or w[:-1].lower().isalpha()):
                 out.append(w[:-1].lower() if w.isascii() else w[:-1])
                 out.append(w[-1])
             else:

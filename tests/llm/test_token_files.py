@@ -54,6 +54,12 @@ def test_word_memo_equals_whole_texts(plain, texts):
     assert got == [plain.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_letters_that_leave_a_mark_in_lower_case(plain):
+    texts = ["İ.", "aİ,", "İ İ.b", "İ"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in token_files.tokens(PATH).encode(texts)]
+    assert got == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_files_equal_the_library(spark, plain, monkeypatch):
     monkeypatch.setattr(token_files, "MEMO", 500)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5)
