@@ -133,7 +133,7 @@ def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         update_state(spark, f"{db}.events", f"{db}.events_state", some, columns=names)
     merged = merged_profile(spark.table(f"{db}.events_state"))
     exact = ev.agg(*[F.count_distinct(c).alias(f"d_{c}") for c in names])
-    medians = {c: F.col("m").getItem(c) for c, num, _ in _MERGED if num}
+    medians = {c: F.col("m")[c] for c, num, _ in _MERGED if num}
     found = merged.where(F.col("quantiles").isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.col("quantiles")[1]))).alias("m"))
     ranks = ev.crossJoin(F.broadcast(found)).agg(  # one row on that side
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c) < m).alias(f"a_{c}") for c, m in medians.items()], *[F.count_if(F.col(c) <= m).alias(f"b_{c}") for c, m in medians.items()])
@@ -143,11 +143,11 @@ def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     within = F.create_map(*[x for c in medians for x in (F.lit(c), (F.col(f"a_{c}") <= half + 0.02 * F.col("rows")) & (F.col(f"b_{c}") >= half - 0.02 * F.col("rows")))])
     facts = both.select(distinct.alias("distinct"), within.alias("within"))
     out = merged.crossJoin(F.broadcast(facts))  # one row on that side
-    exact_count = F.col("distinct").getItem(F.col("column_name"))
+    exact_count = F.col("distinct")[F.col("column_name")]
     return out.select(
         "column_name", "row_count", "null_count", "min_length", "max_length", "min_value", "max_value", "mean_value", "stddev_value",
         (F.abs(F.col("distinct_count") - exact_count) <= F.greatest(F.lit(1.0), 0.05 * exact_count)).alias("distinct_within"),
-        F.col("within").getItem(F.col("column_name")).alias("median_within"),
+        F.col("within")[F.col("column_name")].alias("median_within"),
     )
 
 

@@ -23,7 +23,7 @@ import sys
 
 from quayside.plans.load import LoadMismatchError, load_to_table
 from quayside.plans.metadata import datasets_from_metadata
-from quayside.spec import DatasetSpec, LoadSpec, TableSpec
+from quayside.spec import CORRUPT_COLUMN, DatasetSpec, LoadSpec, TableSpec
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -42,6 +42,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--date_from_path", action="store_true", help="take effective_date from the file path")
     p.add_argument("--parity", action="store_true", help="two-type schema mapping (decimal or string)")
     p.add_argument("--strict", action="store_true", help="exit 1 on a count mismatch")
+    p.add_argument("--quarantine_table", help="table for lines that do not parse; only parsed rows are loaded")
+    p.add_argument("--state_table", help="table of the target's stored daily state, kept up by the load")
+    p.add_argument("--ledger", action="store_true", help="append files once each, by the target's ledger (no partition keys)")
     p.add_argument("--debug", nargs="?", const="y", default="n")
     p.add_argument("--spark_master_uri", help="master URL; spark-submit's --master when omitted")
     p.add_argument("--spark_history_log_dir", help="event-log folder (spark.eventLog.dir)")
@@ -91,6 +94,10 @@ def spec_from_args(a: argparse.Namespace) -> LoadSpec:
         warehouse_path=a.warehouse_path,
         parity=a.parity,
         strict=a.strict,
+        corrupt_column=CORRUPT_COLUMN if a.quarantine_table else None,
+        quarantine_table=a.quarantine_table,
+        state_table=a.state_table,
+        ledger=a.ledger,
     )
 
 
@@ -149,7 +156,7 @@ def main(argv=None) -> int:
         return 1
     print(json.dumps({
         "table": res.table, "action": res.action, "status": res.status,
-        "source_count": res.source_count, "target_count": res.target_count,
+        "source_count": res.source_count, "target_count": res.target_count, "corrupt_count": res.corrupt_count,
     }))
     return 0
 

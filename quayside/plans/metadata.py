@@ -15,7 +15,7 @@ from typing import Any, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans.workflow import ExtractSpec, ManagementTask, Workflow, run_workflow
-from quayside.spec import DatasetSpec, LoadSpec
+from quayside.spec import CORRUPT_COLUMN, DatasetSpec, LoadSpec
 
 
 def _resolve(path: str | None, placeholders: Mapping[str, str]) -> str | None:
@@ -88,6 +88,11 @@ def workflow_from_metadata(
                 c["column_name"].lower() == "effective_date" for c in schemas[tgt.dataset_id]
             ),
             warehouse_path=warehouse_path,
+            # our own, optional parts of the pattern
+            corrupt_column=CORRUPT_COLUMN if task["ingestion_pattern"].get("quarantine_table") else None,
+            quarantine_table=task["ingestion_pattern"].get("quarantine_table"),
+            state_table=task["ingestion_pattern"].get("state_table"),
+            ledger=bool(task["ingestion_pattern"].get("ledger")),
         )
     else:
         task = tasks[wf["distribution_task_id"]]

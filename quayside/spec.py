@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
 LOAD_TYPES = ("full", "incremental")
+CORRUPT_COLUMN = "_corrupt_line"  # the raw line's column, where a load with a quarantine names none
 
 
 @dataclass(frozen=True)
