@@ -16,7 +16,8 @@ range at a time.
 Defined results: vectors that are null or hold a null or non-finite component take no part, as
 query or candidate, nor do rows with a null id; a shorter vector counts as padded with zeros;
 rows with the query's id are no candidates of it; other repeated ids are candidates each; extra
-columns are ignored.
+columns are ignored; a component or score that does not fit into 64 bits is an error, never a wrong
+score; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ BLOCK = 64  # vectors of a block
 RANGE = 64  # blocks of an index row
 PART = 4 * BLOCK * RANGE  # vectors of an index part, about
 GROUP = 1024  # queries of a group, about
-_EXACT = 1 << 53
+_EXACT, _LIMIT = 1 << 53, 1 << 63
 
 
 def integers(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -41,7 +42,8 @@ def integers(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> Dat
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("x")).where("id is not null and x is not null")
     rows = rows.where(F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    return rows.select("id", F.transform("x", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+    beyond = F.raise_error(F.lit("a component is beyond 64 bits")).cast("long")
+    return rows.select("id", F.transform("x", lambda x: F.when(F.abs(x * scale) < float(1 << 62), F.floor(x * scale).cast("long")).otherwise(beyond)).alias("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -54,11 +56,30 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return out
 
 
+def _largest(a: np.ndarray, b: np.ndarray) -> int:
+    """What no sum of products of ``a @ b`` exceeds."""
+    return int(np.abs(a).max()) * int(np.abs(b).max()) * a.shape[1] if a.size and b.size else 0
+
+
 def _multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer matrix product; through doubles where no sum can leave their exact range."""
-    if a.size and b.size and int(np.abs(a).max()) * int(np.abs(b).max()) * a.shape[1] < _EXACT:
+    """Integer matrix product; through doubles where no sum can leave their exact range, through
+    unbounded integers where one might leave that of 64 bits. A score that does is an error."""
+    most = _largest(a, b)
+    if 0 < most < _EXACT:
         return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
-    return a @ b
+    if most < _LIMIT:
+        return a @ b
+    out = a.astype(object) @ b.astype(object)
+    if any(abs(x) >= _LIMIT for x in out.reshape(-1)):
+        raise OverflowError("an inner product is beyond 64 bits")
+    return out.astype(np.int64)
+
+
+def _bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """What no score of a query in a block exceeds; where that might leave 64 bits, no bound at all."""
+    if 2 * max(_largest(queries, high.T), _largest(queries, low.T)) >= _LIMIT:
+        return np.full((len(queries), len(high)), _LIMIT - 1, np.int64)
+    return _multiply(np.maximum(queries, 0), high.T) + _multiply(np.minimum(queries, 0), low.T)
 
 
 def _wide(a: np.ndarray, width: int) -> np.ndarray:
@@ -72,7 +93,7 @@ def search_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, v
     starts = np.arange(0, len(ids), BLOCK)
     high = np.maximum.reduceat(vectors, starts, axis=0)
     low = np.minimum.reduceat(vectors, starts, axis=0)
-    bounds = _multiply(np.maximum(queries, 0), high.T) + _multiply(np.minimum(queries, 0), low.T)
+    bounds = _bounds(queries, high, low)
     out, scored = [], 0
     for q, query, bound in zip(query_ids.tolist(), queries, bounds):
         order = np.argsort(-bound, kind="stable")
@@ -87,9 +108,8 @@ def search_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, v
             scored += len(some)
             where = (starts[some][:, None] + np.arange(BLOCK)).reshape(-1)
             where = where[where < len(ids)]
-            s, i = _multiply(vectors[where], query[:, None])[:, 0], ids[where]
-            other = i != q
-            s, i = np.concatenate([best_s, s[other]]), np.concatenate([best_i, i[other]])
+            where = where[ids[where] != q]
+            s, i = np.concatenate([best_s, _multiply(vectors[where], query[:, None])[:, 0]]), np.concatenate([best_i, ids[where]])
             if len(s) > 4 * k:  # all that reach the k-th score, ties included
                 few = s >= np.partition(s, len(s) - k)[len(s) - k]
                 s, i = s[few], i[few]

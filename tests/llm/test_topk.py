@@ -47,3 +47,25 @@ def test_blocks_below_the_kth_score_are_not_scored():
 def test_products_beyond_doubles_are_exact(spark):
     a, b = np.array([[3 * 10**8 + 1, 1]]), np.array([[3 * 10**8 + 7], [1]])
     assert topk._multiply(a, b)[0, 0] == (3 * 10**8 + 1) * (3 * 10**8 + 7) + 1
+
+
+def test_values_beyond_64_bits_are_errors_and_large_ones_exact(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    def run(vectors, scale):
+        docs = spark.createDataFrame([(i, v) for i, v in vectors], "vec_id long, embedding array<double>")
+        return sorted(tuple(r) for r in topk.top_k(docs, F.col("id") == 0, scale=scale).collect())
+
+    big = 3.0 * 10**9
+    assert run([(0, [big, big]), (1, [big, -big]), (2, [big, 1.0])], 1.0) == [(0, 1, 2, 9 * 10**18 + 3 * 10**9), (0, 2, 1, 0)]
+    with pytest.raises(PySparkException):
+        run([(0, [big, big]), (1, [big, big])], 1.0)
+    with pytest.raises(PySparkException):
+        run([(0, [1e300, 1.0]), (1, [1.0, 1.0])], 256.0)
+
+
+def test_repeated_ids_are_candidates_each(spark):
+    docs = spark.createDataFrame([(0, [1.0]), (7, [0.5]), (7, [0.25]), (3, [0.5])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(docs, F.col("id") == 0).collect())
+    assert got == [(0, 1, 3, 256 * 128), (0, 2, 7, 256 * 128), (0, 3, 7, 256 * 64)]
