@@ -5,7 +5,7 @@ and every pair of words has one for what follows the pair; places before the beg
 count as one more word. Tables of one dish in the restaurants of all pairs that end in a word are
 customers of that word's restaurant, its tables are customers of the root restaurant, and the
 root's tables draw from a uniform base over the V words seen and one unknown word. So there are
-as many restaurants as the texts have words and pairs, told apart by 64-bit hashes.
+as many restaurants as the texts have words and pairs.
 
 Gibbs sampling: a sweep unseats all customers of a dish in a restaurant and seats them again one
 by one, opening a table with odds (theta + d * tables) * parent probability against
@@ -15,82 +15,73 @@ the parents seat their customers likewise. Words and pairs have one discount, th
 Probabilities of a text are averaged over the samples after ``burn_in`` sweeps; ``perplexity``
 sums them up.
 
-Plan: tokens go to ranges of word hashes in packed rows, one shuffle, kept as a table. All of a
-word's counts and tables are in its range, except for words that make up at least ``frequent`` of
-the tokens of some run of documents: their entries are split by the word before (no range holds a
-third of all tokens), and their root sums, a small table of bounded size, go through the driver
-between sweeps. Restaurants are numbered by ranges of their hashes. After a sweep each word range
-sends its restaurants' customers and tables to the restaurants' ranges, one shuffle, which add
-them up and return the totals, another; they are kept as a table by word range. The tables are
-bucketed alike, so they are joined without a shuffle. A sweep replays its predecessors in each
-range from these totals, with random numbers seeded by range and sweep, so a lost task repeats
-itself exactly and no seating is stored. Probabilities return to the texts as packed sums by row.
+Plan: a map task packs runs of documents into blobs: a dictionary of word hashes, and the distinct
+(word before, two before, word) with counts and places as indices into it. One shuffle takes them
+to ranges of the hash of the word before, kept as a table bucketed by range. So the restaurants of
+a word and of all pairs that end in it, with all their customers, are in one range and seated
+there. Only what meets in the root leaves it: per sweep a range sends the root customers of its
+distinct words to ranges of word hashes, which seat the root and answer, two small shuffles; the
+seating is kept as a table by range, joined without a shuffle. Words before that make up at least
+``frequent`` of the tokens are dealt to several ranges by the word before them; the tables that
+their pairs hold meet in the range of the dish, which seats them, and these words' totals, a small
+table of bounded size, go through the driver. In the end ranges send sums per document to the
+documents' runs. Shuffle files are dropped as soon as a table is written. Nothing that grows with
+the texts goes through the driver. One pair of words is not split: its range holds an entry
+for each document and word that has it.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. Words are told apart by
 64-bit hashes. Defined results: a null or empty text has the end only; rows with a null id are
 training texts; repeated rows and ids are scored, and learned from, row by row; without training
-texts every token is unknown. ``docs`` has to give the same rows in the same order each time it is
-read (files or a checkpoint).
+texts every token is unknown; an empty table gives no rows; extra columns are ignored. Texts are
+taken whole; one longer than a run is a run of its own. Row ids are taken from one scan.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import exchange
 from quayside.llm.words import Words, mix, slices
-from quayside.session import fresh_name, scratch_path
+from quayside.session import checkpoint_root, fresh_name, scratch_path
 
 RUN_TOKENS = 1_500_000  # tokens that a map task sorts at a time
-PARTITION_BYTES = 6 << 20  # text whose tokens make up the ranges of one task
 _U = np.uint64
 END = int(mix(np.array([0xE0D], _U))[0])  # the hash that stands for the end of a text
 START = int(mix(np.array([0x57A7], _U))[0])  # and for the places before its first word
 
 
-class Totals(NamedTuple):
-    """What all ranges share after a sweep. In a task ``customers`` and ``tables`` are those of the
-    restaurants of its range; outside they are a ``Spread``."""
-
-    customers: np.ndarray  # of each restaurant
-    tables: np.ndarray  # of each restaurant
-    root: tuple  # customers and tables of the root
-    frequent: np.ndarray  # rows: count, root customers, root tables of each frequent word
-
-
-class Spread(np.lib.mixins.NDArrayOperatorsMixin):
-    """A column of restaurants' totals in a table; an array only when one is asked for (tests)."""
+class Rates(NamedTuple):
+    d: float  # discounts and strengths of the context restaurants and of the root
+    theta: float
+    d0: float
+    theta0: float
 
-    def __init__(self, table: DataFrame, name: str, column: int, size: int):
-        self.table, self.name, self.column, self.size = table, name, column, size
 
-    def __len__(self) -> int:
-        return self.size
+class Totals(NamedTuple):
+    """What all ranges share of a seating."""
 
-    def __array__(self, dtype=None, copy=None) -> np.ndarray:
-        out = np.zeros(self.size)
-        for r in self.table.where("bucket >= 0").toLocalIterator():
-            columns = exchange.unpack(r[self.name])
-            out[columns[0].astype(np.int64)] = columns[self.column]
-        return out if dtype is None else out.astype(dtype)
+    root: tuple  # customers and tables of the root
+    frequent: np.ndarray  # rows: customers, tables of each frequent word's restaurant
 
-    def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
-        return getattr(ufunc, method)(*(np.asarray(x) if isinstance(x, Spread) else x for x in inputs), **kwargs)
 
-    def __getitem__(self, at):
-        return np.asarray(self)[at]
+class Hot(NamedTuple):
+    """Frequent words before: sorted hashes, and the ranges that each is dealt to."""
 
+    hashes: np.ndarray
+    splits: np.ndarray
 
-class Rates(NamedTuple):
-    d: float  # discounts and strengths of the context restaurants and of the root
-    theta: float
-    d0: float
-    theta0: float
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """Index of each hash, or -1."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at, -1)
 
 
 def seat(rng, count: np.ndarray, a: np.ndarray, d: float) -> np.ndarray:
@@ -112,71 +103,61 @@ def seat(rng, count: np.ndarray, a: np.ndarray, d: float) -> np.ndarray:
     return tables
 
 
-def _tokens(w: Words, frequent: np.ndarray):
-    """(hash, frequent index or -1, restaurant of the word before, of the two words before, text)
-    of every token of a slice, the ends included."""
-    n, total = w.n_docs, len(w.hash) + w.n_docs
-    place = np.arange(len(w.hash)) + w.doc
-    ends = np.cumsum(w.count + 1) - 1
-    h, doc = np.full(total, END, _U), np.zeros(total, np.int64)
-    h[place], doc[place], doc[ends] = w.hash, w.doc, np.arange(n)
-    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-    f = np.where(frequent[at] == h, at, -1)
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    back = []
-    for x in (h, None):
-        x = back[0] if x is None else x
-        back.append(np.concatenate([np.full(1, START, _U), x[:-1]]))
-        back[-1][begins] = START
-    one = mix(back[0] + _U(1))
-    two = mix(one ^ mix(back[1] + _U(2)))
-    return h, f, one, two, doc
-
-
-def _frequent(docs: DataFrame, share: float) -> np.ndarray:
-    """Sorted hashes of words that make up ``share`` of the tokens of some run of documents and
-    half of that overall; at most 2 / share. They only decide what is split. The end is one
-    of them."""
+# ---- blobs -----------------------------------------------------------------------------------
+
+
+def _zip(*columns: np.ndarray) -> bytes:
+    """Columns of any lengths, 8-byte values as byte planes, compressed."""
+    head, body = [len(columns)], []
+    for x in columns:
+        x = x.view(_U) if x.dtype.itemsize == 8 else x.astype(np.int64).view(_U)
+        low, top = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+        width = ((top - low).bit_length() + 7) // 8
+        head += [len(x), low, width]
+        body.append(np.ascontiguousarray((x - _U(low)).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+    raw = np.array(head, _U).tobytes() + b"".join(body)
+    return np.array([len(raw)], _U).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unzip(blob: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(blob[8:], int(np.frombuffer(blob, _U, 1)[0]), codec="zstd", asbytes=True)
+    k = int(np.frombuffer(raw, _U, 1)[0])
+    head = np.frombuffer(raw, _U, 1 + 3 * k)
+    at, out = 8 * len(head), []
+    for n, low, width in head[1:].reshape(-1, 3):
+        n, width = int(n), int(width)
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        at += n * width
+        out.append((x.reshape(-1).view(_U) + low).view(np.int64))
+    return out
 
-    def run(batches):
-        counts = []
-        for batch in batches:
-            for _, _, w in slices(batch.column(0), lower=True):
-                if len(w.hash):
-                    h = np.sort(w.hash)
-                    at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                    n = np.diff(np.concatenate([at, [len(h)]]))
-                    big = n >= max(2, share * len(h))
-                    counts.append((h[at][big], n[big], len(h)))
-        if counts:
-            h, inverse = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
-            n = np.bincount(inverse, np.concatenate([c[1] for c in counts]), minlength=len(h)).astype(np.int64)
-            tokens = sum(c[2] for c in counts)
-            keep = n >= share * tokens / 2
-            yield pa.record_batch([pa.array(np.append(h[keep], _U(0)).view(np.int64)), pa.array(np.append(n[keep], tokens)), pa.array(np.append(np.zeros(keep.sum(), bool), True))], names=["h", "n", "all"])
 
-    found = docs.select("text").mapInArrow(run, "h long, n long, all boolean").groupBy("h", "all").agg(F.sum("n").alias("n"))
-    tokens = found.where("all").agg(F.sum("n")).first()[0] or 0
-    rows = found.where(~F.col("all") & (F.col("n") >= share * tokens / 2)).select("h").collect()  # at most 2 / share
-    return np.unique(np.append(np.array([r[0] for r in rows], np.int64).view(_U), _U(END)))
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences, as sorted numbers are zipped; ``np.cumsum`` takes them back."""
+    x = x.view(_U) if x.dtype.itemsize == 8 else x.astype(_U)
+    return np.diff(x, prepend=x[:0].sum(dtype=_U))
 
 
-def _keep(rows: DataFrame, parts: int) -> DataFrame:
-    """``rows``, dealt to ``parts`` by bucket, as a table that Spark knows to be dealt so: joins on
-    the bucket need no shuffle. Only its files stay, not its name."""
-    spark, name = rows.sparkSession, fresh_name("pitman_yor")
-    rows.write.format("parquet").bucketBy(parts, "bucket").option("path", scratch_path(spark, "pitman_yor")).saveAsTable(name)
-    out = spark.table(name)
-    out.schema  # resolved here
-    spark.sql(f"DROP TABLE {name}")
-    return out
+def _hashes(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x.view(_U), dtype=_U)
 
 
-def _round(table: DataFrame, send, reply, receive, parts: int, name: str) -> DataFrame:
-    """(bucket, ``name``): what the word ranges send to the restaurants' ranges comes back."""
-    sent = table.mapInArrow(send, "piece int, origin int, blob binary")
-    back = sent.repartition(parts, "piece").sortWithinPartitions("piece").mapInArrow(reply, "bucket int, piece int, blob binary")
-    return _keep(back.repartition(parts, "bucket").sortWithinPartitions("bucket", "piece").mapInArrow(receive, f"bucket int, {name} binary"), parts)
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where the next group of equal entries begins."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = False
+        for x in columns:
+            new[1:] |= x[1:] != x[:-1]
+    return new
+
+
+def _order(n: int, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Stable order by (v, u, w), indices below n."""
+    if n < 1 << 21:
+        return np.argsort((v * n + u) * n + w, kind="stable")
+    return np.lexsort((w, u, v))
 
 
 def _groups(batches):
@@ -193,196 +174,306 @@ def _groups(batches):
         yield now, [list(x) for x in zip(*held)]
 
 
-def _rows(rows: list, names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    return pa.record_batch([*(pa.array(c, pa.int32()) for c in columns[:-1]), pa.array(columns[-1], pa.binary())], names=names)
+_RUNS = pa.schema([("bucket", pa.int32()), ("run", pa.int64()), ("blob", pa.binary())])
+_SENT = pa.schema([("piece", pa.int32()), ("origin", pa.int32()), ("blob", pa.binary())])
+_BACK = pa.schema([("bucket", pa.int32()), ("piece", pa.int32()), ("blob", pa.binary())])
+_STATE = pa.schema([("bucket", pa.int32()), ("state", pa.binary())])
+_RANGES = pa.schema([("bucket", pa.int32()), ("run", pa.int64()), ("pairs", pa.binary()), ("refs", pa.binary())])
 
 
-def _pieces(bits: int, ids: np.ndarray):
-    """(order, piece, key, cuts) of restaurants by piece: piece ``ids % 2**bits``, key the rest."""
-    order = np.argsort(ids & ((1 << bits) - 1), kind="stable")
-    piece = ids[order] & ((1 << bits) - 1)
-    cuts = np.flatnonzero(np.diff(piece)) + 1
-    return order, piece, (ids[order] >> bits).astype(_U), list(zip([0, *cuts], [*cuts, len(ids)]))
+def _rows(schema: pa.Schema, rows: list) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(schema)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
 
-_UP, _DOWN = ["piece", "origin", "blob"], ["bucket", "piece", "blob"]
+def _ddl(schema: pa.Schema) -> str:
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def _numbers(raw: DataFrame, parts: int, bits: int) -> DataFrame:
-    """Numbers of the restaurants of each word range, in the order of their hashes: 2**bits ranges
-    of hashes count up on their own, the range is the low bits of a number."""
+@contextmanager
+def _short_lived_shuffles(spark: SparkSession):
+    """Shuffle files of the writes inside go when the write has ended, not when the driver
+    collects garbage; tables are read again from their files."""
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(option, None)
+    spark.conf.set(option, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(option) if before is None else spark.conf.set(option, before)
 
-    def send(batches):
-        for batch in batches:
-            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                _, _, one, two, _ = exchange.unpack(blob.as_py())
-                rows = [(piece, bucket, b) for piece, b in exchange.split(np.unique(np.concatenate([one, two]).view(_U)), [], bits)]
-                yield _rows(rows, _UP)
-        exchange.release_memory()
 
-    def reply(batches):
-        for piece, (origins, blobs) in _groups(batches):
-            asked = [exchange.unpack(b)[0] for b in blobs]
-            known = np.unique(np.concatenate(asked))
-            yield _rows([(o, piece, exchange.pack(np.searchsorted(known, a).astype(_U))) for o, a in zip(origins, asked)], _DOWN)
-        exchange.release_memory()
+def _keep(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows``, dealt to ``parts`` by bucket, as a table that Spark knows to be dealt so: joins on
+    the bucket need no shuffle. Only its files stay, not its name."""
+    spark, name = rows.sparkSession, fresh_name("pitman_yor")
+    with _short_lived_shuffles(spark):
+        rows.write.format("parquet").option("compression", "uncompressed").bucketBy(parts, "bucket").option("path", scratch_path(spark, "pitman_yor")).saveAsTable(name)
+    out = spark.table(name)
+    out.schema  # resolved here
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
-    def receive(batches):
-        for bucket, (pieces, blobs) in _groups(batches):
-            ids = np.concatenate([(exchange.unpack(b)[0].astype(np.int64) << bits) | p for p, b in zip(pieces, blobs)])
-            yield _rows([(bucket, exchange.pack(np.zeros(len(ids), _U), ids))], ["bucket", "ids"])
-        exchange.release_memory()
 
-    return _round(raw.select("bucket", "raw"), send, reply, receive, parts, "ids")
+# ---- ranges ----------------------------------------------------------------------------------
+
+
+def _tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every token of a slice, the ends included."""
+    total = len(w.hash) + w.n_docs
+    place, ends = np.arange(len(w.hash)) + w.doc, np.cumsum(w.count + 1) - 1
+    h, doc = np.full(total, END, _U), np.zeros(total, np.int64)
+    h[place], doc[place], doc[ends] = w.hash, w.doc, np.arange(w.n_docs)
+    return h, doc
+
+
+def _frequent(docs: DataFrame, share: float, buckets: int) -> Hot:
+    """Words that make up ``share`` of the tokens of some run of documents and half of that
+    overall; at most 2 / share. They only decide what is split."""
+
+    def run(batches):
+        counts = []
+        for batch in batches:
+            for _, _, w in slices(batch.column(0), lower=True):
+                if len(w.hash):
+                    h, n = np.unique(w.hash, return_counts=True)
+                    big = n >= max(2, share * len(w.hash))
+                    counts.append((h[big], n[big], len(w.hash)))
+        if counts:
+            h, inverse = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+            n = np.bincount(inverse, np.concatenate([c[1] for c in counts]), minlength=len(h)).astype(np.int64)
+            tokens = sum(c[2] for c in counts)
+            keep = n >= share * tokens / 2
+            yield pa.record_batch([pa.array(np.append(h[keep], _U(0)).view(np.int64)), pa.array(np.append(n[keep], tokens)), pa.array(np.append(np.zeros(keep.sum(), bool), True))], names=["h", "n", "all"])
+
+    checkpoint_root(docs.sparkSession)  # known to Spark from here on
+    found = docs.select("text").mapInArrow(run, "h long, n long, all boolean").groupBy("h", "all").agg(F.sum("n").alias("n")).checkpoint()
+    tokens = found.where("all").agg(F.sum("n")).first()[0] or 0
+    rows = found.where(~F.col("all") & (F.col("n") >= share * tokens / 2)).select("h", "n").collect()  # at most 2 / share
+    h, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+    order = np.argsort(h.view(_U))
+    return Hot(h.view(_U)[order], np.maximum(2, np.ceil(2 * n[order] / max(tokens, 1) * buckets)).astype(np.int64))
 
 
-def _ranges(docs: DataFrame, frequent: np.ndarray, parts: int, bits: int) -> DataFrame:
-    """One row per range of word hashes: its training counts by (word, the two restaurants), and
-    its tokens by (word, restaurants, row)."""
+def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
+    """Rows (bucket, run, pairs, refs): of each range of words before its training counts by (word
+    before, two before, word) and the places of these in the runs; and in buckets from 2**bits
+    on, a row per run with its documents as ``pairs``."""
+    shift = _U(64 - bits)
 
     def emit(batches):
         held, n = [], 0
 
         def flush():
-            key, f, one, two, ref = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((ref, two, one, key))
-            key, f, one, two, ref = key[order], f[order], one[order], two[order], ref[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1]) | (ref[1:] != ref[:-1])
-            at = np.flatnonzero(new)
-            many = np.diff(np.concatenate([at, [len(key)]]))
-            return exchange.blob_rows(key[at], [f[at] + 1, one[at].view(np.int64), two[at].view(np.int64), ref[at], many], bits)
+            count = np.cumsum([0] + [len(x[2]) for x in held])
+            h = np.concatenate([x[0] for x in held])
+            doc = np.concatenate([x[1] + c for x, c in zip(held, count)])
+            row, ids, null, train = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4, 5))
+            run = int(row[0])
+            yield ((1 << bits) + int(mix(np.array([run], np.int64).view(_U))[0] >> shift), run, _zip(row, ids, null, np.bincount(doc, minlength=len(row))))
+            words, w = np.unique(np.append(h, _U(START)), return_inverse=True)
+            start, w = w[-1], w[:-1].astype(np.int64)
+            begins = _changes(doc)
+            v, u = np.empty_like(w), np.empty_like(w)
+            v[1:], u[2:] = w[:-1], w[:-2]
+            v[begins], u[begins], u[np.flatnonzero(begins)[np.flatnonzero(begins) + 1 < len(w)] + 1] = start, start, start
+            order = _order(len(words), v, u, w)
+            v, u, w, doc = v[order], u[order], w[order], doc[order]
+            bucket = (words >> shift).astype(np.int64)[v]
+            f = hot.of(words)[v]
+            some = np.flatnonzero(f >= 0)
+            if len(some):
+                place = (mix(words[u[some]]) % hot.splits[f[some]].astype(_U)) + _U(1)
+                bucket[some] = (mix(words[v[some]] ^ mix(place)) >> shift).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
+            entry, ref = _changes(v, u, w), _changes(v, u, w, doc)
+            at, refs = np.flatnonzero(entry), np.flatnonzero(ref)
+            many = np.diff(np.append(refs, len(v)))
+            of = np.cumsum(entry)[refs] - 1
+            counts = np.bincount(of, many * train[doc[refs]], minlength=len(at)).astype(np.int64)
+            places = np.bincount(of, minlength=len(at))
+            v, u, w, bucket, doc = v[at], u[at], w[at], bucket[at], doc[refs]
+            ends = np.cumsum(places)
+            cuts = np.append(np.flatnonzero(_changes(bucket)), len(bucket))
+            index = np.zeros(len(words), np.int64)
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                mark = np.zeros(len(words), bool)
+                mark[v[a:b]] = mark[u[a:b]] = mark[w[a:b]] = True
+                own = np.flatnonzero(mark)
+                index[own] = np.arange(len(own))
+                x, y = ends[a] - places[a], ends[b - 1]
+                yield (int(bucket[a]), run, _zip(_steps(words[own]), index[v[a:b]], index[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
 
         for batch in batches:
-            rows, train = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, b, w in slices(batch.column(1), lower=True):
-                h, f, one, two, doc = _tokens(w, frequent)
-                split = f >= 0  # frequent words: a place of its own for each word before
-                h[split] = mix(h[split] ^ mix(one[split] + _U(1)))
-                held.append((h, f.astype(np.int32), one, two, rows[a:b][doc] * 2 + train[a:b][doc]))
+            row, ids = batch.column(0).to_numpy(), batch.column(1)
+            null, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+            train = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b, w in slices(batch.column(2), lower=True):
+                h, doc = _tokens(w)
+                held.append((h, doc, row[a:b], ids[a:b], null[a:b], train[a:b]))
                 n += len(h)
                 if n >= RUN_TOKENS:
-                    yield flush()
+                    yield _rows(_RUNS, list(flush()))
                     held, n = [], 0
                     exchange.release_memory()
         if held:
-            yield flush()
+            yield _rows(_RUNS, list(flush()))
         held = []
         exchange.release_memory()
 
     def merge(batches):
-        for bucket, blobs in exchange.by_bucket(batches):
-            key, f, one, two, ref, many = exchange.gather(blobs)
-            order = np.lexsort((ref, two, one, f, key))
-            key, f, one, two, ref, many = key[order], f[order], one[order], two[order], ref[order], many[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1]) | (f[1:] != f[:-1])
-            at = np.flatnonzero(new)
-            pair = np.cumsum(new) - 1
-            count = np.bincount(pair, many * (ref & 1), minlength=len(at)).astype(np.int64)
-            raw = exchange.pack(key[at], f[at] - 1, one[at], two[at], count)
-            refs = exchange.pack(np.cumsum(new).astype(_U), ref, many)
-            yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([raw], pa.binary()), pa.array([refs], pa.binary())], names=["bucket", "raw", "refs"])
-        exchange.release_memory()
-
-    blobs = docs.select("row", "text", "train").mapInArrow(emit, exchange.BLOB_DDL)
-    return _keep(exchange.deal(blobs, parts).mapInArrow(merge, "bucket int, raw binary, refs binary"), parts)
-
-
-def _numbered_ranges(raw: DataFrame, parts: int, bits: int) -> DataFrame:
-    """(bucket, pairs): the ranges with the numbers of their restaurants instead of hashes."""
-
-    def put(batches):
-        for batch in batches:
-            for bucket, blob, ids in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                key, f, one, two, count = exchange.unpack(blob.as_py())
-                both, at = np.unique(np.concatenate([one, two]).view(_U), return_inverse=True)
-                u = exchange.unpack(ids.as_py())[1][at]
-                yield _rows([(bucket, exchange.pack(key, f, u[: len(key)], u[len(key) :], count))], ["bucket", "pairs"])
+        for bucket, (runs, blobs) in _groups(batches):
+            if bucket >= 1 << bits:
+                yield _rows(_RANGES, [(bucket, run, blob, None) for run, blob in zip(runs, blobs)])
+                continue
+            parts_ = [_unzip(b) for b in blobs]
+            dictionaries = [_hashes(p[0]) for p in parts_]
+            words = np.unique(np.concatenate(dictionaries))
+            at = [np.searchsorted(words, d) for d in dictionaries]
+            v, u, w = (np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in (1, 2, 3))
+            count = np.concatenate([p[4] for p in parts_])
+            order = _order(len(words), v, u, w)
+            v, u, w = v[order], u[order], w[order]
+            new = _changes(v, u, w)
+            entry = np.empty(len(order), np.int64)
+            entry[order] = np.cumsum(new) - 1
+            count = np.bincount(entry, count).astype(np.int64)
+            pairs = _zip(_steps(words), _steps(v[new]), u[new], w[new], count)
+            size, refs, base = [], [], 0
+            for p in parts_:
+                e = entry[base : base + len(p[1])]
+                base += len(p[1])
+                refs.append(_steps(np.repeat(e, p[5])))
+                size.append(len(refs[-1]))
+            refs = _zip(np.array(runs, np.int64), np.array(size), np.concatenate(refs), np.concatenate([p[6] for p in parts_]), np.concatenate([p[7] for p in parts_]))
+            yield _rows(_RANGES, [(bucket, None, pairs, refs)])
         exchange.release_memory()
 
-    ids = _numbers(raw, parts, bits)
-    return _keep(raw.select("bucket", "raw").join(ids.hint("merge"), "bucket").mapInArrow(put, "bucket int, pairs binary"), parts)
-
-
-class _Range:
-    """The words of one range: counts by (word, two words before), dishes by (word, word before),
-    and the seatings of the sweeps. ``u``, ``count`` and ``tables`` list the entries of pairs of
-    words, then those of single words."""
-
-    def __init__(self, bucket: int, blob: bytes, seed: int):
-        key, f, one, two, self.count3 = exchange.unpack(blob)
-        self.bucket, self.seed = bucket, seed
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (f[1:] != f[:-1])
-        dish = new.copy()
-        dish[1:] |= one[1:] != one[:-1]
-        self.dish = np.cumsum(dish) - 1  # of each entry
-        first = np.flatnonzero(dish)
-        self.word = np.cumsum(new)[first] - 1  # of each dish; a frequent word's dish stands alone
-        self.first = np.flatnonzero(new)
-        self.wf = f[self.first]
-        self.u = np.concatenate([two, one[first]])
-        self.total = np.bincount(self.word[self.dish], self.count3).astype(np.int64)
-        self._seated((self.count3 > 0).astype(np.int64), None, None)
-
-    def _seated(self, tables, upper, root) -> None:
-        """Takes the tables of pairs; ``upper`` and ``root`` seat what they are sent."""
-        one = lambda c: (c > 0).astype(np.int64)
-        self.c2 = np.bincount(self.dish, tables).astype(np.int64)
-        self.t2 = (upper or one)(self.c2)
-        self.c0 = np.bincount(self.word, self.t2).astype(np.int64)
-        self.t0 = (root or one)(self.c0)
-        self.count, self.tables = np.concatenate([self.count3, self.c2]), np.concatenate([tables, self.t2])
-
-    def local(self) -> np.ndarray:
-        """The sorted numbers of its restaurants, which ``u`` then points into."""
-        ids, self.u = np.unique(self.u, return_inverse=True)
-        return ids
-
-    def root(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
-        """Root probability of each word, by the totals of the last sweep."""
-        customers, tables = totals.root
-        own = self.wf >= 0
-        c, t = self.c0.astype(float), self.t0.astype(float)
-        c[own], t[own] = totals.frequent[1][self.wf[own]], totals.frequent[2][self.wf[own]]
-        return (np.maximum(c - rates.d0 * t, 0) + (rates.theta0 + rates.d0 * tables) * base) / (rates.theta0 + customers)
-
-    def parent(self, totals: Totals, rates: Rates, base: float) -> tuple[np.ndarray, np.ndarray]:
-        """(root probability, probability after the word before) of each dish."""
-        p, u = self.root(totals, rates, base)[self.word], self.u[len(self.count3) :]
-        c, t = totals.customers[u], totals.tables[u]
-        return p, (np.maximum(self.c2 - rates.d * self.t2, 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
+    blobs = docs.select("row", "doc_id", "text", "train").mapInArrow(emit, _ddl(_RUNS))
+    dealt = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket", "run")
+    return _keep(dealt.mapInArrow(merge, _ddl(_RANGES)), parts)
+
+
+class Range:
+    """The restaurants of one range of words before. ``v``, ``u``, ``w``, ``count`` list the entries
+    of pairs, ``dv``, ``dw`` the dishes of single words (index into ``words``); ``t3`` and ``t2`` are
+    their tables. ``c0``, ``t0``, ``n`` are the root's customers, tables and the training count of
+    each word that follows something (``after``), ``hot2`` customers and tables of the dishes of
+    frequent words, in the order of ``far``."""
+
+    def __init__(self, bucket: int, pairs: bytes, hot: Hot, seed: int, state: bytes | None = None):
+        steps, v, u, w, self.count = _unzip(pairs)
+        self.bucket, self.seed, self.words = bucket, seed, _hashes(steps)
+        n = len(self.words)
+        v = np.cumsum(v)
+        self.pair = np.cumsum(_changes(v, u)) - 1
+        dishes, self.dish = np.unique(v * n + w, return_inverse=True)
+        self.dv, self.dw = dishes // n, dishes % n
+        self.after, self.word = np.unique(self.dw, return_inverse=True)  # of each dish
+        self.f = hot.of(self.words)[self.dv]
+        far = np.flatnonzero(self.f >= 0)
+        self.far = far[np.lexsort((self.f[far], self.word[far]))]
+        self.near = np.flatnonzero(self.f < 0)
+        self.total = np.bincount(self.word[self.dish], self.count, minlength=len(self.after)).astype(np.int64)
+        if state is None:
+            self.t3 = (self.count > 0).astype(np.int64)
+        else:
+            self.t3, t2, self.c0, self.t0, self.n, c, t = _unzip(state)
+        self._customers()
+        if state is None:
+            self.t2 = (self.c2 > 0).astype(np.int64)
+            self.c0 = self.t0 = self.n = np.zeros(len(self.after), np.int64)
+        else:
+            self.t2 = np.zeros(len(self.dv), np.int64)
+            self.t2[self.near] = t2
+            self.c2[self.far], self.t2[self.far] = c, t
+
+    def _customers(self) -> None:
+        self.c2 = np.bincount(self.dish, self.t3, minlength=len(self.dv)).astype(np.int64)
+
+    def _above(self, totals: Totals, rates: Rates, base: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each dish: root probability, tables and customers of its restaurant."""
+        p0 = root_probability(self.c0, self.t0, totals, rates, base)[self.word]
+        c = np.bincount(self.dv, self.c2, minlength=len(self.words))[self.dv]
+        t = np.bincount(self.dv, self.t2, minlength=len(self.words))[self.dv]
+        c[self.far], t[self.far] = totals.frequent[:, self.f[self.far]]
+        return p0, c, t
+
+    def after_one(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
+        """Probability of each dish after the word before."""
+        p0, c, t = self._above(totals, rates, base)
+        return (np.maximum(self.c2 - rates.d * self.t2, 0) + (rates.theta + rates.d * t) * p0) / (rates.theta + c)
+
+    def after_two(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
+        """Probability of each entry after the two words before."""
+        c, t = (np.bincount(self.pair, x)[self.pair] for x in (self.count, self.t3))
+        p = self.after_one(totals, rates, base)[self.dish]
+        return (np.maximum(self.count - rates.d * self.t3, 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
 
     def sweep(self, number: int, totals: Totals, rates: Rates, base: float) -> None:
         rng = np.random.default_rng([self.seed, number, self.bucket])
-        p1, p2 = self.parent(totals, rates, base)
-        weight = (rates.theta + rates.d * totals.tables[self.u]) * np.concatenate([p2[self.dish], p1])
-        n = len(self.count3)
-        upper = lambda c: seat(rng, c, weight[n:], rates.d)
-        root = lambda c: seat(rng, c, np.full(len(c), (rates.theta0 + rates.d0 * totals.root[1]) * base), rates.d0)
-        self._seated(seat(rng, self.count3, weight[:n], rates.d), upper, root)
-
-    def totals(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Customers and tables by restaurant."""
-        return np.bincount(self.u, self.count, minlength=n).astype(np.int64), np.bincount(self.u, self.tables, minlength=n).astype(np.int64)
-
-    def sums(self, frequent: int):
-        """Root customers and tables of the words that are not split; count and root customers of
-        the split ones; (distinct words, dishes by 1, 2 customers in restaurants and root, training
-        tokens)."""
-        own = self.wf >= 0
-        rest = ~own
-        split = np.stack([np.bincount(self.wf[own], x[own], minlength=frequent) for x in (self.total, self.c0)])
-        some = [(self.total[rest] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), (self.c0[rest] == 1).sum(), (self.c0[rest] == 2).sum(), self.total.sum()]
-        return np.concatenate([[self.c0[rest].sum(), self.t0[rest].sum()], split.reshape(-1), some])
-
-    def predictive(self, totals: Totals, rates: Rates, base: float) -> np.ndarray:
-        n = len(self.count3)
-        p = self.parent(totals, rates, base)[1][self.dish]
-        c, t = totals.customers[self.u[:n]], totals.tables[self.u[:n]]
-        return (np.maximum(self.count3 - rates.d * self.tables[:n], 0) + (rates.theta + rates.d * t) * p) / (rates.theta + c)
+        p2 = self.after_one(totals, rates, base)
+        p0, _, t2 = self._above(totals, rates, base)
+        t3 = np.bincount(self.pair, self.t3)[self.pair]
+        self.t3 = seat(rng, self.count, (rates.theta + rates.d * t3) * p2[self.dish], rates.d)
+        self._customers()
+        self.t2 = np.zeros(len(self.dv), np.int64)
+        self.t2[self.near] = seat(rng, self.c2[self.near], ((rates.theta + rates.d * t2) * p0)[self.near], rates.d)
+
+    def messages(self, bits: int):
+        """(piece, blob) for the ranges of words: root customers, count and last root seating of
+        each word, customers of frequent words' dishes; statistics in the first."""
+        own = np.bincount(self.word[self.near], self.t2[self.near], minlength=len(self.after)).astype(np.int64)
+        stats = np.array([x for k in (1, 2) for x in ((self.count == k).sum() + (self.c2[self.near] == k).sum(),)], np.int64)
+        h = self.words[self.after]
+        piece = (h >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+        cuts = np.append(np.flatnonzero(_changes(piece)), len(piece))
+        ends = np.searchsorted(self.word[self.far], cuts)
+        for a, b, x, y in zip(cuts[:-1], cuts[1:], ends[:-1], ends[1:]):
+            some = self.far[x:y]
+            yield int(piece[a]), _zip(_steps(h[a:b]), own[a:b], self.total[a:b], self.c0[a:b], self.t0[a:b], self.word[some] - a, self.f[some], self.c2[some], stats)
+            stats = stats * 0
+
+
+def root_probability(c: np.ndarray, t: np.ndarray, totals: Totals, rates: Rates, base: float) -> np.ndarray:
+    customers, tables = totals.root
+    return (np.maximum(c - rates.d0 * t, 0) + (rates.theta0 + rates.d0 * tables) * base) / (rates.theta0 + customers)
+
+
+def _answer(messages: list, rng, totals: Totals | None, rates: Rates, base: float, n_hot: int):
+    """Seats one range of words: (an answer per message; customers and tables of the root, dishes
+    there by 1 and 2 customers, dishes of frequent words likewise, words, tokens, then customers
+    and tables of each frequent word)."""
+    asked = [_hashes(m[0]) for m in messages]
+    words = np.unique(np.concatenate(asked))
+    at = [np.searchsorted(words, h) for h in asked]
+    c0, n, was_c, was_t = (np.zeros(len(words), np.int64) for _ in range(4))
+    for i, m in zip(at, messages):
+        c0[i] += m[1]  # a range names a word once
+        n[i] += m[2]
+        was_c[i], was_t[i] = m[3], m[4]
+    word = np.concatenate([i[m[5]] for i, m in zip(at, messages)])
+    f = np.concatenate([m[6] for m in messages])
+    dishes, dish = np.unique(word * max(n_hot, 1) + f, return_inverse=True)
+    c2 = np.bincount(dish, np.concatenate([m[7] for m in messages]), minlength=len(dishes)).astype(np.int64)
+    word, f = dishes // max(n_hot, 1), dishes % max(n_hot, 1)
+    if totals is None:
+        t2 = (c2 > 0).astype(np.int64)
+    else:
+        p0 = root_probability(was_c, was_t, totals, rates, base)
+        t2 = seat(rng, c2, (rates.theta + rates.d * totals.frequent[1][f]) * p0[word], rates.d)
+    c0 += np.bincount(word, t2, minlength=len(words)).astype(np.int64)
+    t0 = (c0 > 0).astype(np.int64) if totals is None else seat(rng, c0, np.full(len(c0), (rates.theta0 + rates.d0 * totals.root[1]) * base), rates.d0)
+    replies, x = [], 0
+    for i, m in zip(at, messages):
+        own = dish[x : x + len(m[5])]
+        x += len(m[5])
+        replies.append(_zip(c0[i], t0[i], n[i], c2[own], t2[own]))
+    near = np.sum([m[8] for m in messages], axis=0)
+    some = [c0.sum(), t0.sum(), (c0 == 1).sum(), (c0 == 2).sum(), near[0] + (c2 == 1).sum(), near[1] + (c2 == 2).sum(), (n > 0).sum(), n.sum()]
+    return replies, np.concatenate([some, np.bincount(f, c2, minlength=n_hot), np.bincount(f, t2, minlength=n_hot)]).astype(np.int64)
 
 
 def _discount(one: float, two: float) -> float:
@@ -392,7 +483,9 @@ def _discount(one: float, two: float) -> float:
 
 class Model(NamedTuple):
     table: DataFrame  # the ranges
-    history: list  # totals after seating one table for each dish, and after each sweep
+    states: list  # (bucket, state) after seating one table for each dish, and after each sweep
+    totals: list  # of the same
+    hot: Hot
     rates: Rates
     words: int  # distinct words (V)
     tokens: int  # training tokens (N)
@@ -400,173 +493,138 @@ class Model(NamedTuple):
     seed: int
     bits: int
     parts: int
-    refs: DataFrame  # (bucket, refs): the tokens of the ranges by row
-
-
-def _known(history: list, blobs) -> list:
-    """``history`` with the totals of one range's restaurants in place of those in the tables."""
-    out = []
-    for totals, blob in zip(history, blobs):
-        _, c, t = exchange.unpack(blob.as_py())
-        out.append(totals._replace(customers=c, tables=t))
-    return out
-
-
-def _small(history: list) -> list:
-    return [t._replace(customers=None, tables=None) for t in history]
 
+    def samples(self) -> list[int]:
+        last = len(self.states) - 1
+        return [k for k in range(len(self.states)) if k > self.burn_in or k == last]
 
-def _with_totals(table: DataFrame, history: list) -> DataFrame:
-    for totals in history:
-        table = table.join(totals.customers.table.hint("merge"), "bucket")
-    return table
 
-
-def fit(docs: DataFrame, sweeps: int = 3, burn_in: int = 1, frequent: float = 1 / 2048, theta: float = 1.0, seed: int = 5) -> Model:
-    """``docs``: (row, text, train). Runs the sweeps; the model's table has all tokens."""
+def fit(docs: DataFrame, sweeps: int = 3, burn_in: int = 1, frequent: float | None = None, theta: float = 1.0, seed: int = 5) -> Model:
+    """``docs``: (row, text, train) and perhaps doc_id. Runs the sweeps; the model's table has all
+    tokens. ``frequent`` is by default a quarter of a range's share, 1/2048 at least."""
     spark = docs.sparkSession
-    parts, bits = exchange.plan_partitions(docs, "text", PARTITION_BYTES)
-    words = _frequent(docs, frequent)
-    raw = _ranges(docs, words, parts, bits)
-    piece_bits = (parts - 1).bit_length()
-    table, n_frequent = _numbered_ranges(raw, parts, piece_bits), len(words)
+    if "doc_id" not in docs.columns:
+        docs = docs.withColumn("doc_id", F.col("row").cast("long"))
+    parts, _ = exchange.plan_partitions(docs, "text")
+    bits = (4 * parts - 1).bit_length()
+    hot = _frequent(docs, frequent or max(1 / 2048, 0.25 / (1 << bits)), 1 << bits)
+    table, piece_bits, n_hot = _ranges(docs, hot, parts, bits), (parts - 1).bit_length(), len(hot.hashes)
+    ranges = table.where(F.col("bucket") < 1 << bits).select("bucket", "pairs")
 
-    def collect(history, rates, base):
-        sent = spark.sparkContext.broadcast((_small(history), rates, base))
+    def seated(number: int, last: DataFrame | None, totals: Totals | None, rates: Rates, base: float):
+        sent = spark.sparkContext.broadcast((hot, totals, rates, base))  # bounded: frequent words
 
         def send(batches):
-            out = 0.0
-            history, rates, base = sent.value
+            hot, totals, rates, base = sent.value
             for batch in batches:
                 for i, bucket in enumerate(batch.column(0).to_pylist()):
-                    r = _Range(bucket, batch.column(1)[i].as_py(), seed)
-                    ids = r.local()
-                    for number, totals in enumerate(_known(history, [batch.column(2 + k)[i] for k in range(len(history))])):
+                    r = Range(bucket, batch.column(1)[i].as_py(), hot, seed, batch.column(2)[i].as_py() if totals else None)
+                    if totals:
                         r.sweep(number, totals, rates, base)
-                    out = out + r.sums(n_frequent)
-                    order, piece, key, cuts = _pieces(piece_bits, ids)
-                    c, t = (x[order] for x in r.totals(len(ids)))
-                    yield _rows([(int(piece[a]), bucket, exchange.pack(key[a:b], c[a:b], t[a:b])) for a, b in cuts], _UP)
-            if not np.isscalar(out):
-                yield _rows([(-1, -1, out.tobytes())], _UP)
+                    out = [(piece, bucket, blob) for piece, blob in r.messages(piece_bits)]
+                    # the range's own seating goes along to where the answers are kept
+                    yield _rows(_SENT, out + [((1 << piece_bits) + bucket, bucket, _zip(r.t3, r.t2[r.near]))])
             exchange.release_memory()
 
         def reply(batches):
+            hot, totals, rates, base = sent.value
             for piece, (origins, blobs) in _groups(batches):
-                if piece < 0:
-                    yield _rows([(-1, -1, sum(np.frombuffer(b) for b in blobs).tobytes())], _DOWN)
+                if piece >= 1 << piece_bits:
+                    yield _rows(_BACK, [(origins[0], -1, blobs[0])])
                     continue
-                parts_ = [exchange.unpack(b) for b in blobs]
-                n = 1 + max(int(x[0][-1]) for x in parts_)
-                c, t = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                for key, c_, t_ in parts_:
-                    c[key] += c_  # a range names a restaurant once
-                    t[key] += t_
-                for o, (key, _, _) in zip(origins, parts_):
-                    yield _rows([(o, piece, exchange.pack(key, c[key], t[key]))], _DOWN)
+                replies, sums = _answer([_unzip(b) for b in blobs], np.random.default_rng([seed, number, piece, 1]), totals, rates, base, len(hot.hashes))
+                yield _rows(_BACK, [(o, piece, b) for o, b in zip(origins, replies)] + [(-1, piece, _zip(sums))])
             exchange.release_memory()
 
         def receive(batches):
-            for bucket, (pieces, blobs) in _groups(batches):
+            for bucket, (_, blobs) in _groups(batches):
                 if bucket < 0:
-                    yield _rows([(-1, blobs[0])], ["bucket", name])
+                    yield _rows(_STATE, [(-1, _zip(np.sum([_unzip(b)[0] for b in blobs], axis=0)))])
                     continue
-                some = [exchange.unpack(b) for b in blobs]
-                ids = np.concatenate([(x[0].astype(np.int64) << piece_bits) | p for p, x in zip(pieces, some)])
-                order = np.argsort(ids)
-                c, t = (np.concatenate([x[k] for x in some])[order] for k in (1, 2))
-                yield _rows([(bucket, exchange.pack(ids[order].astype(_U), c, t))], ["bucket", name])
+                own, *answers = (_unzip(b) for b in blobs)
+                yield _rows(_STATE, [(bucket, _zip(*own, *(np.concatenate(x) for x in zip(*answers))))])
             exchange.release_memory()
 
-        name = f"totals{len(history)}"
-        kept = _round(_with_totals(table, history), send, reply, receive, parts, name)
+        source = ranges if last is None else ranges.join(last.hint("merge"), "bucket")
+        up = source.mapInArrow(send, _ddl(_SENT)).repartition(parts, "piece").sortWithinPartitions("piece", "origin")
+        down = up.mapInArrow(reply, _ddl(_BACK)).repartition(parts, "bucket").sortWithinPartitions("bucket", "piece")
+        kept = _keep(down.mapInArrow(receive, _ddl(_STATE)), parts)
         sent.unpersist()
         row = kept.where("bucket = -1").first()
-        return kept, name, np.frombuffer(row[1]) if row else np.zeros(2 + 2 * n_frequent + 6)
+        sums = _unzip(row.state)[0].astype(float) if row else np.zeros(8 + 2 * n_hot)
+        return kept.where("bucket >= 0"), sums
 
-    history: list[Totals] = []
-    rates, base, n_words, n_tokens, size = Rates(0.5, theta, 0.5, theta), 1.0, 0, 0, 0
+    states, totals = [], []
+    rates, base, n_words, n_tokens = Rates(0.5, theta, 0.5, theta), 1.0, 0, 0
     for number in range(sweeps + 1):
-        kept, name, s = collect(history, rates, base)
-        (c0, t0), split, some = s[:2], s[2:-6].reshape(2, -1), s[-6:]
+        kept, s = seated(number, states[-1] if number else None, totals[-1] if number else None, rates, base)
         if not number:
-            n_words, n_tokens = int(some[0] + (split[0] > 0).sum()), int(some[5])
+            n_words, n_tokens = int(s[6]), int(s[7])
             base = 1.0 / (n_words + 1)
-            rates = Rates(_discount(some[1], some[2]), theta, _discount(some[3], some[4]), theta)
-            own = (split[1] > 0).astype(np.int64)
-            size = _highest(kept) + 1
-        else:
-            rng = np.random.default_rng([seed, number, 1 << 40])
-            before = history[-1]
-            own = seat(rng, split[1].astype(np.int64), np.full(n_frequent, (rates.theta0 + rates.d0 * before.root[1]) * base), rates.d0)
-        spread = [Spread(kept, name, k, size) for k in (1, 2)]
-        history.append(Totals(*spread, (float(c0 + split[1].sum()), float(t0 + own.sum())), np.stack([split[0], split[1], own])))
-    return Model(table, history, rates, n_words, n_tokens, burn_in, seed, bits, parts, raw.select("bucket", "refs"))
-
-
-def _highest(kept: DataFrame) -> int:
-    """The highest number of a restaurant."""
-
-    def top(batches):
-        for batch in batches:
-            yield pa.record_batch([pa.array([int(exchange.unpack(b.as_py())[0][-1]) for b in batch.column(1)], pa.int64())], names=["top"])
-
-    return kept.where("bucket >= 0").mapInArrow(top, "top long").agg(F.max("top")).first()[0] or 0
+            rates = Rates(_discount(s[4], s[5]), theta, _discount(s[2], s[3]), theta)
+        states.append(kept)
+        totals.append(Totals((s[0], s[1]), s[8:].reshape(2, n_hot)))
+    return Model(table, states, totals, hot, rates, n_words, n_tokens, burn_in, seed, bits, parts)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, n_known, base_score, score) of every row of ``docs`` (row, text, train)."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model._replace(table=None, refs=None, history=_small(model.history)))
-    back = (2 * model.parts - 1).bit_length()
+    """(row, doc_id, n_tokens, n_known, base_score, score) of every row of ``docs``, the table that
+    the model was fitted on."""
+    spark, picked = docs.sparkSession, model.samples()
+    sent = spark.sparkContext.broadcast((model._replace(table=None, states=None, totals=None), [model.totals[k] for k in picked]))
+    out_ddl = "run long, kind int, blob binary"
+    schema = pa.schema([("run", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())])
 
     def run(batches):
-        m = sent.value
+        m, history = sent.value
         base, floor = 1.0 / (m.words + 1), m.tokens + 0.5 * (m.words + 1)
         held = []
         for batch in batches:
             for i, bucket in enumerate(batch.column(0).to_pylist()):
-                r = _Range(bucket, batch.column(1)[i].as_py(), m.seed)
-                r.local()
-                history = _known(m.history, [batch.column(3 + k)[i] for k in range(len(m.history))])
-                p, samples = np.zeros(len(r.count3)), 0
-                for number, totals in enumerate(history[:-1]):
-                    r.sweep(number, totals, m.rates, base)
-                    if number >= m.burn_in or number == len(m.history) - 2:
-                        p += r.predictive(history[number + 1], m.rates, base)
-                        samples += 1
-                if not samples:
-                    p, samples = r.predictive(history[0], m.rates, base), 1
-                total = r.total.astype(float)
-                own = r.wf >= 0
-                total[own] = m.history[0].frequent[0][r.wf[own]]
-                count = total[r.word[r.dish]]
-                log_p, log_b = np.log10(p / samples), np.log10((count + 0.5) / floor)
-                pair, ref, many = exchange.unpack(batch.column(2)[i].as_py())
-                pair, row = pair.astype(np.int64) - 1, ref >> 1
-                rows, at = np.unique(row, return_inverse=True)
-                held.append((rows, np.bincount(at, many * (count[pair] > 0)).astype(np.int64), np.bincount(at, many * log_b[pair]), np.bincount(at, many * log_p[pair])))
+                p = 0.0
+                for k, totals in enumerate(history):
+                    r = Range(bucket, batch.column(1)[i].as_py(), m.hot, m.seed, batch.column(3 + k)[i].as_py())
+                    p = p + r.after_two(totals, m.rates, base)
+                n = r.n[r.word[r.dish]]
+                log_p, log_b = np.log10(p / len(history)), np.log10((n + 0.5) / floor)
+                runs, size, entry, doc, many = _unzip(batch.column(2)[i].as_py())
+                begin = np.cumsum(size) - size
+                for a, s, x in zip(begin, size, runs):  # entries count up within a run
+                    entry[a : a + s] = np.cumsum(entry[a : a + s])
+                held.append(_sums([(np.repeat(runs, size), doc, many * (n[entry] > 0), many * log_b[entry], many * log_p[entry])]))
         if held:
-            rows, known, b, s = (np.concatenate(x) for x in zip(*held))
-            ids, at = np.unique(rows, return_inverse=True)
-            known, b, s = (np.bincount(at, x) for x in (known, b, s))
-            bucket = (mix(ids.astype(_U)) >> _U(64 - back)).astype(np.int64)
-            order = np.lexsort((ids, bucket))
-            ids, bucket, known, b, s = ids[order], bucket[order], known[order].astype(np.int64), b[order], s[order]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            out = [(int(bucket[x]), exchange.pack(ids[x:y].astype(_U), known[x:y], b[x:y].view(np.int64), s[x:y].view(np.int64))) for x, y in zip([0, *cuts], [*cuts, len(ids)])]
-            yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], schema=exchange.BLOB_SCHEMA)
+            runs, doc, known, b, s = _sums(held)
+            cuts = np.append(np.flatnonzero(_changes(runs)), len(runs))
+            yield _rows(schema, [(int(runs[x]), 1, _zip(doc[x:y], known[x:y], b[x:y], s[x:y])) for x, y in zip(cuts[:-1], cuts[1:])])
         exchange.release_memory()
 
     def add(batches):
-        for _, blobs in exchange.by_bucket(batches):
-            rows, known, b, s = exchange.gather(blobs)
-            ids, at = np.unique(rows, return_inverse=True)
-            cols = [np.bincount(at, known).astype(np.int64), np.bincount(at, b.view(np.float64)), np.bincount(at, s.view(np.float64))]
-            yield pa.record_batch([pa.array(ids.view(np.int64)), *map(pa.array, cols)], names=["row", "n_known", "base_score", "score"])
+        for _, (kinds, blobs) in _groups(batches):
+            row, ids, null, tokens = _unzip(blobs[0])
+            known, b, s = np.zeros(len(row), np.int64), np.zeros(len(row)), np.zeros(len(row))
+            for blob in blobs[1:]:
+                doc, known_, b_, s_ = _unzip(blob)
+                known[doc] += known_
+                b[doc] += b_.view(np.float64)
+                s[doc] += s_.view(np.float64)
+            yield pa.record_batch([pa.array(row), pa.array(ids, mask=null.astype(bool)), *map(pa.array, (tokens, known, b, s))], names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score"])
+        exchange.release_memory()
 
-    sums = _with_totals(model.table.join(model.refs.hint("merge"), "bucket"), model.history).mapInArrow(run, exchange.BLOB_DDL)
-    return exchange.deal(sums, model.parts).mapInArrow(add, "row long, n_known long, base_score double, score double")
+    table = model.table.where(F.col("bucket") < 1 << model.bits).select("bucket", "pairs", "refs")
+    for k in picked:
+        table = table.join(model.states[k].withColumnRenamed("state", f"state{k}").hint("merge"), "bucket")
+    meta = model.table.where(F.col("bucket") >= 1 << model.bits).select("run", F.lit(0).alias("kind"), F.col("pairs").alias("blob"))
+    both = meta.union(table.mapInArrow(run, out_ddl)).repartition(model.parts, "run").sortWithinPartitions("run", "kind")
+    return both.mapInArrow(add, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double")
+
+
+def _sums(parts: list) -> tuple:
+    """(run, doc, known, base, score) added up by run and doc."""
+    runs, doc, *values = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((doc, runs))
+    runs, doc = runs[order], doc[order]
+    at = np.flatnonzero(_changes(runs, doc))
+    return runs[at], doc[at], *(np.add.reduceat(x[order], at) if len(at) else x for x in values)
 
 
 def held_out(id_col: str, parts: int = 5, part: int = 1) -> Column:
@@ -574,29 +632,12 @@ def held_out(id_col: str, parts: int = 5, part: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text, held_out, train), written once: row ids follow the file splits of one
-    scan, and another scan may be split otherwise, so every pass reads them from this table."""
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    slim = slim.withColumn("held_out", held_out("doc_id")).withColumn("train", ~F.col("held_out"))
-    path = scratch_path(docs.sparkSession, "pitman_yor_docs")
-    slim.write.parquet(path)
-    return docs.sparkSession.read.schema(slim.schema).parquet(path)
-
-
 def digest(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    slim = _numbered(docs)
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    slim = slim.withColumn("train", ~held_out("doc_id"))
     model = fit(slim, **options)
-
-    def count(batches):
-        for batch in batches:
-            for a, b, w in slices(batch.column(3)):
-                some = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*some.columns[:3], pa.array(w.count + 1)], names=["row", "doc_id", "held_out", "n_tokens"])
-
-    counted = slim.select("row", "doc_id", "held_out", "text").mapInArrow(count, "row long, doc_id long, held_out boolean, n_tokens long")
-    out = counted.join(score(slim, model), "row")
+    out = score(slim, model).withColumn("held_out", held_out("doc_id"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

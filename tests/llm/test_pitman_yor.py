@@ -53,27 +53,42 @@ def test_held_out_perplexity_beats_the_base(scored):
     assert held.perplexity < 0.5 * held.base_perplexity
 
 
-def test_probabilities_sum_to_one(spark, scored):
+def ranges(m, k):
+    """The ranges of a model in its k-th seating."""
+    states = {r.bucket: r.state for r in m.states[k].collect()}
+    rows = m.table.where(F.col("bucket") < 1 << m.bits).select("bucket", "pairs").collect()
+    return [py.Range(r.bucket, r.pairs, m.hot, m.seed, states[r.bucket]) for r in rows]
+
+
+@pytest.mark.parametrize("frequent", [1 / 64, 0.9])
+def test_probabilities_sum_to_one(spark, scored, frequent):
     docs = scored[1].select(F.monotonically_increasing_id().alias("row"), "text", F.lit(True).alias("train"))
-    m = py.fit(docs, frequent=1 / 64)
+    m = py.fit(docs, frequent=frequent)
+    assert (len(m.hot.hashes) > 5) == (frequent < 0.1)
     base = 1 / (m.words + 1)
-    ranges = [py._Range(r.bucket, r.pairs, m.seed) for r in m.table.collect()]
-    totals = m.history[0]
-    for number, after in enumerate(m.history[1:]):
-        for r in ranges:
-            r.sweep(number, totals, m.rates, base)
-        totals = after
-        root, shares = 0.0, np.zeros(len(after.customers))
-        for r in ranges:
-            p = r.root(after, m.rates, base)
-            root += p[(r.wf < 0) & (r.total > 0)].sum()
-            shares += np.bincount(r.u, r.count - m.rates.d * r.tables, minlength=len(shares))
-        c, t = after.frequent[1], after.frequent[2]
-        new = (m.rates.theta0 + m.rates.d0 * after.root[1]) * base
-        root += ((c - m.rates.d0 * t + new) / (m.rates.theta0 + after.root[0]))[after.frequent[0] > 0].sum()
-        root += new / (m.rates.theta0 + after.root[0])  # the unknown word
-        assert abs(root - 1) < 1e-9
-        assert np.allclose(shares + m.rates.theta + m.rates.d * after.tables, m.rates.theta + after.customers)
+    for k, totals in enumerate(m.totals):
+        root, one, rest, strength = {}, Counter(), Counter(), {}
+        for r in ranges(m, k):
+            p0 = py.root_probability(r.c0, r.t0, totals, m.rates, base)
+            for w, p in zip(r.words[r.after].tolist(), p0):
+                assert root.setdefault(w, p) == p
+            p2, (_, c, t) = r.after_one(totals, m.rates, base), r._above(totals, m.rates, base)
+            p3 = r.after_two(totals, m.rates, base)
+            for d in range(len(r.dv)):
+                v, w = int(r.words[r.dv[d]]), int(r.words[r.dw[d]])
+                if (v, w) not in one:  # a frequent word's dishes are told to every range that has them
+                    one[v, w] = p2[d]
+                    rest[v] += p0[r.word[d]]
+                strength.setdefault(v, ((m.rates.theta + m.rates.d * t[d]) / (m.rates.theta + c[d])))
+            c3, t3 = np.bincount(r.pair, r.count), np.bincount(r.pair, r.t3)
+            back = (m.rates.theta + m.rates.d * t3) / (m.rates.theta + c3)
+            assert np.allclose(np.bincount(r.pair, p3) + back * (1 - np.bincount(r.pair, p2[r.dish])), 1)
+        new = (m.rates.theta0 + m.rates.d0 * totals.root[1]) * base / (m.rates.theta0 + totals.root[0])
+        assert len(root) == m.words and abs(sum(root.values()) + new - 1) < 1e-9  # with the unknown word
+        total = Counter()
+        for (v, _), p in one.items():
+            total[v] += p
+        assert all(abs(total[v] + s * (1 - rest[v]) - 1) < 1e-9 for v, s in strength.items())
 
 
 def test_seating_has_the_mean_of_one_by_one_seating():
@@ -129,8 +144,22 @@ def test_contexts_are_the_words_before_and_grow_with_the_texts(spark):
     got = {r.row: r.score for r in py.score(train, model).where("row >= 1000").collect()}
     assert got[1000] > got[1001] + 1
     seen = {k: {tuple(w[max(i - k, 0) : i]) for w in (t.split() for _, t in rows) for i in range(len(w) + 1)} for k in (1, 2)}
-    customers = np.asarray(model.history[0].customers)
-    assert (customers > 0).sum() == len(seen[1]) + len(seen[2]) and np.sort(customers)[-1] <= len(rows) + 60
+    pairs, singles = [], Counter()
+    for r in ranges(model, 0):
+        pairs += np.bincount(r.pair, r.count).tolist()
+        for v, c in zip(r.words[r.dv].tolist(), np.bincount(r.dish, r.t3).tolist()):
+            singles[v] += c
+    pairs, singles = [c for c in pairs if c], [c for c in singles.values() if c]
+    assert (len(singles), len(pairs)) == (len(seen[1]), len(seen[2])) and max(pairs + singles) <= len(rows) + 60
+
+
+def test_a_long_text_and_a_hot_word_and_pair(spark):
+    rows = [(i, "the the the end " * 40 + f"x{i}") for i in range(50)] + [(60, "the " * 300_000 + "a b c"), (61, "q" * 500_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).checkpoint()
+    got = {r.doc_id: r for r in py.digest(docs, sweeps=1).collect()}
+    assert len(got) == len(rows) and got[60].n_tokens == 300_004 and got[61].n_tokens == 2
+    assert all(np.isfinite(r.score) and r.score < 0 for r in got.values()) and got[60].score > got[60].base_score
+    assert sum(got[i].score for i in range(50)) > 0.3 * sum(got[i].base_score for i in range(50))
 
 
 def test_what_follows_depends_on_two_words(spark):
