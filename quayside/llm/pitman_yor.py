@@ -15,8 +15,9 @@ the parents seat their customers likewise. Words and pairs have one discount, th
 Probabilities of a text are averaged over the samples after ``burn_in`` sweeps; ``perplexity``
 sums them up.
 
-Plan: a map task packs runs of documents into blobs: a dictionary of word hashes, and the distinct
-(word before, two before, word) with counts and places as indices into it. One shuffle takes them
+Plan: a map task packs runs of documents into blobs: a dictionary of word hashes (common words
+by place in a list of bounded size), and the distinct (word before, two before, word) with counts
+and places as indices into it. One shuffle takes them
 to ranges of the hash of the word before, kept as a table bucketed by range. So the restaurants of
 a word and of all pairs that end in it, with all their customers, are in one range and seated
 there. Only what meets in the root leaves it: per sweep a range sends the root customers of its
@@ -51,6 +52,7 @@ from quayside.llm.words import Words, mix, slices
 from quayside.session import checkpoint_root, fresh_name, scratch_path
 
 RUN_TOKENS = 1_500_000  # tokens that a map task sorts at a time
+COMMON = 1 / 32768  # share of the tokens from which a word is named by its place in a shared list
 _U = np.uint64
 END = int(mix(np.array([0xE0D], _U))[0])  # the hash that stands for the end of a text
 START = int(mix(np.array([0x57A7], _U))[0])  # and for the places before its first word
@@ -71,17 +73,32 @@ class Totals(NamedTuple):
 
 
 class Hot(NamedTuple):
-    """Frequent words before: sorted hashes, and the ranges that each is dealt to."""
+    """Frequent words before: sorted hashes, and the ranges that each is dealt to; ``common``: hashes
+    of common words, which dictionaries name by place."""
 
     hashes: np.ndarray
     splits: np.ndarray
+    common: np.ndarray
 
     def of(self, h: np.ndarray) -> np.ndarray:
         """Index of each hash, or -1."""
         if not len(self.hashes):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
+        return _places(self.hashes, h)
+
+    def listed(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes, as two columns to zip."""
+        at = _places(self.common, words)
+        return _steps(at[at >= 0]), _steps(words[at < 0])
+
+    def words(self, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        return np.sort(np.concatenate([self.common[np.cumsum(at)], _hashes(rest)]))
+
+
+def _places(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Index of each hash among sorted ones, or -1."""
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return np.where(known[at] == h, at, -1)
 
 
 def seat(rng, count: np.ndarray, a: np.ndarray, d: float) -> np.ndarray:
@@ -107,28 +124,35 @@ def seat(rng, count: np.ndarray, a: np.ndarray, d: float) -> np.ndarray:
 
 
 def _zip(*columns: np.ndarray) -> bytes:
-    """Columns of any lengths, 8-byte values as byte planes, compressed."""
-    head, body = [len(columns)], []
+    """Columns of any lengths, 8-byte values as byte planes, each compressed by itself."""
+    head, sizes, body = [len(columns)], [], []
     for x in columns:
         x = x.view(_U) if x.dtype.itemsize == 8 else x.astype(np.int64).view(_U)
         low, top = (int(x.min()), int(x.max())) if len(x) else (0, 0)
         width = ((top - low).bit_length() + 7) // 8
         head += [len(x), low, width]
-        body.append(np.ascontiguousarray((x - _U(low)).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
-    raw = np.array(head, _U).tobytes() + b"".join(body)
-    return np.array([len(raw)], _U).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+        for plane in np.ascontiguousarray((x - _U(low)).view(np.uint8).reshape(-1, 8)[:, :width].T):
+            raw = plane.tobytes()
+            small = pa.compress(raw, codec="zstd", asbytes=True) if len(raw) > 64 else raw
+            body.append(small if len(small) < len(raw) else raw)
+            sizes.append(len(body[-1]))
+    return np.array(head, _U).tobytes() + np.array(sizes, np.uint32).tobytes() + b"".join(body)
 
 
 def _unzip(blob: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(blob[8:], int(np.frombuffer(blob, _U, 1)[0]), codec="zstd", asbytes=True)
-    k = int(np.frombuffer(raw, _U, 1)[0])
-    head = np.frombuffer(raw, _U, 1 + 3 * k)
-    at, out = 8 * len(head), []
+    buf = memoryview(blob)
+    k = int(np.frombuffer(buf, _U, 1)[0])
+    head = np.frombuffer(buf, _U, 1 + 3 * k)
+    sizes = iter(np.frombuffer(buf, np.uint32, int(head[3::3].sum()), 8 * len(head)).tolist())
+    at, out = 8 * len(head) + 4 * int(head[3::3].sum()), []
     for n, low, width in head[1:].reshape(-1, 3):
-        n, width = int(n), int(width)
+        n = int(n)
         x = np.zeros((n, 8), np.uint8)
-        x[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
-        at += n * width
+        for i in range(int(width)):
+            size = next(sizes)
+            plane = buf[at : at + size]
+            x[:, i] = np.frombuffer(plane if size == n else pa.decompress(plane, n, codec="zstd"), np.uint8)
+            at += size
         out.append((x.reshape(-1).view(_U) + low).view(np.int64))
     return out
 
@@ -153,11 +177,15 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _order(n: int, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Stable order by (v, u, w), indices below n."""
-    if n < 1 << 21:
-        return np.argsort((v * n + u) * n + w, kind="stable")
-    return np.lexsort((w, u, v))
+def _order(n: int, *columns: np.ndarray) -> np.ndarray:
+    """Stable order by columns of indices below n: 16 bits at a time, which numpy sorts by radix."""
+    order = None
+    for x in reversed(columns):
+        for shift in range(0, max(n - 1, 1).bit_length(), 16):
+            digit = ((x if order is None else x[order]) >> shift).astype(np.uint16)
+            turn = np.argsort(digit, kind="stable")
+            order = turn if order is None else order[turn]
+    return order
 
 
 def _groups(batches):
@@ -228,9 +256,10 @@ def _tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return h, doc
 
 
-def _frequent(docs: DataFrame, share: float, buckets: int) -> Hot:
-    """Words that make up ``share`` of the tokens of some run of documents and half of that
-    overall; at most 2 / share. They only decide what is split."""
+def _frequent(docs: DataFrame, hot: float, buckets: int, share: float = COMMON) -> Hot:
+    """Words that make up ``hot`` of the tokens, and common ones: ``share`` of some run of
+    documents and half of that overall, at most 2 / share. They only decide what is split and how
+    dictionaries are written."""
 
     def run(batches):
         counts = []
@@ -252,8 +281,10 @@ def _frequent(docs: DataFrame, share: float, buckets: int) -> Hot:
     tokens = found.where("all").agg(F.sum("n")).first()[0] or 0
     rows = found.where(~F.col("all") & (F.col("n") >= share * tokens / 2)).select("h", "n").collect()  # at most 2 / share
     h, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
-    order = np.argsort(h.view(_U))
-    return Hot(h.view(_U)[order], np.maximum(2, np.ceil(2 * n[order] / max(tokens, 1) * buckets)).astype(np.int64))
+    h, order = np.sort(h.view(_U)), np.argsort(h.view(_U))
+    n = n[order]
+    often = n >= hot * tokens
+    return Hot(h[often], np.maximum(2, np.ceil(2 * n[often] / max(tokens, 1) * buckets)).astype(np.int64), np.unique(np.append(h, _U(END))))
 
 
 def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
@@ -286,9 +317,10 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             if len(some):
                 place = (mix(words[u[some]]) % hot.splits[f[some]].astype(_U)) + _U(1)
                 bucket[some] = (mix(words[v[some]] ^ mix(place)) >> shift).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                order = _order(1 << bits, bucket)
                 v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
-            entry, ref = _changes(v, u, w), _changes(v, u, w, doc)
+            entry = _changes(v, u, w)
+            ref = entry | _changes(doc)
             at, refs = np.flatnonzero(entry), np.flatnonzero(ref)
             many = np.diff(np.append(refs, len(v)))
             of = np.cumsum(entry)[refs] - 1
@@ -304,7 +336,7 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
                 own = np.flatnonzero(mark)
                 index[own] = np.arange(len(own))
                 x, y = ends[a] - places[a], ends[b - 1]
-                yield (int(bucket[a]), run, _zip(_steps(words[own]), index[v[a:b]], index[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
+                yield (int(bucket[a]), run, _zip(*hot.listed(words[own]), index[v[a:b]], index[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
 
         for batch in batches:
             row, ids = batch.column(0).to_numpy(), batch.column(1)
@@ -329,25 +361,25 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
                 yield _rows(_RANGES, [(bucket, run, blob, None) for run, blob in zip(runs, blobs)])
                 continue
             parts_ = [_unzip(b) for b in blobs]
-            dictionaries = [_hashes(p[0]) for p in parts_]
+            dictionaries = [hot.words(*p[:2]) for p in parts_]
             words = np.unique(np.concatenate(dictionaries))
             at = [np.searchsorted(words, d) for d in dictionaries]
-            v, u, w = (np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in (1, 2, 3))
-            count = np.concatenate([p[4] for p in parts_])
+            v, u, w = (np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in (2, 3, 4))
+            count = np.concatenate([p[5] for p in parts_])
             order = _order(len(words), v, u, w)
             v, u, w = v[order], u[order], w[order]
             new = _changes(v, u, w)
             entry = np.empty(len(order), np.int64)
             entry[order] = np.cumsum(new) - 1
             count = np.bincount(entry, count).astype(np.int64)
-            pairs = _zip(_steps(words), _steps(v[new]), u[new], w[new], count)
+            pairs = _zip(*hot.listed(words), _steps(v[new]), u[new], w[new], count)
             size, refs, base = [], [], 0
             for p in parts_:
-                e = entry[base : base + len(p[1])]
-                base += len(p[1])
-                refs.append(_steps(np.repeat(e, p[5])))
+                e = entry[base : base + len(p[2])]
+                base += len(p[2])
+                refs.append(_steps(np.repeat(e, p[6])))
                 size.append(len(refs[-1]))
-            refs = _zip(np.array(runs, np.int64), np.array(size), np.concatenate(refs), np.concatenate([p[6] for p in parts_]), np.concatenate([p[7] for p in parts_]))
+            refs = _zip(np.array(runs, np.int64), np.array(size), np.concatenate(refs), np.concatenate([p[7] for p in parts_]), np.concatenate([p[8] for p in parts_]))
             yield _rows(_RANGES, [(bucket, None, pairs, refs)])
         exchange.release_memory()
 
@@ -364,19 +396,27 @@ class Range:
     frequent words, in the order of ``far``."""
 
     def __init__(self, bucket: int, pairs: bytes, hot: Hot, seed: int, state: bytes | None = None):
-        steps, v, u, w, self.count = _unzip(pairs)
-        self.bucket, self.seed, self.words = bucket, seed, _hashes(steps)
+        common, rest, v, u, w, self.count = _unzip(pairs)
+        self.bucket, self.seed, self.words = bucket, seed, hot.words(common, rest)
         n = len(self.words)
         v = np.cumsum(v)
         self.pair = np.cumsum(_changes(v, u)) - 1
-        dishes, self.dish = np.unique(v * n + w, return_inverse=True)
-        self.dv, self.dw = dishes // n, dishes % n
-        self.after, self.word = np.unique(self.dw, return_inverse=True)  # of each dish
+        order = _order(n, v, w)
+        first = _changes(v[order], w[order])
+        self.dish = np.empty(len(v), np.int64)
+        self.dish[order] = np.cumsum(first) - 1
+        self.dv, self.dw = v[order[first]], w[order[first]]
+        follows = np.bincount(self.dw, minlength=n) > 0
+        self.after, self.word = np.flatnonzero(follows), (np.cumsum(follows) - 1)[self.dw]  # of each dish
         self.f = hot.of(self.words)[self.dv]
         far = np.flatnonzero(self.f >= 0)
         self.far = far[np.lexsort((self.f[far], self.word[far]))]
         self.near = np.flatnonzero(self.f < 0)
         self.total = np.bincount(self.word[self.dish], self.count, minlength=len(self.after)).astype(np.int64)
+        self.take(state)
+
+    def take(self, state: bytes | None) -> None:
+        """Takes a kept seating; None: one table for each dish."""
         if state is None:
             self.t3 = (self.count > 0).astype(np.int64)
         else:
@@ -581,9 +621,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         held = []
         for batch in batches:
             for i, bucket in enumerate(batch.column(0).to_pylist()):
-                p = 0.0
+                p, r = 0.0, Range(bucket, batch.column(1)[i].as_py(), m.hot, m.seed)
                 for k, totals in enumerate(history):
-                    r = Range(bucket, batch.column(1)[i].as_py(), m.hot, m.seed, batch.column(3 + k)[i].as_py())
+                    r.take(batch.column(3 + k)[i].as_py())
                     p = p + r.after_two(totals, m.rates, base)
                 n = r.n[r.word[r.dish]]
                 log_p, log_b = np.log10(p / len(history)), np.log10((n + 0.5) / floor)

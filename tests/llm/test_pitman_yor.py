@@ -159,7 +159,8 @@ def test_a_long_text_and_a_hot_word_and_pair(spark):
     got = {r.doc_id: r for r in py.digest(docs, sweeps=1).collect()}
     assert len(got) == len(rows) and got[60].n_tokens == 300_004 and got[61].n_tokens == 2
     assert all(np.isfinite(r.score) and r.score < 0 for r in got.values()) and got[60].score > got[60].base_score
-    assert sum(got[i].score for i in range(50)) > 0.3 * sum(got[i].base_score for i in range(50))
+    # after "the the" the long text's "the" is likelier than "end" by 150 to 1
+    assert sum(got[i].score for i in range(50)) > sum(got[i].base_score for i in range(50))
 
 
 def test_what_follows_depends_on_two_words(spark):
