@@ -31,7 +31,7 @@ the texts goes through the driver. One pair of words is not split: its range hol
 for each document and word that has it.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. Words are told apart by
-64-bit hashes. Defined results: a null or empty text has the end only; rows with a null id are
+64-bit hashes (the first word of a pair by 40 of these bits, among the pairs with one second word). Defined results: a null or empty text has the end only; rows with a null id are
 training texts; repeated rows and ids are scored, and learned from, row by row; without training
 texts every token is unknown; an empty table gives no rows; extra columns are ignored. Texts are
 taken whole; one longer than a run is a run of its own. Row ids are taken from one scan.
@@ -52,6 +52,8 @@ from quayside.llm.words import Words, mix, slices
 from quayside.session import checkpoint_root, fresh_name, scratch_path
 
 RUN_TOKENS = 1_500_000  # tokens that a map task sorts at a time
+RANGE_BYTES = 4 << 20  # text whose tokens make up a range
+CUT = 24  # a pair's first word is told apart by the other bits of its hash, among those before one word
 COMMON = 1 / 32768  # share of the tokens from which a word is named by its place in a shared list
 _U = np.uint64
 END = int(mix(np.array([0xE0D], _U))[0])  # the hash that stands for the end of a text
@@ -86,13 +88,13 @@ class Hot(NamedTuple):
             return np.full(len(h), -1)
         return _places(self.hashes, h)
 
-    def listed(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes, as two columns to zip."""
-        at = _places(self.common, words)
+    def listed(self, words: np.ndarray, cut: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes, without their lowest ``cut`` bits, as two columns to zip."""
+        at = _places(self.common >> _U(cut), words)
         return _steps(at[at >= 0]), _steps(words[at < 0])
 
-    def words(self, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        return np.sort(np.concatenate([self.common[np.cumsum(at)], _hashes(rest)]))
+    def words(self, at: np.ndarray, rest: np.ndarray, cut: int = 0) -> np.ndarray:
+        return np.sort(np.concatenate([self.common[np.cumsum(at)] >> _U(cut), _hashes(rest)]))
 
 
 def _places(known: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -309,13 +311,15 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             v, u = np.empty_like(w), np.empty_like(w)
             v[1:], u[2:] = w[:-1], w[:-2]
             v[begins], u[begins], u[np.flatnonzero(begins)[np.flatnonzero(begins) + 1 < len(w)] + 1] = start, start, start
+            short, to = np.unique(words >> _U(CUT), return_inverse=True)
+            u = to[u]
             order = _order(len(words), v, u, w)
             v, u, w, doc = v[order], u[order], w[order], doc[order]
             bucket = (words >> shift).astype(np.int64)[v]
             f = hot.of(words)[v]
             some = np.flatnonzero(f >= 0)
             if len(some):
-                place = (mix(words[u[some]]) % hot.splits[f[some]].astype(_U)) + _U(1)
+                place = (mix(short[u[some]]) % hot.splits[f[some]].astype(_U)) + _U(1)
                 bucket[some] = (mix(words[v[some]] ^ mix(place)) >> shift).astype(np.int64)
                 order = _order(1 << bits, bucket)
                 v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
@@ -329,14 +333,14 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             v, u, w, bucket, doc = v[at], u[at], w[at], bucket[at], doc[refs]
             ends = np.cumsum(places)
             cuts = np.append(np.flatnonzero(_changes(bucket)), len(bucket))
-            index = np.zeros(len(words), np.int64)
+            index, index2 = np.zeros(len(words), np.int64), np.zeros(len(short), np.int64)
             for a, b in zip(cuts[:-1], cuts[1:]):
-                mark = np.zeros(len(words), bool)
-                mark[v[a:b]] = mark[u[a:b]] = mark[w[a:b]] = True
-                own = np.flatnonzero(mark)
-                index[own] = np.arange(len(own))
+                mark, mark2 = np.zeros(len(words), bool), np.zeros(len(short), bool)
+                mark[v[a:b]] = mark[w[a:b]] = mark2[u[a:b]] = True
+                own, own2 = np.flatnonzero(mark), np.flatnonzero(mark2)
+                index[own], index2[own2] = np.arange(len(own)), np.arange(len(own2))
                 x, y = ends[a] - places[a], ends[b - 1]
-                yield (int(bucket[a]), run, _zip(*hot.listed(words[own]), index[v[a:b]], index[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
+                yield (int(bucket[a]), run, _zip(*hot.listed(words[own]), *hot.listed(short[own2], CUT), index[v[a:b]], index2[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
 
         for batch in batches:
             row, ids = batch.column(0).to_numpy(), batch.column(1)
@@ -361,25 +365,35 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
                 yield _rows(_RANGES, [(bucket, run, blob, None) for run, blob in zip(runs, blobs)])
                 continue
             parts_ = [_unzip(b) for b in blobs]
-            dictionaries = [hot.words(*p[:2]) for p in parts_]
-            words = np.unique(np.concatenate(dictionaries))
-            at = [np.searchsorted(words, d) for d in dictionaries]
-            v, u, w = (np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in (2, 3, 4))
-            count = np.concatenate([p[5] for p in parts_])
-            order = _order(len(words), v, u, w)
+            size = 1
+
+            def joined(first: int, cut: int, *columns: int) -> list[np.ndarray]:
+                nonlocal words, size
+                known = [hot.words(p[first], p[first + 1], cut) for p in parts_]
+                words = np.unique(np.concatenate(known))
+                size = max(size, len(words))
+                at = [np.searchsorted(words, d) for d in known]
+                return [np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in columns]
+
+            words = None
+            (u,) = joined(2, CUT, 5)
+            v, w = joined(0, 0, 4, 6)
+            count = np.concatenate([p[7] for p in parts_])
+            order = _order(size, v, u, w)
             v, u, w = v[order], u[order], w[order]
             new = _changes(v, u, w)
             entry = np.empty(len(order), np.int64)
             entry[order] = np.cumsum(new) - 1
             count = np.bincount(entry, count).astype(np.int64)
-            pairs = _zip(*hot.listed(words), _steps(v[new]), u[new], w[new], count)
-            size, refs, base = [], [], 0
+            v, u, w = v[new], u[new], w[new]
+            pairs = _zip(*hot.listed(words), _steps(v), w, count, _changes(v, u))
+            sizes, refs, base = [], [], 0
             for p in parts_:
-                e = entry[base : base + len(p[2])]
-                base += len(p[2])
-                refs.append(_steps(np.repeat(e, p[6])))
-                size.append(len(refs[-1]))
-            refs = _zip(np.array(runs, np.int64), np.array(size), np.concatenate(refs), np.concatenate([p[7] for p in parts_]), np.concatenate([p[8] for p in parts_]))
+                e = entry[base : base + len(p[4])]
+                base += len(p[4])
+                refs.append(_steps(np.repeat(e, p[8])))
+                sizes.append(len(refs[-1]))
+            refs = _zip(np.array(runs, np.int64), np.array(sizes), np.concatenate(refs), np.concatenate([p[9] for p in parts_]), np.concatenate([p[10] for p in parts_]))
             yield _rows(_RANGES, [(bucket, None, pairs, refs)])
         exchange.release_memory()
 
@@ -389,18 +403,18 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
 
 
 class Range:
-    """The restaurants of one range of words before. ``v``, ``u``, ``w``, ``count`` list the entries
-    of pairs, ``dv``, ``dw`` the dishes of single words (index into ``words``); ``t3`` and ``t2`` are
+    """The restaurants of one range of words before. ``pair`` and ``count`` list the
+    entries of pairs, ``dv``, ``dw`` the dishes of single words (index into ``words``); ``t3`` and ``t2`` are
     their tables. ``c0``, ``t0``, ``n`` are the root's customers, tables and the training count of
     each word that follows something (``after``), ``hot2`` customers and tables of the dishes of
     frequent words, in the order of ``far``."""
 
     def __init__(self, bucket: int, pairs: bytes, hot: Hot, seed: int, state: bytes | None = None):
-        common, rest, v, u, w, self.count = _unzip(pairs)
+        common, rest, v, w, self.count, pair = _unzip(pairs)
         self.bucket, self.seed, self.words = bucket, seed, hot.words(common, rest)
         n = len(self.words)
         v = np.cumsum(v)
-        self.pair = np.cumsum(_changes(v, u)) - 1
+        self.pair = np.cumsum(pair) - 1
         order = _order(n, v, w)
         first = _changes(v[order], w[order])
         self.dish = np.empty(len(v), np.int64)
@@ -545,10 +559,11 @@ def fit(docs: DataFrame, sweeps: int = 3, burn_in: int = 1, frequent: float | No
     spark = docs.sparkSession
     if "doc_id" not in docs.columns:
         docs = docs.withColumn("doc_id", F.col("row").cast("long"))
-    parts, _ = exchange.plan_partitions(docs, "text")
-    bits = (4 * parts - 1).bit_length()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size) // (4 * RANGE_BYTES), 1)
+    bits = max(2, (int(size) // RANGE_BYTES).bit_length())
     hot = _frequent(docs, frequent or max(1 / 2048, 0.25 / (1 << bits)), 1 << bits)
-    table, piece_bits, n_hot = _ranges(docs, hot, parts, bits), (parts - 1).bit_length(), len(hot.hashes)
+    table, piece_bits, n_hot = _ranges(docs, hot, parts, bits), max(0, bits - 3), len(hot.hashes)
     ranges = table.where(F.col("bucket") < 1 << bits).select("bucket", "pairs")
 
     def seated(number: int, last: DataFrame | None, totals: Totals | None, rates: Rates, base: float):
