@@ -179,12 +179,23 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; on runs that are sorted or short, quicker than ``np.unique``."""
+    x = np.sort(x)
+    return x[_changes(x)]
+
+
 def _order(n: int, *columns: np.ndarray) -> np.ndarray:
-    """Stable order by columns of indices below n: 16 bits at a time, which numpy sorts by radix."""
-    order = None
-    for x in reversed(columns):
-        for shift in range(0, max(n - 1, 1).bit_length(), 16):
-            digit = ((x if order is None else x[order]) >> shift).astype(np.uint16)
+    """Stable order by columns of indices below n: 16 bits at a time, which numpy sorts by radix.
+    Neighbouring columns share a key as long as it has 64 bits."""
+    bits, order = max(n - 1, 1).bit_length(), None
+    for last in range(len(columns), 0, -max(1, 64 // bits)):
+        some = columns[max(0, last - max(1, 64 // bits)) : last]
+        key = some[0].astype(_U)
+        for x in some[1:]:
+            key = key << _U(bits) | x.view(_U)
+        for shift in range(0, bits * len(some), 16):
+            digit = ((key if order is None else key[order]) >> _U(shift)).astype(np.uint16)
             turn = np.argsort(digit, kind="stable")
             order = turn if order is None else order[turn]
     return order
@@ -311,18 +322,19 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             v, u = np.empty_like(w), np.empty_like(w)
             v[1:], u[2:] = w[:-1], w[:-2]
             v[begins], u[begins], u[np.flatnonzero(begins)[np.flatnonzero(begins) + 1 < len(w)] + 1] = start, start, start
-            short, to = np.unique(words >> _U(CUT), return_inverse=True)
-            u = to[u]
-            order = _order(len(words), v, u, w)
-            v, u, w, doc = v[order], u[order], w[order], doc[order]
+            short = words >> _U(CUT)
+            first = _changes(short)
+            short, u = short[first], (np.cumsum(first) - 1)[u]
             bucket = (words >> shift).astype(np.int64)[v]
             f = hot.of(words)[v]
             some = np.flatnonzero(f >= 0)
             if len(some):
                 place = (mix(short[u[some]]) % hot.splits[f[some]].astype(_U)) + _U(1)
                 bucket[some] = (mix(words[v[some]] ^ mix(place)) >> shift).astype(np.int64)
-                order = _order(1 << bits, bucket)
-                v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
+            order = _order(len(words), v, u, w)
+            if len(some):  # else buckets ascend with the words before
+                order = order[_order(1 << bits, bucket[order])]
+            v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
             entry = _changes(v, u, w)
             ref = entry | _changes(doc)
             at, refs = np.flatnonzero(entry), np.flatnonzero(ref)
@@ -335,9 +347,8 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             cuts = np.append(np.flatnonzero(_changes(bucket)), len(bucket))
             index, index2 = np.zeros(len(words), np.int64), np.zeros(len(short), np.int64)
             for a, b in zip(cuts[:-1], cuts[1:]):
-                mark, mark2 = np.zeros(len(words), bool), np.zeros(len(short), bool)
-                mark[v[a:b]] = mark[w[a:b]] = mark2[u[a:b]] = True
-                own, own2 = np.flatnonzero(mark), np.flatnonzero(mark2)
+                before = v[a:b]
+                own, own2 = _distinct(np.append(before[_changes(before)], w[a:b])), _distinct(u[a:b])
                 index[own], index2[own2] = np.arange(len(own)), np.arange(len(own2))
                 x, y = ends[a] - places[a], ends[b - 1]
                 yield (int(bucket[a]), run, _zip(*hot.listed(words[own]), *hot.listed(short[own2], CUT), index[v[a:b]], index2[u[a:b]], index[w[a:b]], counts[a:b], places[a:b], doc[x:y], many[x:y]))
@@ -370,7 +381,7 @@ def _ranges(docs: DataFrame, hot: Hot, parts: int, bits: int) -> DataFrame:
             def joined(first: int, cut: int, *columns: int) -> list[np.ndarray]:
                 nonlocal words, size
                 known = [hot.words(p[first], p[first + 1], cut) for p in parts_]
-                words = np.unique(np.concatenate(known))
+                words = _distinct(np.concatenate(known))
                 size = max(size, len(words))
                 at = [np.searchsorted(words, d) for d in known]
                 return [np.concatenate([i[p[k]] for i, p in zip(at, parts_)]) for k in columns]
@@ -501,7 +512,7 @@ def _answer(messages: list, rng, totals: Totals | None, rates: Rates, base: floa
     there by 1 and 2 customers, dishes of frequent words likewise, words, tokens, then customers
     and tables of each frequent word)."""
     asked = [_hashes(m[0]) for m in messages]
-    words = np.unique(np.concatenate(asked))
+    words = _distinct(np.concatenate(asked))
     at = [np.searchsorted(words, h) for h in asked]
     c0, n, was_c, was_t = (np.zeros(len(words), np.int64) for _ in range(4))
     for i, m in zip(at, messages):
@@ -676,7 +687,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def _sums(parts: list) -> tuple:
     """(run, doc, known, base, score) added up by run and doc."""
     runs, doc, *values = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((doc, runs))
+    begin = np.flatnonzero(_changes(runs))  # entries of a run come in rows
+    names, of = np.unique(runs[begin], return_inverse=True)
+    width = int(doc.max()) + 1 if len(doc) else 1
+    order = _order(len(names) * width, np.repeat(of, np.diff(np.append(begin, len(runs)))) * width + doc)
     runs, doc = runs[order], doc[order]
     at = np.flatnonzero(_changes(runs, doc))
     return runs[at], doc[at], *(np.add.reduceat(x[order], at) if len(at) else x for x in values)
