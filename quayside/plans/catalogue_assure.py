@@ -21,6 +21,7 @@ from quayside.plans.workflow import ManagementTask, Workflow, run_workflow
 from quayside.sinks.delimited import write_delimited
 from quayside.sinks.ledger import read_ledger
 from quayside.sinks.table import write_table
+from quayside.sinks.versions import replace_version, roll_back
 from quayside.sources.delimited import read_delimited
 from quayside.spec import DatasetSpec, LoadSpec, TableSpec
 
@@ -319,3 +320,19 @@ def q_anomaly_volume_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(spark, ctx.events(), f"{db}.events", ["effective_date"], rebalance=True)
     complete_state(spark, f"{db}.events", f"{db}.events_state", columns=["value"])
     return daily_volumes(spark.table(f"{db}.events_state"))
+
+
+# --------------------------------------------------------------------------- K7
+
+
+@register("full_versioned", "SELECT * REPLACE (o_custkey + 1 AS o_custkey) FROM orders")
+def q_full_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders replaced by versions: the second is made from the first, the third (an empty file by
+    mistake) is rolled back."""
+    ctx = Ctx(spark, sf_dir)
+    t = f"{ctx.database()}.orders_snapshot"
+    replace_version(spark, ctx.table("orders"), t)
+    replace_version(spark, spark.table(t).withColumn("o_custkey", F.col("o_custkey") + 1), t)
+    replace_version(spark, spark.table(t).where("false"), t)
+    roll_back(spark, t)
+    return spark.table(t)
