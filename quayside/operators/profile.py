@@ -2,9 +2,10 @@
 
 All columns are profiled in ONE aggregation (partial aggregates per task, one small row
 per task shuffled), then unpivoted to one row per column with ``inline``. Distinct counts
-are HyperLogLog++ estimates (``approx_count_distinct``), a fixed-size sketch per task; ``exact=True``
-counts by Spark's distinct-aggregate rewrite, which copies each row once per column (values are
-de-duplicated per task before the shuffle).
+are HyperLogLog++ estimates (``approx_count_distinct``), a fixed-size sketch per task. With
+``exact=True`` this pass also tells how many distinct values there are about, and a second one counts
+them: few by Spark's distinct aggregates, whose tables per task hold the distinct values; many after
+rows were dealt to as many tasks as their size asks for, so no task's table grows with the input.
 
 Top values, exact, of all columns in two scans: the first keeps a mergeable heavy-hitter sketch
 of each column's value hashes (``approx_top_k``), whose counts are off by a share of the rows at
@@ -42,6 +43,61 @@ def hashed(c: Column) -> Column:
     return F.when(c.isNotNull(), F.xxhash64(c))
 
 
+# Exact distinct counts: up to so many values (by estimate, of all columns together) are kept in
+# each task's table; of more, a task gets rows whose values take so many bytes.
+KEPT_VALUES = 200_000
+TASK_BYTES = 128 << 20
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    return "map<" not in dtype.simpleString() and "variant" not in dtype.simpleString()
+
+
+def _value(f: T.StructField) -> tuple[Column, T.DataType]:
+    """A column's value as a grouping key. Floats as text, which tells all of them apart: Spark would
+    deal them anew to make zeros and NaNs equal."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        return _plain(c, f.dataType).cast("string"), T.StringType()
+    return c, f.dataType
+
+
+def _bytes(fields: Sequence[T.StructField]) -> Column:
+    """Bytes that the values of the rows take in a task's table, about."""
+    total = F.count(F.lit(1)) * (len(fields) * (64 + 16 * len({_value(f)[1] for f in fields})))
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.StructType)):
+            c = F.to_json(c)
+        if _is_text(f.dataType) or isinstance(f.dataType, (T.BinaryType, T.ArrayType, T.StructType)):
+            total = total + F.coalesce(F.sum(F.octet_length(c).cast("long")), F.lit(0))
+    return total
+
+
+def _dealt_distinct(df: DataFrame, fields: Sequence[T.StructField], parts: int) -> DataFrame:
+    """One row, ``_nd<i>``: the distinct values of each column. Rows are dealt by their hash; each
+    group of rows keeps one (column, value) of each, and these are dealt by value."""
+    place = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]), F.lit(8 * parts))
+    kinds = list(dict.fromkeys(_value(f)[1] for f in fields))
+    keys = ["_i", *[f"_v{k}" for k in range(len(kinds))]]
+    entries = []
+    for i, f in enumerate(fields):
+        c, kind = _value(f)
+        values = [(c if k == kind else F.lit(None).cast(k)).alias(f"_v{n}") for n, k in enumerate(kinds)]
+        entries.append(F.when(F.col(f"`{f.name}`").isNotNull(), F.struct(F.lit(i).alias("_i"), *values)))
+    rows = df.select(place.alias("_place"), *[F.col(f"`{f.name}`") for f in fields]).repartition(parts, "_place")
+    some = rows.select("_place", F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull()))).groupBy("_place", *keys).agg(F.count(F.lit(1)))
+    values = some.select(*keys).repartition(parts, *keys).groupBy(*keys).agg(F.count(F.lit(1))).select("_i")
+    return values.agg(*[F.count_if(F.col("_i") == i).alias(f"_nd{i}") for i in range(len(fields))])
+
+
+def _exact_distinct(df: DataFrame, fields: Sequence[T.StructField], estimates: Sequence[int], size: int) -> DataFrame:
+    parts = -(-size // TASK_BYTES)
+    if sum(estimates) <= KEPT_VALUES or parts < 2 or not all(_hashable(f.dataType) for f in fields):
+        return df.agg(*[F.count_distinct(F.col(f"`{f.name}`")).alias(f"_nd{i}") for i, f in enumerate(fields)])
+    return _dealt_distinct(df, fields, parts)
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False, digits: int = 4) -> DataFrame:
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     if not fields:
@@ -50,7 +106,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.count(c).alias(f"_nn{i}"))
-        aggs.append((F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"_nd{i}"))
+        aggs.append(F.approx_count_distinct(c).alias(f"_nd{i}"))
         if _is_text(f.dataType):
             aggs += [F.min(F.length(c)).alias(f"_minl{i}"), F.max(F.length(c)).alias(f"_maxl{i}")]
         if _is_numeric(f.dataType):
@@ -59,7 +115,14 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
                 F.min(d).alias(f"_min{i}"), F.max(d).alias(f"_max{i}"),
                 F.avg(d).alias(f"_avg{i}"), F.stddev_samp(d).alias(f"_sd{i}"),
             ]
-    wide = df.agg(*aggs)
+    if exact:
+        first = df.agg(*aggs, _bytes(fields).alias("_size"))
+        found = first.first()
+        estimates = [found[f"_nd{i}"] for i in range(len(fields))]
+        known = df.sparkSession.createDataFrame([found], first.schema).drop("_size", *[f"_nd{i}" for i in range(len(fields))])
+        wide = known.crossJoin(_exact_distinct(df, fields, estimates, found["_size"]))
+    else:
+        wide = df.agg(*aggs)
 
     def opt(name: str, present: bool, kind: str):
         return F.col(name).cast(kind) if present else F.lit(None).cast(kind)

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.operators import profile
 from quayside.operators.anomaly import value_outliers, volume_anomalies
 from quayside.operators.lineage import edges_from_counts, record_lineage, traverse
 from quayside.operators.profile import profile_columns, top_values
@@ -114,6 +115,23 @@ def test_profile_matches_pandas(spark):
     assert tv == [("s", "yy", 2, 1)]
 
 
+def test_exact_profile_deals_many_values_to_tasks_by_size(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 2).selectExpr(
+        "id", "CASE WHEN id % 2 = 0 THEN 'even' END s", "CASE WHEN id % 3 = 0 THEN -0.0D WHEN id % 3 = 1 THEN 0.0D ELSE double('NaN') END z",
+        "float(id % 7) f", "array(double(id % 5), double('NaN')) a", "encode(cast(id % 4 AS string), 'utf-8') b", "cast(NULL AS int) n", "id % 100 `d.t`", "cast(id % 13 AS string) t")
+    want = {r.column_name: r.distinct_count for r in profile_columns(df, exact=True).collect()}
+    assert want == {"id": 3000, "s": 1, "z": 2, "f": 7, "a": 5, "b": 4, "n": 0, "d.t": 100, "t": 13}
+    monkeypatch.setattr(profile, "KEPT_VALUES", 1000)
+    monkeypatch.setattr(profile, "TASK_BYTES", 500_000)
+    dealt = profile_columns(df, exact=True)
+    assert {r.column_name: r.distinct_count for r in dealt.collect()} == want
+    # rows meet a table of values only in tasks whose number follows their size, here and after
+    plan = dealt._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "Expand" not in plan
+    below = plan[plan.rindex("REPARTITION_BY_NUM"):]
+    assert "Aggregate" not in below
+
+
 def test_lineage_traversal(spark, db):
     t = f"{db}.lineage"
     counts = spark.createDataFrame([("d1", 5)], "effective_date string, n long")
