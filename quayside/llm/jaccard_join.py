@@ -380,14 +380,53 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
     return spark.read.parquet(path)
 
 
-def _fold(bits: list[bytes]) -> np.ndarray:
-    """Parity bitmaps of a list's sets, one row each, folded to the shortest."""
-    size = min(map(len, bits))
-    return np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), axis=0) for b in bits]).view(np.uint64)
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """A parity bitmap folded to ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, size), axis=0)
+
+
+class _Sketches:
+    """Folded parity bitmaps of a list's sets, compared at the shorter size of two."""
+
+    def __init__(self, bits: list[bytes]):
+        self.size = np.array([len(b) for b in bits])
+        self.rows = {}
+        for size in sorted(set(self.size.tolist())):
+            rows = np.zeros((len(bits), size), np.uint8)
+            for i in np.flatnonzero(self.size >= size):
+                rows[i] = _folded(bits[i], size)
+            self.rows[size] = rows.view(_U)
+
+    def differ(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmap of set i differs from those of the sets j."""
+        out, common = np.zeros(len(j), np.int64), np.minimum(self.size[j], self.size[i])
+        for size in np.unique(common).tolist():
+            at, rows = common == size, self.rows[size]
+            out[at] = np.bitwise_count(rows[j[at]] ^ rows[i]).sum(axis=1)
+        return out
 
 
 _BLOCK = 512  # members of a list that a task compares at a time
-_MEMBER = "struct<key:long,component:long,n:long,bits:binary>"
+_MEMBER = "struct<component:long,set:binary>"
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, set): each class as it travels with every list that it is in: key, size and its bitmap
+    folded to the power of two at least 3/4 of its size in bits. Half of these bits differ between
+    sets that have little in common, which is above the bound; pairs that pass meet the whole bitmaps later."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for key, n, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                size = len(bits)
+                while size > 8 and 4 * size >= 0.75 * n:  # half of it has 4 * size bits
+                    size //= 2
+                out.append(np.array([key, n], "<i8").tobytes() + _folded(bits, size).tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], names=["key", "set"])
+        exchange.release_memory()
+
+    return classes.select("key", "n", "bits").mapInArrow(run, "key long, set binary")
 
 
 def _stars(lists: DataFrame) -> DataFrame:
@@ -407,9 +446,9 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
     at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
     sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
-    open_ = at.join(sizes.select("list", blocks.alias("blocks")), "list").join(classes.select("key", "n", "bits"), "key")
+    open_ = at.join(sizes.select("list", blocks.alias("blocks")), "list").join(_members(classes), "key")
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "bits")).alias("members"))
+    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("component", "set")).alias("members"))
     one = held.select(F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
     long = held.where("blocks > 1")
     ahead = F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("other")
@@ -431,14 +470,14 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
         for some in (b.slice(at, 32) for b in batches for at in range(0, len(b), 32)):
             for p, q in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                 both = p + (q or [])
-                key, component, size = (np.array([m[c] for m in both], np.int64) for c in ("key", "component", "n"))
-                bitmaps = _fold([m["bits"] for m in both])
+                component = np.array([m["component"] for m in both], np.int64)
+                key, size = np.frombuffer(b"".join(m["set"][:16] for m in both), "<i8").reshape(-1, 2).T
+                sketches = _Sketches([m["set"][16:] for m in both])
                 begin = len(p) if q else 0
                 for i in range(len(p)):
                     j = np.arange(max(i + 1, begin), len(both))
                     j = j[(component[j] != component[i]) & (np.minimum(size[j], size[i]) * den >= np.maximum(size[j], size[i]) * num)]
-                    differ = np.bitwise_count(bitmaps[j] ^ bitmaps[i]).sum(axis=1)
-                    j = j[differ <= (size[j] + size[i]) * (den - num) // (den + num)]
+                    j = j[sketches.differ(i, j) <= (size[j] + size[i]) * (den - num) // (den + num)]
                     if len(j):
                         held.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
                         n += len(j)

@@ -148,3 +148,20 @@ def test_one_passage_in_most_documents(spark):
             if a < b and 100 * both >= 75 * len(sets[a] | sets[b]):
                 low[b] = min(low[b], low[a])
     assert got == low
+
+
+def test_sets_travel_with_lists_as_folded_bitmaps_that_drop_no_pair(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 1000).astype(np.uint64)
+    sets = [base, base[:800], np.concatenate([base[:900], rng.integers(0, 2**63, 400).astype(np.uint64)]), base[:40], rng.integers(0, 2**63, 1000).astype(np.uint64)]
+    rows = [(i, len(h), jj.parity_bits(h)) for i, h in enumerate(sets)]
+    got = {r.key: bytes(r["set"]) for r in jj._members(spark.createDataFrame(rows, "key long, n long, bits binary")).collect()}
+    for i, n, bits in rows:
+        assert np.frombuffer(got[i][:16], "<i8").tolist() == [i, n]
+        assert 0.75 * n <= 8 * (len(got[i]) - 16) < max(65, 1.5 * n)  # whole bitmaps have 2 to 4 bits a shingle
+    sketches = jj._Sketches([got[i][16:] for i in range(len(sets))])
+    for i, a in enumerate(sets):
+        differ = sketches.differ(i, np.arange(len(sets)))
+        assert all(d <= len(np.setxor1d(a, b)) for d, b in zip(differ, sets)) and differ[i] == 0
+    # unrelated sets of one size are told apart by what is left
+    assert sketches.differ(0, np.array([4]))[0] > jj.most_different(1000, 1000, 75, 100)
