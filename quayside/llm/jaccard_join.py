@@ -25,7 +25,8 @@ Candidates: each list first compares its most central member with the others. Co
 links found are built, and a second round compares those pairs of a list that lie in different
 components. So every pair that shares a needed signature is either compared or already
 connected, and a large group of near copies costs a star, not all pairs. Pairs pass an exact
-size bound and an exact parity-bitmap bound before their sets are fetched and intersected.
+size bound and an exact parity-bitmap bound before their sets are fetched and intersected; where too
+many of a list pass, its sets are intersected in blocks, and only links that connect components leave.
 
 Equal sets are one class (a 128-bit sum hash and the size); only class representatives (the
 smallest id) are compared. Defined results: a text of fewer words than ``shingle`` is one
@@ -407,6 +408,9 @@ class _Sketches:
 
 
 _BLOCK = 512  # members of a list that a task compares at a time
+_BLOCK_BYTES = 4 << 20  # and of their shingles, where these meet
+_COLUMNS = 2048  # shingles that are counted at a time
+DENSE = 8  # pairs for each member of a list that are verified one by one; lists with more are dense
 _MEMBER = "struct<component:long,set:binary>"
 
 
@@ -439,54 +443,81 @@ def _stars(lists: DataFrame) -> DataFrame:
     return lists.join(pivot, "list").where("key <> a").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
 
 
-def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a list in different components that pass the size and bitmap bounds. ``where``:
-    (key, component) of linked classes. Long lists are compared in blocks of members, so no task
-    holds a list; pairs that pass travel packed, since many lists find the same ones."""
-    at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
-    sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
-    blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
-    open_ = at.join(sizes.select("list", blocks.alias("blocks")), "list").join(_members(classes), "key")
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    held = open_.groupBy("list", "block", "blocks").agg(F.collect_list(F.struct("component", "set")).alias("members"))
-    one = held.select(F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
+def _in_blocks(members: DataFrame, by: str, blocks: DataFrame) -> DataFrame:
+    """Rows (by, blocks, p, q) of ``members`` (by, component, key, set), whose groups are dealt to
+    ``blocks`` (by, blocks): each block of members with null, and each pair of blocks."""
+    dealt = members.join(blocks, by).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    held = dealt.groupBy(by, "block", "blocks").agg(F.collect_list(F.struct("component", "set")).alias("members"))
+    one = held.select(by, "blocks", F.col("members").alias("p"), F.lit(None).cast(f"array<{_MEMBER}>").alias("q"))
     long = held.where("blocks > 1")
     ahead = F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("other")
-    left = long.where("block + 1 < blocks").select("list", ahead, F.col("members").alias("p"))
-    two = left.join(long.select("list", F.col("block").alias("other"), F.col("members").alias("q")), ["list", "other"]).select("p", "q")
+    left = long.where("block + 1 < blocks").select(by, "blocks", ahead, F.col("members").alias("p"))
+    two = left.join(long.select(by, F.col("block").alias("other"), F.col("members").alias("q")), [by, "other"])
+    return one.union(two.select(by, "blocks", "p", "q"))
+
+
+def _open_lists(lists: DataFrame, where: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(list, key, component) of ``lists`` and (list, size) of those that hold several components.
+    ``where``: (key, component) of linked classes."""
+    at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
+    sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
+    return at, sizes.select("list", "size")
+
+
+def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b): pairs of a list in different components that pass the size and bitmap bounds, and
+    (list): the *dense* lists, where more pairs pass than ``DENSE`` for each member. Of these not all
+    pairs are named here; ``_dense_links`` compares them. Long lists are compared in blocks of members, so
+    no task holds a list; pairs that pass travel packed, since many lists find the same ones."""
+    at, sizes = _open_lists(lists, where)
+    members = at.join(_members(classes), "key")
+    rows = _in_blocks(members, "list", sizes.select("list", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")))
 
     parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = (2 * parts - 1).bit_length()
 
     def compare(batches):
-        held, n = [], 0
+        held, dense, n = [], [], 0
 
         def flush():
             ab = np.unique(np.concatenate(held), axis=0)  # lists of one group of copies share their pairs
             at = mix(ab[:, 0].view(_U) ^ mix(ab[:, 1].view(_U)))
             order = np.argsort(at)
-            return exchange.blob_rows(at[order], [ab[order, 0], ab[order, 1]], bits)
+            return with_list(*exchange.blob_rows(at[order], [ab[order, 0], ab[order, 1]], bits).columns)
+
+        def with_list(bucket, blob, found=None):
+            return pa.record_batch([bucket, blob, found or pa.nulls(len(bucket), pa.int64())], names=["bucket", "blob", "list"])
 
         for some in (b.slice(at, 32) for b in batches for at in range(0, len(b), 32)):
-            for p, q in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+            for found, blocks, p, q in zip(*(some.column(k).to_pylist() for k in range(4))):
                 both = p + (q or [])
                 component = np.array([m["component"] for m in both], np.int64)
                 key, size = np.frombuffer(b"".join(m["set"][:16] for m in both), "<i8").reshape(-1, 2).T
                 sketches = _Sketches([m["set"][16:] for m in both])
                 begin = len(p) if q else 0
+                mine, most = [], DENSE * len(both) // blocks  # over all rows of a list in proportion to its size
                 for i in range(len(p)):
                     j = np.arange(max(i + 1, begin), len(both))
                     j = j[(component[j] != component[i]) & (np.minimum(size[j], size[i]) * den >= np.maximum(size[j], size[i]) * num)]
                     j = j[sketches.differ(i, j) <= (size[j] + size[i]) * (den - num) // (den + num)]
                     if len(j):
-                        held.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
-                        n += len(j)
+                        mine.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1))
+                        most -= len(j)
+                        if most < 0:
+                            dense.append(found)
+                            break
+                else:
+                    held += mine
+                    n += sum(map(len, mine))
                 if n > RUN_PAIRS:
                     yield flush()
                     held, n = [], 0
         if n:
             yield flush()
         held = []
+        if dense:
+            lists_ = pa.array(sorted(set(dense)), pa.int64())
+            yield with_list(pa.nulls(len(lists_), pa.int32()), pa.nulls(len(lists_), pa.binary()), lists_)
         exchange.release_memory()
 
     def distinct(batches):
@@ -495,8 +526,103 @@ def _across(lists: DataFrame, where: DataFrame, classes: DataFrame, num: int, de
             ab = np.unique(np.stack([a, b], 1), axis=0)
             yield pa.record_batch([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
-    found = one.union(two).mapInArrow(compare, exchange.BLOB_DDL)
-    return exchange.deal(found, parts).mapInArrow(distinct, "a long, b long")
+    spark, schema = lists.sparkSession, f"{exchange.BLOB_DDL}, list long"
+    path = scratch_path(spark, "jaccard_across")
+    rows.mapInArrow(compare, schema).write.parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    blobs = found.where("list is null").select(*exchange.BLOB_SCHEMA.names)
+    return exchange.deal(blobs, parts).mapInArrow(distinct, "a long, b long"), found.where("list is not null").select("list").distinct()
+
+
+def _shared(sets: list[np.ndarray], begin: int, end: int) -> np.ndarray:
+    """Sizes of the intersections of the sets before ``end`` with those from ``begin`` on."""
+    who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = times[column] > 1  # others are in no intersection
+    who, column = who[keep], (np.cumsum(times > 1) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    who, column = who[order], column[order]
+    out = np.zeros((end, len(sets) - begin), np.float32)  # exact below 2**24
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        a, b = np.searchsorted(column, (low, low + _COLUMNS))
+        has = np.zeros((len(sets), _COLUMNS), np.float32)
+        has[who[a:b], column[a:b] - low] = 1
+        out += has[:end] @ has[begin:].T
+    return out
+
+
+def _spanning(link: np.ndarray, component: np.ndarray, begin: int) -> list[tuple[int, int]]:
+    """Links (i, j) that connect what ``link`` (i, j - begin) and equal components do."""
+    label, out = np.unique(component, return_inverse=True)[1], []
+    for i in range(len(link)):
+        j = begin + np.flatnonzero(link[i])
+        j = j[label[j] != label[i]]
+        if len(j):
+            merged, first = np.unique(label[j], return_index=True)
+            out += [(i, int(x)) for x in j[first]]
+            label[np.isin(label, merged)] = label[i]
+    return out
+
+
+def _dense_links(dense: DataFrame, lists: DataFrame, where: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, lower: bool, num: int, den: int) -> DataFrame:
+    """(a, b, x, y): of the lists ``dense`` links that connect the components which their links connect.
+    Near copies that do not quite link pass the bitmaps in numbers that grow with the square of their
+    group, so the sets themselves meet here and only links leave: at most one for each member of a block
+    pair. Lists with members in common hold much the same pairs; they are compared at once as one
+    group, unless the group (of lists in a chain) has more pairs than its lists."""
+    spark = docs.sparkSession
+    at, sizes = _open_lists(lists.join(dense, "list", "left_semi"), where)
+    path = scratch_path(spark, "jaccard_dense")
+    at.join(sizes, "list").write.parquet(path)
+    at = spark.read.parquet(path)
+    least = at.groupBy("list").agg(F.min("key").alias("b"), F.max("size").alias("size"))
+    chain = components(at.join(least.select("list", "b"), "list").select(F.col("key").alias("a"), "b"))
+    path = scratch_path(spark, "jaccard_chains")
+    chain.write.parquet(path)
+    chain = spark.read.parquet(path).toDF("key", "chain")
+    of = least.join(chain, least["b"] == chain["key"]).select("list", "chain", "size")
+    apart = of.groupBy("chain").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs")).join(chain.groupBy("chain").agg(F.count(F.lit(1)).cast("double").alias("n")), "chain").where("n * n > pairs").select("chain")
+    whole = at.select("key", "component").distinct().join(chain, "key").join(apart, "chain", "left_anti").select(F.col("chain").alias("group"), F.lit(False).alias("list"), "component", "key")
+    alone = at.join(of.join(apart, "chain").select("list"), "list", "left_semi").select(F.col("list").alias("group"), F.lit(True).alias("list"), "component", "key")
+    members = whole.union(alone).withColumn("group", F.xxhash64("group", "list")).drop("list").join(classes.select("key", "n"), "key")
+    blocks = members.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / _BLOCK, F.sum("n") * 8 / _BLOCK_BYTES)).cast("int").alias("blocks"))
+
+    def sets(batches):
+        for batch in batches:
+            for _, _, w in slices(batch.column(0), lower):
+                h, first = shingle_sets(w, shingle)
+                key = _set_sums(h, first, 0x1234567).view(np.int64)
+                yield pa.record_batch([pa.array(key), pa.array([k.tobytes() + h[x:y].tobytes() for k, x, y in zip(key, first[:-1], first[1:])], pa.binary())], names=["key", "set"])
+        exchange.release_memory()
+
+    wanted = classes.join(at.select("key").distinct(), "key", "left_semi").select("id").distinct()
+    if wanted.count() <= MAX_BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    table = docs.join(wanted, "id", "left_semi").select("text").mapInArrow(sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set"))
+    rows = _in_blocks(members.select("group", "component", "key").join(table, "key"), "group", blocks)
+
+    def compare(batches):
+        for p, q in ((p, q) for b in batches for at in range(len(b)) for p, q in zip(*(b.slice(at, 1).column(k).to_pylist() for k in (2, 3)))):
+            both = p + (q or [])
+            component = np.array([m["component"] for m in both], np.int64)
+            key = [int(np.frombuffer(m["set"][:8], "<i8")[0]) for m in both]
+            if (component == component[0]).all():
+                continue
+            hashes = [np.frombuffer(m["set"], _U, offset=8) for m in both]
+            begin = len(p) if q else 0
+            size = np.array([len(h) for h in hashes], np.int64)
+            same = _shared(hashes, begin, len(p)).astype(np.int64)
+            link = (same > 0) & (den * same >= num * (size[: len(p), None] + size[None, begin:] - same))
+            ab = [sorted((key[i], key[j])) for i, j in _spanning(link, component, begin)]
+            if ab:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*ab)], names=["a", "b"])
+        exchange.release_memory()
+
+    found = rows.mapInArrow(compare, "a long, b long").distinct()
+    side = lambda k, i: classes.select(F.col("key").alias(k), F.col("id").alias(i))
+    path = scratch_path(spark, "jaccard_links")
+    found.join(side("a", "x"), "a").join(side("b", "y"), "b").where("x <> y").select("a", "b", "x", "y").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 75, den: int = 100, lower: bool = True) -> DataFrame:
@@ -543,7 +669,10 @@ def _components_of_sets(docs: DataFrame, id_col: str, text_col: str, shingle: in
     links = _verified(star, *args)
     exchange.settle(spark)
     first = components(links.select("a", "b")).withColumnsRenamed({"id": "key"})
-    more = _verified(_across(lists, first, classes, num, den), *args)
+    pairs, dense = _across(lists, first, classes, num, den)
+    more = _verified(pairs, *args)
+    if not dense.isEmpty():
+        more = more.union(_dense_links(dense, lists, first, *args))
 
     reach = components(links.union(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
     classes = classes.join(reach, "id", "left").select("id", "n", "key", "key2", F.coalesce("component", "id").alias("component_id"))

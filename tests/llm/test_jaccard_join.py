@@ -165,3 +165,63 @@ def test_sets_travel_with_lists_as_folded_bitmaps_that_drop_no_pair(spark):
         assert all(d <= len(np.setxor1d(a, b)) for d, b in zip(differ, sets)) and differ[i] == 0
     # unrelated sets of one size are told apart by what is left
     assert sketches.differ(0, np.array([4]))[0] > jj.most_different(1000, 1000, 75, 100)
+
+
+def test_near_copies_that_do_not_link_are_not_paired_one_by_one(spark, monkeypatch):
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(174)]
+
+    def copy(i, edits):  # 10 of 48 differences each
+        w = list(base)
+        for k, at in enumerate(r.sample(range(4, 170, 9), edits)):
+            w[at] = f"x{i}_{k}"
+        return " ".join(w)
+
+    rows = [(1, " ".join(base))] + [(10 + i, copy(i, 3 if i % 2 else 5)) for i in range(240)]
+    linked = [(300, copy(300, 6)), (301, copy(301, 7))]  # each with a copy that is a word longer
+    rows += linked + [(i + 100, t + " end") for i, t in linked]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    verified, named = jj._verified, []
+
+    def counting(pairs, *args):
+        named.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(jj, "_verified", counting)
+    monkeypatch.setattr(jj, "_BLOCK", 64)
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 100
+    assert sorted(tuple(x) for x in jj.similar_components(docs).collect()) == want
+    assert named[1] <= 20 * len(rows)
+
+
+@pytest.mark.parametrize("cheap", [True, False])
+def test_dense_lists_lose_no_link(spark, monkeypatch, cheap):
+    monkeypatch.setattr(jj, "DENSE", 0)
+    monkeypatch.setattr(jj, "_BLOCK", 8 if cheap else 512)
+    monkeypatch.setattr(jj, "_BLOCK_BYTES", 4 << 20 if cheap else 20_000)
+    rows = near_copies(3, 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(x) for x in jj.similar_components(docs).collect()) == brute(rows)
+
+
+@pytest.mark.parametrize("begin,end", [(0, 30), (12, 12)])
+def test_shared_counts_and_spanning_links_equal_brute_force(monkeypatch, begin, end):
+    monkeypatch.setattr(jj, "_COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    same = jj._shared(sets, begin, end)
+    assert same.tolist() == [[len(np.intersect1d(a, b)) for b in sets[begin:]] for a in sets[:end]]
+    link, component = same >= 14, np.arange(30) // 2
+
+    def groups(edges):
+        low = list(range(30))
+        edges = list(edges) + [(i, i + 1) for i in range(0, 30, 2)]
+        for _ in range(30):
+            for a, b in edges:
+                low[a] = low[b] = min(low[a], low[b])
+        return low
+
+    found = jj._spanning(link, component, begin)
+    assert all(link[i, j - begin] for i, j in found) and len(found) < 15
+    assert groups(found) == groups((i, j + begin) for i, j in np.argwhere(link))
