@@ -152,6 +152,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             cuts = np.flatnonzero(np.diff(ids)) + 1
             start = np.concatenate([[0], cuts]).astype(np.int64)
             yield pa.record_batch([pa.array(ids[start], pa.int64()), pa.array([x.tobytes() for x in np.split(keys, cuts)], pa.binary())], names=["id", "hashes"])
+            del blobs, ids, keys, order, cuts, start
+            exchange.release_memory()
 
     blobs = docs.mapInArrow(hash_windows, "bucket int, blob binary, repeats boolean")
     dealt = blobs.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket")
@@ -183,6 +185,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFra
     are few enough to broadcast, texts without repeats are not shuffled; else all are."""
     path = scratch_path(docs.sparkSession, "repeat_flags")
     repeated_windows(docs, id_col, text_col, window).write.parquet(path)
+    exchange.settle(docs.sparkSession)
     flags = docs.sparkSession.read.schema("id long, hashes binary").parquet(path).toDF("__repeat_id", _FLAGS)
     same = docs[id_col].cast("long") == F.col("__repeat_id")
     ids = flags.select("__repeat_id")
@@ -203,6 +206,7 @@ def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 out += [(ids[row].as_py(), int(a), int(b)) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
             cols = list(zip(*out)) or [[], [], []]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["id", "from_word", "to_word"])
+        exchange.release_memory()
 
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return _joined(slim, "id", "text", window).mapInArrow(run, "id long, from_word long, to_word long")
@@ -228,6 +232,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 texts[row] = b" ".join(compress(texts[row].encode().split(), ~mask)).decode()
             cols = [pa.array(texts, batch.schema.field(at).type) if i == at else batch.column(i) for i in range(len(names) - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=names[:-1])
+            del batch, texts, cols
+            exchange.release_memory()
 
     return joined.mapInArrow(run, docs.schema)
 
@@ -243,6 +249,7 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                 removed.append(0 if mask is None else int(mask.sum()))
                 sha.append(hashlib.sha256(b" ".join(words if mask is None else compress(words, ~mask))).hexdigest())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+        exchange.release_memory()
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return _joined(slim, "doc_id", "text", window).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -119,3 +119,13 @@ def test_broadcast_and_shuffled_ids_give_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "RUN_REPEATS", 1)
     assert sorted(map(repr, substring_dedup.remove_repeats(docs).collect())) == few and len(few) == len(rows) and spans
     assert sorted(map(repr, substring_dedup.removal_intervals(docs).collect())) == spans
+
+
+def test_idle_workers_give_back_memory_before_texts_are_cut(spark, monkeypatch):
+    settled = []
+    settle = exchange.settle
+    monkeypatch.setattr(exchange, "settle", lambda s: (settled.append(1), settle(s)))
+    words = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, words), (2, words + " tail"), (3, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in substring_dedup.remove_repeats(docs).collect()) == [(1, words), (2, "tail"), (3, None)]
+    assert settled == [1]
