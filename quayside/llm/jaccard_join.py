@@ -456,10 +456,14 @@ def _in_blocks(members: DataFrame, by: str, blocks: DataFrame) -> DataFrame:
     return one.union(two.select(by, "blocks", "p", "q"))
 
 
+def _placed(lists: DataFrame, where: DataFrame) -> DataFrame:
+    """(list, key, component) of ``lists``. ``where``: (key, component) of linked classes."""
+    return lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
+
+
 def _open_lists(lists: DataFrame, where: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(list, key, component) of ``lists`` and (list, size) of those that hold several components.
-    ``where``: (key, component) of linked classes."""
-    at = lists.join(where, "key", "left").select("list", "key", F.coalesce("component", "key").alias("component"))
+    """(list, key, component) of ``lists`` and (list, size) of those that hold several components."""
+    at = _placed(lists, where)
     sizes = at.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("size")).where("c <> d and size > 2")
     return at, sizes.select("list", "size")
 
@@ -571,11 +575,13 @@ def _dense_links(dense: DataFrame, lists: DataFrame, where: DataFrame, classes:
     pair. Lists with members in common hold much the same pairs; they are compared at once as one
     group, unless the group (of lists in a chain) has more pairs than its lists."""
     spark = docs.sparkSession
-    at, sizes = _open_lists(lists.join(dense, "list", "left_semi"), where)
+    # dense lists are open, so that they need not be sized and joined once more to tell: their members
+    # (as many as signatures that their sets share) are picked once and read from here on
+    at = _placed(lists.join(dense, "list", "left_semi"), where)
     path = scratch_path(spark, "jaccard_dense")
-    at.join(sizes, "list").write.parquet(path)
+    at.write.parquet(path)
     at = spark.read.parquet(path)
-    least = at.groupBy("list").agg(F.min("key").alias("b"), F.max("size").alias("size"))
+    least = at.groupBy("list").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("size"))
     chain = components(at.join(least.select("list", "b"), "list").select(F.col("key").alias("a"), "b"))
     path = scratch_path(spark, "jaccard_chains")
     chain.write.parquet(path)

@@ -205,6 +205,24 @@ def test_dense_lists_lose_no_link(spark, monkeypatch, cheap):
     assert sorted(tuple(x) for x in jj.similar_components(docs).collect()) == brute(rows)
 
 
+def test_members_of_dense_lists_are_picked_once(spark, monkeypatch):
+    frame, opened, picked = type(spark.range(0)), [], []
+
+    def joining(self, other, on=None, how=None, join=frame.join):
+        if isinstance(on, str) and on == "list" and how == "left_semi" and other.columns == ["list"]:
+            picked.append(self.columns)
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(jj, "DENSE", 0)
+    monkeypatch.setattr(jj, "_open_lists", lambda lists, where, f=jj._open_lists: opened.append(lists) or f(lists, where))
+    monkeypatch.setattr(frame, "join", joining)
+    rows = near_copies(3, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(x) for x in jj.similar_components(docs).collect()) == brute(rows)
+    # lists are sized once, before they are known to be dense; sizing those again reads the semi join twice
+    assert ["list", "key"] in picked and len(opened) == 1
+
+
 @pytest.mark.parametrize("begin,end", [(0, 30), (12, 12)])
 def test_shared_counts_and_spanning_links_equal_brute_force(monkeypatch, begin, end):
     monkeypatch.setattr(jj, "_COLUMNS", 7)
