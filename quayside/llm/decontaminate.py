@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm import exchange
 from quayside.llm.words import Words, separator_table, slices
 from quayside.session import scratch_path
 
@@ -146,15 +147,16 @@ def prefixes(block: Block, counts: dict[int, np.ndarray]) -> dict[int, tuple[np.
 _HITS = "__benchmark_hits"
 
 
-def _match(docs: DataFrame, text_col: str, block: Block, chosen: dict) -> DataFrame:
+def _match(docs: DataFrame, text_col: str, block: Block, chosen: dict, then, schema) -> DataFrame:
     """Adds to the hits of each row: one (first word, words, item id as text) per occurrence of
-    a record of the block and item that has it."""
+    a record of the block and item that has it. ``then`` makes the batches of ``schema`` of these in the
+    same task: steps in a row would hold a Python worker each."""
     sent = docs.sparkSession.sparkContext.broadcast((block, chosen))
     at = docs.columns.index(text_col)
     hits_at = docs.columns.index(_HITS)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()), ("item", pa.string())]))
 
-    def run(batches):
+    def hit(batches):
         block, chosen = sent.value
         lookups = {n: _Lookup(h) for n, (h, _, _) in chosen.items()}
         for batch in batches:
@@ -183,28 +185,33 @@ def _match(docs: DataFrame, text_col: str, block: Block, chosen: dict) -> DataFr
                 old = cols[hits_at].to_pylist()
                 cols[hits_at] = pa.array([(o or []) + found[i] if i in found else o for i, o in enumerate(old)], kind)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+        exchange.release_memory()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: then(hit(batches)), schema)
 
 
-def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 3) -> DataFrame:
-    """``docs`` with a column of hits (null: none) as its last one."""
+def matched(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 3, then=None, schema=None
+) -> DataFrame:
+    """``docs`` with a column of hits (null: none) as its last one, or what ``then`` makes of its batches."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-int(size) // BLOCK_BYTES))
     out = docs.withColumn(_HITS, F.lit(None).cast("array<struct<start:int,size:int,item:string>>"))
+    whole, done = out.schema, False
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect()  # about BLOCK_BYTES
         block = build_block(sorted(((r.i, r.t) for r in part), key=lambda x: str(x[0])), window, shingle)
         if not block.texts:
             continue
-        out = _match(out, text_col, block, prefixes(block, rarity(docs, text_col, block)))
+        done = then is not None and k + 1 == blocks
+        out = _match(out, text_col, block, prefixes(block, rarity(docs, text_col, block)), then if done else iter, schema if done else whole)
         if k + 1 < blocks:  # one block's tasks at a time
             path = scratch_path(spark, "decontaminate")
             out.write.parquet(path)
             out = spark.read.schema(out.schema).parquet(path)
-    return out
+    return out if done or then is None else out.mapInArrow(then, schema)
 
 
 def _judge(texts: pa.Array, hits: list, rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -235,13 +242,12 @@ def digest(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
             cols = [batch.column(0), pa.array(n), pa.array(hit), pa.array([len(i) for i in items], pa.int64()), pa.array(sha), pa.array((hit > 0) & (share * hit >= n))]
             yield pa.record_batch(cols, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return matched(slim, benchmark, window=window).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return matched(slim, benchmark, window=window, then=run, schema="doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 13, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    found = matched(docs, benchmark, text_col, window=window)
-    at, last = found.columns.index(text_col), len(found.columns) - 1
+    at, last = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches):
         for batch in batches:
@@ -253,4 +259,4 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
                 keep[rows] = ~((hit > 0) & (share * hit >= n))
             yield pa.RecordBatch.from_arrays(batch.filter(pa.array(keep)).columns[:last], names=batch.schema.names[:last])
 
-    return found.mapInArrow(run, docs.schema)
+    return matched(docs, benchmark, text_col, window=window, then=run, schema=docs.schema)

@@ -37,7 +37,9 @@ def release_memory() -> None:
 def settle(spark: SparkSession) -> None:
     """Has idle Python workers give back what they hold of earlier stages: a task's last batch
     and what it was made of stay with the worker until its next task. A few empty tasks per core reach
-    them all, as Spark hands out idle workers in turn."""
+    them all, as Spark hands out idle workers in turn. The driver's Python gives back its own."""
+    gc.collect()
+    release_memory()
 
     def give_back(batches):
         gc.collect()

@@ -76,3 +76,10 @@ def test_empty_tables(spark):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
     assert dc.digest(d.limit(0), b).collect() == []
     assert {r.n_items for r in dc.digest(d, b.limit(0)).collect()} == {0}
+
+
+def test_rows_are_matched_and_judged_in_one_python_step(spark):
+    docs, bench = cases(5)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    for out in (dc.digest(d, b), dc.remove_contaminated(d, b)):  # each step in a row holds a worker of its own
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
