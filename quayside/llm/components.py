@@ -2,8 +2,8 @@
 
 Each step is a grouped minimum (combined before the shuffle) and a join of the edges with it. The
 join deals edges by their node, so the edges of a hub meet in one task unless adaptive execution splits
-that partition; they stream through it and are not gathered. The lineage is cut by a reliable
-checkpoint after each round.
+that partition; they stream through it and are not gathered. The edges are written after each round:
+that cuts the lineage, and a file scan packs the small files that many partitions leave into few tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import checkpoint_root
+from quayside.llm.exchange import settle_driver
+from quayside.session import scratch_path
+
+
+def _stored(edges: DataFrame) -> DataFrame:
+    path = scratch_path(edges.sparkSession, "components")
+    edges.write.parquet(path)
+    return edges.sparkSession.read.schema(edges.schema).parquet(path)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,13 +40,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of ``edges`` (a long, b long): the smallest node that it
     reaches. Loops and repeated or reversed edges do not matter."""
-    checkpoint_root(edges.sparkSession)
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
+    edges = _stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     mark = None
     while True:
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.col("b") % 1_000_003)).first())
         if now == mark or not now[0]:
             break
         mark = now
-        edges = _star(_star(edges, True), False).checkpoint()
+        edges = _stored(_star(_star(edges, True), False))
+    settle_driver(edges.sparkSession)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())

@@ -34,12 +34,20 @@ def release_memory() -> None:
         pass
 
 
+def settle_driver(spark: SparkSession) -> None:
+    """Has the driver give back what it holds of ended jobs: its Python first, since handles there keep
+    plans alive in the JVM, whose heap grows to its limit if nothing collects it. Spark then drops the
+    shuffle files that nothing refers to any more."""
+    gc.collect()
+    release_memory()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def settle(spark: SparkSession) -> None:
     """Has idle Python workers give back what they hold of earlier stages: a task's last batch
     and what it was made of stay with the worker until its next task. A few empty tasks per core reach
-    them all, as Spark hands out idle workers in turn. The driver's Python gives back its own."""
-    gc.collect()
-    release_memory()
+    them all, as Spark hands out idle workers in turn. The driver gives back its own."""
+    settle_driver(spark)
 
     def give_back(batches):
         gc.collect()

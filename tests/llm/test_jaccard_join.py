@@ -243,3 +243,40 @@ def test_shared_counts_and_spanning_links_equal_brute_force(monkeypatch, begin,
     found = jj._spanning(link, component, begin)
     assert all(link[i, j - begin] for i, j in found) and len(found) < 15
     assert groups(found) == groups((i, j + begin) for i, j in np.argwhere(link))
+
+
+def _joins_of_texts(df, kind):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in re.findall(r"(\w+Join) [^\n]*", plan) if x == kind]
+
+
+@pytest.mark.parametrize("limit, kind", [(None, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_texts_stay_where_they_are_when_copies_go(spark, monkeypatch, limit, kind):
+    """Ids of removed rows beyond Spark's own limit for broadcasts are measured and sent to the texts."""
+    rows = near_copies(5, 120)
+    docs = spark.createDataFrame(rows + [(None, "no id"), (5000, None)], "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if limit is not None:
+        monkeypatch.setattr(jj, "BROADCAST_GONE", limit)
+    try:
+        out = jj.keep_first(docs)
+        assert _joins_of_texts(out, kind) and len(_joins_of_texts(out, kind)) == 1
+        got = {r.doc_id for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i for i, _, c in brute(rows) if i == c} | {None, 5000}
+
+
+def test_components_settle_the_driver_and_read_packed_files(spark, monkeypatch):
+    """Edges in many small partitions: each round reads packed files, not a task for each partition."""
+    from quayside.llm import components as module
+
+    settled, scans = [], []
+    monkeypatch.setattr(module, "settle_driver", lambda s: settled.append(1))
+    stored = module._stored
+    monkeypatch.setattr(module, "_stored", lambda e: (scans.append(out := stored(e)), out)[1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").repartition(64, "a")
+    got = dict(components(edges).collect())
+    assert got == {i: 0 for i in range(301)} and settled == [1] and len(scans) > 2
+    assert max(e.rdd.getNumPartitions() for e in scans) < 64
