@@ -69,3 +69,47 @@ def test_repeated_ids_are_candidates_each(spark):
     docs = spark.createDataFrame([(0, [1.0]), (7, [0.5]), (7, [0.25]), (3, [0.5])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in topk.top_k(docs, F.col("id") == 0).collect())
     assert got == [(0, 1, 3, 256 * 128), (0, 2, 7, 256 * 128), (0, 3, 7, 256 * 64)]
+
+
+def test_vectors_are_written_once_and_not_sent_around(spark, monkeypatch, scratch):
+    """Groups used to be joined with index rows, each copied to every group."""
+    monkeypatch.setattr(topk, "GROUP", 7)
+    monkeypatch.setattr(topk, "PART", 16)
+    monkeypatch.setattr(topk, "TILE", 3)
+    r = np.random.default_rng(5)
+    rows = [(int(i) * 5, [float(x) for x in r.normal(size=3 + i % 4)]) for i in r.permutation(300)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    asked = F.pmod("id", F.lit(20)) == 0
+    parts = topk.write_index(topk.integers(docs, "vec_id", "embedding", 256.0), asked, scratch)
+    assert sum(p[1] for p in parts) == 300 and sum(p[2] for p in parts) == 75 and len(parts) > 12
+    kept = [int(i) for p in parts for ids, _ in topk._records(scratch, f"vectors-{p[0]}") for i in ids]
+    assert sorted(kept) == [5 * i for i in range(300)]
+    out = topk.top_k(docs, asked)
+    assert "Join" not in out._jdf.queryExecution().toString()
+    padded = [(i, v + [0.0] * (6 - len(v))) for i, v in rows]
+    assert sorted(tuple(x) for x in out.collect()) == brute(padded, 5, 20)
+
+
+def test_runs_of_a_group_do_not_grow_with_the_table():
+    for n in (1, 10, 100, 1000, 10_000):
+        group, run = topk.plan([(str(i), topk.PART, topk.PART // 50, 64) for i in range(n)], 6)
+        assert group == topk.GROUP and run == sorted(run) and len(set(run)) <= topk.RUNS
+        assert max(run.count(x) for x in set(run)) <= 1 + -(-n // len(set(run)))
+    assert topk.plan([("0", 100, 2, 1024)], 6)[0] == topk.GROUP // 16
+    assert topk.plan([], 6)[1] == []
+
+
+def test_best_so_far_is_kept_between_records_of_different_ranges():
+    """Thresholds beyond the exact range of single floats meet scores within it, and ties go to the smaller id."""
+    queries = topk._rows(np.array([3, 900]), np.array([[1 << 14, 0], [1, -1]]))
+    best = topk._none_yet(2, 2)
+    for ids, v in [([5, 6, 7], [[1 << 14, 1], [1 << 14, 2], [3, 3]]), ([1, 3, 8], [[1 << 14, 1], [1 << 20, 9], [2, -1]]), ([900, 901], [[9, -9], [0, -(1 << 40)]])]:
+        topk._search(queries, topk._blocks(topk._rows(np.array(ids), np.array(v))), *best, 1)
+    assert best[0].tolist() == [[1 << 28, 1 << 28], [1 << 40, (1 << 20) - 9]] and best[1].tolist() == [[1, 5], [901, 3]]
+
+
+def test_repeated_query_ids_share_their_ranks(spark):
+    docs = spark.createDataFrame([(0, [1.0]), (0, [0.5]), (7, [0.5]), (7, [0.25]), (9, [0.125]), (8, [-1.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(docs, F.col("id") == 0).collect())
+    s = 256 * 256
+    assert got == [(0, 1, 7, s // 2), (0, 2, 7, s // 4), (0, 3, 7, s // 4), (0, 4, 7, s // 8), (0, 5, 9, s // 8)]
